@@ -1,6 +1,183 @@
-"""Registered streaming queries (filled below)."""
+"""Registered streaming queries.
+
+Each runs a Structured Streaming query to completion (available-now trigger)
+into a fresh folder under the shared checkpoint root, then returns a batch
+read of the result. Sources are the supplied parquet tables read as file
+streams (or files Spark derives from them: JSON/CSV landing drops).
+"""
 
 from __future__ import annotations
 
-STREAM_QUERIES: dict = {}
-STREAM_SQL: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fleetspark.plans import gold, oracle, silver
+from fleetspark.plans import standins as T
+from fleetspark.plans.catalog import LIVE_BOUND_SECONDS, ntz
+from fleetspark.session import fresh_dir
+from fleetspark.sources import ingest
+from fleetspark.streaming import runner, scd_stream
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One supplied table as a file stream (schema taken from the table)."""
+    schema = T.table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+def _run_append(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    out, ckpt = fresh_dir(spark, f"{name}-out"), fresh_dir(spark, f"{name}-ckpt")
+    runner.run_append(df, out, ckpt, query_name=None)
+    return spark.read.schema(df.schema).parquet(out)
+
+
+def _run_complete(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    out, ckpt = fresh_dir(spark, f"{name}-out"), fresh_dir(spark, f"{name}-ckpt")
+    runner.run_complete(df, out, ckpt)
+    return spark.read.parquet(out)
+
+
+# --- I1, I2 -------------------------------------------------------------------------
+def q_gps_dedup_stream(spark, d):
+    """Every event is delivered twice (two sources over the same file); the
+    silver dedup within the watermark must keep one copy."""
+    twice = table_stream(spark, d, "events").unionByName(table_stream(spark, d, "events"))
+    return ntz(_run_append(spark, silver.gps_events_silver(T.gps_events(twice)), "gps_dedup"))
+
+
+# --- D3, I3, I7 ----------------------------------------------------------------------
+def q_delivery_performance_stream(spark, d):
+    ev = table_stream(spark, d, "events")
+    out = gold.delivery_performance_gold(silver.delivery_events_silver(T.delivery_events(ev)))
+    return ntz(_run_append(spark, out, "delivery_perf"))
+
+
+# --- C1 on a stream (stream-static left join) ------------------------------------------
+def q_shipment_invoice_stream(spark, d):
+    manifests = T.manifests(table_stream(spark, d, "orders"))
+    invoices = T.invoices(T.table(spark, d, "lineitem"))
+    return _run_append(spark, silver.shipment_invoice_silver(manifests, invoices), "ship_stream")
+
+
+# --- I5: unbounded aggregate, complete mode via foreachBatch ---------------------------
+def q_daily_revenue_stream(spark, d):
+    manifests = T.manifests(table_stream(spark, d, "orders"))
+    invoices = T.invoices(T.table(spark, d, "lineitem"))
+    rev = gold.daily_revenue_gold(silver.shipment_invoice_silver(manifests, invoices))
+    return _run_complete(spark, rev, "daily_revenue")
+
+
+# --- I6 ------------------------------------------------------------------------------
+def q_active_alerts_stream(spark, d):
+    sensor = silver.sensor_events_silver(T.sensor_events(table_stream(spark, d, "events")))
+    return ntz(_run_append(spark, gold.active_alerts_gold(sensor, with_detected_at=False), "alerts"))
+
+
+# --- C4, I4: stream-stream interval join ----------------------------------------------
+def q_live_fleet_status_stream(spark, d):
+    gps = silver.gps_events_silver(T.gps_events(table_stream(spark, d, "events")))
+    sensor = silver.sensor_events_silver(T.sensor_events(table_stream(spark, d, "events")))
+    out = gold.live_fleet_status_gold(gps, sensor, LIVE_BOUND_SECONDS)
+    return ntz(_run_append(spark, out, "live_status"))
+
+
+# --- K5: incremental SCD2 with a late half --------------------------------------------
+SCD_CUT = "2024-01-15"
+
+
+def q_scd2_stream(spark, d):
+    """Snapshots arrive in two drops, the *later* half first: the second run
+    must re-open versions around the late rows. Two available-now runs on one
+    checkpoint (a restart in between)."""
+    events = T.table(spark, d, "events")
+    landing = fresh_dir(spark, "scd_landing")
+    target, ckpt = fresh_dir(spark, "scd_target"), fresh_dir(spark, "scd_ckpt")
+    late = F.coalesce(F.col("ts") < F.lit(SCD_CUT).cast("timestamp_ntz"), F.lit(True))
+    events.where(~late).write.mode("append").parquet(landing)
+    for drop in (0, 1):
+        if drop == 1:
+            events.where(late).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(events.schema).parquet(landing)
+        scd_stream.scd2_incremental(
+            spark, stream, landing, target, ckpt, ["user_id"], "ts", track=["event_type"], buckets=16
+        )
+    return scd_stream.read_history(spark, target).select(*events.columns, "__START_AT", "__END_AT")
+
+
+# --- A1-A6: landing drops -> bronze, exactly once across re-runs -----------------------
+NTZ_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def _ingest_roundtrip(spark, d, table_name, fmt):
+    src = T.table(spark, d, table_name)
+    landing = fresh_dir(spark, f"landing-{table_name}")
+    bronze, ckpt = fresh_dir(spark, f"bronze-{table_name}"), fresh_dir(spark, f"ckpt-{table_name}")
+    w = src.write.mode("append").option("timestampNTZFormat", NTZ_FMT)
+    (w.option("header", "true").csv(landing) if fmt == "csv" else w.json(landing))
+    opts = {"timestampNTZFormat": NTZ_FMT}
+    # Two runs on one checkpoint: the second finds no new file and adds nothing.
+    for _ in range(2):
+        ingest.ingest_source(spark, table_name, landing, bronze, ckpt, fmt=fmt, schema=src.schema, options=opts)
+    b = spark.read.parquet(bronze)
+    return b.select(*src.columns, F.col("_source_file").isNotNull().alias("has_source_file"), "_source_name")
+
+
+def q_bronze_csv_ingest(spark, d):
+    return _ingest_roundtrip(spark, d, "orders", "csv")
+
+
+def q_bronze_json_ingest(spark, d):
+    return _ingest_roundtrip(spark, d, "events", "json")
+
+
+# --- A7, A8, A13: concurrent event ingests, then counts --------------------------------
+def q_bronze_stream_counts(spark, d):
+    events = T.table(spark, d, "events")
+    root = fresh_dir(spark, "stream-landing")
+    bronze, ckpts = fresh_dir(spark, "stream-bronze"), fresh_dir(spark, "stream-ckpt")
+    producers = {"gps_events": T.gps_events, "sensor_events": T.sensor_events, "delivery_events": T.delivery_events}
+    for name, adapt in producers.items():
+        adapt(events).write.mode("append").json(f"{root}/{name}")
+    queries = ingest.start_stream_ingestion(spark, root, bronze, ckpts)
+    ingest.await_all(queries)
+    status = ingest.stream_status(queries)
+    if any(s["active"] for s in status):
+        raise RuntimeError(f"ingest still active: {status}")
+    ingest.stop_all(queries)
+    return ingest.table_counts(spark, {n: f"{bronze}/{n}" for n in producers}, tolerate_missing=False)
+
+
+STREAM_QUERIES = {
+    "gps_dedup_stream": q_gps_dedup_stream,
+    "delivery_performance_stream": q_delivery_performance_stream,
+    "shipment_invoice_stream": q_shipment_invoice_stream,
+    "daily_revenue_stream": q_daily_revenue_stream,
+    "active_alerts_stream": q_active_alerts_stream,
+    "live_fleet_status_stream": q_live_fleet_status_stream,
+    "scd2_stream": q_scd2_stream,
+    "bronze_csv_ingest": q_bronze_csv_ingest,
+    "bronze_json_ingest": q_bronze_json_ingest,
+    "bronze_stream_counts": q_bronze_stream_counts,
+}
+
+B = oracle.BATCH_SQL
+STREAM_SQL = {
+    "gps_dedup_stream": B["gps_silver"],
+    "delivery_performance_stream": oracle.with_(oracle.DELIVERY, oracle.DELIVERY_SILVER)
+    + """SELECT date_trunc('hour', event_timestamp) AS window_start,
+       date_trunc('hour', event_timestamp) + INTERVAL 1 HOUR AS window_end, status, count(*) AS event_count
+FROM delivery_silver WHERE event_timestamp IS NOT NULL AND status IS NOT NULL
+GROUP BY 1, 2, 3
+HAVING date_trunc('hour', event_timestamp) + INTERVAL 1 HOUR
+       <= (SELECT max(event_timestamp) FROM delivery) - INTERVAL 10 MINUTE""",
+    "shipment_invoice_stream": B["shipment_invoice_silver"],
+    "daily_revenue_stream": B["daily_revenue"],
+    "active_alerts_stream": B["active_alerts"],
+    "live_fleet_status_stream": B["live_fleet_status"],
+    "scd2_stream": B["scd2_tracked"],
+    "bronze_csv_ingest": "SELECT *, true AS has_source_file, 'orders' AS _source_name FROM orders",
+    "bronze_json_ingest": "SELECT *, true AS has_source_file, 'events' AS _source_name FROM events",
+    "bronze_stream_counts": """SELECT 'gps_events' AS table_name, count(*) AS row_count FROM events WHERE event_type = 'view'
+UNION ALL SELECT 'sensor_events', count(*) FROM events WHERE event_type = 'click'
+UNION ALL SELECT 'delivery_events', count(*) FROM events""",
+}

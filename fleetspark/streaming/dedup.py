@@ -32,3 +32,17 @@ def dedup_within_watermark(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
         .select(*df.columns)
     )
+
+
+WATERMARK_META = "spark.watermarkDelayMs"
+
+
+def ensure_watermark(df: DataFrame, column: str, delay: str) -> DataFrame:
+    """``withWatermark`` unless ``column`` already carries one (a builder
+    composed after silver in the same query inherits silver's watermark;
+    Spark refuses to redefine it). Batch frames pass through unchanged."""
+    if not df.isStreaming:
+        return df
+    if WATERMARK_META in df.schema[column].metadata:
+        return df
+    return df.withWatermark(column, delay)
