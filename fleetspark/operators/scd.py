@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetspark.operators.sequence import with_neighbor
+from fleetspark.operators.sequence import CHUNK, KEY, default_chunk, partition_by_key_and_chunk, with_neighbor
 
 START_AT = "__START_AT"
 END_AT = "__END_AT"
@@ -65,17 +65,35 @@ def scd2(
     track_except: Sequence[str] | None = None,
     chunk: Column | None = None,
 ) -> DataFrame:
-    """K1: version history. Output = input columns + ``__START_AT``, ``__END_AT``."""
+    """K1: version history. Output = input columns + ``__START_AT``, ``__END_AT``.
+
+    One shuffle of the snapshot rows, by (key, chunk of the sequence): the
+    duplicate rule, both neighbour passes and their joins all run on that
+    partitioning; only per-(key, chunk) summaries move after it.
+    """
     keys = list(keys)
-    rows = latest_per_key_and_sequence(df, keys, sequence_by)
-    tracked = _tracked(rows, keys, track, track_except)
+    cols = df.columns
+    tracked = _tracked(df, keys, track, track_except)
+    chunk = default_chunk(df, sequence_by) if chunk is None else chunk
+    parted = partition_by_key_and_chunk(df.where(F.col(sequence_by).isNotNull()), keys, chunk)
+    # Same key and sequence: keep the greatest row (grouping keys include the
+    # partitioning columns, so this aggregate needs no exchange).
+    others = [c for c in cols if c not in (*keys, sequence_by)]
+    if others:
+        rows = (
+            parted.groupBy(KEY, CHUNK, *keys, sequence_by)
+            .agg(F.max(F.struct(*[F.col(c) for c in others])).alias("_row"))
+            .select(KEY, CHUNK, *keys, sequence_by, *[F.col(f"_row.{c}").alias(c) for c in others])
+        )
+    else:
+        rows = parted.dropDuplicates([KEY, CHUNK, *keys, sequence_by])
     tval = F.struct(*[F.col(c) for c in tracked]) if tracked else F.lit(True)
-    rows = with_neighbor(rows, keys, [sequence_by], tval, "_prev_t", "prev", chunk)
+    rows = with_neighbor(rows, keys, [sequence_by], tval, "_prev_t", "prev", keep_partitioning=True)
+    # The first row of a key has no previous row (NULL); tracked structs are
+    # never NULL themselves, so "_prev_t IS NULL" marks it.
     changes = rows.where(F.col("_prev_t").isNull() | ~tval.eqNullSafe(F.col("_prev_t"))).drop("_prev_t")
-    # NOTE: the first row of a key has no previous row; its struct is NULL, and
-    # tracked structs themselves are never NULL, so "_prev_t IS NULL" marks it.
-    hist = with_neighbor(changes, keys, [sequence_by], F.col(sequence_by), END_AT, "next", chunk)
-    return hist.withColumn(START_AT, F.col(sequence_by)).select(*df.columns, START_AT, END_AT)
+    hist = with_neighbor(changes, keys, [sequence_by], F.col(sequence_by), END_AT, "next")
+    return hist.withColumn(START_AT, F.col(sequence_by)).select(*cols, START_AT, END_AT)
 
 
 def current_versions(history: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
+KEY = "_k"
 CHUNK = "_chunk"
 
 
@@ -38,6 +39,14 @@ def default_chunk(df: DataFrame, order_col: str) -> Column:
     return F.floor(c / F.lit(1 << 20))
 
 
+def partition_by_key_and_chunk(df: DataFrame, keys: Sequence[str], chunk: Column) -> DataFrame:
+    """Adds ``_k`` (one non-null struct of the keys: struct equality and
+    hashing treat NULL fields as equal, so NULL keys keep their own group) and
+    ``_chunk``, and hash-partitions the rows on them -- the one full shuffle
+    that every later step of ``with_neighbor`` reuses."""
+    return df.withColumn(KEY, F.struct(*[F.col(k) for k in keys])).withColumn(CHUNK, chunk).repartition(KEY, CHUNK)
+
+
 def with_neighbor(
     df: DataFrame,
     keys: Sequence[str],
@@ -47,6 +56,7 @@ def with_neighbor(
     direction: str = "prev",
     chunk: Column | None = None,
     ignore_nulls: bool = False,
+    keep_partitioning: bool = False,
 ) -> DataFrame:
     """Adds ``out`` = ``value`` on the previous (``direction='prev'``) or next
     row of the same key in ``order`` (ascending); NULL at the key's first /
@@ -56,22 +66,25 @@ def with_neighbor(
     order within a key. ``ignore_nulls=True``: the nearest earlier (later) row
     whose ``value`` is not NULL -- a forward (backward) fill; ties in ``order``
     are fine as long as tied rows do not both carry values.
+
+    If ``df`` already holds ``_k``/``_chunk`` (from
+    ``partition_by_key_and_chunk`` or an earlier call with
+    ``keep_partitioning=True``) they are used as they are and no shuffle of
+    the rows happens here; ``keep_partitioning`` keeps them on the output.
     """
     if direction not in ("prev", "next"):
         raise ValueError(direction)
-    chunk = default_chunk(df, order[0]) if chunk is None else chunk
-    # One non-null struct key: struct equality and hashing treat NULL fields
-    # as equal, so NULL keys keep their own group, and the window's exchange
-    # on (_k, _chunk) is reused by the join below (no second shuffle).
-    base = df.withColumn("_k", F.struct(*[F.col(k) for k in keys])).withColumn(CHUNK, chunk)
+    if KEY in df.columns and CHUNK in df.columns:
+        base = df
+    else:
+        base = partition_by_key_and_chunk(df, keys, default_chunk(df, order[0]) if chunk is None else chunk)
     if ignore_nulls:
         base = base.withColumn("_nv", F.when(value.isNotNull(), F.struct(value.alias("v"))))
     else:
         base = base.withColumn("_nv", F.struct(value.alias("v")))
     ordering = F.struct(*[F.col(c) for c in order])
-    asc = [F.col(c) for c in order]
-    w = Window.partitionBy("_k", CHUNK).orderBy(*asc)
-    ws = Window.partitionBy("_k").orderBy(CHUNK)
+    w = Window.partitionBy(KEY, CHUNK).orderBy(*[F.col(c) for c in order])
+    ws = Window.partitionBy(KEY).orderBy(CHUNK)
     has_v = F.col("_nv").isNotNull()
     if direction == "prev":
         if ignore_nulls:
@@ -91,12 +104,10 @@ def with_neighbor(
             across = F.lead("_edge_v").over(ws)
         edge_val = F.min_by("_nv", F.when(has_v, ordering))
     d = base.withColumn("_in", inner)
-    summary = (
-        base.groupBy("_k", CHUNK)
-        .agg(edge_val.alias("_edge_v"))
-        .withColumn("_carry", across)
-        .drop("_edge_v")
-    )
-    joined = d.join(summary, ["_k", CHUNK], "left")
+    # Summary: one row per (key, chunk) holding data. The aggregate runs on the
+    # rows as partitioned above (no exchange); only the small summary moves.
+    summary = base.groupBy(KEY, CHUNK).agg(edge_val.alias("_edge_v")).withColumn("_carry", across).drop("_edge_v")
+    joined = d.join(summary, [KEY, CHUNK], "left")
     res = F.coalesce(F.col("_in"), F.col("_carry"))
-    return joined.withColumn(out, res.getField("v")).drop("_k", "_nv", "_in", "_carry", CHUNK)
+    drop = ["_nv", "_in", "_carry"] + ([] if keep_partitioning else [KEY, CHUNK])
+    return joined.withColumn(out, res.getField("v")).drop(*drop)

@@ -20,6 +20,16 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only on a measured size: no broadcast from compressed-file
+    # estimates at planning time; AQE converts a join to broadcast when the
+    # materialised side is below 32 MB. Constant lookup tables use explicit
+    # broadcast hints (their size is fixed by construction).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # Split any partition of a skewed join above 4x the median and 64 MB.
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
