@@ -12,9 +12,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import StructType, TimestampType
 
-from fleetspark.operators import routes, scd
+from fleetspark.operators import governance, routes, scd, topk
 from fleetspark.operators.expectations import FAILED_RULES_COL
 from fleetspark.plans import gold, silver
 from fleetspark.plans import standins as T
@@ -182,7 +182,43 @@ def q_nearest_reading(spark, d):
 
 def q_latest_events_topk(spark, d):
     """the 10 newest events (event id breaks ties)."""
-    return _events(spark, d).orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(10)
+    return topk.latest(_events(spark, d), "ts", 10, ["event_id"])
+
+
+def q_master_masked(spark, d):
+    """O2: master snapshots as a production reader sees them (PII hashed)."""
+    snaps = T.master_snapshots(_events(spark, d))
+    return governance.mask_columns(snaps, ["driver_id", "driver_name"], "hash")
+
+
+# A grants table is configuration, not data: a handful of (principal, route)
+# rows, whatever the size of the fleet data it filters.
+GRANTS = [("ops_pune", "ROUTE_MUM_PUNE"), ("ops_pune", "ROUTE_PUNE_NASHIK_AURANGABAD"), ("ops_pune", "ROUTE_MUM_PUNE"),
+          ("ops_nashik", "ROUTE_MUM_NASHIK")]
+
+
+def q_gps_row_security(spark, d):
+    """O3: gps silver restricted to the routes granted to one principal."""
+    grants = spark.createDataFrame(GRANTS, "principal string, route_name string")
+    return ntz(governance.restrict_rows(_gps_silver(spark, d), grants, "ops_pune", "route_name"))
+
+
+def q_events_schema_evolution(spark, d):
+    """Events landed as JSON text, parsed with a schema that lacks two of
+    their fields; the unknown fields survive in the rescue map."""
+    from fleetspark.sources.evolution import RESCUE_COL, parse_with_rescue
+
+    ev = _events(spark, d)
+    opts = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    text = ev.select(F.to_json(F.struct(*[F.col(c) for c in ev.columns]), opts).alias("value"))
+    known = StructType([f for f in ev.schema.fields if f.name not in ("value", "props")])
+    parsed = parse_with_rescue(text, known, options=opts)
+    return parsed.select(
+        "event_id", "ts", "user_id", "event_type",
+        F.array_join(F.array_sort(F.map_keys(RESCUE_COL)), ",").alias("rescued_keys"),
+        F.col(RESCUE_COL)["value"].cast("double").alias("rescued_value"),
+        F.col(RESCUE_COL)["props"].alias("rescued_props"),
+    )
 
 
 SUPPLIED_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -247,6 +283,9 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trip_distance": q_trip_distance,
     "route_position": q_route_position,
     "route_eta": q_route_eta,
+    "master_masked": q_master_masked,
+    "gps_row_security": q_gps_row_security,
+    "events_schema_evolution": q_events_schema_evolution,
 }
 
 

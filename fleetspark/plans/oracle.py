@@ -305,7 +305,15 @@ GROUP BY s.event_date, g.route_name""",
     + """SELECT * FROM pairs
 QUALIFY row_number() OVER (PARTITION BY vehicle_id, trip_id, event_timestamp
                            ORDER BY abs(epoch_us(event_timestamp) - epoch_us(reading_timestamp)), reading_timestamp) = 1""",
-    "latest_events_topk": "SELECT * FROM events ORDER BY ts DESC, event_id DESC LIMIT 10",
+    "latest_events_topk": "SELECT * FROM events ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST LIMIT 10",
+    "master_masked": with_(MASTER)
+    + """SELECT snapshot_date, vehicle_id, license_plate, vehicle_type, sha256(driver_id) AS driver_id,
+       sha256(driver_name) AS driver_name, driver_phone, driver_license_no, home_route, is_active, last_change_type
+FROM master""",
+    "gps_row_security": with_(GPS, GPS_SILVER)
+    + "SELECT * FROM gps_silver WHERE route_name IN ('ROUTE_MUM_PUNE', 'ROUTE_PUNE_NASHIK_AURANGABAD')",
+    "events_schema_evolution": """SELECT event_id, ts, user_id, event_type, 'props,value' AS rescued_keys,
+       value AS rescued_value, props AS rescued_props FROM events""",
     "table_counts": "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES),
     "ping_step_distance": with_(GPS, GPS_SILVER)
     + """, p AS (
