@@ -81,6 +81,30 @@ def q_live_fleet_status_stream(spark, d):
     return ntz(_run_append(spark, out, "live_status"))
 
 
+# --- C2 + I5: aggregated stream x static left join, complete mode --------------------
+def q_vehicle_scorecard_stream(spark, d):
+    from fleetspark.plans.catalog import _master_history
+
+    maint = silver.maintenance_logs_silver(T.maintenance_logs(table_stream(spark, d, "lineitem")))
+    return _run_complete(spark, gold.vehicle_scorecard_gold(maint, _master_history(spark, d)), "scorecard")
+
+
+# --- C3 + D4 on a stream: static sensor side pre-aggregated, gps streamed --------------
+def q_fuel_cost_efficiency_stream(spark, d):
+    from fleetspark.plans.catalog import _sensor_silver
+
+    gps = silver.gps_events_silver(T.gps_events(table_stream(spark, d, "events")))
+    return _run_complete(spark, gold.fuel_cost_efficiency_gold(_sensor_silver(spark, d), gps), "fuel")
+
+
+# --- C5 on a stream: nearest reading per ping, emitted once the ping is closed ----------
+def q_nearest_reading_stream(spark, d):
+    gps = silver.gps_events_silver(T.gps_events(table_stream(spark, d, "events")))
+    sensor = silver.sensor_events_silver(T.sensor_events(table_stream(spark, d, "events")))
+    out = gold.live_fleet_status_nearest(gps, sensor, LIVE_BOUND_SECONDS)
+    return ntz(_run_append(spark, out, "nearest"))
+
+
 # --- K5: incremental SCD2 with a late half --------------------------------------------
 SCD_CUT = "2024-01-15"
 
@@ -155,6 +179,9 @@ STREAM_QUERIES = {
     "active_alerts_stream": q_active_alerts_stream,
     "live_fleet_status_stream": q_live_fleet_status_stream,
     "scd2_stream": q_scd2_stream,
+    "vehicle_scorecard_stream": q_vehicle_scorecard_stream,
+    "fuel_cost_efficiency_stream": q_fuel_cost_efficiency_stream,
+    "nearest_reading_stream": q_nearest_reading_stream,
     "bronze_csv_ingest": q_bronze_csv_ingest,
     "bronze_json_ingest": q_bronze_json_ingest,
     "bronze_stream_counts": q_bronze_stream_counts,
@@ -175,6 +202,19 @@ HAVING date_trunc('hour', event_timestamp) + INTERVAL 1 HOUR
     "active_alerts_stream": B["active_alerts"],
     "live_fleet_status_stream": B["live_fleet_status"],
     "scd2_stream": B["scd2_tracked"],
+    "vehicle_scorecard_stream": B["vehicle_scorecard"],
+    "fuel_cost_efficiency_stream": B["fuel_cost_efficiency"],
+    # A ping is emitted once the aggregate's watermark passes it: the input
+    # watermark (min over both sides of max event time - 2 min) less the join's
+    # time bound, because the join can still produce pairs that far back.
+    "nearest_reading_stream": B["nearest_reading"].replace(
+        "SELECT * FROM pairs\n",
+        f"""SELECT * FROM pairs
+WHERE event_timestamp <= least((SELECT max(ts) FROM events WHERE event_type = 'view'),
+                               (SELECT max(ts) FROM events WHERE event_type = 'click'))
+      - INTERVAL 2 MINUTE - INTERVAL {LIVE_BOUND_SECONDS} SECOND
+""",
+    ),
     "bronze_csv_ingest": "SELECT *, true AS has_source_file, 'orders' AS _source_name FROM orders",
     "bronze_json_ingest": "SELECT *, true AS has_source_file, 'events' AS _source_name FROM events",
     "bronze_stream_counts": """SELECT 'gps_events' AS table_name, count(*) AS row_count FROM events WHERE event_type = 'view'
