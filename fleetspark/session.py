@@ -81,3 +81,24 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the checkpoint root (never reused)."""
     root = checkpoint_root(spark)
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def size_for_data(spark: SparkSession, shuffle_bytes: int, total_cores: int, partition_bytes: int = 128 << 20) -> int:
+    """Cluster sizing from the data volume, not a fixed number.
+
+    * scan splits of ``partition_bytes`` (``spark.sql.files.maxPartitionBytes``);
+    * initial shuffle partitions = shuffle bytes / ``partition_bytes``, at least
+      2 x cores, at most 200k -- AQE then coalesces small ones to the advisory
+      size and splits skewed ones, so this is an upper bound that keeps every
+      reducer's input near ``partition_bytes`` (fits executor memory, spills
+      gracefully).
+
+    Stateful streams fix their partition count at first start (it is stored in
+    the checkpoint), so call this before starting them. Returns the count.
+    """
+    n = max(2 * total_cores, min(200_000, -(-shuffle_bytes // partition_bytes)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(partition_bytes))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n

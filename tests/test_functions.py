@@ -54,3 +54,17 @@ def test_csv_booleans_empty_and_bad_int(spark, tmp_path):
     )
     r = read_landing_batch(spark, str(m), "csv", schema("maintenance_logs")).collect()[0]
     assert r["odometer_km"] is None and r["cost_inr"] == 10.5
+
+
+def test_size_for_data(spark):
+    from fleetspark.session import size_for_data
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_for_data(spark, 100 * (1 << 40), 8000) == 200_000
+        assert size_for_data(spark, 10 << 30, 8000) == 16_000
+        assert size_for_data(spark, 1 << 30, 4) == 8
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(128 << 20)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
