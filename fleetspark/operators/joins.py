@@ -71,24 +71,17 @@ def interval_join(
     ``left.ts BETWEEN right.ts - bound AND right.ts + bound`` (both ends
     inclusive).
 
-    Streams: the symmetric hash join, state evicted by the two watermarks the
-    caller set plus the time bound in the condition.
-
-    Batch (R3): buckets of width 2*bound on the left time; each right row
-    lists the (at most two) buckets its range touches, so a pair meets in
-    exactly one bucket. Extra equi-key = hot keys split by time.
+    R3: buckets of width 2*bound on the left time; each right row lists the
+    (at most two) buckets its range touches, so a pair meets in exactly one
+    bucket. The bucket is an extra equi-key, so a hot (vehicle, trip) spreads
+    over tasks -- in batch, and on streams over state-store partitions (the
+    symmetric hash join keeps its state per key); state is still evicted by the
+    two watermarks the caller set plus the time bound in the condition.
     """
-    g, s = left.alias(left_alias), right.alias(right_alias)
     lt, rt = F.col(f"{left_alias}.{left_ts}"), F.col(f"{right_alias}.{right_ts}")
     bound = F.make_dt_interval(secs=F.lit(bound_seconds))
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & (F.col(f"{left_alias}.{k}") == F.col(f"{right_alias}.{k}"))
-    cond = cond & lt.between(rt - bound, rt + bound)
-    if left.isStreaming or right.isStreaming:
-        return g.join(s, cond, "inner").select(*select)
-
     width_us = 2 * bound_seconds * 1_000_000
+    bound_us = bound_seconds * 1_000_000
 
     def bucket(us: Column) -> Column:
         return F.floor(us / F.lit(width_us))
@@ -96,10 +89,14 @@ def interval_join(
     g = left.withColumn("_tb", bucket(F.unix_micros(F.col(left_ts).cast("timestamp")))).alias(left_alias)
     r_us = F.unix_micros(F.col(right_ts).cast("timestamp"))
     s = right.withColumn(
-        "_tb",
-        F.explode(F.sequence(bucket(r_us - F.lit(bound_seconds * 1_000_000)), bucket(r_us + F.lit(bound_seconds * 1_000_000)))),
+        "_tb", F.explode(F.sequence(bucket(r_us - F.lit(bound_us)), bucket(r_us + F.lit(bound_us))))
     ).alias(right_alias)
-    cond = cond & (F.col(f"{left_alias}._tb") == F.col(f"{right_alias}._tb"))
+    cond = F.col(f"{left_alias}._tb") == F.col(f"{right_alias}._tb")
+    for k in keys:
+        cond = cond & (F.col(f"{left_alias}.{k}") == F.col(f"{right_alias}.{k}"))
+    # The range predicate stays in the condition: it decides the match, and on
+    # streams it is what lets both watermarks evict join state.
+    cond = cond & lt.between(rt - bound, rt + bound)
     return g.join(s, cond, "inner").select(*select)
 
 
@@ -115,3 +112,24 @@ def nearest_match(
     stage), not a window: a hot group is reduced map-side, never buffered."""
     best = F.min_by(F.struct(*[F.col(c) for c in keep]), F.struct(gap.alias("gap"), tie.alias("tie")))
     return pairs.groupBy(*group_cols).agg(best.alias("_best")).select(*group_cols, *[F.col(f"_best.{c}").alias(c) for c in keep])
+
+
+# Bytes per value for the size check (variable-width types: a generous guess).
+_FIELD_BYTES = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "long": 8, "float": 4, "double": 8,
+                "date": 4, "timestamp": 8, "timestamp_ntz": 8, "decimal": 16, "string": 48, "binary": 48}
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 2_000_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """Broadcast a static join side only after measuring it.
+
+    Batch joins leave this to AQE, which converts a join to broadcast from the
+    measured size of a materialised shuffle. Micro-batches of a stream run
+    without AQE, so for a stream-static join against a *dimension* the size is
+    checked here: one count job, and a width estimate from the schema. Above
+    either bound the side is left as it is (a shuffle join that works at any
+    size). Use it only for sides that grow slowly (dimensions): the check is
+    made when the query is defined.
+    """
+    width = sum(_FIELD_BYTES.get(f.dataType.typeName(), 64) for f in df.schema.fields) + 16
+    n = df.count()
+    return F.broadcast(df) if n <= max_rows and n * width <= max_bytes else df

@@ -36,10 +36,15 @@ def vehicle_scorecard_gold(maintenance: DataFrame, master_history: DataFrame) ->
     """Costs per vehicle, left-joined to the vehicle's *current* assignment.
 
     The current-version side has one row per vehicle (a dimension), the cost
-    side one row per vehicle after the partial/final aggregation; AQE turns
-    the join into a broadcast at run time when the measured side is small."""
+    side one row per vehicle after the partial/final aggregation. In batch AQE
+    turns the join into a broadcast when the measured side is small; on a
+    stream the dimension is measured once up front (``broadcast_if_small``)."""
     costs = maintenance_costs(maintenance).alias("mc")
-    current = scd.current_versions(master_history).alias("dm")
+    current = scd.current_versions(master_history)
+    if maintenance.isStreaming:
+        # stream-static: no AQE inside micro-batches, so measure the dimension
+        current = joins.broadcast_if_small(current)
+    current = current.alias("dm")
     return costs.join(current, F.col("mc.vehicle_id") == F.col("dm.vehicle_id"), "left").select(
         F.col("mc.vehicle_id"),
         F.col("dm.driver_name"),

@@ -112,3 +112,20 @@ def test_left_join_keep_all_plan_has_no_outer_join(spark):
     out = joins.left_join_keep_all(m, i, "manifest_id", "manifest_id", ["manifest_id"], ["invoice_id"])
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftOuter" not in plan and "LeftAnti" in plan
+
+
+def test_broadcast_if_small_measures(spark):
+    import contextlib
+    import io
+
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    dim = spark.range(10).withColumnRenamed("id", "k")
+
+    def plan(df):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        return buf.getvalue()
+
+    assert "BroadcastHashJoin" in plan(big.join(joins.broadcast_if_small(dim), "k"))
+    assert "BroadcastHashJoin" not in plan(big.join(joins.broadcast_if_small(dim, max_rows=5), "k"))
