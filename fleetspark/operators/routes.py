@@ -15,16 +15,31 @@ from fleetspark.functions.geo import haversine_km, interpolate
 from fleetspark.operators.sequence import with_neighbor
 
 
+def _literal_table(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
+    """A constant table as a literal array of structs, expanded in the JVM (no
+    Python-side data transfer); the optimizer folds it into a local relation."""
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, r)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def cities(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(c, lat, lon) for c, (lat, lon) in K.CITIES.items()], "city string, lat double, lon double")
+    return _literal_table(spark, ["city", "lat", "lon"], [(c, lat, lon) for c, (lat, lon) in K.CITIES.items()])
 
 
 def segments(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(K.ROAD_SEGMENTS, "from_city string, to_city string, distance_km double, speed_limit_kmph int")
+    return _literal_table(
+        spark, ["from_city", "to_city", "distance_km", "speed_limit_kmph"],
+        [(a, b, float(d), int(lim)) for a, b, d, lim in K.ROAD_SEGMENTS],
+    )
 
 
 def routes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(K.ROUTES.items()), "route_name string, cities array<string>")
+    return spark.range(1).select(
+        F.inline(F.array(*[
+            F.struct(F.lit(r).alias("route_name"), F.array(*[F.lit(c) for c in cs]).alias("cities"))
+            for r, cs in K.ROUTES.items()
+        ]))
+    )
 
 
 def route_waypoints(spark: SparkSession) -> DataFrame:
