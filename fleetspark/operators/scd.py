@@ -124,21 +124,45 @@ def asof_join(
     fact_time: str,
     dim_cols: Sequence[str],
     chunk: Column | None = None,
+    max_broadcast_rows: int = 2_000_000,
 ) -> DataFrame:
     """Attach to every fact the dimension version valid at the fact's time,
     i.e. the version of the same key with the greatest ``__START_AT`` <= time
     (for a gap-free history that is ``time IN [__START_AT, __END_AT)``).
     Facts before the first version, or with NULL key/time, get NULLs.
 
-    Plan: facts and version starts are stacked in one frame and the version is
-    carried forward with the chunked previous-row helper -- no range join, no
-    pairs, a hot key split by chunk of time.
+    Two plans, chosen by measuring the history (one count job):
+
+    * history within ``max_broadcast_rows`` (and its width bound): broadcast
+      range join -- facts are never shuffled; every fact probes its key's
+      versions with ``start <= time < end`` (K1 histories are gap-free, so at
+      most one matches);
+    * larger: facts and version starts are stacked and the version carried
+      forward with the chunked previous-row helper -- one shuffle by (key,
+      chunk of time), no range join, a hot key split by chunk.
     """
     fcols = facts.columns
+    tdt = facts.schema[fact_time].dataType
+    from fleetspark.operators.joins import broadcast_if_small
+
+    if max_broadcast_rows > 0:
+        versions = history.select(
+            F.col(dim_key).alias("_key"),
+            F.col(START_AT).cast(tdt).alias("_start"),
+            F.col(END_AT).cast(tdt).alias("_end"),
+            *[F.col(c).alias(f"_d_{c}") for c in dim_cols],
+        )
+        small = broadcast_if_small(versions, max_rows=max_broadcast_rows)
+        if small is not versions:
+            t = F.col(fact_time)
+            cond = (F.col(fact_key) == F.col("_key")) & (F.col("_start") <= t) & (F.col("_end").isNull() | (t < F.col("_end")))
+            return facts.join(small, cond, "left").select(
+                *[facts[c] for c in fcols], *[F.col(f"_d_{c}").alias(c) for c in dim_cols]
+            )
     marker = "_is_version"
     v = history.select(
         F.col(dim_key).alias("_key"),
-        F.col(START_AT).cast(facts.schema[fact_time].dataType).alias("_t"),
+        F.col(START_AT).cast(tdt).alias("_t"),
         F.lit(0).alias(marker),
         F.struct(*[F.col(c) for c in dim_cols]).alias("_ver"),
         *[F.lit(None).cast(facts.schema[c].dataType).alias(c) for c in fcols],

@@ -1,8 +1,10 @@
 import random
 
 import pandas as pd
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fleetspark.operators import scd
@@ -116,7 +118,8 @@ def test_chunked_next_equals_lead(spark):
     assert got == want
 
 
-def test_asof_join_matches_brute_force(spark):
+@pytest.mark.parametrize("max_broadcast_rows", [0, 1000])
+def test_asof_join_matches_brute_force(spark, max_broadcast_rows):
     random.seed(3)
     hist_rows, facts = [], []
     for k in range(4):
@@ -126,8 +129,11 @@ def test_asof_join_matches_brute_force(spark):
     for i in range(120):
         facts.append((i, random.choice([0, 1, 2, 3, 9, None]), random.choice([None, *range(0, 520, 3)])))
     h = spark.createDataFrame(hist_rows, "vehicle_id int, __START_AT int, label string")
+    w = Window.partitionBy("vehicle_id").orderBy("__START_AT")
+    h = h.withColumn("__END_AT", F.lead("__START_AT").over(w))
     f = spark.createDataFrame(facts, "fid int, vehicle_id int, t int")
-    got = scd.asof_join(f, h, "vehicle_id", "vehicle_id", "t", ["label"], chunk=F.floor(F.col("_t") / 100))
+    got = scd.asof_join(f, h, "vehicle_id", "vehicle_id", "t", ["label"], chunk=F.floor(F.col("_t") / 100),
+                        max_broadcast_rows=max_broadcast_rows)
     got = {r["fid"]: r["label"] for r in got.collect()}
     want = {}
     for fid, k, t in facts:
