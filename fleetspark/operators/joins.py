@@ -47,13 +47,18 @@ def left_join_keep_all(
     cond = F.col(f"l.{left_key}") == F.col(f"r.{right_key}")
     if left.isStreaming:
         return l.join(r, cond, "left").select(*out)
-    matched = l.join(r, cond, "inner").select(*out)
+    nulls = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right_cols]
+    # Non-null keys go through both joins with one identical left subtree, so
+    # its scan and shuffle are computed once and reused; NULL keys never match
+    # and skip the joins (an IS NULL scan: row groups without NULLs are skipped).
+    keyed = left.where(F.col(left_key).isNotNull()).alias("l")
+    matched = keyed.join(r, cond, "inner").select(*out)
     right_keys = right.select(F.col(right_key).alias("_rk")).where(F.col("_rk").isNotNull()).distinct()
-    unmatched = l.join(right_keys, F.col(f"l.{left_key}") == F.col("_rk"), "left_anti").select(
-        *_prefixed("l", left_cols),
-        *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right_cols],
+    unmatched = keyed.join(right_keys, F.col(f"l.{left_key}") == F.col("_rk"), "left_anti").select(
+        *_prefixed("l", left_cols), *nulls
     )
-    return matched.unionByName(unmatched)
+    null_keys = left.where(F.col(left_key).isNull()).select(*[F.col(c) for c in left_cols], *nulls)
+    return matched.unionByName(unmatched).unionByName(null_keys)
 
 
 def interval_join(
