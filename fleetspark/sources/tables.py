@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 CATALOG_CONF = "CATALOG_NAME"
 DEFAULT_CATALOG = "fleet_dev"
@@ -49,15 +49,29 @@ class TableNames:
         return self.path("gold", table)
 
 
+WATERMARK_META = "spark.watermarkDelayMs"
+
+
+def _plain_schema(schema: StructType) -> StructType:
+    """The stored schema without event-time markers: a table written by one
+    query must not carry that query's watermark into the next one."""
+    fields = []
+    for f in schema.fields:
+        meta = {k: v for k, v in f.metadata.items() if k != WATERMARK_META}
+        fields.append(StructField(f.name, f.dataType, f.nullable, meta))
+    return StructType(fields)
+
+
 def read_static(spark: SparkSession, path: str) -> DataFrame:
     """A10: snapshot read of a table (the static side of a stream-static join)."""
-    return spark.read.parquet(path)
+    df = spark.read.parquet(path)
+    return spark.read.schema(_plain_schema(df.schema)).parquet(path)
 
 
 def read_stream(spark: SparkSession, path: str, schema: StructType | None = None, max_files: int | None = None) -> DataFrame:
     """Rows appended to a table, as a stream. Without a schema the table's
     current schema is used."""
-    schema = schema or spark.read.parquet(path).schema
+    schema = _plain_schema(schema or spark.read.parquet(path).schema)
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
