@@ -87,11 +87,16 @@ def scd2(
         )
     else:
         rows = parted.dropDuplicates([KEY, CHUNK, *keys, sequence_by])
-    tval = F.struct(*[F.col(c) for c in tracked]) if tracked else F.lit(True)
-    rows = with_neighbor(rows, keys, [sequence_by], tval, "_prev_t", "prev", keep_partitioning=True)
-    # The first row of a key has no previous row (NULL); tracked structs are
-    # never NULL themselves, so "_prev_t IS NULL" marks it.
-    changes = rows.where(F.col("_prev_t").isNull() | ~tval.eqNullSafe(F.col("_prev_t"))).drop("_prev_t")
+    if sequence_by in tracked:
+        # The sequence is unique per key after the duplicate rule, so every
+        # snapshot differs from the previous one: each row opens a version.
+        changes = rows
+    else:
+        tval = F.struct(*[F.col(c) for c in tracked]) if tracked else F.lit(True)
+        rows = with_neighbor(rows, keys, [sequence_by], tval, "_prev_t", "prev", keep_partitioning=True)
+        # The first row of a key has no previous row (NULL); tracked structs are
+        # never NULL themselves, so "_prev_t IS NULL" marks it.
+        changes = rows.where(F.col("_prev_t").isNull() | ~tval.eqNullSafe(F.col("_prev_t"))).drop("_prev_t")
     hist = with_neighbor(changes, keys, [sequence_by], F.col(sequence_by), END_AT, "next")
     return hist.withColumn(START_AT, F.col(sequence_by)).select(*cols, START_AT, END_AT)
 
