@@ -114,5 +114,5 @@ def score_quality(
         )
 
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), held_out(id_col).alias("held_out"), F.col(f"`{text_col}`").alias("text"))
-    schema = rows.select("id", "held_out").schema.add("score", "double").add("predicted", "int")
+    schema = rows.select("id", "held_out").schema.add("score", "double").add("predicted", "integer")
     return map_slices(rows, run, schema, "text").withColumnRenamed("id", id_col)

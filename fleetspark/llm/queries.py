@@ -188,8 +188,8 @@ common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM shingle a JOI
 link AS (
   SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * m >= 80 * (x.n + y.n - m)
 ),
-both AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
-reach(a, b) AS (SELECT a, b FROM both UNION SELECT r.a, e.b FROM reach r JOIN both e ON r.b = e.a),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach(a, b) AS (SELECT a, b FROM edge UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a),
 root AS (SELECT a AS doc_id, min(b) AS b FROM reach GROUP BY a)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id,
        doc_id = least(doc_id, coalesce(b, doc_id)) AS kept
