@@ -1,8 +1,8 @@
 """MinHash near-duplicates with odd-sketch verification of banded candidates (op8).
 
 1. Every document becomes its set of distinct word shingles (64-bit hashes),
-   ``HASHES`` MinHash samples, band keys over ``ROWS`` samples each, and an odd
-   sketch: every (sample number, sample) pair flips one of ``SKETCH_BITS``
+   ``HASHES`` MinHash samples, ``BANDS`` keys over ``ROWS`` samples each, and an
+   odd sketch: every (sample number, sample) pair flips one of ``SKETCH_BITS``
    bits. The XOR of two sketches counts the samples in which two sets differ,
    with little noise at high similarity.
 2. Documents with equal sets are one class (a partial aggregate), so a large
@@ -15,7 +15,10 @@
    A bucket of over ``BUCKET`` rows is dealt out by a second shared band (two
    sets at the threshold share another one but for a chance of 2e-7).
 4. A candidate survives if the sketches allow the threshold within
-   ``SIGMAS`` deviations, and is then confirmed on the full sets.
+   ``SIGMAS`` deviations. A second odd sketch, folded from the whole set,
+   bounds the symmetric difference from below (a differing bit needs a
+   differing shingle), which rejects nearly all other pairs without a doubt.
+   Survivors are confirmed on the full sets.
 5. Components by contraction; the smallest id of a component is kept.
 
 Two sets at similarity 0.8 share no band with a chance of 1.2e-7.
@@ -43,10 +46,13 @@ from .common import clean_columns, in_arrow, list_column, map_slices, runs, shuf
 from .graph import smallest_reachable
 
 BANDS, ROWS = 40, 5
-HASHES = BANDS * ROWS
-SKETCH_BITS = 1024
-SIGMAS = 6.0
+#: Samples of the odd sketch; the first BANDS * ROWS of them make the bands.
+HASHES = 400
+SKETCH_BITS = 2048
+SIGMAS = 5.0
 BUCKET = 2048
+#: Further members of a bucket with several components that all others are compared with.
+PIVOTS = 6
 
 _rng = np.random.Generator(np.random.PCG64(8))
 _MUL = _rng.integers(0, 1 << 32, (HASHES, 1), dtype=np.uint32) | np.uint32(1)
@@ -90,7 +96,7 @@ def signatures(members: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def band_keys(samples: np.ndarray) -> np.ndarray:
     """One 64-bit key for each band (rows x BANDS), the band's number mixed in."""
-    parts = samples.reshape(len(samples), BANDS, ROWS).astype(np.uint64)
+    parts = samples[:, : BANDS * ROWS].reshape(len(samples), BANDS, ROWS).astype(np.uint64)
     key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(samples), BANDS)).copy()
     for k in range(ROWS):
         key = tk.mix(key * np.uint64(0xC2B2AE3D27D4EB4F) + parts[:, :, k])
@@ -100,21 +106,38 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
 def odd_sketches(samples: np.ndarray) -> np.ndarray:
     """Parity bitmaps (rows x SKETCH_BITS/8 bytes): each numbered sample flips one bit."""
     bit = (tk.mix(samples.astype(np.uint64) + _SALT) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    at = np.arange(len(samples))[:, None] * SKETCH_BITS + bit
-    parity = np.bincount(at.ravel(), minlength=len(samples) * SKETCH_BITS) & 1
-    return np.packbits(parity.astype(np.uint8).reshape(len(samples), SKETCH_BITS), axis=1)
+    return _parity(np.arange(len(samples))[:, None] * SKETCH_BITS + bit, len(samples))
+
+
+def set_sketches(members: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Parity bitmaps of whole sets (rows x SKETCH_BITS/8 bytes): each member flips one bit."""
+    bit = (members % np.uint64(SKETCH_BITS)).astype(np.int64)
+    return _parity(np.repeat(np.arange(len(counts)), counts) * SKETCH_BITS + bit, len(counts))
+
+
+def _parity(at: np.ndarray, rows: int) -> np.ndarray:
+    parity = np.bincount(at.ravel(), minlength=rows * SKETCH_BITS) & 1
+    return np.packbits(parity.astype(np.uint8).reshape(rows, SKETCH_BITS), axis=1)
+
+
+def possible(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, limit: int, percent: int) -> np.ndarray:
+    """Which pairs of sketch rows (samples, then whole set; as 64-bit words) may reach the threshold; n, m: set sizes."""
+    differ = np.bitwise_count(x ^ y)
+    half = differ.shape[1] // 2
+    both, apart = n + m, differ[:, half:].sum(axis=1, dtype=np.int64)
+    return (differ[:, :half].sum(axis=1, dtype=np.int64) <= limit) & (100 * (both - apart) >= percent * (both + apart))
 
 
 def sketch_limit(similarity: float) -> int:
     """Largest XOR population count that a pair at ``similarity`` has within SIGMAS deviations.
 
     The number of different samples is binomial; each puts two flips into the
-    sketch, whose count has its own variance.
+    sketch, whose parity count varies by the flips that meet.
     """
     m, flips = SKETCH_BITS, 2 * HASHES * (1 - similarity)
     slope = math.exp(-2 * flips / m)
     mean = m / 2 * (1 - slope)
-    spread = slope**2 * 4 * HASHES * similarity * (1 - similarity) + m / 4 * (1 - math.exp(-4 * flips / m))
+    spread = slope**2 * 4 * HASHES * similarity * (1 - similarity) + m / 4 * (1 - slope**2) - flips * slope**2
     return math.ceil(mean + SIGMAS * math.sqrt(spread))
 
 
@@ -147,7 +170,7 @@ def fingerprints(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> D
         samples = signatures(members, counts)
         some = np.where(counts > 0, BANDS, 0)
         bands = list_column(band_keys(samples)[counts > 0].ravel(), some, pa.int64())
-        columns = [batch.column(0), pa.array(counts), pa.array(set_a), pa.array(set_b), _fixed(odd_sketches(samples)), bands]
+        columns = [batch.column(0), pa.array(counts), pa.array(set_a), pa.array(set_b), _fixed(np.hstack((odd_sketches(samples), set_sketches(members, counts)))), bands]
         return pa.RecordBatch.from_arrays(columns, ["id", "n", "set_a", "set_b", "sketch", "bands"])
 
     rows = clean_columns(docs, id_col, text_col).withColumn(id_col, F.col(f"`{id_col}`").cast("long"))
@@ -174,13 +197,13 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tab
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def cross_pairs(table: pa.Table, limit: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+def cross_pairs(table: pa.Table, limit: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a bucket that lie in different components, pass the size and the sketch test and don't hold the
     bucket's hub (those were compared before). Works on all buckets of the table at once, by distance in the bucket;
     rows of a bucket rise by node."""
     column = lambda c: table.column(c).combine_chunks() if isinstance(table.column(c), pa.ChunkedArray) else table.column(c)
     key, hub, node, root, n = (column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "hub", "node", "root", "n"))
-    sketch = _binary_rows(column("sketch"), SKETCH_BITS // 8).view(np.uint64)
+    sketch = _binary_rows(column("sketch"), SKETCH_BITS // 4).view(np.uint64)
     start = runs(key)
     rank = np.arange(len(key)) - np.repeat(start[:-1], np.diff(start))
     size = np.repeat(np.diff(start), np.diff(start))
@@ -189,11 +212,10 @@ def cross_pairs(table: pa.Table, limit: int, similarity: float) -> tuple[np.ndar
         i = np.flatnonzero(rank + step < size)
         j = i + step
         ok = (root[i] != root[j]) & (node[i] != hub[i])  # the hub is its bucket's smallest node
-        small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-        ok &= small >= similarity * large - 1e-6
+        ok &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
         i, j = i[ok], j[ok]
         if len(i):
-            near = np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1) <= limit
+            near = possible(sketch[i], sketch[j], n[i], n[j], limit, percent)
             us.append(node[i[near]])
             vs.append(node[j[near]])
     if not us:
@@ -201,21 +223,18 @@ def cross_pairs(table: pa.Table, limit: int, similarity: float) -> tuple[np.ndar
     return np.concatenate(us), np.concatenate(vs)
 
 
-def close_sketches(pairs: DataFrame, classes: DataFrame, limit: int, similarity: float) -> DataFrame:
-    """The pairs (u, v) that pass the size and the sketch test; u < v."""
+def close_sketches(pairs: DataFrame, classes: DataFrame, limit: int, percent: int) -> DataFrame:
+    """The pairs (u, v) that pass the size and the sketch tests; u < v."""
     side = lambda c: classes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
-    both = pairs.join(side("v"), "v").join(side("u"), "u").where(
-        F.least("n_u", "n_v") >= similarity * F.greatest("n_u", "n_v") - 1e-6
-    )
+    both = pairs.join(side("v"), "v").join(side("u"), "u").where(100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = SKETCH_BITS // 8
         for b in batches:
-            x = _binary_rows(b.column(2), width).view(np.uint64) ^ _binary_rows(b.column(3), width).view(np.uint64)
-            near = pa.array(np.bitwise_count(x).sum(axis=1) <= limit)
+            x, y = (_binary_rows(b.column(k), SKETCH_BITS // 4).view(np.uint64) for k in (2, 3))
+            near = pa.array(possible(x, y, b.column(4).to_numpy(), b.column(5).to_numpy(), limit, percent))
             yield pa.RecordBatch.from_arrays([b.column(0).filter(near), b.column(1).filter(near)], ["u", "v"])
 
-    return in_arrow(both.select("u", "v", "s_u", "s_v"), run, "u long, v long")
+    return in_arrow(both.select("u", "v", "s_u", "s_v", "n_u", "n_v"), run, "u long, v long")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
@@ -250,12 +269,22 @@ def confirmed(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     return in_arrow(both, compare, "u long, v long")
 
 
+def _mixed(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Rows of the buckets that hold several components, with the component (root)."""
+    if roots is None:
+        labelled = buckets.withColumn("root", F.col("node"))
+    else:
+        labelled = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = labelled.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("bucket")
+    return stored(labelled.join(mixed, "bucket"), "mixed")
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row of ``docs``."""
-    spark, similarity = docs.sparkSession, percent / 100
-    limit = sketch_limit(similarity)
+    spark = docs.sparkSession
+    limit = sketch_limit(percent / 100)
     rows = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     classes = rows.where("n > 0 and id is not null").groupBy("set_a", "set_b").agg(
         F.min("id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")
@@ -267,21 +296,26 @@ def near_duplicates(
     buckets = stored(members.join(shared.where("hub < last").drop("last"), "bucket"), "buckets")
 
     hubs = buckets.where("node <> hub").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
-    close = stored(close_sketches(hubs, classes, limit, similarity), "close")
+    close = stored(close_sketches(hubs, classes, limit, percent), "close")
     found = stored(full_sets(docs, buckets.select(F.col("node").alias("id")).distinct(), shingle, id_col, text_col), "sets")
     same_id = rows.where("n > 0").groupBy("id").agg(F.min("set_a").alias("a"), F.max("set_a").alias("b")).where("a <> b").select("id")
     same_id = rows.join(same_id, "id").join(classes, ["set_a", "set_b"]).select(F.col("id").alias("u"), F.col("node").alias("v"))
     links = stored(confirmed(close, found, percent).union(same_id), "links")
     roots = smallest_reachable(links)
 
-    # buckets with several components: the pairs across them that don't hold the hub
-    labelled = buckets.where("size > 2")
-    if roots is None:
-        labelled = labelled.withColumn("root", F.col("node"))
-    else:
-        labelled = labelled.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = labelled.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("bucket")
-    labelled = stored(labelled.join(mixed, "bucket"), "mixed")
+    # buckets with several components: first each class against some pivots, then the pairs left over
+    labelled = _mixed(buckets.where("size > 2"), roots)
+    chosen = [F.min_by("node", F.xxhash64("node", F.lit(k))).alias(f"p{k}") for k in range(PIVOTS)]
+    pivots = labelled.groupBy("bucket").agg(*chosen).select("bucket", F.explode(F.array_distinct(F.array(*[f"p{k}" for k in range(PIVOTS)]))).alias("pivot"))
+    pivots = pivots.join(labelled.select("bucket", F.col("node").alias("pivot"), F.col("root").alias("pivot_root")), ["bucket", "pivot"])
+    probes = labelled.join(pivots, "bucket").where("root <> pivot_root").select(F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v"))
+    probes = stored(probes.distinct().join(close, ["u", "v"], "left_anti"), "probes")
+    probed = stored(close_sketches(probes, classes, limit, percent), "close")
+    more = stored(confirmed(probed, found, percent), "links")
+    if not more.isEmpty():
+        links = links.union(more)
+        roots = smallest_reachable(links)
+        labelled = _mixed(buckets.where("size > 2"), roots)
     body = classes.select("node", "n", "sketch", "bands")
     small = labelled.where(F.col("size") <= bucket).join(body.drop("bands"), "node")
     hot = (
@@ -294,12 +328,13 @@ def near_duplicates(
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, "bucket"):
-            u, v = cross_pairs(t, limit, similarity)
+            u, v = cross_pairs(t, limit, percent)
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
     dealt = small.select(columns).union(hot.select(columns)).repartition(shuffle_width(spark), "bucket")
     across = in_arrow(dealt.sortWithinPartitions("bucket", "node"), pairs, "u long, v long").distinct()
-    more = stored(confirmed(stored(across, "across"), found, percent), "links")
+    across = stored(across.join(probed, ["u", "v"], "left_anti"), "across")
+    more = stored(confirmed(across, found, percent), "links")
     if not more.isEmpty():
         roots = smallest_reachable(links.union(more))
 
