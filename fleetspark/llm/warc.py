@@ -3,9 +3,9 @@
 Writing. Only headers (id, digest, length) are shuffled by payload digest; the
 largest id of a digest is the response, the others revisit it. The decision is
 joined back to the pages, revisits lose their payload, and every record gets
-fresh headers. Spark's text writer writes the archives: a record is one row,
-and the row separator is the two line ends that close a WARC record. Archives
-hold about ``ARCHIVE_BYTES`` each, in id order.
+fresh headers. Payloads are shuffled once, by id and digest, into archives of
+about ``ARCHIVE_BYTES``. Spark's text writer writes them, gzipped: a record is
+one row, and the row separator is the two line ends that close a WARC record.
 
 Reading. Archives are read as binary files and cut by Content-Length, so
 payloads may hold anything. Revisit records are resolved against the response
@@ -22,6 +22,7 @@ only id, URL and payload are read.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -39,9 +40,8 @@ DATE = "2024-01-01T00:00:00Z"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
-def base32_sha1(payload: Column) -> Column:
-    """Bare upper-case base32 SHA-1 of a binary column: four times ten hex digits are eight characters each."""
-    digest = F.upper(F.sha1(payload))
+def base32(digest: Column) -> Column:
+    """Upper-case base32 of a SHA-1 in hex: each ten of its digits are eight characters."""
     letters = []
     for k in range(4):
         part = F.conv(F.substring(digest, 10 * k + 1, 10), 16, 10).cast("long")
@@ -67,7 +67,7 @@ def write_archives(
     url = F.regexp_replace(F.coalesce(F.col(f"`{url_col}`").cast("string"), F.lit("")), r"[\x00-\x20\x7F]", "")
     rows = pages.select(
         F.col(f"`{id_col}`").cast("long").alias("page"), url.alias("url"), text.alias("payload"),
-        base32_sha1(F.encode(text, "UTF-8")).alias("digest"), F.octet_length(text).cast("long").alias("bytes"),
+        F.sha1(F.encode(text, "UTF-8")).alias("digest"), F.octet_length(text).cast("long").alias("bytes"),
     )
     headers = rows.select("page", "digest", "bytes")
     largest = headers.where(F.col("bytes") >= min_revisit_bytes).groupBy("digest").agg(F.max("page").alias("response"))
@@ -75,7 +75,10 @@ def write_archives(
         headers.where("page is not null").distinct().join(largest, "digest").where("page < response")
         .select("page", "digest", "response")
     )
-    records = rows.join(decided, ["page", "digest"], "left")
+    total = headers.agg(F.sum(F.col("bytes") + 500)).first()[0] or 0
+    archives = max(1, -(-total // archive_bytes))
+    keys = ["page", "digest"]
+    records = rows.repartition(archives, *keys).join(decided.repartition(archives, *keys), keys, "left")
     revisit = F.col("response").isNotNull()
     payload = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
     lines = [
@@ -84,7 +87,7 @@ def write_archives(
         F.concat(F.lit("WARC-Record-ID: <"), record_id(F.col("page"), F.col("digest")), F.lit(">")),
         F.lit(f"WARC-Date: {DATE}"),
         F.concat(F.lit("WARC-Target-URI: "), F.col("url")),
-        F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest")),
+        F.concat(F.lit("WARC-Payload-Digest: sha1:"), base32(F.col("digest"))),
         F.when(revisit, F.concat(F.lit("WARC-Refers-To: <"), record_id(F.col("response"), F.col("digest")), F.lit(">"))),
         F.when(revisit, F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
         F.when(F.col("page").isNotNull(), F.concat(F.lit("X-Page-ID: "), F.col("page").cast("string"))),
@@ -92,17 +95,14 @@ def write_archives(
         F.concat(F.lit("Content-Length: "), F.octet_length(payload).cast("string")),
     ]
     record = F.concat(F.concat_ws(CRLF, *lines), F.lit(CRLF + CRLF), payload)
-    total = headers.agg(F.sum(F.when(F.col("bytes") > 0, F.col("bytes")) + 500)).first()[0] or 0
-    archives = max(1, -(-total // archive_bytes))
-    (
-        records.repartitionByRange(archives, "page", "digest").sortWithinPartitions("page", "digest")
-        .select(record.alias("value")).write.option("lineSep", CRLF + CRLF).option("compression", "none").text(path)
-    )
+    records.sortWithinPartitions(*keys).select(record.alias("value")).write.option("lineSep", CRLF + CRLF).option("compression", "gzip").text(path)
 
 
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, payload) of the records of an uncompressed archive, cut by Content-Length."""
+    """(headers, payload) of the records of an archive, cut by Content-Length."""
     at = 0
+    if data[:2] == b"\x1f\x8b":
+        data = gzip.decompress(data)
     while at < len(data):
         end = data.index(b"\r\n\r\n", at)
         head = data[at:end].decode("utf-8").split(CRLF)
