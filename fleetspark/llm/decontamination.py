@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from . import tokens as tk
 from .common import map_slices
@@ -92,7 +93,7 @@ def scan(text: bytes, machine: ahocorasick.Automaton) -> tuple[int, np.ndarray,
 def character_spans(text: str, hit: np.ndarray) -> list[tuple[int, int]]:
     """Runs of hit words as character positions [from, to) of the original text."""
     raw = np.frombuffer(text.encode(), np.uint8)
-    start, end, _ = tk.word_spans(raw, np.array([0, len(raw)]), tk.ALNUM)
+    start, end, _ = tk.word_spans(tk.LOWER[raw], np.array([0, len(raw)]), tk.ALNUM)
     chars = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))
     edge = np.diff(np.concatenate(([0], hit.astype(np.int8), [0])))
     return [(int(chars[start[a]]), int(chars[end[b - 1]])) for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)]
@@ -144,11 +145,12 @@ def _scan_pass(rows: DataFrame, block, own: list[str], spans: bool | None) -> Da
     """One pass over the texts with a block's automaton. Hits and items so far come in the columns hit (packed flags)
     and items; ``spans`` None hands them on to the next pass, else the results are returned."""
     token, last = uuid.uuid4().hex, spans is not None
-    schema = rows.select(*own).schema if last else rows.select("text", *own).schema
-    for part in "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean".split(", ") if last else ("hit binary", "items array<long>"):
-        schema = schema.add(*part.split())
+    fields = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean" if last else "hit binary, items array<long>"
     if spans:
-        schema = schema.add("hit_spans", "array<struct<lo:int,hi:int>>")
+        fields += ", hit_spans array<struct<lo: int, hi: int>>"
+    schema = rows.select(*own).schema if last else rows.select("text", *own).schema
+    for field in StructType.fromDDL(fields):
+        schema = schema.add(field)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         machine = _machine(token, block.value if block else None)

@@ -168,7 +168,8 @@ def logits(texts: list[str | None], scores: np.ndarray, bias: float) -> np.ndarr
 
 
 def probability(z: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+    with np.errstate(over="ignore"):
+        return 1 / (1 + np.exp(-z))
 
 
 def score_toxicity(
