@@ -25,7 +25,6 @@ DELIVERY_STATE_ORDER = {
 }
 
 # --- fixed values: anomaly kinds emitted by the sensors -------------------
-ANOMALY_KINDS = ("engine_overheat", "cold_chain_breach", "fuel_drop")
 
 # --- fixed values: watermark delays and join bound ------------------------
 GPS_WATERMARK = "2 minutes"

@@ -4,7 +4,6 @@ whole-stage codegen and are pushed down where Catalyst can."""
 from __future__ import annotations
 
 from collections.abc import Mapping
-from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -34,46 +33,13 @@ def trimmed(c: str | Column) -> Column:
     return F.trim(_c(c))
 
 
-def literal_map(mapping: Mapping) -> Column:
-    """H4: a MAP literal; constant-folded by the optimizer."""
-    return F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in mapping.items()))
-
-
 def lookup(mapping: Mapping, key: str | Column) -> Column:
-    """H4: value for ``key``; NULL when the key is absent or NULL (also under ANSI)."""
-    return F.element_at(literal_map(mapping), _c(key))
+    """H4: value for ``key``; NULL when the key is absent or NULL (also under ANSI).
+
+    The map is a literal of two arrays, folded once by the optimizer."""
+    names, values = (F.array(*map(F.lit, side)) for side in (mapping.keys(), mapping.values()))
+    return F.try_element_at(F.map_from_arrays(names, values), _c(key))
 
 
 def status_order(c: str | Column = "status") -> Column:
     return lookup(DELIVERY_STATE_ORDER, c)
-
-
-def valid_states_sql() -> str:
-    """The SQL IN-list built from the state map."""
-    return ", ".join(f"'{s}'" for s in DELIVERY_STATE_ORDER)
-
-
-def shifted(c: str | Column, seconds: int) -> Column:
-    """H9: timestamp +/- a fixed number of seconds (interval arithmetic)."""
-    return _c(c) + F.make_dt_interval(secs=F.lit(seconds))
-
-
-def between_incl(c: str | Column, bounds: tuple[float, float]) -> Column:
-    """Inclusive range test."""
-    return _c(c).between(F.lit(bounds[0]), F.lit(bounds[1]))
-
-
-def null_or_between(c: str | Column, bounds: tuple[float, float]) -> Column:
-    """B12."""
-    return _c(c).isNull() | between_incl(c, bounds)
-
-
-def money(c: str | Column) -> Column:
-    """Money values are summed exactly as DECIMAL(18,2)."""
-    return _c(c).cast("decimal(18,2)")
-
-
-def exact_sum(c: str | Column) -> Column:
-    """Sum of money, exact (decimal) then reported as double; NULLs ignored,
-    all-NULL group -> NULL."""
-    return F.sum(money(c)).cast("double")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # FIXED VALUES: columns holding personal data in the driver/vehicle master.
@@ -18,15 +18,28 @@ PII_COLUMNS = ("driver_phone", "driver_license_no")
 MASKING_BY_ENV = {"dev": None, "uat": "hash", "prod": "redact"}
 
 
-def mask_columns(df: DataFrame, columns: Sequence[str], method: str = "hash", keep_last: int = 2) -> DataFrame:
-    """O2: ``hash`` -> SHA-256 hex of the value (joins on it still work);
+#: Session setting with the secret key of hashed columns.
+MASKING_KEY_CONF = "fleetspark.masking.key"
+
+
+def masking_key(spark: SparkSession) -> str:
+    key = spark.conf.get(MASKING_KEY_CONF, None)
+    if not key:
+        raise ValueError(f"set {MASKING_KEY_CONF}: a hash without a key can be reversed by trying all values")
+    return key
+
+
+def mask_columns(df: DataFrame, columns: Sequence[str], method: str = "hash", keep_last: int = 2, key: str | None = None) -> DataFrame:
+    """O2: ``hash`` -> SHA-256 hex of key, value and key (joins on it still work; the key is ``key`` or the
+    session's ``fleetspark.masking.key``, and is an error if neither is set);
     ``redact`` -> every character but the last ``keep_last`` replaced by '*'.
     NULL stays NULL."""
     out = df
     for c in columns:
         col = F.col(c).cast("string")
         if method == "hash":
-            masked = F.sha2(col, 256)
+            secret = F.lit(key or masking_key(df.sparkSession))
+            masked = F.sha2(F.concat(secret, F.lit(":"), col, F.lit(":"), secret), 256)
         elif method == "redact":
             n = F.length(col)
             masked = F.concat(F.expr(f"repeat('*', greatest(length(`{c}`) - {keep_last}, 0))"), F.substring(col, -keep_last, keep_last))
@@ -37,10 +50,10 @@ def mask_columns(df: DataFrame, columns: Sequence[str], method: str = "hash", ke
     return out
 
 
-def mask_for_environment(df: DataFrame, env: str, columns: Sequence[str] = PII_COLUMNS) -> DataFrame:
+def mask_for_environment(df: DataFrame, env: str, columns: Sequence[str] = PII_COLUMNS, key: str | None = None) -> DataFrame:
     method = MASKING_BY_ENV[env.lower()]
     present = [c for c in columns if c in df.columns]
-    return df if method is None or not present else mask_columns(df, present, method)
+    return df if method is None or not present else mask_columns(df, present, method, key=key)
 
 
 def restrict_rows(df: DataFrame, grants: DataFrame, principal: str, column: str, grant_column: str | None = None) -> DataFrame:

@@ -83,6 +83,8 @@ def interval_join(
     symmetric hash join keeps its state per key); state is still evicted by the
     two watermarks the caller set plus the time bound in the condition.
     """
+    if bound_seconds <= 0:
+        raise ValueError("bound_seconds must be positive")
     lt, rt = F.col(f"{left_alias}.{left_ts}"), F.col(f"{right_alias}.{right_ts}")
     bound = F.make_dt_interval(secs=F.lit(bound_seconds))
     width_us = 2 * bound_seconds * 1_000_000
@@ -113,28 +115,7 @@ def nearest_match(
     keep: Sequence[str],
 ) -> DataFrame:
     """One row per group -- the candidate with the smallest ``gap``, ties
-    broken by the smallest ``tie``. A hash aggregate (``min_by`` with a partial
-    stage), not a window: a hot group is reduced map-side, never buffered."""
+    broken by the smallest ``tie``. A sort-based aggregate (``min_by`` of structs with a
+    partial stage), not a window: a hot group is reduced map-side, never buffered."""
     best = F.min_by(F.struct(*[F.col(c) for c in keep]), F.struct(gap.alias("gap"), tie.alias("tie")))
     return pairs.groupBy(*group_cols).agg(best.alias("_best")).select(*group_cols, *[F.col(f"_best.{c}").alias(c) for c in keep])
-
-
-# Bytes per value for the size check (variable-width types: a generous guess).
-_FIELD_BYTES = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "long": 8, "float": 4, "double": 8,
-                "date": 4, "timestamp": 8, "timestamp_ntz": 8, "decimal": 16, "string": 48, "binary": 48}
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 2_000_000, max_bytes: int = 64 << 20) -> DataFrame:
-    """Broadcast a static join side only after measuring it.
-
-    Batch joins leave this to AQE, which converts a join to broadcast from the
-    measured size of a materialised shuffle. Micro-batches of a stream run
-    without AQE, so for a stream-static join against a *dimension* the size is
-    checked here: one count job, and a width estimate from the schema. Above
-    either bound the side is left as it is (a shuffle join that works at any
-    size). Use it only for sides that grow slowly (dimensions): the check is
-    made when the query is defined.
-    """
-    width = sum(_FIELD_BYTES.get(f.dataType.typeName(), 64) for f in df.schema.fields) + 16
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows and n * width <= max_bytes else df

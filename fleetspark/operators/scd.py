@@ -109,7 +109,7 @@ def current_versions(history: DataFrame) -> DataFrame:
 def scd1(df: DataFrame, keys: Sequence[str], sequence_by: str) -> DataFrame:
     """K4: latest row per key (greatest sequence; ties -> greatest row).
 
-    A hash aggregate with a partial stage: a hot key is reduced map-side."""
+    A sort-based aggregate (the buffer is a struct) with a partial stage: a hot key is reduced map-side."""
     others = [c for c in df.columns if c not in keys]
     best = F.max(F.struct(F.col(sequence_by).alias("_seq"), F.struct(*[F.col(c) for c in others]).alias("_row")))
     return (
@@ -129,47 +129,26 @@ def asof_join(
     fact_time: str,
     dim_cols: Sequence[str],
     chunk: Column | None = None,
-    max_broadcast_rows: int = 2_000_000,
 ) -> DataFrame:
-    """Attach to every fact the dimension version valid at the fact's time,
-    i.e. the version of the same key with the greatest ``__START_AT`` <= time
-    (for a gap-free history that is ``time IN [__START_AT, __END_AT)``).
-    Facts before the first version, or with NULL key/time, get NULLs.
-
-    Two plans, chosen by measuring the history (one count job):
-
-    * history within ``max_broadcast_rows`` (and its width bound): broadcast
-      range join -- facts are never shuffled; every fact probes its key's
-      versions with ``start <= time < end`` (K1 histories are gap-free, so at
-      most one matches);
-    * larger: facts and version starts are stacked and the version carried
-      forward with the chunked previous-row helper -- one shuffle by (key,
-      chunk of time), no range join, a hot key split by chunk.
+    """Attach to every fact the dimension version valid at the fact's time: of the versions of the key
+    with ``__START_AT`` <= time the latest one, if the time is before its ``__END_AT`` (NULL: open).
+
+    Facts before the first version, in a gap of the history, or with NULL key or time get NULLs. Of versions
+    that start together the greatest (end, then columns) counts.
+
+    One plan at every size: facts and versions are stacked and the version is carried forward with the
+    chunked previous-row helper -- one shuffle by (key, chunk of time), no range join, a hot key split by
+    chunk, nothing measured or broadcast up front.
     """
     fcols = facts.columns
     tdt = facts.schema[fact_time].dataType
-    from fleetspark.operators.joins import broadcast_if_small
-
-    if max_broadcast_rows > 0:
-        versions = history.select(
-            F.col(dim_key).alias("_key"),
-            F.col(START_AT).cast(tdt).alias("_start"),
-            F.col(END_AT).cast(tdt).alias("_end"),
-            *[F.col(c).alias(f"_d_{c}") for c in dim_cols],
-        )
-        small = broadcast_if_small(versions, max_rows=max_broadcast_rows)
-        if small is not versions:
-            t = F.col(fact_time)
-            cond = (F.col(fact_key) == F.col("_key")) & (F.col("_start") <= t) & (F.col("_end").isNull() | (t < F.col("_end")))
-            return facts.join(small, cond, "left").select(
-                *[facts[c] for c in fcols], *[F.col(f"_d_{c}").alias(c) for c in dim_cols]
-            )
     marker = "_is_version"
-    v = history.select(
+    version = F.struct(F.col(END_AT).cast(tdt).alias("_end"), F.struct(*[F.col(c) for c in dim_cols]).alias("dims"))
+    v = history.where(F.col(START_AT).isNotNull()).select(
         F.col(dim_key).alias("_key"),
         F.col(START_AT).cast(tdt).alias("_t"),
         F.lit(0).alias(marker),
-        F.struct(*[F.col(c) for c in dim_cols]).alias("_ver"),
+        version.alias("_ver"),
         *[F.lit(None).cast(facts.schema[c].dataType).alias(c) for c in fcols],
     )
     f = facts.select(
@@ -181,9 +160,11 @@ def asof_join(
     )
     # Versions sort before facts at the same instant: the start is inclusive.
     filled = with_neighbor(
-        v.unionByName(f), ["_key"], ["_t", marker], F.col("_ver"), "_asof", "prev", chunk, ignore_nulls=True
+        v.unionByName(f), ["_key"], ["_t", marker, "_ver"], F.col("_ver"), "_asof", "prev", chunk, ignore_nulls=True
     )
-    asof = F.when(F.col("_key").isNotNull(), F.col("_asof"))
+    end = F.col("_asof").getField("_end")
+    valid = F.col("_key").isNotNull() & F.col("_t").isNotNull() & (end.isNull() | (F.col("_t") < end))
+    dims = F.when(valid, F.col("_asof").getField("dims"))
     return filled.where(F.col(marker) == 1).select(
-        *[F.col(c) for c in fcols], *[asof.getField(c).alias(c) for c in dim_cols]
+        *[F.col(c) for c in fcols], *[dims.getField(c).alias(c) for c in dim_cols]
     )

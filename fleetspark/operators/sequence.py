@@ -42,9 +42,9 @@ def default_chunk(df: DataFrame, order_col: str) -> Column:
 def partition_by_key_and_chunk(df: DataFrame, keys: Sequence[str], chunk: Column) -> DataFrame:
     """Adds ``_k`` (one non-null struct of the keys: struct equality and
     hashing treat NULL fields as equal, so NULL keys keep their own group) and
-    ``_chunk``, and hash-partitions the rows on them -- the one full shuffle
+    ``_chunk`` (a non-null struct too, so that rows without an order value have a chunk that joins), and hash-partitions the rows on them -- the one full shuffle
     that every later step of ``with_neighbor`` reuses."""
-    return df.withColumn(KEY, F.struct(*[F.col(k) for k in keys])).withColumn(CHUNK, chunk).repartition(KEY, CHUNK)
+    return df.withColumn(KEY, F.struct(*[F.col(k) for k in keys])).withColumn(CHUNK, F.struct(chunk.alias("c"))).repartition(KEY, CHUNK)
 
 
 def with_neighbor(

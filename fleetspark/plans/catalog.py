@@ -2,8 +2,8 @@
 
 Every query reads whole tables (no id subsets, no row caps; ``limit`` only in
 the top-k report, where it is the feature). Timestamps leave as
-TIMESTAMP_NTZ so results compare type-for-type with other engines; money is
-summed exactly. The DuckDB equivalents live in ``fleetspark.plans.oracle``.
+TIMESTAMP_NTZ so results compare type-for-type with other engines; sums of
+money are rounded on output only. The DuckDB equivalents live in ``fleetspark.plans.oracle``.
 """
 
 from __future__ import annotations
@@ -34,6 +34,11 @@ def ntz(df: DataFrame) -> DataFrame:
     )
 
 
+def rounded(df: DataFrame, column: str) -> DataFrame:
+    """Money sums rounded on output: the order of summation differs between engines, the cents don't."""
+    return df.withColumn(column, F.round(column, 2))
+
+
 # --- inputs ------------------------------------------------------------------------
 def _manifests(spark, d):
     return T.manifests(T.table(spark, d, "orders"))
@@ -80,7 +85,7 @@ def q_shipment_invoice_silver(spark, d):
 
 
 def q_daily_revenue(spark, d):
-    return gold.daily_revenue_gold(_shipment_silver(spark, d))
+    return rounded(gold.daily_revenue_gold(_shipment_silver(spark, d)), "revenue")
 
 
 def q_shipment_expectations_report(spark, d):
@@ -146,7 +151,41 @@ def q_master_scd2_tracked(spark, d):
 
 
 def q_vehicle_scorecard(spark, d):
-    return gold.vehicle_scorecard_gold(_maintenance_silver(spark, d), _master_history(spark, d))
+    current = silver.driver_vehicle_master_current(T.master_snapshots(_events(spark, d)))
+    return rounded(gold.vehicle_scorecard_gold(_maintenance_silver(spark, d), current), "total_maintenance_cost_inr")
+
+
+def q_vehicle_scorecard_history(spark, d):
+    """The scorecard through the open versions of the whole history."""
+    return rounded(gold.vehicle_scorecard_gold(_maintenance_silver(spark, d), _master_history(spark, d)), "total_maintenance_cost_inr")
+
+
+def q_vehicle_scorecard_asof(spark, d):
+    """Service costs by the assignment valid on the service date."""
+    found = gold.vehicle_scorecard_asof(_maintenance_silver(spark, d), _master_history(spark, d))
+    return rounded(found, "total_maintenance_cost_inr")
+
+
+VERSION_HOURS = 6
+
+
+def q_asof_gaps(spark, d):
+    """C6 over a history with gaps and tied starts: a click sets a value for six hours, twice at once."""
+    ev = _events(spark, d)
+    clicks = ev.where("event_type = 'click' and ts is not null")
+    both = clicks.select("user_id", "ts", "value").union(clicks.select("user_id", "ts", F.col("value") + 1))
+    history = both.select(
+        "user_id", F.col("value").alias("level"), F.col("ts").alias(scd.START_AT), (F.col("ts") + F.make_dt_interval(hours=F.lit(VERSION_HOURS))).alias(scd.END_AT)
+    )
+    facts = ev.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    return scd.asof_join(facts, history, "user_id", "user_id", "ts", ["level", scd.START_AT])
+
+
+def q_gps_dedup_batch(spark, d):
+    """I2 in batch over events that are all delivered twice, the second time with another value."""
+    ev = _events(spark, d)
+    twice = ev.unionByName(ev.withColumn("value", F.col("value") + 1))
+    return ntz(silver.gps_events_prepared(T.gps_events(twice)))
 
 
 def q_asof_dimension_join(spark, d):
@@ -185,10 +224,18 @@ def q_latest_events_topk(spark, d):
     return topk.latest(_events(spark, d), "ts", 10, ["event_id"])
 
 
+#: Key of the registered query; a deployment sets its own in the session.
+MASKING_KEY = "registered-query"
+
+
 def q_master_masked(spark, d):
-    """O2: master snapshots as a production reader sees them (PII hashed)."""
-    snaps = T.master_snapshots(_events(spark, d))
-    return governance.mask_columns(snaps, ["driver_id", "driver_name"], "hash")
+    """O2: master snapshots as a reader of the test environment sees them (personal columns hashed with a key)."""
+    return governance.mask_for_environment(T.master_snapshots(_events(spark, d)), "uat", key=MASKING_KEY)
+
+
+def q_master_redacted(spark, d):
+    """O2: the same for a production reader (all but the last characters starred)."""
+    return governance.mask_for_environment(T.master_snapshots(_events(spark, d)), "prod")
 
 
 # A grants table is configuration, not data: a handful of (principal, route)
@@ -221,7 +268,8 @@ def q_events_schema_evolution(spark, d):
     )
 
 
-SUPPLIED_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+SUPPLIED_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+                   "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 def q_table_counts(spark, d):
@@ -270,6 +318,10 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "master_scd2": q_master_scd2,
     "master_scd2_tracked": q_master_scd2_tracked,
     "vehicle_scorecard": q_vehicle_scorecard,
+    "vehicle_scorecard_history": q_vehicle_scorecard_history,
+    "vehicle_scorecard_asof": q_vehicle_scorecard_asof,
+    "asof_gaps": q_asof_gaps,
+    "gps_dedup_batch": q_gps_dedup_batch,
     "asof_dimension_join": q_asof_dimension_join,
     "active_alerts": q_active_alerts,
     "delivery_performance": q_delivery_performance,
@@ -284,6 +336,7 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_position": q_route_position,
     "route_eta": q_route_eta,
     "master_masked": q_master_masked,
+    "master_redacted": q_master_redacted,
     "gps_row_security": q_gps_row_security,
     "events_schema_evolution": q_events_schema_evolution,
 }

@@ -153,7 +153,7 @@ MASTER = f"""master AS (
          'MH-' || CAST(user_id AS VARCHAR) AS license_plate, event_type AS vehicle_type,
          'D' || CAST(CAST(floor(value / 50) AS BIGINT) AS VARCHAR) AS driver_id,
          'driver-' || CAST(CAST(floor(value / 50) AS BIGINT) AS VARCHAR) AS driver_name,
-         CAST(NULL AS VARCHAR) AS driver_phone, CAST(NULL AS VARCHAR) AS driver_license_no,
+         '9' || lpad(CAST(user_id AS VARCHAR), 9, '0') AS driver_phone, 'DL-' || CAST(user_id AS VARCHAR) AS driver_license_no,
          {ROUTE_OF} AS home_route, value >= 1 AS is_active, props AS last_change_type
   FROM events),
 master_dedup AS (
@@ -230,13 +230,14 @@ LIVE_PAIRS = f"""pairs AS (
    AND g.event_timestamp BETWEEN s.event_timestamp - INTERVAL {LIVE_BOUND} SECOND
                              AND s.event_timestamp + INTERVAL {LIVE_BOUND} SECOND)"""
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 BATCH_SQL = {
     "shipment_invoice_silver": with_(MANIFESTS, INVOICES, JOINED, SHIP_SILVER) + "SELECT * FROM ship",
     "daily_revenue": with_(MANIFESTS, INVOICES, JOINED, SHIP_SILVER)
     + """SELECT shipment_date, route_name, priority,
-       CAST(sum(CAST(amount_inr AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+       round(sum(amount_inr), 2) AS revenue
 FROM ship WHERE is_invoiced GROUP BY shipment_date, route_name, priority""",
     "shipment_expectations_report": with_(MANIFESTS, INVOICES, JOINED) + _report(SHIP_RULES, "joined"),
     "shipment_quarantine": with_(MANIFESTS, INVOICES, JOINED)
@@ -257,7 +258,7 @@ FROM events WHERE ts IS NOT NULL""",
     "master_scd2_tracked": with_(MASTER, MASTER_TRACKED_HIST) + "SELECT * FROM master_thist",
     "vehicle_scorecard": with_(MAINT, MAINT_SILVER, MASTER, MASTER_ALL_HIST)
     + """, costs AS (
-  SELECT vehicle_id, CAST(sum(CAST(cost_inr AS DECIMAL(18,2))) AS DOUBLE) AS total_maintenance_cost_inr,
+  SELECT vehicle_id, round(sum(cost_inr), 2) AS total_maintenance_cost_inr,
          count(log_id) AS maintenance_event_count
   FROM maint_silver GROUP BY vehicle_id)
 SELECT c.vehicle_id, m.driver_name, m.vehicle_type, m.home_route, m.is_active,
@@ -307,9 +308,32 @@ QUALIFY row_number() OVER (PARTITION BY vehicle_id, trip_id, event_timestamp
                            ORDER BY abs(epoch_us(event_timestamp) - epoch_us(reading_timestamp)), reading_timestamp) = 1""",
     "latest_events_topk": "SELECT * FROM events ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST LIMIT 10",
     "master_masked": with_(MASTER)
-    + """SELECT snapshot_date, vehicle_id, license_plate, vehicle_type, sha256(driver_id) AS driver_id,
-       sha256(driver_name) AS driver_name, driver_phone, driver_license_no, home_route, is_active, last_change_type
+    + """SELECT snapshot_date, vehicle_id, license_plate, vehicle_type, driver_id, driver_name,
+       sha256('registered-query:' || driver_phone || ':registered-query') AS driver_phone,
+       sha256('registered-query:' || driver_license_no || ':registered-query') AS driver_license_no,
+       home_route, is_active, last_change_type
 FROM master""",
+    "master_redacted": with_(MASTER)
+    + """SELECT snapshot_date, vehicle_id, license_plate, vehicle_type, driver_id, driver_name,
+       repeat('*', length(driver_phone) - 2) || right(driver_phone, 2) AS driver_phone,
+       repeat('*', length(driver_license_no) - 2) || right(driver_license_no, 2) AS driver_license_no,
+       home_route, is_active, last_change_type
+FROM master""",
+    "asof_gaps": """WITH hist AS (
+  SELECT user_id, ts AS s, ts + INTERVAL 6 HOUR AS e, max(value) + 1 AS level
+  FROM events WHERE event_type = 'click' AND ts IS NOT NULL GROUP BY ALL),
+facts AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase')
+SELECT f.event_id, f.user_id, f.ts, CASE WHEN f.ts < h.e THEN h.level END AS level, CASE WHEN f.ts < h.e THEN h.s END AS __START_AT
+FROM facts f ASOF LEFT JOIN hist h ON f.user_id = h.user_id AND f.ts >= h.s""",
+    "gps_dedup_batch": with_(GPS.replace("FROM events WHERE", "FROM (SELECT * FROM events UNION ALL SELECT * REPLACE (value + 1 AS value) FROM events) WHERE"))
+    + """SELECT * FROM gps QUALIFY row_number() OVER (PARTITION BY trip_id, event_timestamp
+  ORDER BY vehicle_id DESC, driver_id DESC, timestamp DESC, lat DESC, lon DESC, speed_kmph DESC, heading DESC) = 1""",
+    "vehicle_scorecard_asof": with_(MAINT, MAINT_SILVER, MASTER, MASTER_ALL_HIST)
+    + """SELECT l.vehicle_id, m.driver_name, m.vehicle_type, m.home_route, round(sum(cost_inr), 2) AS total_maintenance_cost_inr,
+       count(log_id) AS maintenance_event_count
+FROM maint_silver l LEFT JOIN master_hist m ON l.vehicle_id = m.vehicle_id AND l.service_date >= m.__START_AT
+ AND (m.__END_AT IS NULL OR l.service_date < m.__END_AT)
+GROUP BY ALL""",
     "gps_row_security": with_(GPS, GPS_SILVER)
     + "SELECT * FROM gps_silver WHERE route_name IN ('ROUTE_MUM_PUNE', 'ROUTE_PUNE_NASHIK_AURANGABAD')",
     "events_schema_evolution": """SELECT event_id, ts, user_id, event_type, 'props,value' AS rescued_keys,
@@ -354,6 +378,9 @@ FROM (SELECT DISTINCT trip_id, route_name FROM gps_silver) t LEFT JOIN eta e ON
 }
 
 
+BATCH_SQL["vehicle_scorecard_history"] = BATCH_SQL["vehicle_scorecard"]
+
+
 def oracle_sql() -> dict[str, str]:
     from fleetspark.plans.stream_catalog import STREAM_SQL
 

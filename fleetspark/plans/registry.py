@@ -30,26 +30,26 @@ DATASETS: dict[str, Dataset] = {
     d.name: d
     for d in [
         Dataset("gps_events_silver", silver.gps_events_silver, ("gps_events",), "append",
-                "Cleaned, deduplicated GPS pings with watermarking applied."),
+                "Position pings within bounds, one per trip and time."),
         Dataset("sensor_events_silver", silver.sensor_events_silver, ("sensor_events",), "append",
-                "Cleaned sensor events with anomaly detection and watermarking."),
+                "Sensor readings within bounds, one per trip and time, anomalies flagged."),
         Dataset("delivery_events_silver", silver.delivery_events_silver, ("delivery_events",), "append",
-                "Cleaned delivery status events with validated status values and numeric state ordering."),
+                "Delivery updates with a known status and its rank."),
         Dataset("shipment_invoice_silver", silver.shipment_invoice_silver, ("shipment_manifests", "invoices"), "append",
-                "Shipment manifests joined with their corresponding invoices."),
+                "Every manifest with its invoices, if any."),
         Dataset("maintenance_logs_silver", silver.maintenance_logs_silver, ("maintenance_logs",), "append",
-                "Cleaned maintenance log records, processed incrementally."),
+                "Service records with trimmed texts and positive figures."),
         Dataset("driver_vehicle_master_silver", silver.driver_vehicle_master_silver, ("driver_vehicle_master",), "complete",
-                "SCD Type 2 history of driver/vehicle assignments, derived from daily master snapshots."),
+                "Versions of each vehicle's assignment from its snapshots."),
         Dataset("daily_revenue_gold", gold.daily_revenue_gold, ("shipment_invoice_silver",), "complete",
-                "Daily revenue aggregation by route and priority from invoiced shipments."),
+                "Invoiced amounts summed by day, route and priority."),
         Dataset("vehicle_scorecard_gold", gold.vehicle_scorecard_gold,
                 ("maintenance_logs_silver", "driver_vehicle_master_silver"), "complete",
-                "Maintenance cost summary per vehicle with the current driver/route assignment."),
+                "Service cost and count of each vehicle beside who drives it now."),
         Dataset("active_alerts_gold", gold.active_alerts_gold, ("sensor_events_silver",), "append",
-                "Live feed of sensor anomalies as they occur."),
+                "Readings that carry an anomaly flag."),
         Dataset("delivery_performance_gold", gold.delivery_performance_gold, ("delivery_events_silver",), "append",
-                "Hourly count of delivery events by status (tumbling windows)."),
+                "Delivery updates per hour and status."),
         Dataset("fuel_cost_efficiency_gold", gold.fuel_cost_efficiency_gold,
                 ("sensor_events_silver", "gps_events_silver"), "complete",
                 "Per-trip fuel and distance extremes from sensor + GPS data."),

@@ -8,7 +8,7 @@ row can displace a valid twin in the dedup.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetspark import constants as K
@@ -18,24 +18,32 @@ from fleetspark.operators.expectations import ExpectationSet, expect, expect_or_
 from fleetspark.streaming.dedup import dedup_within_watermark
 
 # --- rule sets -------------------------------------------------------------
+def _within(column: str, bounds: tuple[float, float]) -> str:
+    """Predicate for an inclusive range."""
+    low, high = bounds
+    return f"{column} BETWEEN {low} AND {high}"
+
+
+def _one_of(column: str, values) -> str:
+    return f"{column} IN ({', '.join(map(repr, values))})"
+
+
+# FIXED VALUES: the rule names surface in reports and quarantine tables.
 GPS_RULES = ExpectationSet([
-    expect_or_drop("valid_latitude", f"lat BETWEEN {K.LAT_RANGE[0]} AND {K.LAT_RANGE[1]}"),
-    expect_or_drop("valid_longitude", f"lon BETWEEN {K.LON_RANGE[0]} AND {K.LON_RANGE[1]}"),
-    expect_or_drop("valid_speed", f"speed_kmph >= {K.SPEED_RANGE[0]} AND speed_kmph <= {K.SPEED_RANGE[1]}"),
+    expect_or_drop("valid_latitude", _within("lat", K.LAT_RANGE)),
+    expect_or_drop("valid_longitude", _within("lon", K.LON_RANGE)),
+    expect_or_drop("valid_speed", _within("speed_kmph", K.SPEED_RANGE)),
     expect("has_trip_id", "trip_id IS NOT NULL"),
 ])
 
 SENSOR_RULES = ExpectationSet([
-    expect_or_drop("valid_engine_temp", f"engine_temp_c BETWEEN {K.ENGINE_TEMP_RANGE[0]} AND {K.ENGINE_TEMP_RANGE[1]}"),
-    expect_or_drop("valid_fuel_level", f"fuel_level_litres BETWEEN {K.FUEL_RANGE[0]} AND {K.FUEL_RANGE[1]}"),
-    expect_or_drop(
-        "valid_cargo_temp",
-        f"cargo_temp_c IS NULL OR cargo_temp_c BETWEEN {K.CARGO_TEMP_RANGE[0]} AND {K.CARGO_TEMP_RANGE[1]}",
-    ),
+    expect_or_drop("valid_engine_temp", _within("engine_temp_c", K.ENGINE_TEMP_RANGE)),
+    expect_or_drop("valid_fuel_level", _within("fuel_level_litres", K.FUEL_RANGE)),
+    expect_or_drop("valid_cargo_temp", f"cargo_temp_c IS NULL OR {_within('cargo_temp_c', K.CARGO_TEMP_RANGE)}"),
 ])
 
 DELIVERY_RULES = ExpectationSet([
-    expect_or_drop("valid_status", f"status IN ({S.valid_states_sql()})"),
+    expect_or_drop("valid_status", _one_of("status", K.DELIVERY_STATE_ORDER)),
 ])
 
 MAINTENANCE_RULES = ExpectationSet([
@@ -56,15 +64,20 @@ MANIFEST_COLS = [
 INVOICE_COLS = ["invoice_id", "amount_inr", "payment_status"]
 
 
-def _event_time(df: DataFrame, watermark: str | None) -> DataFrame:
-    df = df.withColumn("event_timestamp", S.parse_event_time("timestamp"))
-    return df.withWatermark("event_timestamp", watermark) if watermark else df
+EVENT_KEY = ["trip_id", "event_timestamp"]
+
+
+def _event_prepared(bronze: DataFrame, watermark: str | None, **derived: Column) -> DataFrame:
+    """An event source before its rules: parsed event time, derived columns, watermark, one row per trip and time."""
+    events = bronze.withColumns({"event_timestamp": S.parse_event_time("timestamp"), **derived})
+    if watermark:
+        events = events.withWatermark("event_timestamp", watermark)
+    return dedup_within_watermark(events, EVENT_KEY)
 
 
 # --- M8 ---------------------------------------------------------------------
 def gps_events_prepared(bronze_gps: DataFrame, watermark: str | None = K.GPS_WATERMARK) -> DataFrame:
-    """M8 before expectations: parsed time, watermark, dedup on (trip, time)."""
-    return dedup_within_watermark(_event_time(bronze_gps, watermark), ["trip_id", "event_timestamp"])
+    return _event_prepared(bronze_gps, watermark)
 
 
 def gps_events_silver(bronze_gps: DataFrame, watermark: str | None = K.GPS_WATERMARK) -> DataFrame:
@@ -73,9 +86,7 @@ def gps_events_silver(bronze_gps: DataFrame, watermark: str | None = K.GPS_WATER
 
 # --- M9 ---------------------------------------------------------------------
 def sensor_events_prepared(bronze_sensor: DataFrame, watermark: str | None = K.SENSOR_WATERMARK) -> DataFrame:
-    df = _event_time(bronze_sensor, None).withColumn("is_critical_anomaly", F.col("anomaly_flag").isNotNull())
-    df = df.withWatermark("event_timestamp", watermark) if watermark else df
-    return dedup_within_watermark(df, ["trip_id", "event_timestamp"])
+    return _event_prepared(bronze_sensor, watermark, is_critical_anomaly=F.col("anomaly_flag").isNotNull())
 
 
 def sensor_events_silver(bronze_sensor: DataFrame, watermark: str | None = K.SENSOR_WATERMARK) -> DataFrame:
@@ -84,9 +95,7 @@ def sensor_events_silver(bronze_sensor: DataFrame, watermark: str | None = K.SEN
 
 # --- M10 --------------------------------------------------------------------
 def delivery_events_prepared(bronze_delivery: DataFrame, watermark: str | None = K.DELIVERY_WATERMARK) -> DataFrame:
-    df = _event_time(bronze_delivery, None).withColumn("status_order", S.status_order("status"))
-    df = df.withWatermark("event_timestamp", watermark) if watermark else df
-    return dedup_within_watermark(df, ["trip_id", "event_timestamp"])
+    return _event_prepared(bronze_delivery, watermark, status_order=S.status_order("status"))
 
 
 def delivery_events_silver(bronze_delivery: DataFrame, watermark: str | None = K.DELIVERY_WATERMARK) -> DataFrame:
@@ -130,3 +139,9 @@ def driver_vehicle_master_silver(bronze_master: DataFrame, track_all: bool = Tru
     if track_all:
         return scd.scd2(bronze_master, MASTER_KEYS, MASTER_SEQUENCE)
     return scd.scd2(bronze_master, MASTER_KEYS, MASTER_SEQUENCE, track_except=MASTER_UNTRACKED)
+
+
+def driver_vehicle_master_current(bronze_master: DataFrame) -> DataFrame:
+    """The open versions where every column is tracked: the latest snapshot of each vehicle, in one aggregate
+    instead of a whole history."""
+    return scd.scd1(bronze_master, MASTER_KEYS, MASTER_SEQUENCE)

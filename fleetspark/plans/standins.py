@@ -106,8 +106,8 @@ def master_snapshots(events: DataFrame) -> DataFrame:
         F.col("event_type").alias("vehicle_type"),
         F.concat(F.lit("D"), F.floor(F.col("value") / 50).cast("string")).alias("driver_id"),
         F.concat(F.lit("driver-"), F.floor(F.col("value") / 50).cast("string")).alias("driver_name"),
-        F.lit(None).cast("string").alias("driver_phone"),
-        F.lit(None).cast("string").alias("driver_license_no"),
+        F.concat(F.lit("9"), F.lpad(F.col("user_id").cast("string"), 9, "0")).alias("driver_phone"),
+        F.concat(F.lit("DL-"), F.col("user_id").cast("string")).alias("driver_license_no"),
         route_of().alias("home_route"),
         (F.col("value") >= 1).alias("is_active"),
         F.col("props").alias("last_change_type"),

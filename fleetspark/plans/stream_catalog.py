@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fleetspark.plans import gold, oracle, silver
 from fleetspark.plans import standins as T
-from fleetspark.plans.catalog import LIVE_BOUND_SECONDS, ntz
+from fleetspark.plans.catalog import LIVE_BOUND_SECONDS, ntz, rounded
 from fleetspark.session import fresh_dir
 from fleetspark.sources import ingest
 from fleetspark.streaming import runner, scd_stream
@@ -34,7 +34,7 @@ def _run_append(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 def _run_complete(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     out, ckpt = fresh_dir(spark, f"{name}-out"), fresh_dir(spark, f"{name}-ckpt")
     runner.run_complete(df, out, ckpt)
-    return spark.read.parquet(out)
+    return runner.read_complete(spark, out)
 
 
 # --- I1, I2 -------------------------------------------------------------------------
@@ -64,7 +64,7 @@ def q_daily_revenue_stream(spark, d):
     manifests = T.manifests(table_stream(spark, d, "orders"))
     invoices = T.invoices(T.table(spark, d, "lineitem"))
     rev = gold.daily_revenue_gold(silver.shipment_invoice_silver(manifests, invoices))
-    return _run_complete(spark, rev, "daily_revenue")
+    return rounded(_run_complete(spark, rev, "daily_revenue"), "revenue")
 
 
 # --- I6 ------------------------------------------------------------------------------
@@ -83,10 +83,9 @@ def q_live_fleet_status_stream(spark, d):
 
 # --- C2 + I5: aggregated stream x static left join, complete mode --------------------
 def q_vehicle_scorecard_stream(spark, d):
-    from fleetspark.plans.catalog import _master_history
-
     maint = silver.maintenance_logs_silver(T.maintenance_logs(table_stream(spark, d, "lineitem")))
-    return _run_complete(spark, gold.vehicle_scorecard_gold(maint, _master_history(spark, d)), "scorecard")
+    current = silver.driver_vehicle_master_current(T.master_snapshots(T.table(spark, d, "events")))
+    return rounded(_run_complete(spark, gold.vehicle_scorecard_gold(maint, current), "scorecard"), "total_maintenance_cost_inr")
 
 
 # --- C3 + D4 on a stream: static sensor side pre-aggregated, gps streamed --------------

@@ -31,6 +31,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Streaming state off the heap, with incremental (changelog) checkpoints.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -53,22 +56,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def apply_base_conf(spark: SparkSession) -> None:
+    """Our settings where the session has none of its own; what the cluster or the caller set stays."""
+    given = spark.conf.getAll
     for k, v in BASE_CONF.items():
-        spark.conf.set(k, v)
+        if k not in given:
+            spark.conf.set(k, v)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared, durable
-    folder there). Only when it is unset -- local tests -- do we pick a fresh
-    folder under the system temp dir and record it in the session so every
-    later caller sees the same root.
+    folder there). Only when it is unset on a local master -- tests -- do we
+    pick a fresh folder under the system temp dir and record it in the session
+    so every later caller sees the same root; on a cluster that is an error,
+    because executors don't share such a folder.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on master {master}")
         root = tempfile.mkdtemp(prefix="fleetspark-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
         spark.sparkContext.setCheckpointDir(root)
@@ -88,7 +98,7 @@ def size_for_data(spark: SparkSession, shuffle_bytes: int, total_cores: int, par
 
     * scan splits of ``partition_bytes`` (``spark.sql.files.maxPartitionBytes``);
     * initial shuffle partitions = shuffle bytes / ``partition_bytes``, at least
-      2 x cores, at most 200k -- AQE then coalesces small ones to the advisory
+      2 x cores -- AQE then coalesces small ones to the advisory
       size and splits skewed ones, so this is an upper bound that keeps every
       reducer's input near ``partition_bytes`` (fits executor memory, spills
       gracefully).
@@ -96,7 +106,7 @@ def size_for_data(spark: SparkSession, shuffle_bytes: int, total_cores: int, par
     Stateful streams fix their partition count at first start (it is stored in
     the checkpoint), so call this before starting them. Returns the count.
     """
-    n = max(2 * total_cores, min(200_000, -(-shuffle_bytes // partition_bytes)))
+    n = max(2 * total_cores, -(-shuffle_bytes // partition_bytes))
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(partition_bytes))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -172,8 +173,8 @@ def table_counts(spark: SparkSession, tables: Mapping[str, str], fmt: str = "par
     for name, path in tables.items():
         try:
             df = spark.read.format(fmt).load(path)
-        except Exception:
-            if not tolerate_missing:
+        except AnalysisException as e:
+            if not tolerate_missing or e.getCondition() != "PATH_NOT_FOUND":
                 raise
             parts.append(spark.range(1).select(F.lit(name).alias("table_name"), F.lit(None).cast("bigint").alias("row_count")))
             continue

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
 CATALOG_CONF = "CATALOG_NAME"
-DEFAULT_CATALOG = "fleet_dev"
+DEFAULT_CATALOG = "lake"
 
 
 def catalog_name(spark: SparkSession, default: str = DEFAULT_CATALOG) -> str:

@@ -17,7 +17,7 @@ def dedup_within_watermark(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     later than the watermark are dropped one micro-batch after the naive
     reading (the late filter uses the previous batch's watermark).
 
-    Batch: a hash aggregate keeping the greatest row per key (deterministic;
+    Batch: a sort-based aggregate (the buffer is a struct) keeping the greatest row per key (deterministic;
     partial aggregation collapses a hot key before the shuffle).
     """
     keys = list(keys)

@@ -4,14 +4,16 @@
   once through its commit log.
 * complete -- unbounded aggregates without a watermark (daily revenue,
   scorecard, fuel): the parquet sink refuses complete mode, so every
-  micro-batch's full result overwrites the target through ``foreachBatch``.
-  A re-run of an epoch after a failure rewrites the same result, so the
-  target always ends equal to the last committed epoch.
+  micro-batch's full result is written to a folder of its epoch through
+  ``foreachBatch`` and then named in a commit table. ``read_complete`` reads
+  the last committed epoch, so a reader during a rewrite, or after a crash in
+  one, sees the previous whole result. A re-run of an epoch rewrites the same
+  folder.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -37,12 +39,14 @@ def run_append(df: DataFrame, path: str, checkpoint: str, query_name: str | None
 
 
 def run_complete(df: DataFrame, path: str, checkpoint: str, query_name: str | None = None, wait: bool = True) -> StreamingQuery:
-    def overwrite(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    def publish(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/epochs/{epoch_id}")
+        commit = batch.sparkSession.range(epoch_id, epoch_id + 1, 1, 1).withColumnRenamed("id", "epoch")
+        commit.write.mode("append").parquet(f"{path}/commits")
 
     w = (
         df.writeStream.outputMode("complete")
-        .foreachBatch(overwrite)
+        .foreachBatch(publish)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
@@ -52,6 +56,12 @@ def run_complete(df: DataFrame, path: str, checkpoint: str, query_name: str | No
     return _check(q) if wait else q
 
 
+def read_complete(spark: SparkSession, path: str) -> DataFrame:
+    """The last committed result of a complete-mode output."""
+    last = spark.read.schema("epoch long").parquet(f"{path}/commits").agg({"epoch": "max"}).first()[0]
+    return spark.read.parquet(f"{path}/epochs/{last}")
+
+
 def run_update_batches(df: DataFrame, fn, checkpoint: str, query_name: str | None = None, wait: bool = True) -> StreamingQuery:
     """Arbitrary per-micro-batch logic (K5 and friends)."""
     w = df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint).trigger(availableNow=True)

@@ -4,6 +4,8 @@ import os
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from fleetspark.operators import governance, topk
 from fleetspark.plans import registry, silver
 from fleetspark.schemas import schema
@@ -15,8 +17,11 @@ from tests.conftest import rows
 
 def test_masking(spark):
     df = spark.createDataFrame([("9876543210", "MH1234"), (None, "X")], "driver_phone string, driver_license_no string")
-    h = governance.mask_for_environment(df, "uat").collect()
+    h = governance.mask_for_environment(df, "uat", key="k").collect()
     assert len(h[0]["driver_phone"]) == 64 and h[1]["driver_phone"] is None
+    with pytest.raises(ValueError):
+        governance.mask_for_environment(df, "uat")
+    assert h[0]["driver_phone"] != governance.mask_for_environment(df, "uat", key="other").collect()[0]["driver_phone"]
     r = governance.mask_for_environment(df, "prod").collect()
     assert r[0]["driver_phone"] == "********10" and r[0]["driver_license_no"] == "****34" and r[1]["driver_license_no"] == "*"
     assert governance.mask_for_environment(df, "dev").collect() == df.collect()

@@ -4,6 +4,8 @@ import time
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from fleetspark.operators import scd
 from fleetspark.plans import gold, silver
 from fleetspark.schemas import schema
@@ -37,7 +39,7 @@ def test_batch_sources_to_bronze(spark, tmp_path):
     _write(f"{land}/driver_vehicle_master", "d1.csv",
            "snapshot_date,vehicle_id,license_plate,vehicle_type,driver_id,driver_name,driver_phone,driver_license_no,home_route,is_active,last_change_type\n"
            "2026-05-01,TRK001,MH01AB1234,medium_truck,D1,Asha,9876543210,MH0120110012345,ROUTE_MUM_PUNE,True,\n")
-    names = TableNames(str(tmp_path / "lake"), "fleet_dev")
+    names = TableNames(str(tmp_path / "lake"), "other")
     out = ingest.ingest_batch_sources(spark, land, names.path("bronze", "").rstrip("/"), str(tmp_path / "ck"))
     assert set(out) == {"shipment_manifests", "invoices", "maintenance_logs", "driver_vehicle_master"}
     counts = {r["table_name"]: r["row_count"] for r in ingest.table_counts(spark, out).collect()}
@@ -49,17 +51,21 @@ def test_batch_sources_to_bronze(spark, tmp_path):
     man = read_stream(spark, out["shipment_manifests"])
     ship = silver.shipment_invoice_silver(man, spark.read.parquet(out["invoices"]))
     runner.run_complete(gold.daily_revenue_gold(ship), str(tmp_path / "rev"), str(tmp_path / "ck-rev"))
-    assert rows(spark.read.parquet(str(tmp_path / "rev"))) == [("2026-05-01", "ROUTE_MUM_PUNE", "express", 1500.0)]
+    assert rows(runner.read_complete(spark, str(tmp_path / "rev"))) == [("2026-05-01", "ROUTE_MUM_PUNE", "express", 1500.0)]
 
 
 def test_table_names_and_missing_tables(spark, tmp_path):
     names = TableNames.from_session(spark, str(tmp_path))
-    assert names.name("bronze", "gps_events") == "fleet_dev.bronze.gps_events"
-    assert names.bronze_table("gps_events").endswith("/fleet_dev/bronze/gps_events")
+    assert names.name("bronze", "gps_events") == "lake.bronze.gps_events"
+    assert names.bronze_table("gps_events").endswith("/lake/bronze/gps_events")
     spark.range(3).write.parquet(str(tmp_path / "present"))
     got = {r["table_name"]: r["row_count"] for r in ingest.table_counts(
         spark, {"present": str(tmp_path / "present"), "absent": str(tmp_path / "absent")}).collect()}
     assert got == {"present": 3, "absent": None}
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):  # only an absent table is tolerated
+        ingest.table_counts(spark, {"broken": str(tmp_path / "broken")}).collect()
 
 
 SNAP_COLS = ["snapshot_date", "vehicle_id", "driver_name"]

@@ -1,6 +1,7 @@
 import json
 import os
 
+from fleetspark.streaming import runner
 from fleetspark.plans import jobs
 from tests.conftest import rows
 
@@ -34,8 +35,8 @@ def test_batch_job_end_to_end(spark, tmp_path):
         "2026-05-02,TRK001,MH01,medium_truck,D2,Ravi,2,L2,ROUTE_MUM_PUNE,True,driver_change",
     ])
     out = jobs.run_batch_job(spark, land, str(tmp_path / "lake"), str(tmp_path / "ck"))
-    assert rows(spark.read.parquet(out["gold.daily_revenue_gold"])) == [("2026-05-01", "ROUTE_MUM_PUNE", "standard", 150.5)]
-    card = rows(spark.read.parquet(out["gold.vehicle_scorecard_gold"]), "vehicle_id", "driver_name", "total_maintenance_cost_inr", "maintenance_event_count")
+    assert rows(runner.read_complete(spark, out["gold.daily_revenue_gold"])) == [("2026-05-01", "ROUTE_MUM_PUNE", "standard", 150.5)]
+    card = rows(runner.read_complete(spark, out["gold.vehicle_scorecard_gold"]), "vehicle_id", "driver_name", "total_maintenance_cost_inr", "maintenance_event_count")
     assert card == [("TRK001", "Ravi", 15.0, 2), ("TRK003", None, 1.0, 1)]
     # re-running on the same checkpoints adds nothing
     jobs.run_batch_job(spark, land, str(tmp_path / "lake"), str(tmp_path / "ck"))
@@ -63,7 +64,7 @@ def test_stream_job_end_to_end(spark, tmp_path):
     assert rows(spark.read.parquet(out["gold.active_alerts_gold"]), "anomaly_flag") == [("fuel_drop",)]
     perf = rows(spark.read.parquet(out["gold.delivery_performance_gold"]), "status", "event_count")
     assert perf == [("picked_up", 1)]                                                  # 13:00 window still open
-    fuel = spark.read.parquet(out["gold.fuel_cost_efficiency_gold"]).collect()
+    fuel = runner.read_complete(spark, out["gold.fuel_cost_efficiency_gold"]).collect()
     assert len(fuel) == 1 and fuel[0]["estimated_fuel_consumed_litres"] == 25.0 and fuel[0]["estimated_distance_km"] == 25.0
     live = spark.read.parquet(out["gold.live_fleet_status_gold"]).count()
     assert live == 6                                                                   # each ping meets the reading 10 s later

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from fleetspark.operators import joins
@@ -114,18 +115,7 @@ def test_left_join_keep_all_plan_has_no_outer_join(spark):
     assert "LeftOuter" not in plan and "LeftAnti" in plan
 
 
-def test_broadcast_if_small_measures(spark):
-    import contextlib
-    import io
-
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    dim = spark.range(10).withColumnRenamed("id", "k")
-
-    def plan(df):
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain()
-        return buf.getvalue()
-
-    assert "BroadcastHashJoin" in plan(big.join(joins.broadcast_if_small(dim), "k"))
-    assert "BroadcastHashJoin" not in plan(big.join(joins.broadcast_if_small(dim, max_rows=5), "k"))
+def test_interval_join_needs_a_positive_bound(spark):
+    df = spark.createDataFrame([], "k int, t timestamp")
+    with pytest.raises(ValueError):
+        joins.interval_join(df, df, ["k"], "t", "t", 0, [F.col("g.k")])

@@ -104,6 +104,15 @@ def test_chunked_neighbor_equals_plain_window(spark, data, ignore_nulls):
     assert got == want
 
 
+@pytest.mark.parametrize("direction", ["prev", "next"])
+def test_neighbour_with_null_order(spark, direction):
+    data = [(0, "a", None), (1, "a", 5), (2, "a", 70), (3, "b", None), (4, "c", 3)]
+    df = spark.createDataFrame(data, "id int, k string, t int")
+    got = with_neighbor(df, ["k"], ["t"], F.col("id"), "n", direction, chunk=F.floor(F.col("t") / 10))
+    want = {0: None, 1: 0, 2: 1, 3: None, 4: None} if direction == "prev" else {0: 1, 1: 2, 2: None, 3: None, 4: None}
+    assert {r["id"]: r["n"] for r in got.collect()} == want
+
+
 def test_chunked_next_equals_lead(spark):
     random.seed(7)
     data = [(i, random.choice("xyz"), t) for i, t in enumerate(random.sample(range(1000), 200))]
@@ -118,8 +127,15 @@ def test_chunked_next_equals_lead(spark):
     assert got == want
 
 
-@pytest.mark.parametrize("max_broadcast_rows", [0, 1000])
-def test_asof_join_matches_brute_force(spark, max_broadcast_rows):
+def test_asof_join_honours_gaps_and_ties(spark):
+    h = spark.createDataFrame([(1, 0, 10, "a"), (1, 20, None, "b"), (1, 20, None, "c")], "k int, __START_AT int, __END_AT int, label string")
+    f = spark.createDataFrame([(i, 1, t) for i, t in enumerate([-1, 0, 9, 10, 15, 20, 99, None])], "fid int, k int, t int")
+    for width in (1000, 7):
+        got = scd.asof_join(f, h, "k", "k", "t", ["label"], chunk=F.floor(F.col("_t") / width)).orderBy("fid").collect()
+        assert [r["label"] for r in got] == [None, "a", "a", None, None, "c", "c", None]
+
+
+def test_asof_join_matches_brute_force(spark):
     random.seed(3)
     hist_rows, facts = [], []
     for k in range(4):
@@ -132,8 +148,7 @@ def test_asof_join_matches_brute_force(spark, max_broadcast_rows):
     w = Window.partitionBy("vehicle_id").orderBy("__START_AT")
     h = h.withColumn("__END_AT", F.lead("__START_AT").over(w))
     f = spark.createDataFrame(facts, "fid int, vehicle_id int, t int")
-    got = scd.asof_join(f, h, "vehicle_id", "vehicle_id", "t", ["label"], chunk=F.floor(F.col("_t") / 100),
-                        max_broadcast_rows=max_broadcast_rows)
+    got = scd.asof_join(f, h, "vehicle_id", "vehicle_id", "t", ["label"], chunk=F.floor(F.col("_t") / 100))
     got = {r["fid"]: r["label"] for r in got.collect()}
     want = {}
     for fid, k, t in facts:

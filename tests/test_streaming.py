@@ -137,4 +137,7 @@ def test_complete_mode_sink_overwrites(spark, tmp_path):
     with open(os.path.join(land, "b.csv"), "w") as f:
         f.write(hdr + "L3,2026-05-02,T1,oil,2.5,120,C\nL4,2026-05-02,T2,oil,0,120,C\n")
     run()
-    assert rows(spark.read.parquet(out)) == [("T1", 17.5, 3)]
+    assert rows(runner.read_complete(spark, out)) == [("T1", 17.5, 3)]
+    # a rewrite that has written its epoch but not committed it isn't seen
+    spark.range(3).write.parquet(f"{out}/epochs/99")
+    assert rows(runner.read_complete(spark, out)) == [("T1", 17.5, 3)]
