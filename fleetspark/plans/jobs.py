@@ -13,14 +13,36 @@ a re-run picks up exactly the new files. Paths follow ``TableNames``.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession
+
+from fleetspark.operators.expectations import ExpectationSet
 from fleetspark.plans import gold, silver
 from fleetspark.sources import ingest
 from fleetspark.sources.tables import TableNames, read_static, read_stream
 from fleetspark.streaming import runner, scd_stream
 
 
+def _with_rules(
+    spark: SparkSession, t: TableNames, ck: str, name: str, rules: ExpectationSet, prepared: Callable[[], DataFrame], out: dict[str, str]
+) -> None:
+    """A silver table, the rows it refuses with the rules they failed, and a row of counts for each rule and run."""
+    out[f"silver.{name}"] = t.silver_table(name)
+    out[f"quarantine.{name}"], out[f"rules.{name}"] = t.path("quarantine", name), t.path("rules", name)
+    counted = rules.observe(prepared(), "rules")
+    done = runner.run_append(rules.apply(counted), out[f"silver.{name}"], f"{ck}/silver/{name}")
+    runner.run_append(rules.quarantine(prepared()), out[f"quarantine.{name}"], f"{ck}/quarantine/{name}")
+    totals: dict[str, int] = {}
+    for progress in done.recentProgress:  # an available-now run has few micro-batches
+        seen = progress["observedMetrics"].get("rules") or {}
+        for metric, n in (seen if isinstance(seen, dict) else seen.asDict()).items():
+            totals[metric] = totals.get(metric, 0) + (n or 0)
+    counts = [(r.name, r.action, totals.get("total_rows", 0) - totals.get(f"failed__{r.name}", 0), totals.get(f"failed__{r.name}", 0)) for r in rules.rules]
+    report = spark.createDataFrame(counts, "rule string, action string, passed_rows long, failed_rows long")
+    report.coalesce(1).write.mode("append").parquet(out[f"rules.{name}"])
+
+
 def run_batch_job(spark: SparkSession, landing_root: str, lake_root: str, checkpoint_root: str) -> dict[str, str]:
     t = TableNames.from_session(spark, lake_root)
     ck = checkpoint_root.rstrip("/")
@@ -30,16 +52,16 @@ def run_batch_job(spark: SparkSession, landing_root: str, lake_root: str, checkp
     out = {f"bronze.{k}": v for k, v in bronze.items()}
 
     ship = t.silver_table("shipment_invoice_silver")
-    runner.run_append(
-        silver.shipment_invoice_silver(read_stream(spark, bronze["shipment_manifests"]), read_static(spark, bronze["invoices"])),
-        ship, f"{ck}/silver/shipment_invoice_silver",
+    _with_rules(
+        spark, t, ck, "shipment_invoice_silver", silver.SHIPMENT_INVOICE_RULES,
+        lambda: silver.shipment_invoice_prepared(read_stream(spark, bronze["shipment_manifests"]), read_static(spark, bronze["invoices"])), out,
     )
     maint = t.silver_table("maintenance_logs_silver")
-    runner.run_append(silver.maintenance_logs_silver(read_stream(spark, bronze["maintenance_logs"])), maint,
-                      f"{ck}/silver/maintenance_logs_silver")
+    _with_rules(spark, t, ck, "maintenance_logs_silver", silver.MAINTENANCE_RULES,
+                lambda: silver.maintenance_logs_prepared(read_stream(spark, bronze["maintenance_logs"])), out)
     master = t.silver_table("driver_vehicle_master_silver")
     scd_stream.scd2_incremental(
-        spark, read_stream(spark, bronze["driver_vehicle_master"]), bronze["driver_vehicle_master"], master,
+        spark, read_stream(spark, bronze["driver_vehicle_master"]), master,
         f"{ck}/silver/driver_vehicle_master_silver", silver.MASTER_KEYS, silver.MASTER_SEQUENCE,
     )
     out.update({"silver.shipment_invoice_silver": ship, "silver.maintenance_logs_silver": maint,
@@ -64,15 +86,14 @@ def run_stream_job(spark: SparkSession, landing_root: str, lake_root: str, check
     out = {f"bronze.{k}": v for k, v in bronze.items()}
 
     builders = {
-        "gps_events_silver": (silver.gps_events_silver, "gps_events"),
-        "sensor_events_silver": (silver.sensor_events_silver, "sensor_events"),
-        "delivery_events_silver": (silver.delivery_events_silver, "delivery_events"),
+        "gps_events_silver": (silver.GPS_RULES, silver.gps_events_prepared, "gps_events"),
+        "sensor_events_silver": (silver.SENSOR_RULES, silver.sensor_events_prepared, "sensor_events"),
+        "delivery_events_silver": (silver.DELIVERY_RULES, silver.delivery_events_prepared, "delivery_events"),
     }
     sil = {}
-    for name, (build, src) in builders.items():
+    for name, (rules, prepare, src) in builders.items():
         sil[name] = t.silver_table(name)
-        runner.run_append(build(read_stream(spark, bronze[src])), sil[name], f"{ck}/silver/{name}")
-        out[f"silver.{name}"] = sil[name]
+        _with_rules(spark, t, ck, name, rules, lambda prepare=prepare, src=src: prepare(read_stream(spark, bronze[src])), out)
 
     def gold_path(n):
         out[f"gold.{n}"] = t.gold_table(n)

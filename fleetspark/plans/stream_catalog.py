@@ -122,7 +122,7 @@ def q_scd2_stream(spark, d):
             events.where(late).write.mode("append").parquet(landing)
         stream = spark.readStream.schema(events.schema).parquet(landing)
         scd_stream.scd2_incremental(
-            spark, stream, landing, target, ckpt, ["user_id"], "ts", track=["event_type"], buckets=16
+            spark, stream, target, ckpt, ["user_id"], "ts", track=["event_type"], buckets=16
         )
     return scd_stream.read_history(spark, target).select(*events.columns, "__START_AT", "__END_AT")
 

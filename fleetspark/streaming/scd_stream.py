@@ -2,12 +2,13 @@
 
 A collapsed history cannot absorb a late snapshot (a late B between two
 collapsed A's re-opens A), so each micro-batch recomputes the history of the
-keys it touches from the full snapshot table and replaces them in the target.
+keys it touches from all their snapshots and replaces them in the target. The
+snapshots seen so far are kept beside the target, partitioned by key bucket.
 
 The target is partitioned by a key bucket ``pmod(hash(keys), buckets)``.
 Per micro-batch: find the buckets the batch touches (at most ``buckets``
-small integers), recompute K1 for the snapshot rows of those buckets, and
-write with dynamic partition overwrite -- only the touched buckets are
+small integers), recompute K1 for the snapshot rows of those buckets (the
+others are pruned by a partition filter), and write with dynamic partition overwrite -- only the touched buckets are
 replaced. Re-running an epoch after a failure rewrites the same buckets with
 the same content (idempotent).
 """
@@ -33,7 +34,6 @@ def key_bucket(keys: Sequence[str], buckets: int):
 def scd2_incremental(
     spark: SparkSession,
     snapshots_stream: DataFrame,
-    snapshots_path: str,
     target_path: str,
     checkpoint: str,
     keys: Sequence[str],
@@ -45,14 +45,21 @@ def scd2_incremental(
 ) -> StreamingQuery:
     keys = list(keys)
 
+    seen = f"{target_path.rstrip('/')}__snapshots"
+
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        touched = batch.select(key_bucket(keys, buckets).alias(BUCKET)).distinct()
+        # The batch joins a copy of all snapshots that is partitioned by key bucket; a replayed epoch rewrites
+        # its own folder.
+        own = f"{seen}/epoch={epoch_id}"
+        bucketed = batch.withColumn(BUCKET, key_bucket(keys, buckets))
+        bucketed.write.mode("overwrite").partitionBy(BUCKET).parquet(own)
         # Bounded by ``buckets``: a short list of ints, not data.
-        ids = [r[BUCKET] for r in touched.collect()]
+        ids = [r[BUCKET] for r in spark.read.schema(bucketed.schema).parquet(own).select(BUCKET).distinct().collect()]
         if not ids:
             return
-        snapshots = spark.read.parquet(snapshots_path).withColumn(BUCKET, key_bucket(keys, buckets))
-        subset = snapshots.where(F.col(BUCKET).isin(ids)).drop(BUCKET)
+        # A partition filter: only the folders of touched buckets are listed and read.
+        snapshots = spark.read.schema(bucketed.schema).option("basePath", seen).parquet(seen)
+        subset = snapshots.where(F.col(BUCKET).isin(ids)).select(*batch.columns)
         hist = scd.scd2(subset, keys, sequence_by, track, track_except).withColumn(BUCKET, key_bucket(keys, buckets))
         # No repartition by bucket before the write: a hot key would put its
         # whole history in one task; each task writes its own files instead.

@@ -77,7 +77,7 @@ def test_incremental_scd2_absorbs_late_snapshot(spark, tmp_path):
     spark.createDataFrame([("05-01", "T4", "d1"), ("05-03", "T4", "d1"), ("05-01", "T9", "x")], ddl).write.parquet(land)
     def run():
         stream = spark.readStream.schema(ddl).parquet(land)
-        scd_stream.scd2_incremental(spark, stream, land, target, ck, ["vehicle_id"], "snapshot_date",
+        scd_stream.scd2_incremental(spark, stream, target, ck, ["vehicle_id"], "snapshot_date",
                                     track_except=["snapshot_date"], buckets=4)
     run()
     first = rows(scd_stream.read_history(spark, target).where("vehicle_id = 'T4'"), "driver_name", "__START_AT", "__END_AT")

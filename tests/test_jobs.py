@@ -38,6 +38,10 @@ def test_batch_job_end_to_end(spark, tmp_path):
     assert rows(runner.read_complete(spark, out["gold.daily_revenue_gold"])) == [("2026-05-01", "ROUTE_MUM_PUNE", "standard", 150.5)]
     card = rows(runner.read_complete(spark, out["gold.vehicle_scorecard_gold"]), "vehicle_id", "driver_name", "total_maintenance_cost_inr", "maintenance_event_count")
     assert card == [("TRK001", "Ravi", 15.0, 2), ("TRK003", None, 1.0, 1)]
+    # what the rules refuse is kept, and counted
+    assert rows(spark.read.parquet(out["quarantine.shipment_invoice_silver"]), "manifest_id", "_failed_rules") == [("M2", ["valid_package_count", "valid_amount"])]
+    counts = {r["rule"]: (r["passed_rows"], r["failed_rows"]) for r in spark.read.parquet(out["rules.shipment_invoice_silver"]).collect()}
+    assert counts == {"valid_weight": (3, 0), "valid_package_count": (2, 1), "valid_amount": (2, 1)}
     # re-running on the same checkpoints adds nothing
     jobs.run_batch_job(spark, land, str(tmp_path / "lake"), str(tmp_path / "ck"))
     assert spark.read.parquet(out["silver.shipment_invoice_silver"]).count() == 2
