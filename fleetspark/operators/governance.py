@@ -6,7 +6,7 @@ with any dataset and keep pushdown below them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,7 +60,17 @@ def restrict_rows(df: DataFrame, grants: DataFrame, principal: str, column: str,
     """O3: keep the rows whose ``column`` value is granted to ``principal``
     in ``grants(principal, <grant_column>)``. A left-semi join: each row is
     kept at most once whatever the number of matching grants, and the grants
-    side is reduced to its distinct values for the principal first."""
+    side is reduced to its distinct values for the principal first.
+
+    No broadcast hint: a grants table that measures small is broadcast by AQE. Grants that are configuration
+    belong in ``restrict_rows_to``."""
     grant_column = grant_column or column
     allowed = grants.where(F.col("principal") == principal).select(F.col(grant_column).alias("_granted")).distinct()
     return df.join(allowed, F.col(column) == F.col("_granted"), "left_semi")
+
+
+def restrict_rows_to(df: DataFrame, grants: Iterable[tuple[str, str]], principal: str, column: str) -> DataFrame:
+    """O3 with grants from configuration, as (principal, value): a plain predicate, which reaches the scan and
+    moves no row. A principal without grants sees nothing."""
+    values = sorted({value for who, value in grants if who == principal})
+    return df.where(F.col(column).isin(values) if values else F.lit(False))

@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetspark.operators.sequence import default_chunk, partition_by_key_and_chunk, with_neighbor
+
 
 def _prefixed(alias: str, cols: Sequence[str]) -> list[Column]:
     return [F.col(f"{alias}.{c}") for c in cols]
@@ -107,6 +109,47 @@ def interval_join(
     return g.join(s, cond, "inner").select(*select)
 
 
+def nearest_within(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    left_ts: str,
+    right_ts: str,
+    bound_seconds: int,
+    left_cols: Sequence[str],
+    right_cols: Sequence[str],
+    right_ts_name: str = "reading_timestamp",
+    split_rows: int | None = 1_000_000,
+) -> DataFrame:
+    """C5 in batch: every left row with the right row of the same keys nearest in time, if one lies within the
+    bound (inclusive); of two as near the earlier one, of two at one time the greatest. NULL keys or times never
+    match.
+
+    No pairs: both sides are stacked, and the last right row at or before, and the first one after, a left row are
+    carried to it by the neighbour helper -- one shuffle of the rows by (key, chunk of time)."""
+    if bound_seconds <= 0:
+        raise ValueError("bound_seconds must be positive")
+    hit = F.struct(F.col(right_ts).alias(right_ts_name), F.struct(*[F.col(c) for c in right_cols]).alias("row"))
+    known = lambda df, ts: df.dropna(subset=list(dict.fromkeys([*keys, ts])))
+    r = known(right, right_ts).select(*keys, F.col(right_ts).alias("_t"), F.lit(0).alias("_side"), hit.alias("_hit"))
+    l = known(left, left_ts).select(*keys, F.col(left_ts).alias("_t"), F.lit(1).alias("_side"), F.struct(*[F.col(c) for c in left_cols]).alias("_left"))
+    both = r.unionByName(l, allowMissingColumns=True)
+    # right rows before left rows of the same time: "prev" is at or before, "next" is after
+    order, value = ["_t", "_side", "_hit"], F.col("_hit")
+    both = partition_by_key_and_chunk(both, keys, default_chunk(both, "_t"), "_t", split_rows)
+    both = with_neighbor(both, keys, order, value, "_before", "prev", ignore_nulls=True, keep_partitioning=True)
+    both = with_neighbor(both, keys, order, value, "_after", "next", ignore_nulls=True)
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    back, ahead = micros("_t") - micros(f"_before.{right_ts_name}"), micros(f"_after.{right_ts_name}") - micros("_t")
+    earlier = ahead.isNull() | (back <= ahead)
+    nearest = both.where("_side = 1").select(
+        "_left", F.when(earlier, F.col("_before")).otherwise(F.col("_after")).alias("_best"), F.least(back, ahead).alias("_gap")
+    )
+    return nearest.where(F.col("_gap") <= bound_seconds * 1_000_000).select(
+        *[F.col(f"_left.{c}").alias(c) for c in left_cols], F.col(f"_best.{right_ts_name}"), *[F.col(f"_best.row.{c}").alias(c) for c in right_cols]
+    )
+
+
 def nearest_match(
     pairs: DataFrame,
     group_cols: Sequence[str],
@@ -114,7 +157,7 @@ def nearest_match(
     tie: Column,
     keep: Sequence[str],
 ) -> DataFrame:
-    """One row per group -- the candidate with the smallest ``gap``, ties
+    """C5 on a stream: one row per group -- the candidate with the smallest ``gap``, ties
     broken by the smallest ``tie``. A sort-based aggregate (``min_by`` of structs with a
     partial stage), not a window: a hot group is reduced map-side, never buffered."""
     best = F.min_by(F.struct(*[F.col(c) for c in keep]), F.struct(gap.alias("gap"), tie.alias("tie")))

@@ -141,13 +141,18 @@ def position_on_route(df: DataFrame, route_col: str, distance_col: str) -> DataF
     )
 
 
-def with_step_distance(pings: DataFrame, trip_cols: list[str], time_col: str, lat: str = "lat", lon: str = "lon") -> DataFrame:
+#: Pings of one trip and day that a task may hold before they are split by time.
+SPLIT_ROWS = 1_000_000
+
+
+def with_step_distance(
+    pings: DataFrame, trip_cols: list[str], time_col: str, lat: str = "lat", lon: str = "lon", split_rows: int | None = SPLIT_ROWS
+) -> DataFrame:
     """L1: km from the previous ping of the same trip (NULL for the first),
-    via the chunked previous-row helper; a trip is split by hour, since trips seldom last longer than a day."""
+    via the chunked previous-row helper; a trip is split by day, and a day by the number of its pings."""
     position = F.struct(F.col(lat).alias("la"), F.col(lon).alias("lo"))
-    timed = pings.schema[time_col].dataType.typeName().startswith("timestamp")
-    chunk = F.date_trunc("HOUR", F.col(time_col)) if timed else None
-    prev = with_neighbor(pings, trip_cols, [time_col], position, "_prev", chunk=chunk)
+    timed = pings.schema[time_col].dataType.typeName() != "string"
+    prev = with_neighbor(pings, trip_cols, [time_col], position, "_prev", split_rows=split_rows if timed else None)
     return prev.withColumn(
         "step_km", haversine_km(F.col("_prev.la"), F.col("_prev.lo"), F.col(lat), F.col(lon))
     ).drop("_prev")

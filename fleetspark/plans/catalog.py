@@ -238,16 +238,14 @@ def q_master_redacted(spark, d):
     return governance.mask_for_environment(T.master_snapshots(_events(spark, d)), "prod")
 
 
-# A grants table is configuration, not data: a handful of (principal, route)
-# rows, whatever the size of the fleet data it filters.
+# Grants are configuration, not data: a handful of (principal, route) pairs, whatever the size of the fleet data.
 GRANTS = [("ops_pune", "ROUTE_MUM_PUNE"), ("ops_pune", "ROUTE_PUNE_NASHIK_AURANGABAD"), ("ops_pune", "ROUTE_MUM_PUNE"),
           ("ops_nashik", "ROUTE_MUM_NASHIK")]
 
 
 def q_gps_row_security(spark, d):
     """O3: gps silver restricted to the routes granted to one principal."""
-    grants = spark.createDataFrame(GRANTS, "principal string, route_name string")
-    return ntz(governance.restrict_rows(_gps_silver(spark, d), grants, "ops_pune", "route_name"))
+    return ntz(governance.restrict_rows_to(_gps_silver(spark, d), GRANTS, "ops_pune", "route_name"))
 
 
 def q_events_schema_evolution(spark, d):

@@ -190,7 +190,13 @@ def live_fleet_status_nearest(
     sensor_watermark: str = K.SENSOR_WATERMARK,
 ) -> DataFrame:
     """One row per ping -- the reading closest in time within the bound
-    (ties -> the earlier reading)."""
+    (ties -> the earlier reading). In batch without any pairs; a stream joins
+    within the bound and keeps the nearest, so that the state can be evicted."""
+    if not gps_silver.isStreaming and not sensor_silver.isStreaming:
+        return joins.nearest_within(
+            gps_silver, sensor_silver, ["vehicle_id", "trip_id"], "event_timestamp", "event_timestamp", bound_seconds,
+            LIVE_GPS_COLS, LIVE_SENSOR_COLS,
+        )
     gps = ensure_watermark(gps_silver, "event_timestamp", gps_watermark)
     sensor = ensure_watermark(sensor_silver, "event_timestamp", sensor_watermark)
     select = (

@@ -1,27 +1,48 @@
 """Schema evolution on read.
 
-Landing JSON is read as text and parsed with the declared schema; fields the
-schema does not know are not lost but kept, as raw JSON text, in a
-``_rescued_data`` map -- the record can be re-parsed once the schema grows.
+Landing JSON is read as text; the declared fields are typed columns, fields
+the schema does not know are not lost but kept, as raw JSON text, in
+``_rescued_data``, and a record that is no JSON object is kept whole in
+``_corrupt_record`` -- both can be parsed again once the schema grows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 RESCUE_COL = "_rescued_data"
+CORRUPT_COL = "_corrupt_record"
+
+
+def _typed(field: StructField, options: dict[str, str]) -> Column:
+    raw = F.try_element_at(F.col("_all"), F.lit(field.name))
+    if isinstance(field.dataType, StringType):
+        typed = raw
+    elif isinstance(field.dataType, (StructType, ArrayType, MapType)):
+        typed = F.from_json(raw, field.dataType, options)
+    else:
+        typed = raw.try_cast(field.dataType)
+    return typed.alias(field.name)
 
 
 def parse_with_rescue(
-    text: DataFrame, schema: StructType, value_col: str = "value", options: dict[str, str] | None = None
+    text: DataFrame, schema: StructType, value_col: str = "value", options: dict[str, str] | None = None, corrupt: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    known = F.array(*[F.lit(f.name) for f in schema.fields])
-    parsed = F.from_json(F.col(value_col), schema, options or {})
-    everything = F.from_json(F.col(value_col), "map<string,string>")
-    rescued = F.map_filter(everything, lambda k, v: ~F.array_contains(known, k))
-    return text.select(parsed.alias("_p"), rescued.alias(RESCUE_COL)).select("_p.*", RESCUE_COL)
+    """The fields of ``schema``, the ``keep`` columns of ``text`` and ``_rescued_data`` (and ``_corrupt_record``).
+
+    Every record is parsed once, into its top-level fields; scalars are cast from their text (NULL where they
+    don't fit their type). A blank line is a row of NULLs; filter those before."""
+    names = F.array(*[F.lit(f.name) for f in schema.fields])
+    held = text.select(*keep, F.col(value_col).alias("_text"), F.from_json(F.col(value_col), "map<string,string>").alias("_all"))
+    out = [_typed(f, options or {}) for f in schema.fields]
+    out += list(keep)
+    out.append(F.map_filter("_all", lambda k, v: ~F.array_contains(names, k)).alias(RESCUE_COL))
+    if corrupt:
+        out.append(F.when(F.col("_all").isNull(), F.col("_text")).alias(CORRUPT_COL))
+    return held.select(*out)
 
 
 def read_json_evolving(spark, path: str, schema: StructType, options: dict[str, str] | None = None) -> DataFrame:

@@ -20,9 +20,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from fleetspark import schemas
+from fleetspark.sources.evolution import CORRUPT_COL, RESCUE_COL, parse_with_rescue
 
 METADATA_COLS = ["_ingested_at", "_source_file", "_source_name"]
 
@@ -33,15 +34,31 @@ def landing_stream(
     fmt: str,
     schema: StructType,
     options: Mapping[str, str] | None = None,
+    rescue: bool = False,
 ) -> DataFrame:
     """A1 / A2: new files of ``path`` as a stream, fixed schema. CSV has a
-    header; malformed values become NULL (PERMISSIVE)."""
+    header; malformed values become NULL (PERMISSIVE).
+
+    ``rescue`` (O4) adds ``_rescued_data``, the JSON text of the fields the schema does not know (NULL if there
+    are none; a CSV file has none), and ``_corrupt_record``, the text of a record that can't be parsed."""
+    if rescue and fmt == "json":
+        reader = spark.readStream
+        for k, v in (options or {}).items():
+            reader = reader.option(k, v)
+        text = reader.format("text").load(path).select("value", "_metadata").where(F.trim("value") != "")
+        parsed = parse_with_rescue(text, schema, options=dict(options or {}), corrupt=True, keep=("_metadata",))
+        unknown = F.when(F.size(RESCUE_COL) > 0, F.to_json(RESCUE_COL))
+        return parsed.withColumn(RESCUE_COL, unknown)
+    if rescue:
+        schema = StructType([*schema.fields, StructField(CORRUPT_COL, StringType())])
+        options = {**(options or {}), "columnNameOfCorruptRecord": CORRUPT_COL, "enforceSchema": "true"}
     reader = spark.readStream.schema(schema).option("mode", "PERMISSIVE")
     if fmt == "csv":
         reader = reader.option("header", "true")
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    return reader.format(fmt).load(path)
+    loaded = reader.format(fmt).load(path)
+    return loaded.withColumn(RESCUE_COL, F.lit(None).cast("string")) if rescue else loaded
 
 
 def with_ingest_metadata(df: DataFrame, source_name: str) -> DataFrame:
@@ -50,6 +67,7 @@ def with_ingest_metadata(df: DataFrame, source_name: str) -> DataFrame:
         df.withColumn("_ingested_at", F.current_timestamp())
         .withColumn("_source_file", F.col("_metadata.file_path"))
         .withColumn("_source_name", F.lit(source_name))
+        .drop("_metadata")
     )
 
 
@@ -85,11 +103,12 @@ def ingest_source(
     query_name: str | None = None,
     wait: bool = True,
     options: Mapping[str, str] | None = None,
+    rescue: bool = False,
 ) -> StreamingQuery:
     """A6 / A7 for one source: landing files -> bronze parquet table."""
     fmt = fmt or schemas.SOURCE_FORMAT[source_name]
     schema = schema or schemas.schema(source_name)
-    df = with_ingest_metadata(landing_stream(spark, landing_path, fmt, schema, options), source_name)
+    df = with_ingest_metadata(landing_stream(spark, landing_path, fmt, schema, options, rescue), source_name)
     q = write_append(df, table_path, checkpoint, query_name)
     if wait:
         q.awaitTermination()
