@@ -188,6 +188,14 @@ def q_gps_dedup_batch(spark, d):
     return ntz(silver.gps_events_prepared(T.gps_events(twice)))
 
 
+def q_event_time_quarantine(spark, d):
+    """Pings whose time can't be parsed (here: of the southernmost positions) are kept aside before the dedup."""
+    gps = T.gps_events(_events(spark, d).where("ts is not null"))
+    broken = gps.withColumn("timestamp", F.when(F.col("lat") < 8, F.concat(F.lit("at "), "timestamp")).otherwise(F.col("timestamp")))
+    q = silver.EVENT_TIME_RULES.quarantine(silver.with_event_time(broken)).drop("event_timestamp")
+    return q.withColumn("failed_rules", F.array_join(F.col(FAILED_RULES_COL), ",")).drop(FAILED_RULES_COL)
+
+
 def q_asof_dimension_join(spark, d):
     ev = _events(spark, d)
     facts = ev.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts", "value")
@@ -320,6 +328,7 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vehicle_scorecard_asof": q_vehicle_scorecard_asof,
     "asof_gaps": q_asof_gaps,
     "gps_dedup_batch": q_gps_dedup_batch,
+    "event_time_quarantine": q_event_time_quarantine,
     "asof_dimension_join": q_asof_dimension_join,
     "active_alerts": q_active_alerts,
     "delivery_performance": q_delivery_performance,

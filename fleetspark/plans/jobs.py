@@ -5,110 +5,120 @@ maintenance, SCD2 master) -> gold (daily revenue, vehicle scorecard).
 Stream job: the three event sources land -> bronze -> silver (gps, sensor,
 delivery) -> gold (alerts, delivery performance, fuel, live status).
 
+What a job runs, in which order and how, is read from ``plans.registry``.
 Every dataset is its own available-now query with its own checkpoint, reading
 its inputs from the tables written before it (the hand-over is a stored table,
 as between the source pipeline's tasks), so each step drains what is new and
-a re-run picks up exactly the new files. Paths follow ``TableNames``.
+a re-run picks up exactly the new files. A micro-batch takes at most
+``max_files`` files, so a backlog is worked off in committed pieces. Paths
+follow ``TableNames``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from fleetspark.operators.expectations import ExpectationSet
-from fleetspark.plans import gold, silver
+from fleetspark.plans import registry, silver
 from fleetspark.sources import ingest
 from fleetspark.sources.tables import TableNames, read_static, read_stream
 from fleetspark.streaming import runner, scd_stream
 
-
-def _with_rules(
-    spark: SparkSession, t: TableNames, ck: str, name: str, rules: ExpectationSet, prepared: Callable[[], DataFrame], out: dict[str, str]
-) -> None:
-    """A silver table, the rows it refuses with the rules they failed, and a row of counts for each rule and run."""
-    out[f"silver.{name}"] = t.silver_table(name)
-    out[f"quarantine.{name}"], out[f"rules.{name}"] = t.path("quarantine", name), t.path("rules", name)
-    counted = rules.observe(prepared(), "rules")
-    done = runner.run_append(rules.apply(counted), out[f"silver.{name}"], f"{ck}/silver/{name}")
-    runner.run_append(rules.quarantine(prepared()), out[f"quarantine.{name}"], f"{ck}/quarantine/{name}")
+MAX_FILES = 1000
+
+
+def _observed(q: StreamingQuery, metric: str) -> dict[str, int]:
+    """Totals of an observed metric over all micro-batches of a draining query. Read while it runs, since a query
+    remembers its latest progress reports only."""
+    seen: dict[int, dict] = {}
+    done = False
+    while not done:
+        done = q.awaitTermination(1)
+        for progress in q.recentProgress:
+            found = progress["observedMetrics"].get(metric)
+            if found:
+                seen[progress["batchId"]] = found if isinstance(found, dict) else found.asDict()
+    if q.exception() is not None:
+        raise q.exception()
     totals: dict[str, int] = {}
-    for progress in done.recentProgress:  # an available-now run has few micro-batches
-        seen = progress["observedMetrics"].get("rules") or {}
-        for metric, n in (seen if isinstance(seen, dict) else seen.asDict()).items():
-            totals[metric] = totals.get(metric, 0) + (n or 0)
-    counts = [(r.name, r.action, totals.get("total_rows", 0) - totals.get(f"failed__{r.name}", 0), totals.get(f"failed__{r.name}", 0)) for r in rules.rules]
-    report = spark.createDataFrame(counts, "rule string, action string, passed_rows long, failed_rows long")
-    report.coalesce(1).write.mode("append").parquet(out[f"rules.{name}"])
-
-
-def run_batch_job(spark: SparkSession, landing_root: str, lake_root: str, checkpoint_root: str) -> dict[str, str]:
-    t = TableNames.from_session(spark, lake_root)
-    ck = checkpoint_root.rstrip("/")
-    bronze = {n: t.bronze_table(n) for n in ingest.schemas.BATCH_SOURCES}
-    for name, path in bronze.items():
-        ingest.ingest_source(spark, name, f"{landing_root}/{name}", path, f"{ck}/bronze/{name}")
-    out = {f"bronze.{k}": v for k, v in bronze.items()}
-
-    ship = t.silver_table("shipment_invoice_silver")
-    _with_rules(
-        spark, t, ck, "shipment_invoice_silver", silver.SHIPMENT_INVOICE_RULES,
-        lambda: silver.shipment_invoice_prepared(read_stream(spark, bronze["shipment_manifests"]), read_static(spark, bronze["invoices"])), out,
-    )
-    maint = t.silver_table("maintenance_logs_silver")
-    _with_rules(spark, t, ck, "maintenance_logs_silver", silver.MAINTENANCE_RULES,
-                lambda: silver.maintenance_logs_prepared(read_stream(spark, bronze["maintenance_logs"])), out)
-    master = t.silver_table("driver_vehicle_master_silver")
-    scd_stream.scd2_incremental(
-        spark, read_stream(spark, bronze["driver_vehicle_master"]), master,
-        f"{ck}/silver/driver_vehicle_master_silver", silver.MASTER_KEYS, silver.MASTER_SEQUENCE,
-    )
-    out.update({"silver.shipment_invoice_silver": ship, "silver.maintenance_logs_silver": maint,
-                "silver.driver_vehicle_master_silver": master})
-
-    rev = t.gold_table("daily_revenue_gold")
-    runner.run_complete(gold.daily_revenue_gold(read_stream(spark, ship)), rev, f"{ck}/gold/daily_revenue_gold")
-    card = t.gold_table("vehicle_scorecard_gold")
-    history = scd_stream.read_history(spark, master)
-    runner.run_complete(gold.vehicle_scorecard_gold(read_stream(spark, maint), history), card,
-                        f"{ck}/gold/vehicle_scorecard_gold")
-    out.update({"gold.daily_revenue_gold": rev, "gold.vehicle_scorecard_gold": card})
-    return out
-
-
-def run_stream_job(spark: SparkSession, landing_root: str, lake_root: str, checkpoint_root: str) -> dict[str, str]:
-    t = TableNames.from_session(spark, lake_root)
-    ck = checkpoint_root.rstrip("/")
-    queries = ingest.start_stream_ingestion(spark, landing_root, t.path("bronze", "").rstrip("/"), f"{ck}/bronze")
-    ingest.await_all(queries)
-    bronze = {n: t.bronze_table(n) for n in ingest.schemas.EVENT_SOURCES}
-    out = {f"bronze.{k}": v for k, v in bronze.items()}
-
-    builders = {
-        "gps_events_silver": (silver.GPS_RULES, silver.gps_events_prepared, "gps_events"),
-        "sensor_events_silver": (silver.SENSOR_RULES, silver.sensor_events_prepared, "sensor_events"),
-        "delivery_events_silver": (silver.DELIVERY_RULES, silver.delivery_events_prepared, "delivery_events"),
-    }
-    sil = {}
-    for name, (rules, prepare, src) in builders.items():
-        sil[name] = t.silver_table(name)
-        _with_rules(spark, t, ck, name, rules, lambda prepare=prepare, src=src: prepare(read_stream(spark, bronze[src])), out)
-
-    def gold_path(n):
-        out[f"gold.{n}"] = t.gold_table(n)
-        return out[f"gold.{n}"], f"{ck}/gold/{n}"
-
-    runner.run_append(gold.active_alerts_gold(read_stream(spark, sil["sensor_events_silver"])),
-                      *gold_path("active_alerts_gold"))
-    runner.run_append(gold.delivery_performance_gold(read_stream(spark, sil["delivery_events_silver"])),
-                      *gold_path("delivery_performance_gold"))
-    runner.run_complete(
-        gold.fuel_cost_efficiency_gold(read_static(spark, sil["sensor_events_silver"]), read_stream(spark, sil["gps_events_silver"])),
-        *gold_path("fuel_cost_efficiency_gold"),
-    )
-    runner.run_append(
-        gold.live_fleet_status_gold(read_stream(spark, sil["gps_events_silver"]), read_stream(spark, sil["sensor_events_silver"])),
-        *gold_path("live_fleet_status_gold"),
-    )
-    return out
+    for found in seen.values():
+        for name, n in found.items():
+            totals[name] = totals.get(name, 0) + (n or 0)
+    return totals
+
+
+class _Lake:
+    """The tables and checkpoints of one run."""
+
+    def __init__(self, spark: SparkSession, lake_root: str, checkpoint_root: str, max_files: int | None):
+        self.spark, self.max_files = spark, max_files
+        self.names = TableNames.from_session(spark, lake_root)
+        self.checkpoints = checkpoint_root.rstrip("/")
+        self.out: dict[str, str] = {}
+
+    def table(self, layer: str, name: str) -> tuple[str, str]:
+        """Path of a table and of its checkpoint; the table is listed among the job's outputs."""
+        self.out[f"{layer}.{name}"] = path = self.names.path(layer, name)
+        return path, f"{self.checkpoints}/{layer}/{name}"
+
+    def read(self, name: str, snapshot: bool) -> DataFrame:
+        layer = registry.DATASETS[name].layer if name in registry.DATASETS else "bronze"
+        path = self.names.path(layer, name)
+        if name in registry.DATASETS and registry.DATASETS[name].mode == "scd2":
+            return scd_stream.read_history(self.spark, path)
+        return read_static(self.spark, path) if snapshot else read_stream(self.spark, path, max_files=self.max_files)
+
+    def inputs(self, d: registry.Dataset) -> list[DataFrame]:
+        return [self.read(n, n in d.snapshots) for n in d.inputs]
+
+    def run(self, d: registry.Dataset) -> None:
+        path, checkpoint = self.table(d.layer, d.name)
+        if d.mode == "scd2":
+            scd_stream.scd2_incremental(self.spark, *self.inputs(d), path, checkpoint, silver.MASTER_KEYS, silver.MASTER_SEQUENCE)
+        elif d.rules is not None:
+            self.run_with_rules(d, d.rules, path, checkpoint)
+        elif d.mode == "complete":
+            runner.run_complete(d.builder(*self.inputs(d)), path, checkpoint)
+        else:
+            runner.run_append(d.builder(*self.inputs(d)), path, checkpoint)
+
+    def run_with_rules(self, d: registry.Dataset, rules: ExpectationSet, path: str, checkpoint: str) -> None:
+        """A silver table, the rows it refuses with the rules they failed, and a row of counts for each rule and
+        run; of event sources also the rows without a time, which never get to the dedup."""
+        counted = rules.observe(d.prepared(*self.inputs(d)), "rules")
+        totals = _observed(runner.run_append(rules.apply(counted), path, checkpoint, wait=False), "rules")
+        runner.run_append(rules.quarantine(d.prepared(*self.inputs(d))), *self.table("quarantine", d.name))
+        if d.inputs[0] in ingest.schemas.EVENT_SOURCES:
+            untimed = silver.EVENT_TIME_RULES.quarantine(silver.with_event_time(*self.inputs(d)))
+            runner.run_append(untimed, *self.table("quarantine", f"{d.name}_untimed"))
+        rows, failed = totals.get("total_rows", 0), {r: totals.get(f"failed__{r.name}", 0) for r in rules.rules}
+        counts = [(r.name, r.action, rows - n, n) for r, n in failed.items()]
+        report = self.spark.createDataFrame(counts, "rule string, action string, passed_rows long, failed_rows long")
+        report.coalesce(1).write.mode("append").parquet(self.table("rules", d.name)[0])
+
+    def run_job(self, job: str) -> dict[str, str]:
+        wanted = [d for d in map(registry.DATASETS.get, registry.order()) if d.job == job]
+        sources = [n for d in wanted for n in d.inputs if n not in registry.DATASETS]
+        self.out.update({f"bronze.{n}": self.names.bronze_table(n) for n in sources})
+        for d in wanted:
+            self.run(d)
+        return self.out
+
+
+def run_batch_job(
+    spark: SparkSession, landing_root: str, lake_root: str, checkpoint_root: str, max_files: int | None = MAX_FILES
+) -> dict[str, str]:
+    lake = _Lake(spark, lake_root, checkpoint_root, max_files)
+    bronze = lake.names.path("bronze", "").rstrip("/")
+    ingest.ingest_batch_sources(spark, landing_root, bronze, f"{lake.checkpoints}/bronze", max_files=max_files, rescue=True)
+    return lake.run_job("batch")
+
+
+def run_stream_job(
+    spark: SparkSession, landing_root: str, lake_root: str, checkpoint_root: str, max_files: int | None = MAX_FILES
+) -> dict[str, str]:
+    lake = _Lake(spark, lake_root, checkpoint_root, max_files)
+    bronze = lake.names.path("bronze", "").rstrip("/")
+    ingest.await_all(ingest.start_stream_ingestion(spark, landing_root, bronze, f"{lake.checkpoints}/bronze", max_files=max_files, rescue=True))
+    return lake.run_job("stream")

@@ -68,7 +68,7 @@ GPS = f"""gps AS (
   SELECT 'gps' AS event_type, {TRIP_ID} AS trip_id, user_id AS vehicle_id, 'D' || CAST(user_id AS VARCHAR) AS driver_id,
          {ISO} AS timestamp, 7.5 + value / 8 AS lat, 68.0 + value / 4 AS lon, value AS speed_kmph,
          props AS heading, value AS distance_traveled_km, {ROUTE_OF} AS route_name, ts AS event_timestamp
-  FROM events WHERE event_type = 'view')"""
+  FROM events WHERE event_type = 'view' AND ts IS NOT NULL)"""
 
 GPS_RULES = [
     ("valid_latitude", "drop", f"lat BETWEEN {K.LAT_RANGE[0]} AND {K.LAT_RANGE[1]}"),
@@ -85,7 +85,7 @@ SENSOR = f"""sensor AS (
          CASE WHEN user_id % 2 = 1 THEN value / 2 - 30 END AS cargo_temp_c,
          CASE WHEN value > 120 THEN 'engine_overheat' WHEN value < 2 THEN 'fuel_drop' END AS anomaly_flag,
          ts AS event_timestamp
-  FROM events WHERE event_type = 'click')"""
+  FROM events WHERE event_type = 'click' AND ts IS NOT NULL)"""
 
 SENSOR_RULES = [
     ("valid_engine_temp", f"engine_temp_c BETWEEN {K.ENGINE_TEMP_RANGE[0]} AND {K.ENGINE_TEMP_RANGE[1]}"),
@@ -102,7 +102,7 @@ _STATES = ", ".join(f"'{s}'" for s in K.DELIVERY_STATE_ORDER)
 DELIVERY = f"""delivery AS (
   SELECT 'delivery' AS event_type, {TRIP_ID} AS trip_id, user_id AS vehicle_id, {ISO} AS timestamp,
          {_STATUS} AS status, {_case_pick(CITY_NAMES, '(user_id % 5)')} AS location_city, ts AS event_timestamp
-  FROM events)"""
+  FROM events WHERE ts IS NOT NULL)"""
 DELIVERY_SILVER = f"""delivery_silver AS (
   SELECT event_type, trip_id, vehicle_id, timestamp, status, location_city, event_timestamp, {_ORDER} AS status_order
   FROM delivery WHERE coalesce(status IN ({_STATES}), false))"""
@@ -378,6 +378,9 @@ FROM (SELECT DISTINCT trip_id, route_name FROM gps_silver) t LEFT JOIN eta e ON
 }
 
 
+BATCH_SQL["event_time_quarantine"] = with_(GPS) + """SELECT event_type, trip_id, vehicle_id, driver_id, 'at ' || timestamp AS timestamp,
+       lat, lon, speed_kmph, heading, distance_traveled_km, route_name, 'valid_event_time' AS failed_rules
+FROM gps WHERE lat < 8"""
 BATCH_SQL["vehicle_scorecard_history"] = BATCH_SQL["vehicle_scorecard"]
 
 

@@ -3,8 +3,9 @@
 The source pipeline declares each silver/gold table with a decorator and lets
 a runtime order them by the tables they read. Here the same facts are data:
 ``DATASETS`` lists every dataset with the datasets it reads, ``order()``
-returns a dependency order, and ``build()`` composes the builders over
-whatever inputs (static or streaming DataFrames) the caller provides.
+returns a dependency order, ``build()`` composes the builders over
+whatever inputs (static or streaming DataFrames) the caller provides, and
+``plans.jobs`` runs them through stored tables.
 """
 
 from __future__ import annotations
@@ -14,48 +15,66 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from fleetspark.operators.expectations import ExpectationSet
 from fleetspark.plans import gold, silver
 
 
 @dataclass(frozen=True)
 class Dataset:
+    """``mode``: "append" (stateless or watermarked), "complete" (unbounded aggregate) or "scd2" (versions).
+    ``snapshots``: the inputs that a stream reads as they stand (the static side of its joins).
+    ``rules`` and ``prepared``: the rule set and the rows it is applied to, where the builder applies one."""
+
     name: str
     builder: Callable[..., DataFrame]
     inputs: tuple[str, ...]
-    mode: str  # "append" (stateless / watermarked) or "complete" (unbounded aggregate)
+    mode: str
     comment: str
+    job: str
+    snapshots: tuple[str, ...] = ()
+    rules: ExpectationSet | None = None
+    prepared: Callable[..., DataFrame] | None = None
+
+    @property
+    def layer(self) -> str:
+        return self.name.rsplit("_", 1)[1]
 
 
 DATASETS: dict[str, Dataset] = {
     d.name: d
     for d in [
         Dataset("gps_events_silver", silver.gps_events_silver, ("gps_events",), "append",
-                "Position pings within bounds, one per trip and time."),
+                "Position pings within bounds, one per trip and time.", "stream",
+                rules=silver.GPS_RULES, prepared=silver.gps_events_prepared),
         Dataset("sensor_events_silver", silver.sensor_events_silver, ("sensor_events",), "append",
-                "Sensor readings within bounds, one per trip and time, anomalies flagged."),
+                "Sensor readings within bounds, one per trip and time, anomalies flagged.", "stream",
+                rules=silver.SENSOR_RULES, prepared=silver.sensor_events_prepared),
         Dataset("delivery_events_silver", silver.delivery_events_silver, ("delivery_events",), "append",
-                "Delivery updates with a known status and its rank."),
+                "Delivery updates with a known status and its rank.", "stream",
+                rules=silver.DELIVERY_RULES, prepared=silver.delivery_events_prepared),
         Dataset("shipment_invoice_silver", silver.shipment_invoice_silver, ("shipment_manifests", "invoices"), "append",
-                "Every manifest with its invoices, if any."),
+                "Every manifest with its invoices, if any.", "batch", ("invoices",),
+                silver.SHIPMENT_INVOICE_RULES, silver.shipment_invoice_prepared),
         Dataset("maintenance_logs_silver", silver.maintenance_logs_silver, ("maintenance_logs",), "append",
-                "Service records with trimmed texts and positive figures."),
-        Dataset("driver_vehicle_master_silver", silver.driver_vehicle_master_silver, ("driver_vehicle_master",), "complete",
-                "Versions of each vehicle's assignment from its snapshots."),
+                "Service records with trimmed texts and positive figures.", "batch",
+                rules=silver.MAINTENANCE_RULES, prepared=silver.maintenance_logs_prepared),
+        Dataset("driver_vehicle_master_silver", silver.driver_vehicle_master_silver, ("driver_vehicle_master",), "scd2",
+                "Versions of each vehicle's assignment from its snapshots.", "batch"),
         Dataset("daily_revenue_gold", gold.daily_revenue_gold, ("shipment_invoice_silver",), "complete",
-                "Invoiced amounts summed by day, route and priority."),
+                "Invoiced amounts summed by day, route and priority.", "batch"),
         Dataset("vehicle_scorecard_gold", gold.vehicle_scorecard_gold,
                 ("maintenance_logs_silver", "driver_vehicle_master_silver"), "complete",
-                "Service cost and count of each vehicle beside who drives it now."),
+                "Service cost and count of each vehicle beside who drives it now.", "batch", ("driver_vehicle_master_silver",)),
         Dataset("active_alerts_gold", gold.active_alerts_gold, ("sensor_events_silver",), "append",
-                "Readings that carry an anomaly flag."),
+                "Readings that carry an anomaly flag.", "stream"),
         Dataset("delivery_performance_gold", gold.delivery_performance_gold, ("delivery_events_silver",), "append",
-                "Delivery updates per hour and status."),
+                "Delivery updates per hour and status.", "stream"),
         Dataset("fuel_cost_efficiency_gold", gold.fuel_cost_efficiency_gold,
                 ("sensor_events_silver", "gps_events_silver"), "complete",
-                "Per-trip fuel and distance extremes from sensor + GPS data."),
+                "Per-trip fuel and distance extremes from sensor + GPS data.", "stream", ("sensor_events_silver",)),
         Dataset("live_fleet_status_gold", gold.live_fleet_status_gold,
                 ("gps_events_silver", "sensor_events_silver"), "append",
-                "Fleet position + health: pings joined to readings within the time bound."),
+                "Fleet position + health: pings joined to readings within the time bound.", "stream"),
     ]
 }
 

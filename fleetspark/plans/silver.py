@@ -67,9 +67,18 @@ INVOICE_COLS = ["invoice_id", "amount_inr", "payment_status"]
 EVENT_KEY = ["trip_id", "event_timestamp"]
 
 
+# Ahead of the dedup: there, rows without a time would all be twins of each other.
+EVENT_TIME_RULES = ExpectationSet([expect_or_drop("valid_event_time", "event_timestamp IS NOT NULL")])
+
+
+def with_event_time(bronze: DataFrame) -> DataFrame:
+    return bronze.withColumn("event_timestamp", S.parse_event_time("timestamp"))
+
+
 def _event_prepared(bronze: DataFrame, watermark: str | None, **derived: Column) -> DataFrame:
-    """An event source before its rules: parsed event time, derived columns, watermark, one row per trip and time."""
-    events = bronze.withColumns({"event_timestamp": S.parse_event_time("timestamp"), **derived})
+    """An event source before its rules: parsed event time, derived columns, watermark, one row per trip and time.
+    Rows whose time can't be parsed are left to ``EVENT_TIME_RULES.quarantine(with_event_time(...))``."""
+    events = EVENT_TIME_RULES.apply(with_event_time(bronze)).withColumns(derived)
     if watermark:
         events = events.withWatermark("event_timestamp", watermark)
     return dedup_within_watermark(events, EVENT_KEY)

@@ -11,7 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetspark.plans import gold, oracle, silver
+from pyspark.sql.types import StructType
+
+from fleetspark import schemas
+from fleetspark.plans import gold, jobs, oracle, silver
 from fleetspark.plans import standins as T
 from fleetspark.plans.catalog import LIVE_BOUND_SECONDS, ntz, rounded
 from fleetspark.session import fresh_dir
@@ -170,7 +173,103 @@ def q_bronze_stream_counts(spark, d):
     return ingest.table_counts(spark, {n: f"{bronze}/{n}" for n in producers}, tolerate_missing=False)
 
 
+# --- M1-M4, A6: the batch sources under their declared schemas --------------------------
+#: Blanks at the ends of values are data.
+CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+PRODUCERS = {
+    "shipment_manifests": ("orders", T.manifests), "invoices": ("lineitem", T.invoices),
+    "maintenance_logs": ("lineitem", T.maintenance_logs), "driver_vehicle_master": ("events", T.master_snapshots),
+    "gps_events": ("events", T.gps_events), "sensor_events": ("events", T.sensor_events),
+    "delivery_events": ("events", T.delivery_events),
+}
+
+
+def _land(spark, d, root, names):
+    """Files of the named sources, with their declared columns and types, as their producers drop them."""
+    for name in names:
+        table_name, adapt = PRODUCERS[name]
+        rows = adapt(T.table(spark, d, table_name))
+        rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.schema(name).fields])
+        w = rows.write.mode("append").format(schemas.SOURCE_FORMAT[name])
+        (w.options(**CSV_WRITE) if schemas.SOURCE_FORMAT[name] == "csv" else w).save(f"{root}/{name}")
+
+
+def _bronze_of(name):
+    def q(spark, d):
+        root, bronze, ckpt = (fresh_dir(spark, f"{name}-{part}") for part in ("landing", "bronze", "ckpt"))
+        _land(spark, d, root, [name])
+        found = ingest.ingest_batch_sources(spark, root, bronze, ckpt, [name])[name]
+        return spark.read.parquet(found).drop("_ingested_at", "_source_file")
+
+    return q
+
+
+# --- O4 in ingestion: unknown fields and broken records are kept -------------------------
+def q_bronze_rescue_ingest(spark, d):
+    """Events as JSON, read with a schema that lacks value and props; records of errors are cut off."""
+    ev = T.table(spark, d, "events")
+    root, bronze, ckpt = (fresh_dir(spark, f"rescue-{part}") for part in ("landing", "bronze", "ckpt"))
+    whole = F.to_json(F.struct("event_id", "user_id", "event_type", "value", "props"))
+    cut = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"))
+    ev.select(F.when(F.col("event_type") == "error", cut).otherwise(whole).alias("value")).write.text(root)
+    known = StructType.fromDDL("event_id long, user_id long, event_type string")
+    ingest.ingest_source(spark, "events", root, bronze, ckpt, fmt="json", schema=known, rescue=True)
+    return spark.read.parquet(bronze).select(
+        "event_id", "user_id", "event_type", F.get_json_object("_rescued_data", "$.value").cast("double").alias("rescued_value"),
+        F.get_json_object("_rescued_data", "$.props").alias("rescued_props"), F.col("_corrupt_record").alias("corrupt"),
+    )
+
+
+# --- A11, A12: landing files read back without a schema ----------------------------------
+def _read_back(name):
+    def q(spark, d):
+        root = fresh_dir(spark, f"readback-{name}")
+        _land(spark, d, root, [name])
+        return ingest.read_landing_batch(spark, f"{root}/{name}", schemas.SOURCE_FORMAT[name])
+
+    return q
+
+
+# --- A9, A10, A14, A15: whole jobs through named tables ----------------------------------
+def _job(spark, d, run, names):
+    root, lake, ckpt = (fresh_dir(spark, f"job-{part}") for part in ("landing", "lake", "ckpt"))
+    _land(spark, d, root, names)
+    return run(spark, root, lake, ckpt)
+
+
+def q_batch_job_revenue(spark, d):
+    out = _job(spark, d, jobs.run_batch_job, schemas.BATCH_SOURCES)
+    return rounded(runner.read_complete(spark, out["gold.daily_revenue_gold"]), "revenue")
+
+
+def q_batch_job_rules(spark, d):
+    """Counts of the rules and number of rows kept aside, of both silver tables with rules."""
+    out = _job(spark, d, jobs.run_batch_job, schemas.BATCH_SOURCES)
+    parts = []
+    for name in ("shipment_invoice_silver", "maintenance_logs_silver"):
+        kept = spark.read.parquet(out[f"quarantine.{name}"]).agg(F.count(F.lit(1)).alias("quarantined_rows"))
+        counts = spark.read.parquet(out[f"rules.{name}"])
+        parts.append(counts.select(F.lit(name).alias("dataset"), "*", kept.scalar().alias("quarantined_rows")))
+    return parts[0].unionByName(parts[1])
+
+
+def q_stream_job_delivery(spark, d):
+    out = _job(spark, d, jobs.run_stream_job, schemas.EVENT_SOURCES)
+    return ntz(spark.read.parquet(out["gold.delivery_performance_gold"]))
+
+
 STREAM_QUERIES = {
+    "bronze_manifests": _bronze_of("shipment_manifests"),
+    "bronze_invoices": _bronze_of("invoices"),
+    "bronze_maintenance": _bronze_of("maintenance_logs"),
+    "bronze_master": _bronze_of("driver_vehicle_master"),
+    "bronze_rescue_ingest": q_bronze_rescue_ingest,
+    "landing_json_inferred": _read_back("delivery_events"),
+    "landing_csv_strings": _read_back("maintenance_logs"),
+    "batch_job_revenue": q_batch_job_revenue,
+    "batch_job_rules": q_batch_job_rules,
+    "stream_job_delivery": q_stream_job_delivery,
     "gps_dedup_stream": q_gps_dedup_stream,
     "delivery_performance_stream": q_delivery_performance_stream,
     "shipment_invoice_stream": q_shipment_invoice_stream,
@@ -187,7 +286,32 @@ STREAM_QUERIES = {
 }
 
 B = oracle.BATCH_SQL
+_SHIP_FAILS = "SELECT count(*) FROM joined WHERE NOT (" + oracle.SHIP_OK + ")"
+_MAINT_FAILS = "SELECT count(*) FROM maint WHERE NOT (coalesce(cost_inr > 0, false) AND coalesce(odometer_km > 0, false))"
 STREAM_SQL = {
+    "bronze_manifests": oracle.with_(oracle.MANIFESTS)
+    + """SELECT * REPLACE (CAST(manifest_id AS VARCHAR) AS manifest_id, CAST(vehicle_id AS VARCHAR) AS vehicle_id),
+       'shipment_manifests' AS _source_name FROM manifests""",
+    "bronze_invoices": oracle.with_(oracle.INVOICES)
+    + "SELECT * REPLACE (CAST(manifest_id AS VARCHAR) AS manifest_id), 'invoices' AS _source_name FROM invoices",
+    "bronze_maintenance": oracle.with_(oracle.MAINT)
+    + "SELECT * REPLACE (CAST(vehicle_id AS VARCHAR) AS vehicle_id), 'maintenance_logs' AS _source_name FROM maint",
+    "bronze_master": oracle.with_(oracle.MASTER)
+    + "SELECT * REPLACE (CAST(vehicle_id AS VARCHAR) AS vehicle_id), 'driver_vehicle_master' AS _source_name FROM master",
+    "bronze_rescue_ingest": """SELECT CASE WHEN ok THEN event_id END AS event_id, CASE WHEN ok THEN user_id END AS user_id,
+       CASE WHEN ok THEN event_type END AS event_type, CASE WHEN ok THEN value END AS rescued_value,
+       CASE WHEN ok THEN props END AS rescued_props, CASE WHEN NOT ok THEN '{"event_id":' || event_id END AS corrupt
+FROM (SELECT *, event_type IS DISTINCT FROM 'error' AS ok FROM events)""",
+    "landing_json_inferred": oracle.with_(oracle.DELIVERY.replace(" WHERE ts IS NOT NULL", ""))
+    + "SELECT * EXCLUDE (event_timestamp) REPLACE (CAST(vehicle_id AS VARCHAR) AS vehicle_id) FROM delivery",
+    "landing_csv_strings": oracle.with_(oracle.MAINT)
+    + "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM maint",
+    "batch_job_revenue": B["daily_revenue"],
+    "batch_job_rules": oracle.with_(oracle.MANIFESTS, oracle.INVOICES, oracle.JOINED, oracle.MAINT)
+    + f"""SELECT 'shipment_invoice_silver' AS dataset, r.*, ({_SHIP_FAILS}) AS quarantined_rows
+FROM ({oracle._report([*oracle.SHIP_RULES], 'joined')}) r
+UNION ALL SELECT 'maintenance_logs_silver', r.*, ({_MAINT_FAILS})
+FROM ({oracle._report([('valid_cost', 'drop', 'cost_inr > 0'), ('valid_odometer_km', 'drop', 'odometer_km > 0')], 'maint')}) r""",
     "gps_dedup_stream": B["gps_silver"],
     "delivery_performance_stream": oracle.with_(oracle.DELIVERY, oracle.DELIVERY_SILVER)
     + """SELECT date_trunc('hour', event_timestamp) AS window_start,
@@ -220,3 +344,4 @@ WHERE event_timestamp <= least((SELECT max(ts) FROM events WHERE event_type = 'v
 UNION ALL SELECT 'sensor_events', count(*) FROM events WHERE event_type = 'click'
 UNION ALL SELECT 'delivery_events', count(*) FROM events""",
 }
+STREAM_SQL["stream_job_delivery"] = STREAM_SQL["delivery_performance_stream"]

@@ -117,18 +117,24 @@ def ingest_source(
     return q
 
 
+def _bound(max_files: int | None) -> dict[str, str]:
+    return {"maxFilesPerTrigger": str(max_files)} if max_files else {}
+
+
 def ingest_batch_sources(
     spark: SparkSession,
     landing_root: str,
     bronze_root: str,
     checkpoint_root: str,
     sources: Iterable[str] = schemas.BATCH_SOURCES,
+    max_files: int | None = None,
+    rescue: bool = False,
 ) -> dict[str, str]:
     """The batch sources one after another; returns source -> table path."""
     out = {}
     for name in sources:
         table = f"{bronze_root}/{name}"
-        ingest_source(spark, name, f"{landing_root}/{name}", table, f"{checkpoint_root}/{name}")
+        ingest_source(spark, name, f"{landing_root}/{name}", table, f"{checkpoint_root}/{name}", options=_bound(max_files), rescue=rescue)
         out[name] = table
     return out
 
@@ -139,6 +145,8 @@ def start_stream_ingestion(
     bronze_root: str,
     checkpoint_root: str,
     sources: Iterable[str] = schemas.EVENT_SOURCES,
+    max_files: int | None = None,
+    rescue: bool = False,
 ) -> dict[str, StreamingQuery]:
     """The event sources as concurrent queries named ``bronze_<source>``.
     Callers wait with ``await_all`` before reading the tables (unlike the
@@ -146,7 +154,7 @@ def start_stream_ingestion(
     return {
         name: ingest_source(
             spark, name, f"{landing_root}/{name}", f"{bronze_root}/{name}", f"{checkpoint_root}/{name}",
-            query_name=f"bronze_{name}", wait=False,
+            query_name=f"bronze_{name}", wait=False, options=_bound(max_files), rescue=rescue,
         )
         for name in sources
     }
