@@ -18,8 +18,8 @@ Semantics:
   the full snapshot set (see ``streaming.scd_stream`` for the incremental form).
 
 Plan: one hash aggregate on (key, sequence) for the duplicate rule (map-side
-partial, the sequence splits a hot key), then the chunked neighbour helper
-twice (previous tracked value, next change point) -- partitioned by
+partial, the sequence splits a hot key), then change detection inside chunks
+and one summary of the chunks across them -- partitioned by
 (key, chunk of the sequence), never by the key alone.
 """
 
@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetspark.operators.sequence import CHUNK, KEY, default_chunk, partition_by_key_and_chunk, with_neighbor
@@ -68,7 +68,7 @@ def scd2(
     """K1: version history. Output = input columns + ``__START_AT``, ``__END_AT``.
 
     One shuffle of the snapshot rows, by (key, chunk of the sequence): the
-    duplicate rule, both neighbour passes and their joins all run on that
+    duplicate rule, the windows and the join with the summary all run on that
     partitioning; only per-(key, chunk) summaries move after it.
     """
     keys = list(keys)
@@ -92,15 +92,38 @@ def scd2(
         # snapshot differs from the previous one: each row opens a version.
         changes = rows
     else:
-        tval = F.struct(*[F.col(c) for c in tracked]) if tracked else F.lit(True)
-        rows = with_neighbor(rows, keys, [sequence_by], tval, "_prev_t", "prev", keep_partitioning=True)
-        # The first row of a key has no previous row (NULL); tracked structs are
-        # never NULL themselves, so "_prev_t IS NULL" marks it.
-        changes = rows.where(F.col("_prev_t").isNull() | ~tval.eqNullSafe(F.col("_prev_t"))).drop("_prev_t")
+        return _changes_only(rows, sequence_by, tracked).select(*cols, START_AT, END_AT)
     hist = with_neighbor(changes, keys, [sequence_by], F.col(sequence_by), END_AT, "next")
     return hist.withColumn(START_AT, F.col(sequence_by)).select(*cols, START_AT, END_AT)
 
 
+def _changes_only(rows: DataFrame, sequence_by: str, tracked: Sequence[str]) -> DataFrame:
+    """The rows that open a version, with its start and end, from rows partitioned by (key, chunk) that are unique
+    per key and sequence.
+
+    Inside a chunk the previous row tells a change. One summary of the chunks -- first and last tracked value,
+    first change inside -- tells whether a chunk's first row is one, and where the next chunk with a change
+    begins its versions; it is joined once and serves both."""
+    w = Window.partitionBy(KEY, CHUNK).orderBy(sequence_by)
+    chunks = Window.partitionBy(KEY).orderBy(CHUNK)
+    later = Window.partitionBy(KEY).orderBy(F.desc(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
+    # structs around the values: NULL means "no such row", not "a NULL value"
+    value = F.struct(F.struct(*[F.col(c) for c in tracked]).alias("v")) if tracked else F.struct(F.lit(True).alias("v"))
+    d = rows.withColumn("_t", value).withColumn("_prev", F.lag("_t").over(w))
+    inside = F.col("_prev").isNotNull() & ~F.col("_t").eqNullSafe(F.col("_prev"))
+    seq = F.col(sequence_by)
+    edges = d.groupBy(KEY, CHUNK).agg(
+        F.min(seq).alias("_first_at"), F.min_by("_t", seq).alias("_first"), F.max_by("_t", seq).alias("_last"),
+        F.min(F.when(inside, seq)).alias("_inside_at"),
+    )
+    before = F.lag("_last").over(chunks)
+    edges = edges.withColumn("_opens", F.coalesce(~F.col("_first").eqNullSafe(before), F.lit(True)))
+    edges = edges.withColumn("_change_at", F.when(F.col("_opens"), F.col("_first_at")).otherwise(F.col("_inside_at")))
+    edges = edges.select(KEY, CHUNK, "_opens", F.last("_change_at", ignorenulls=True).over(later).alias("_next_at"))
+    changes = d.join(edges, [KEY, CHUNK]).where(inside | (F.col("_prev").isNull() & F.col("_opens")))
+    return changes.withColumn(START_AT, seq).withColumn(END_AT, F.coalesce(F.lead(sequence_by).over(w), "_next_at"))
+
+
 def current_versions(history: DataFrame) -> DataFrame:
     """K2: the open version of every key."""
     return history.where(F.col(END_AT).isNull())

@@ -147,8 +147,12 @@ def with_neighbor(
         edge_val = F.max_by("_nv", F.when(has_v, ordering))
     else:
         if ignore_nulls:
-            inner = F.first("_nv", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
-            across = F.first("_edge_v", ignorenulls=True).over(ws.rowsBetween(1, Window.unboundedFollowing))
+            # A fill against the order: frames that end before the row grow by one row a step, while Spark
+            # recomputes frames that start after it for every row.
+            back = Window.partitionBy(KEY, CHUNK).orderBy(*[F.desc(c) for c in order])
+            back_s = Window.partitionBy(KEY).orderBy(F.desc(CHUNK))
+            inner = F.last("_nv", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
+            across = F.last("_edge_v", ignorenulls=True).over(back_s.rowsBetween(Window.unboundedPreceding, -1))
         else:
             inner = F.lead("_nv").over(w)
             across = F.lead("_edge_v").over(ws)

@@ -80,3 +80,43 @@ def test_stream_expectation_metrics(spark, tmp_path):
     assert metrics and metrics[0]["total_rows"] == 2
     assert metrics[0]["failed__valid_latitude"] == 1 and metrics[0]["failed__has_trip_id"] == 1
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_row_security_from_configuration(spark):
+    df = spark.createDataFrame([(1, "A"), (2, "B"), (3, None)], "id int, route string")
+    grants = [("p", "A"), ("p", "A"), ("q", "B")]
+    assert rows(governance.restrict_rows_to(df, grants, "p", "route"), "id") == [(1,)]
+    assert rows(governance.restrict_rows_to(df, grants, "nobody", "route"), "id") == []
+
+
+def test_ingest_keeps_unknown_fields_and_broken_records(spark, tmp_path):
+    land = tmp_path / "land"
+    land.mkdir()
+    lines = [{"a": 1, "b": "x"}, {"a": 2, "new": {"q": [1, 2]}}, {"a": "no number", "t": "2026-05-01T10:00:00Z", "f": True}]
+    (land / "a.json").write_text("\n".join(map(json.dumps, lines)) + "\n\n{\"a\": 3, \n")
+    ddl = schema_from("a int, b string, t timestamp, f boolean, l array<int>")
+    q = ingest.ingest_source(spark, "x", str(land), str(tmp_path / "out"), str(tmp_path / "ck"), "json", ddl, rescue=True)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.columns == ["a", "b", "t", "f", "l", "_rescued_data", "_corrupt_record", "_ingested_at", "_source_file", "_source_name"]
+    found = [(r["a"], r["b"], r["f"], r["_rescued_data"], r["_corrupt_record"]) for r in got.collect()]
+    assert sorted(found, key=repr) == sorted([
+        (1, "x", None, None, None), (2, None, None, json.dumps({"new": json.dumps({"q": [1, 2]}, separators=(",", ":"))}, separators=(",", ":")), None),
+        (None, None, True, None, None), (None, None, None, None, '{"a": 3, ')], key=repr)
+    assert got.where("_source_file is null").isEmpty() and q.exception() is None
+
+
+def test_csv_ingest_keeps_broken_records(spark, tmp_path):
+    land = tmp_path / "land"
+    land.mkdir()
+    (land / "a.csv").write_text("a,b\n1,x\nfive,y\n")
+    ingest.ingest_source(spark, "x", str(land), str(tmp_path / "out"), str(tmp_path / "ck"), "csv", schema_from("a int, b string"), rescue=True)
+    assert rows(spark.read.parquet(str(tmp_path / "out")), "a", "b", "_corrupt_record", "_rescued_data") == [
+        (1, "x", None, None), (None, "y", "five,y", None)]
+
+
+def test_rows_without_a_time_are_kept_aside_not_merged(spark):
+    bronze = spark.createDataFrame([("T", "soon", 1.0), ("T", "later", 2.0), ("T", None, 3.0), ("T", "2026-05-01T10:00:00Z", 4.0)],
+                                   "trip_id string, timestamp string, lat double")
+    assert rows(silver.gps_events_prepared(bronze), "lat") == [(4.0,)]
+    aside = silver.EVENT_TIME_RULES.quarantine(silver.with_event_time(bronze))
+    assert rows(aside, "lat", "_failed_rules") == [(x, ["valid_event_time"]) for x in (1.0, 2.0, 3.0)]

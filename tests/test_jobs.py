@@ -72,3 +72,31 @@ def test_stream_job_end_to_end(spark, tmp_path):
     assert len(fuel) == 1 and fuel[0]["estimated_fuel_consumed_litres"] == 25.0 and fuel[0]["estimated_distance_km"] == 25.0
     live = spark.read.parquet(out["gold.live_fleet_status_gold"]).count()
     assert live == 6                                                                   # each ping meets the reading 10 s later
+
+
+def test_backlog_in_many_micro_batches_with_late_and_untimed_rows(spark, tmp_path):
+    """Five files, one a micro-batch: the counts cover all of them, a ping later than the watermark is left out, a
+    repeated one too, and rows without a time are kept aside."""
+    land = str(tmp_path / "landing")
+    ping = lambda stamp, lat=19.0: {
+        "event_type": "gps", "trip_id": "T1", "vehicle_id": "V1", "driver_id": "D1", "timestamp": stamp, "lat": lat, "lon": 73.0,
+        "speed_kmph": 50.0, "heading": "N", "distance_traveled_km": 1.0, "route_name": "R"}
+    at = lambda h, m: f"2026-05-01T{h:02d}:{m:02d}:00+00:00"
+    files = [[ping(at(10, 0)), ping(at(10, 1), 90.0)], [ping(at(10, 1)), ping("never")], [ping(at(12, 0))],
+             [ping(at(12, 1)), ping("never"), ping(at(12, 0))], [ping(at(10, 30)), ping(at(12, 2))]]
+    for i, recs in enumerate(files):
+        name = f"f{i}.json"
+        _lines(f"{land}/gps_events", name, recs)
+        os.utime(f"{land}/gps_events/{name}", (1_700_000_000 + i, 1_700_000_000 + i))
+    for source, rec in [("sensor_events", {"event_type": "sensor", "trip_id": "T1", "vehicle_id": "V1", "timestamp": at(10, 0),
+                                           "engine_temp_c": 90.0, "fuel_level_litres": 1.0}),
+                        ("delivery_events", {"event_type": "delivery", "trip_id": "T1", "vehicle_id": "V1", "timestamp": at(10, 0),
+                                             "status": "picked_up", "location_city": "Pune"})]:
+        _lines(f"{land}/{source}", "f.json", [rec])
+    out = jobs.run_stream_job(spark, land, str(tmp_path / "lake"), str(tmp_path / "ck"), max_files=1)
+    times = [t.strftime("%H:%M") for (t,) in rows(spark.read.parquet(out["silver.gps_events_silver"]), "event_timestamp")]
+    # the invalid twin of 10:01 came first, so the dedup kept that one; 10:30 came when the watermark was past it
+    assert times == ["10:00", "12:00", "12:01", "12:02"]
+    assert spark.read.parquet(out["quarantine.gps_events_silver_untimed"]).count() == 2
+    counts = {r["rule"]: (r["passed_rows"], r["failed_rows"]) for r in spark.read.parquet(out["rules.gps_events_silver"]).collect()}
+    assert counts["valid_latitude"] == (4, 1) and counts["has_trip_id"] == (5, 0)
