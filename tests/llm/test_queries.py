@@ -40,3 +40,17 @@ def test_pipeline_stages_take_effect(spark, sf_small):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf_small).count() == 0
+
+
+def test_pipeline_keeps_clean_documents_without_an_id(spark, sf_small):
+    """NULL ids, sources and langs, NULL and empty texts: what the rules allow goes through all filtering stages."""
+    words = [f"clean{i}" for i in range(120)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, kept_id string"
+    rows = [(None, " ".join(words), None, None, None, "x"), (None, " ".join(reversed(words)), "en", "a", 1, None), (7, " ".join(f"own{w}" for w in words), None, None, 0, "x"),
+            (8, " ".join(f"own{w}" for w in words), None, None, 0, "x"), (1, None, "en", "a", 0, "x"), (2, "", "en", "a", 0, "x")]
+    docs = spark.createDataFrame(rows, schema)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_small)
+    assert sorted(docs.select("doc_id", "text").collect(), key=repr) == sorted([(None, rows[0][1]), (None, rows[1][1]), (7, rows[2][1])], key=repr)
+    packed = corpus_pipeline.packing_stage(spark, docs, sf_small)
+    assert packed.count() == 3
