@@ -18,10 +18,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetspark.operators.sequence import default_chunk, partition_by_key_and_chunk, with_neighbor
+from fleetspark.operators.sequence import CHUNK, KEY, partition_by_key_and_chunk
 
 
 def _prefixed(alias: str, cols: Sequence[str]) -> list[Column]:
@@ -119,14 +119,15 @@ def nearest_within(
     left_cols: Sequence[str],
     right_cols: Sequence[str],
     right_ts_name: str = "reading_timestamp",
-    split_rows: int | None = 1_000_000,
+    chunk_seconds: int = 600,
 ) -> DataFrame:
     """C5 in batch: every left row with the right row of the same keys nearest in time, if one lies within the
     bound (inclusive); of two as near the earlier one, of two at one time the greatest. NULL keys or times never
     match.
 
     No pairs: both sides are stacked, and the last right row at or before, and the first one after, a left row are
-    carried to it by the neighbour helper -- one shuffle of the rows by (key, chunk of time)."""
+    carried to it -- one shuffle of the rows by (key, chunk of ``chunk_seconds``), so that neither a key nor its
+    history is one task. Times of the left and right side are of one type, and the right columns can be ordered."""
     if bound_seconds <= 0:
         raise ValueError("bound_seconds must be positive")
     hit = F.struct(F.col(right_ts).alias(right_ts_name), F.struct(*[F.col(c) for c in right_cols]).alias("row"))
@@ -136,14 +137,19 @@ def nearest_within(
     both = r.unionByName(l, allowMissingColumns=True)
     # right rows before left rows of the same time: "prev" is at or before, "next" is after
     order, value = ["_t", "_side", "_hit"], F.col("_hit")
-    both = partition_by_key_and_chunk(both, keys, default_chunk(both, "_t"), "_t", split_rows)
-    both = with_neighbor(both, keys, order, value, "_before", "prev", ignore_nulls=True, keep_partitioning=True)
-    both = with_neighbor(both, keys, order, value, "_after", "next", ignore_nulls=True)
+    both = partition_by_key_and_chunk(both, keys, F.floor(F.unix_seconds(F.col("_t").cast("timestamp")) / chunk_seconds))
+    before, after = Window.partitionBy(KEY, CHUNK).orderBy("_t", "_side", "_hit"), Window.partitionBy(KEY, CHUNK).orderBy(*map(F.desc, ("_t", "_side", "_hit")))
+    earlier, later = Window.partitionBy(KEY).orderBy(CHUNK), Window.partitionBy(KEY).orderBy(F.desc(CHUNK))
+    so_far = lambda c, w: F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    # one summary of the chunks, with their first and last right rows, carries both ways across them
+    edges = both.groupBy(KEY, CHUNK).agg(F.min("_hit").alias("_first"), F.max("_hit").alias("_last"))
+    edges = edges.select(KEY, CHUNK, so_far("_last", earlier).alias("_chunk_before"), so_far("_first", later).alias("_chunk_after"))
+    both = both.withColumn("_before", so_far("_hit", before)).withColumn("_after", so_far("_hit", after)).where("_side = 1").join(edges, [KEY, CHUNK])
+    both = both.withColumn("_before", F.coalesce("_before", "_chunk_before")).withColumn("_after", F.coalesce("_after", "_chunk_after"))
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     back, ahead = micros("_t") - micros(f"_before.{right_ts_name}"), micros(f"_after.{right_ts_name}") - micros("_t")
-    earlier = ahead.isNull() | (back <= ahead)
-    nearest = both.where("_side = 1").select(
-        "_left", F.when(earlier, F.col("_before")).otherwise(F.col("_after")).alias("_best"), F.least(back, ahead).alias("_gap")
+    nearest = both.select(
+        "_left", F.when(ahead.isNull() | (back <= ahead), F.col("_before")).otherwise(F.col("_after")).alias("_best"), F.least(back, ahead).alias("_gap")
     )
     return nearest.where(F.col("_gap") <= bound_seconds * 1_000_000).select(
         *[F.col(f"_left.{c}").alias(c) for c in left_cols], F.col(f"_best.{right_ts_name}"), *[F.col(f"_best.row.{c}").alias(c) for c in right_cols]

@@ -91,8 +91,8 @@ def test_nearest_matches_all_pairs_for_any_split(spark):
     for k, t, i in left:
         near = [(abs((t - u).total_seconds()), u, j) for q, u, j in right if k and t and q == k and abs((t - u).total_seconds()) <= 20]
         want += [(i, min(near)[2])] if near else []
-    for split in (None, 10):
-        got = joins.nearest_within(l, r, ["k"], "t", "t", 20, ["i"], ["r"], split_rows=split)
+    for chunk in (1, 30, 600):
+        got = joins.nearest_within(l, r, ["k"], "t", "t", 20, ["i"], ["r"], chunk_seconds=chunk)
         assert sorted((x["i"], x["r"]) for x in got.collect()) == sorted(want)
 
 
