@@ -8,8 +8,15 @@ siblings that score a fifth of it or are link-poor paragraphs; if it lies in
 an ``article`` (else ``main``) element, that element is kept whole.
 
 Left out wherever they stand: scripts, styles, forms, menus, page headers and
-footers, sidebars, notices, adverts and reader comments, told by element, role
-and class or id words. A header inside an article is its heading and stays.
+footers, told by element and role. A header inside an article is its heading
+and stays. Sidebars, notices, adverts and reader comments are told by words of
+class or id, and such words also stand on wrappers of the whole page
+(``has-sidebar``), so a marked part is judged by what it holds once the page is
+read. It stays if it holds the page's largest ``article`` or ``main``, or too
+large a share of its paragraph text (``NEEDED``; its points then count half
+unless the word tells a state of the page); a marked passage of prose inside an article stays too where the word is
+one that authors use for passages (``SOFT_WORDS``). If nothing is left, the
+marks are ignored. The text of formulas stays.
 
 Character references are decoded; white space inside a block becomes one
 space; blocks follow in page order with one space between. Defined cases: NULL
@@ -32,12 +39,13 @@ from .common import map_slices
 
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rb rp rt ruby s samp small span strike strong "
-    "sub sup time tt u var wbr".split()
+    "sub sup time tt u var wbr math maction merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms msqrt mstyle msub "
+    "msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset(
-    "script style noscript template head title nav footer aside form fieldset button select option textarea iframe object applet svg math "
-    "canvas audio video map dialog menu search".split()
+    "script style noscript template head title nav footer aside form fieldset button select option textarea iframe object applet svg "
+    "canvas audio video map dialog menu search annotation annotation-xml".split()
 )
 #: Words of a class or id that mark a part as no main text.
 DROPPED_WORDS = frozenset(
@@ -46,6 +54,17 @@ DROPPED_WORDS = frozenset(
     "breadcrumbs sidebar aside rail widget widgets footer masthead topbar toolbar comment comments commentlist disqus respond replies share "
     "sharing social related recommended pagination pager".split()
 )
+#: Marking words of reader comments: they can be longer than the text they are about.
+READER_WORDS = frozenset("comment comments commentlist disqus respond replies".split())
+#: Marking words that authors also give to passages of their text.
+SOFT_WORDS = frozenset("notice notices notification alert related share sharing promotion banner overlay rail widget widgets".split())
+#: Words that make a name tell the state of a page rather than what a part is.
+STATE_WORDS = frozenset("has no not with without open opened closed enabled disabled".split())
+#: A marked part with a larger share of the paragraph text than this is no side matter.
+NEEDED = {"state": 0.2, "part": 0.5, "reader": 0.9}
+#: A marked passage with fewer characters, or with a quarter of them in links, is short or link-heavy.
+PASSAGE = 40
+PARAGRAPHS = frozenset("p pre blockquote dd".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 CLOSES = {
     "li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)),
@@ -55,32 +74,58 @@ _WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _SPLIT = re.compile(r"[^A-Za-z]+")
 
 
-def _marked(value: str) -> bool:
-    for name in _SPLIT.split(value):
-        if name.lower() in DROPPED_WORDS or any(w.lower() in DROPPED_WORDS for w in _WORD.findall(name)):
-            return True
-    return False
+def _marks(value: str, header: bool) -> list[tuple[str, bool]]:
+    """(kind in NEEDED, soft) for each marking name of a class or id; ``header`` counts as one outside articles."""
+    found = []
+    for name in value.split():
+        words = {w.lower() for part in _SPLIT.split(name) for w in (part, *_WORD.findall(part))}
+        marking = words & DROPPED_WORDS
+        if header and "header" in _SPLIT.split(name.lower()):
+            marking = marking | {"header"}
+        if marking:
+            kind = "state" if words & STATE_WORDS else "reader" if marking & READER_WORDS else "part"
+            found.append((kind, marking <= SOFT_WORDS))
+    return found
+
+
+class Mark:
+    """A part of the page whose class or id tells side matter."""
+
+    __slots__ = ("parent", "need", "soft", "chars", "link_chars", "prose", "stays", "gone", "weight")
+
+    def __init__(self, parent: Mark | None, found: list[tuple[str, bool]], passage: bool):
+        self.parent = parent
+        self.need = max(NEEDED[kind] for kind, _ in found)
+        self.soft = passage and all(soft for _, soft in found)
+        self.chars = self.link_chars = self.prose = 0
+        self.stays = self.gone = False
+        self.weight = 1.0
 
 
 class Block:
-    __slots__ = ("tag", "parent", "depth", "words", "chars", "link_chars", "commas", "points")
+    __slots__ = ("tag", "parent", "depth", "words", "chars", "link_chars", "commas", "points", "mark", "marked")
 
     def __init__(self, tag: str, parent: Block | None):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
         self.chars = self.link_chars = self.commas = 0
         self.points = 0.0
+        self.mark: Mark | None = None  # the innermost marked part it stands in
+        self.marked = False  # the element itself has a mark
 
 
 class PageTree(HTMLParser):
-    """Blocks of a page and its text pieces in page order, without the dropped parts."""
+    """Blocks of a page and its text pieces in page order, without the dropped parts; marked parts are in it."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Block("", None)
         self.block = self.root
-        self.open: list[tuple[str, Block | None]] = []  # open elements; inline ones have no block
-        self.pieces: list[tuple[Block, str]] = []  # a piece starts a new line of its block after a break
+        self.open: list[tuple[str, Block | None, Mark | None]] = []  # open elements; inline ones have no block
+        self.pieces: list[tuple[Block, str, Mark | None, bool]] = []  # with the innermost mark, and whether in a link
+        self.mark: Mark | None = None
+        self.marks: list[Mark] = []
+        self.articles: list[Block] = []
         self.links = 0
         self.dropped = 0  # depth of the open elements inside a dropped part, with it
 
@@ -89,16 +134,10 @@ class PageTree(HTMLParser):
             return True
         if tag in ("html", "body", "article", "main"):
             return False
-        inside = any(t in ("article", "main") for t, _ in self.open)
-        if tag == "header" and not inside:
+        if tag == "header" and not self._inside():
             return True
         for key, value in attrs:
-            if key in ("class", "id"):
-                if value and _marked(value):
-                    return True
-                if value and not inside and "header" in _SPLIT.split(value.lower()):
-                    return True
-            elif key == "hidden" or key == "aria-hidden" and value == "true":
+            if key == "hidden" or key == "aria-hidden" and value == "true":
                 return True
             elif key == "role" and value in DROPPED_ROLES:
                 return True
@@ -106,9 +145,17 @@ class PageTree(HTMLParser):
                 return True
         return False
 
+    def _inside(self) -> bool:
+        return any(t in ("article", "main") for t, *_ in self.open)
+
+    def _found(self, attrs: list[tuple[str, str | None]], header: bool) -> list[tuple[str, bool]]:
+        return [m for key, value in attrs if key in ("class", "id") and value for m in _marks(value, header)]
+
     def _close_to(self, position: int) -> None:
         """Close the open elements from ``position`` on."""
-        for tag, block in reversed(self.open[position:]):
+        for tag, block, mark in reversed(self.open[position:]):
+            if mark is not None:
+                self.mark = mark.parent
             if block is not None:
                 self.block = block.parent
             elif tag == "a":
@@ -138,22 +185,30 @@ class PageTree(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag in VOID:
             if not self.dropped and tag in ("br", "hr"):
-                self.pieces.append((self.block, " "))
+                self.pieces.append((self.block, " ", self.mark, False))
             return
         self._implied_ends(tag)
         if self.dropped:
-            self.open.append((tag, None if tag in INLINE else self._enter(tag)))
+            self.open.append((tag, None if tag in INLINE else self._enter(tag), None))
             if tag == "a":
                 self.links += 1
             self.dropped += 1
             return
         drop = self._drops(tag, attrs)
-        if tag in INLINE:
-            self.open.append((tag, None))
-            if tag == "a":
-                self.links += 1
-        else:
-            self.open.append((tag, self._enter(tag)))
+        mark = None
+        if not drop and tag not in ("html", "body", "article", "main"):
+            inside = self._inside()
+            if found := self._found(attrs, not inside):
+                mark = self.mark = Mark(self.mark, found, inside or tag in PARAGRAPHS)
+                self.marks.append(mark)
+        block = None if tag in INLINE else self._enter(tag)
+        self.open.append((tag, block, mark))
+        if tag == "a":
+            self.links += 1
+        if block is not None:
+            block.mark, block.marked = self.mark, mark is not None
+            if tag in ("article", "main") and not any(kind == "reader" for kind, _ in self._found(attrs, False)):
+                self.articles.append(block)
         if drop:
             self.dropped = 1
 
@@ -169,7 +224,7 @@ class PageTree(HTMLParser):
 
     def handle_endtag(self, tag):
         for k in range(len(self.open) - 1, -1, -1):
-            name, block = self.open[k]
+            name, block, _ = self.open[k]
             if name == tag:
                 self._close_to(k)
                 return
@@ -178,13 +233,93 @@ class PageTree(HTMLParser):
 
     def handle_data(self, data):
         if not self.dropped:
-            self.pieces.append((self.block, data))
-            n = len(data) - data.count(" ")
-            if n and not data.isspace():
-                self.block.chars += n
-                self.block.commas += data.count(",") + data.count("，")
-                if self.links > 0:
-                    self.block.link_chars += n
+            self.pieces.append((self.block, data, self.mark, self.links > 0))
+
+    def text(self, marks: bool) -> list[tuple[Block, str]]:
+        """Pieces without the marked parts that go (``marks``), or all; counts what they give each block."""
+        if self.marks:
+            self._judge() if marks else self._ignore_marks()
+        out = []
+        for block, data, mark, linked in self.pieces:
+            if mark is not None and mark.gone:
+                continue
+            out.append((block, data))
+            n = _chars(data)
+            if n:
+                block.chars += n
+                block.commas += data.count(",") + data.count("，")
+                if linked:
+                    block.link_chars += n
+        return out
+
+    def _ignore_marks(self) -> None:
+        for mark in self.marks:
+            mark.gone, mark.weight = False, 1.0
+
+    def _judge(self) -> None:
+        """Which marked parts go: reader comments first, the others by their share of the remaining paragraph text."""
+        own: dict[Block, list[int]] = {}
+        for block, data, mark, linked in self.pieces:
+            if n := _chars(data):
+                sums = own.setdefault(block, [0, 0])
+                sums[0] += n
+                sums[1] += n * linked
+                if mark is not None:
+                    mark.chars += n
+                    mark.link_chars += n * linked
+        prose = {b for b, (n, linked) in own.items() if b.tag in PARAGRAPHS or n >= 80 and linked < 0.25 * n}
+        total = 0
+        for block, data, mark, linked in self.pieces:
+            if block in prose and not linked:
+                n = _chars(data)
+                total += n
+                if mark is not None:
+                    mark.prose += n
+        for mark in reversed(self.marks):  # a part stands before the parts in it
+            if mark.parent is not None:
+                mark.parent.chars += mark.chars
+                mark.parent.link_chars += mark.link_chars
+                mark.parent.prose += mark.prose
+        for tag in ("article", "main"):
+            below = self._below([b for b in self.articles if b.tag == tag], own)
+            if below:
+                mark = max(below, key=below.get).mark
+                while mark is not None:
+                    mark.stays, mark = True, mark.parent
+        rest = total
+        for readers in (True, False):
+            for mark in self.marks:
+                up = mark.parent
+                if mark.gone or up is not None and up.gone:
+                    mark.gone = True
+                elif (mark.need == NEEDED["reader"]) == readers:
+                    passage = mark.soft and mark.chars >= PASSAGE and mark.link_chars < 0.25 * mark.chars
+                    main = mark.stays or mark.prose > mark.need * rest
+                    mark.gone = not (main or passage)
+                    mark.weight = 1.0 if passage or mark.stays or mark.need == NEEDED["state"] else 0.5
+                    if mark.gone and readers:
+                        total -= mark.prose
+            rest = total
+        for mark in self.marks:
+            if mark.parent is not None:
+                mark.weight *= mark.parent.weight
+
+    @staticmethod
+    def _below(blocks: list[Block], own: dict[Block, list[int]]) -> dict[Block, int]:
+        """Characters below each of ``blocks`` that has any."""
+        asked, out = set(blocks), {}
+        if asked:
+            for block, (n, _) in own.items():
+                up = block
+                while up is not None:
+                    if up in asked:
+                        out[up] = out.get(up, 0) + n
+                    up = up.parent
+        return out
+
+
+def _chars(data: str) -> int:
+    return 0 if data.isspace() else len(data) - data.count(" ")
 
 
 def lines(pieces: list[tuple[Block, str]]) -> list[tuple[Block, str]]:
@@ -205,12 +340,12 @@ def main_text(html: str | None) -> str:
     tree = PageTree()
     tree.feed(html or "")
     tree.close()
-    found = lines(tree.pieces)
+    found = lines(tree.text(True)) or tree.marks and lines(tree.text(False))
     if not found:
         return ""
     total: dict[Block, list[int]] = {}  # characters and link characters below each container
     for block in dict.fromkeys(b for b, _ in found):
-        points = 1 + block.commas + min(block.chars / 100, 3)
+        points = (1 + block.commas + min(block.chars / 100, 3)) * (block.mark.weight if block.mark else 1)
         share, up = 1.0, block.parent or block
         level = 0
         while up is not None:
@@ -250,7 +385,7 @@ def main_text(html: str | None) -> str:
             ok = False
         elif b.parent is best.parent and best.parent is not None:
             chars, linked = total.get(b, (0, 0))
-            ok = score(b) >= limit > 0 or b.tag == "p" and chars >= 80 and linked < 0.25 * chars
+            ok = not b.marked and (score(b) >= limit > 0 or b.tag == "p" and chars >= 80 and linked < 0.25 * chars)
         else:
             ok = keeps(b.parent)
         kept[b] = ok

@@ -288,6 +288,31 @@ def test_html():
     assert main_text(two) == "one, two three"
 
 
+def test_html_marks_on_wrappers():
+    body = "<h1>Head</h1><p>A first paragraph, long enough to count, of the article.</p><p>And a second one, which goes on, and on.</p>"
+    text = "Head A first paragraph, long enough to count, of the article. And a second one, which goes on, and on."
+    side = "<div class='sidebar'><ul><li><a>link one</a><li><a>link two</a></ul><p>About us.</p></div><div class='related'><a>more</a></div><div id='cookie-notice'><p>We use cookies.</p></div>"
+    for mark in ("class='content has-sidebar'", "class='no-sidebar'", "class='nav-open'", "id='sticky-footer-wrap'", "class='hasSidebar'", "class='header-fixed'", "class='comments-open'"):
+        for inner in (body, f"<div class='post'>{body}</div>", f"<article>{body}</article>", f"<main><div>{body}</div></main>"):
+            assert main_text(f"<body><div {mark}>{inner}{side}</div><footer><p>foot</p></footer></body>") == text, (mark, inner)
+            assert main_text(f"<body><div {mark}>{inner}</div>{side}</body>") == text, (mark, inner)
+    # a short article in a marked wrapper beside more text
+    assert main_text(f"<div class='page has-sidebar'><article>{body}</article></div><div class='sidebar'><p>{'Side matter, much of it. ' * 9}</p></div>") == text
+    # comments longer than the post stay out, with and without article elements
+    wow = "".join(f"<article class='comment-body'><p>Reader {i}, says a lot, and more, of this and that.</p></article>" for i in range(9))
+    for comments in (wow, wow.replace("article", "div")):
+        assert main_text(f"<div class='post'>{body}</div><div id='comments'>{comments}</div>") == text
+        assert main_text(f"<div id='comments'>{comments}</div><div class='has-sidebar'>{body}</div>") == text
+    # passages of the article with an ambiguous class stay, short and link-heavy ones go
+    for word in ("notice", "alert alert-info", "related", "share"):
+        more = f"<p class='{word}'>Do take note of this passage, which the author wrote.</p>"
+        for page in (f"<article>{body}{more}</article>", f"<div class='post'>{body}{more}</div>"):
+            assert main_text(page) == f"{text} Do take note of this passage, which the author wrote."
+        assert main_text(f"<article>{body}<p class='{word}'>Tell all</p><div class='{word}'><a>{'other articles ' * 9}</a></div></article>") == text
+    assert main_text(f"<article>{body}<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds.</p></article>") == f"{text} So x=2 holds."
+    assert main_text("<div class='widget'>all there is</div>") == "all there is"
+
+
 def test_html_rows(spark):
     df = spark.createDataFrame([(1, "u", "<p>a&lt;b"), (1, "u", "<p>a&lt;b"), (None, None, None)], "page_id long, url string, html string").withColumn("text", F.lit("clash"))
     assert sorted(map(tuple, extract_text(df, keep_columns=("url",)).collect()), key=str) == [(1, "u", "a<b", 3), (1, "u", "a<b", 3), (None, None, "", 0)]
