@@ -8,15 +8,18 @@ is the tightest compatible bin; else a new bin is opened. Bins carry both sets
 as bitmaps (Python integers), with bits numbered inside the packing group.
 
 Packing is sequential, so documents are first dealt into groups by a hash of
-their id: every group has about ``group_rows`` documents whatever its sources,
-so a hot source or cluster is spread over all groups and no task grows with
-the table. Bins never span groups.
+their id, text checksum and source: every group has about ``group_rows``
+documents whatever its sources, so a hot source or cluster is spread over all
+groups and no task grows with the table. Rows that are equal in all that
+packing reads are counted first and dealt in lots of ``LOT``, so a row that is
+repeated without bound (or has no id and an empty text) is spread as well. Bins
+never span groups.
 
 Defined cases: NULL and empty texts have no words and get one piece of length
 0 that still takes its source and cluster; a NULL source is a source of its
 own and a NULL cluster conflicts with nothing; the pieces of one document have
-the same source and cluster and so never share a bin; ties go by size, id and
-then text checksum, so the result doesn't depend on the input order; repeated
+the same source and cluster and so never share a bin; ties go by size, id,
+text checksum, source and cluster, so the result doesn't depend on the input order; repeated
 rows are packed each; an empty table gives an empty result.
 """
 
@@ -33,6 +36,8 @@ from .common import ship
 
 CAPACITY = 2048
 GROUP_ROWS = 4000
+#: Equal rows that go to one packing group together.
+LOT = 64
 
 WORD = r"[^ \t-\r]+"
 
@@ -67,21 +72,22 @@ class Bins:
 
 
 def pack_group(group: pd.DataFrame, capacity: int) -> pd.DataFrame:
-    """Pieces of one packing group with bin and offset."""
+    """Pieces of one packing group with bin and offset; a row stands for ``copies`` equal ones."""
+    group = group.loc[group.index.repeat(group["copies"])]
     words = group["n_words"].to_numpy(np.int64)
     n_pieces = np.maximum(1, -(-words // capacity))
     at = np.repeat(np.arange(len(group)), n_pieces)
     piece = np.arange(len(at)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
     size = np.minimum(capacity, words[at] - piece * capacity)
-    source = pd.factorize(group["source"], use_na_sentinel=False)[0][at]
-    cluster = pd.factorize(group["cluster"])[0]
+    source = pd.factorize(group["source"], sort=True)[0][at] + 1
+    cluster = pd.factorize(group["cluster"], sort=True)[0]
     shared = np.bincount(cluster[cluster >= 0], minlength=1)
     # a cluster with one piece can't conflict: it needs no bit
     bits = np.where((cluster >= 0) & ((shared[cluster] > 1) | (n_pieces > 1)), cluster, -1)
     bits = pd.factorize(np.where(bits < 0, np.nan, bits))[0][at]
     ids, no_id, crc = (group[c].to_numpy() for c in ("id", "no_id", "crc"))
     bins, bin_of, offset = Bins(capacity), np.empty(len(at), np.int64), np.empty(len(at), np.int64)
-    for i in np.lexsort((piece, crc[at], ids[at], no_id[at], -size)).tolist():
+    for i in np.lexsort((piece, cluster[at], source, crc[at], ids[at], no_id[at], -size)).tolist():
         bin_of[i], offset[i] = bins.place(int(size[i]), 1 << int(source[i]), 1 << int(bits[i]) if bits[i] >= 0 else 0)
     return pd.DataFrame(
         {"id": ids[at], "no_id": no_id[at], "piece": piece, "first_word": piece * capacity, "n_words": size, "packing_group": group["packing_group"].to_numpy()[at], "bin": bin_of, "bin_offset": offset}
@@ -89,7 +95,8 @@ def pack_group(group: pd.DataFrame, capacity: int) -> pd.DataFrame:
 
 
 def pack(
-    docs: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS, cluster: str | None = None, id_col: str = "doc_id"
+    docs: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS, cluster: str | None = None, id_col: str = "doc_id",
+    lot: int = LOT,
 ) -> DataFrame:
     """(id, piece, first_word, n_words, packing_group, bin, bin_offset) for every piece of every document.
 
@@ -106,7 +113,11 @@ def pack(
         F.col("source").cast("string").alias("source"),
         (F.col(f"`{cluster}`").cast("string") if cluster else F.when(F.col("text").isNotNull(), F.md5(F.encode(text, "UTF-8")))).alias("cluster"),
         crc.alias("crc"),
-        F.pmod(F.xxhash64(F.col(f"`{id_col}`"), crc), F.lit(groups)).alias("packing_group"),
+    )
+    rows = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+    rows = rows.withColumn("nth", F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) div {lot}")))).select(
+        *[c for c in rows.columns if c != "n"], F.least(F.col("n") - F.col("nth") * lot, F.lit(lot)).cast("long").alias("copies"),
+        F.pmod(F.xxhash64("no_id", "id", "crc", "source", "nth"), F.lit(groups)).alias("packing_group"),
     )
     ship(docs.sparkSession)
     schema = "id long, no_id boolean, piece long, first_word long, n_words long, packing_group long, bin long, bin_offset long"

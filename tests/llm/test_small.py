@@ -112,6 +112,16 @@ def test_packing_is_best_fit_without_conflicts(spark):
     assert packing.pack(docs(spark, [])).count() == 0
 
 
+def test_packing_spreads_repeated_rows(spark):
+    rows = [(None, "", "a")] * 600 + [(7, "one two", "b")] * 600 + [(None, "one two", f"s{k}") for k in range(600)]
+    got = packing.pack(docs(spark, rows), capacity=150, group_rows=100, lot=8).collect()
+    assert Counter((r.doc_id, r.n_words) for r in got) == {(None, 0): 600, (7, 2): 600, (None, 2): 600}
+    sizes = Counter(r.packing_group for r in got)
+    assert len(sizes) == 18 and max(sizes.values()) <= 250  # one group held 600 and more
+    back = packing.pack(docs(spark, rows[::-1]).repartition(5), capacity=150, group_rows=100, lot=8).collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, back))
+
+
 def brute_components(rows, n, percent):
     sets, ids = [], []
     for i, t, _ in rows:
