@@ -29,10 +29,11 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import ship, stored
+from .near_dedup import near_duplicates
 
 CAPACITY = 2048
 GROUP_ROWS = 4000
@@ -94,14 +95,27 @@ def pack_group(group: pd.DataFrame, capacity: int) -> pd.DataFrame:
     )
 
 
+def node_of(id_col: str, text_col: str = "text") -> Column:
+    """The id, or for rows without one a hash of the text in its place."""
+    return F.coalesce(F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.lit("no id"), F.col(f"`{text_col}`")))
+
+
+def near_clusters(docs: DataFrame, shingle: int, percent: int, id_col: str = "doc_id") -> DataFrame:
+    """(node, cluster): the near-duplicate component of each document with words, those without an id too."""
+    texts = docs.select(node_of(id_col).alias("node"), F.col("text"))
+    found = near_duplicates(texts, shingle=shingle, percent=percent, id_col="node")
+    return stored(found.where("n_shingles > 0").groupBy("node").agg(F.min("component_id").alias("cluster")), "clusters")
+
+
 def pack(
     docs: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS, cluster: str | None = None, id_col: str = "doc_id",
-    lot: int = LOT,
+    clusters: DataFrame | None = None, lot: int = LOT,
 ) -> DataFrame:
     """(id, piece, first_word, n_words, packing_group, bin, bin_offset) for every piece of every document.
 
     ``cluster`` names a column with the duplicate cluster; without it,
-    documents with equal texts are a cluster.
+    documents with equal texts are a cluster. ``clusters`` (node, cluster) has
+    the clusters of the documents with words by their ``node_of``.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     groups = max(1, -(-docs.count() // group_rows))
@@ -113,7 +127,12 @@ def pack(
         F.col("source").cast("string").alias("source"),
         (F.col(f"`{cluster}`").cast("string") if cluster else F.when(F.col("text").isNotNull(), F.md5(F.encode(text, "UTF-8")))).alias("cluster"),
         crc.alias("crc"),
+        *([node_of(id_col).alias("node")] if clusters is not None else []),
     )
+    if clusters is not None:
+        known = clusters.select("node", F.col("cluster").cast("string").alias("known"))
+        near = F.when(F.col("n_words") > 0, F.col("known"))
+        rows = rows.join(known, "node", "left").withColumn("cluster", F.coalesce(near, "cluster")).drop("node", "known")
     rows = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
     rows = rows.withColumn("nth", F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) div {lot}")))).select(
         *[c for c in rows.columns if c != "n"], F.least(F.col("n") - F.col("nth") * lot, F.lit(lot)).cast("long").alias("copies"),

@@ -11,7 +11,7 @@ from .common import table
 from .decontamination import contamination
 from .html_extract import extract_text
 from .near_dedup import near_duplicates
-from .packing import pack
+from .packing import near_clusters, pack
 from .quality_classifier import score_quality
 from .quality_rules import quality_rules
 from .sharding import shard_by_bytes
@@ -31,8 +31,9 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bins of 2048 words, no two documents of one source or of equal text in a bin."""
-    return pack(table(spark, sf_dir, "documents"))
+    """Bins of 2048 words, no two documents of one source or of one component of op8 in a bin."""
+    docs = table(spark, sf_dir, "documents")
+    return pack(docs, clusters=near_clusters(docs, shingle=2, percent=80))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -122,6 +122,23 @@ def test_packing_spreads_repeated_rows(spark):
     assert Counter(map(tuple, got)) == Counter(map(tuple, back))
 
 
+def test_packing_keeps_near_copies_apart(spark):
+    rng = random.Random(4)
+    words = [f"n{k}" for k in range(60)]
+    near = lambda: " ".join(["x" if k == cut else w for k, w in enumerate(words)])
+    rows = [(None, " ".join(words), "none"), (None, " ".join(words[::-1]), "none2"), (30, "", "e"), (31, "", "f")]
+    for k, cut in enumerate(rng.sample(range(5, 55), 8)):
+        rows.append((k, near(), f"s{k}"))
+    rows += [(100 + k, f"far{k} apart{k}", f"t{k}") for k in range(8)]
+    frame = docs(spark, rows)
+    got = packing.pack(frame, capacity=2048, clusters=packing.near_clusters(frame, 2, 80)).collect()
+    long = [r.bin for r in got if r.n_words == 60 and (r.doc_id is not None)]
+    assert len(long) == 8 == len(set(long)) and len(got) == len(rows)
+    without = Counter(r.bin for r in got if r.doc_id is None)  # one of the two id-less ones is a near copy
+    assert sum(b not in long for b in without) >= 1
+    assert len({r.bin for r in got if r.n_words == 0}) == 2
+
+
 def brute_components(rows, n, percent):
     sets, ids = [], []
     for i, t, _ in rows:
