@@ -9,7 +9,8 @@ shares most n-gram vectors with the known one.
 
 Repeats of a word in a document count logarithmically, and the average counts
 ``NEUTRAL`` further subwords with a zero vector, so that a few words alone
-don't decide. Buckets in few training documents stay zero. Since the softmax
+don't decide. Buckets in under ``MIN_TEXTS`` training documents stay zero; the cut does not grow
+with the sample, so rare words keep vectors of their own. Since the softmax
 is linear, scoring needs one number a bucket (the projection of its vector):
 the broadcast model has a fixed size of 2**BITS floats.
 
@@ -44,6 +45,8 @@ BATCH = 32
 SAMPLE_ROWS = {1: 1500, 0: 3000}
 SAMPLE_BYTES = 24 << 20
 THRESHOLD = 0.7
+#: Training texts that a bucket must be in to have a vector, whatever the size of the sample.
+MIN_TEXTS = 3
 
 
 @dataclass
@@ -107,7 +110,7 @@ def features(texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, rate: float = RATE, seed: int = 3) -> tuple[np.ndarray, float]:
+def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, rate: float = RATE, seed: int = 3, min_texts: int = MIN_TEXTS) -> tuple[np.ndarray, float]:
     """(score of each bucket, bias): embeddings and softmax trained jointly, then projected on label 1 against 0."""
     size = 1 << BITS
     scores = np.zeros(size, np.float32)
@@ -120,7 +123,7 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, rate: floa
     seen = np.zeros(size, np.int32)
     for bucket, _ in x:
         seen[np.unique(bucket)] += 1
-    keep = seen >= max(2, len(texts) // 200)
+    keep = seen >= min_texts
     for k, (bucket, weight) in enumerate(x):
         ok = keep[bucket]
         x[k] = bucket[ok], weight[ok]

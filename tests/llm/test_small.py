@@ -416,3 +416,16 @@ def test_word_spans_stay_in_rows():
         assert (tokens.words(*utf8_buffers(pa.array(texts))).hash == w.hash).all()
     finally:
         tokens.BLOCK = old
+
+
+def test_rare_toxic_words_keep_a_vector():
+    rng = random.Random(9)
+    texts = [" ".join(f"w{rng.randrange(300)}" for _ in range(30)) for _ in range(1600)]
+    for k in range(6):  # under a 200th of the texts
+        texts[k] += " zorblagt" * 4
+    labels = np.array([k < 6 or k % 5 == 0 for k in range(1600)], np.int64)
+    scores, bias = toxicity.train(texts, labels)
+    _, buckets = toxicity.subwords(["zorblagt"])
+    assert np.count_nonzero(scores[buckets]) == len(buckets)
+    clean = texts[1001]
+    assert toxicity.logits([f"{clean} zorblagt zorblagt"], scores, bias)[0] > toxicity.logits([clean], scores, bias)[0]
