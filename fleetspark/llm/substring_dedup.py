@@ -94,7 +94,7 @@ def _ids(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def document_segments(rows: DataFrame, window: int) -> DataFrame:
-    """(doc, rid, first, windows, anchor, segment), a row for each segment."""
+    """(doc, rid, first, windows, anchor, segment), a row for each segment; rows with one rid count once."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         w = tk.words(*utf8_buffers(batch.column(2)))
@@ -107,7 +107,8 @@ def document_segments(rows: DataFrame, window: int) -> DataFrame:
         )
 
     schema = "doc long, rid long, first array<int>, windows array<int>, anchor array<long>, segment array<long>"
-    lists = stored(map_slices(rows.where("doc is not null"), run, schema, "text").where(F.size("first") > 0), "segments")
+    lists = map_slices(rows.where("doc is not null"), run, schema, "text").where(F.size("first") > 0)
+    lists = stored(lists.dropDuplicates(["rid"]), "segments")
     return lists.select("doc", "rid", F.inline(F.arrays_zip("first", "windows", "anchor", "segment")))
 
 
@@ -145,7 +146,8 @@ def segment_words(rows: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
             ["hot", "doc", "rid", "place", "anchor", "segment", "words"],
         )
 
-    return map_slices(rows.join(wanted, "rid").select("doc", "rid", "text", "asked"), run, schema, "text")
+    once = rows.where("doc is not null").join(wanted, "rid").dropDuplicates(["rid"])
+    return map_slices(once.select("doc", "rid", "text", "asked"), run, schema, "text")
 
 
 def search_shard(shard: pa.Table, window: int) -> pa.Table:

@@ -222,6 +222,17 @@ def test_repeats_equal_brute_force(spark, hot, shard_words):
     assert substring_dedup.remove_repeats(docs(spark, [])).count() == 0
 
 
+def test_repeated_rows_ask_for_their_spans_once(spark):
+    passage = " ".join(f"u{k}" for k in range(80))
+    rows = [(1, passage, "a"), (2, f"head {passage} tail", "a"), (3, f"{passage} end", "b"), (None, passage, "a")] + [(2, f"head {passage} tail", "a")] * 40
+    frame = docs(spark, rows)
+    for hot in (1000, 1):
+        spans = {r.rid: r.spans for r in substring_dedup.repeated_spans(substring_dedup._ids(frame, "doc_id", "text"), hot=hot).collect()}
+        assert len(spans) == 2 and all(len(s) == len(set(s)) for s in spans.values())
+        got = substring_dedup.remove_repeats(frame, hot=hot).collect()
+        assert sorted(map(tuple, got), key=str) == sorted(brute_removed(rows, 50), key=str)
+
+
 def test_kept_text_is_unchanged_or_joined(spark):
     a = " ".join(f"u{k}" for k in range(60))
     got = {r.doc_id: r for r in substring_dedup.remove_repeats(docs(spark, [(1, f"{a}\nz", "a"), (2, f"p\n{a} q", "a"), (3, None, "a")]), keep_columns=("source",)).collect()}
