@@ -11,7 +11,10 @@ from .common import table
 from .decontamination import contamination
 from .html_extract import extract_text
 from .near_dedup import near_duplicates
+from .nearest import nearest
 from .packing import near_clusters, pack
+from .periodic_runs import periodic_runs
+from .prefix_trie import prefix_trie
 from .quality_classifier import score_quality
 from .quality_rules import quality_rules
 from .sharding import shard_by_bytes
@@ -71,6 +74,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("page").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of the conversations after the contract's rebuild."""
+    return prefix_trie(table(spark, sf_dir, "conversations"), share=(20, 4))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of at least 24 words and three periods, in texts of which a tenth are made periodic."""
+    found = periodic_runs(table(spark, sf_dir, "documents"), planted=True)
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), "id % 20 = 0")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,7 +98,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_sharding, op2_packing, op3_toxicity, op4_decontamination, op5_substring_dedup, op6_html_extraction, op7_quality_rules,
-        op8_near_dedup, op9_quality_classifier, op10_warc, pipeline,
+        op8_near_dedup, op9_quality_classifier, op10_warc, op11_prefix_trie, op12_periodic_runs, op13_nearest, pipeline,
     )
     return {f.__name__: f for f in own}
 
@@ -111,6 +129,41 @@ SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, shard,
 FROM s
 """
 
+OP11_SQL = f"""
+WITH RECURSIVE bits(i, k, c) AS (
+  SELECT i, 0, i FROM range(256) r(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8
+), crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+own AS (
+  SELECT conv_id, list(md5(coalesce(role, '') || chr(31) || coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k,
+         list(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS w
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), shared AS (
+  SELECT own.*, conv_id - conv_id % 20 AS base, CASE WHEN conv_id % 20 = 0 THEN 0 ELSE xor(list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) % 4 END AS h
+  FROM own, crc
+), built AS (
+  SELECT a.conv_id, list_concat(coalesce(b.k, [])[1:a.h], a.k[a.h + 1:]) AS k, list_concat(coalesce(b.w, [])[1:a.h], a.w[a.h + 1:]) AS w
+  FROM shared a LEFT JOIN own b ON b.conv_id = a.base
+), place AS (
+  SELECT conv_id, d, md5(array_to_string(k[1:d], ',')) AS g, md5(array_to_string(k[1:d - 1], ',')) AS up, w[d] AS words, len(k) = d AS ends
+  FROM (SELECT *, unnest(range(0, len(k) + 1)) AS d FROM built)
+), node AS (
+  SELECT g, d, min(conv_id) AS conv_id, any_value(up) AS up, any_value(words) AS words, count(*) AS n,
+         string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends) AS members
+  FROM place GROUP BY g, d
+), kids AS (SELECT up AS g, count(*) AS n FROM node WHERE d > 0 GROUP BY up),
+above AS (
+  SELECT md5(array_to_string(k[1:unnest(range(0, d + 1))], ',')) AS g, leaf, saved
+  FROM (SELECT built.k, node.d, (kids.n IS NULL)::INT AS leaf, (node.n - 1) * coalesce(words, 0) AS saved
+        FROM node JOIN built USING (conv_id) LEFT JOIN kids ON kids.g = node.g)
+), total AS (SELECT g, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM above GROUP BY g)
+SELECT node.conv_id, node.d::BIGINT AS depth, CASE WHEN node.d > 0 THEN p.conv_id END AS parent_conv_id, node.n AS n_convs,
+       coalesce(kids.n, 0)::BIGINT AS n_children, n_leaves, saved_tokens, sha256(coalesce(node.members, '')) AS ends_sha256
+FROM node JOIN total USING (g) LEFT JOIN kids ON kids.g = node.g LEFT JOIN node p ON p.g = node.up AND p.d = node.d - 1
+"""
+
 OP4_SQL = f"""
 WITH item AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM benchmark),
 item_window AS (
@@ -213,5 +266,5 @@ FROM m
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_sharding": OP1_SQL, "op4_decontamination": OP4_SQL, "op5_substring_dedup": OP5_SQL, "op7_quality_rules": OP7_SQL,
-        "op8_near_dedup": OP8_SQL, "op10_warc": OP10_SQL,
+        "op8_near_dedup": OP8_SQL, "op10_warc": OP10_SQL, "op11_prefix_trie": OP11_SQL,
     }
