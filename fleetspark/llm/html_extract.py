@@ -2,12 +2,12 @@
 
 The page is read into a tree of blocks. Each block with text of its own gives
 points (one, its commas, and up to three for its length) to its parent, half
-of them to the grandparent, less to further ancestors. A container's points
+of them to the grandparent, less to further ancestors (32 at most). A container's points
 are discounted by its link density. The best container is kept, together with
 siblings that score a fifth of it or are link-poor paragraphs; if it lies in
 an ``article`` (else ``main``) element, that element is kept whole.
 
-Left out wherever they stand: scripts, styles, forms, menus, page headers and
+Left out wherever they stand: scripts, styles, menus, page headers and
 footers, told by element and role. A header inside an article is its heading
 and stays. Sidebars, notices, adverts and reader comments are told by words of
 class or id, and such words also stand on wrappers of the whole page
@@ -16,12 +16,14 @@ read. It stays if it holds the page's largest ``article`` or ``main``, or too
 large a share of its paragraph text (``NEEDED``; its points then count half
 unless the word tells a state of the page); a marked passage of prose inside an article stays too where the word is
 one that authors use for passages (``SOFT_WORDS``). If nothing is left, the
-marks are ignored. The text of formulas stays.
+marks are ignored. A form is such a part, too, as some wrap the whole page: it stays if it holds the article or nearly all
+paragraph text. The text of formulas stays. The work on a page is linear in its length, however deep it nests.
 
 Character references are decoded; white space inside a block becomes one
 space; blocks follow in page order with one space between. Defined cases: NULL
 and empty pages and pages without text give the empty string; unclosed and
-stray tags are closed or ignored as browsers do in common cases; repeated rows
+stray tags are closed or ignored as browsers do in common cases, a comment or tag still open at the end is no text and
+unknown declarations are comments; repeated rows
 give repeated results; an empty table gives an empty result. Every page is
 worked through alone, whole, without a shuffle.
 """
@@ -44,7 +46,7 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset(
-    "script style noscript template head title nav footer aside form fieldset button select option textarea iframe object applet svg "
+    "script style noscript template head title nav footer aside fieldset button select option textarea iframe object applet svg "
     "canvas audio video map dialog menu search annotation annotation-xml".split()
 )
 #: Words of a class or id that mark a part as no main text.
@@ -61,14 +63,16 @@ SOFT_WORDS = frozenset("notice notices notification alert related share sharing
 #: Words that make a name tell the state of a page rather than what a part is.
 STATE_WORDS = frozenset("has no not with without open opened closed enabled disabled".split())
 #: A marked part with a larger share of the paragraph text than this is no side matter.
-NEEDED = {"state": 0.2, "part": 0.5, "reader": 0.9}
+NEEDED = {"state": 0.2, "part": 0.5, "form": 0.85, "reader": 0.9}
+#: Ancestors that a block gives points to.
+LEVELS = 32
 #: A marked passage with fewer characters, or with a quarter of them in links, is short or link-heavy.
 PASSAGE = 40
 PARAGRAPHS = frozenset("p pre blockquote dd".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 CLOSES = {
-    "li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)),
-    "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")),
+    "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("tr", "td", "th"), ("table",)),
+    "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
 }
 _WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _SPLIT = re.compile(r"[^A-Za-z]+")
@@ -91,11 +95,12 @@ def _marks(value: str, header: bool) -> list[tuple[str, bool]]:
 class Mark:
     """A part of the page whose class or id tells side matter."""
 
-    __slots__ = ("parent", "need", "soft", "chars", "link_chars", "prose", "stays", "gone", "weight")
+    __slots__ = ("parent", "need", "form", "soft", "chars", "link_chars", "prose", "stays", "gone", "weight")
 
     def __init__(self, parent: Mark | None, found: list[tuple[str, bool]], passage: bool):
         self.parent = parent
         self.need = max(NEEDED[kind] for kind, _ in found)
+        self.form = any(kind == "form" for kind, _ in found)
         self.soft = passage and all(soft for _, soft in found)
         self.chars = self.link_chars = self.prose = 0
         self.stays = self.gone = False
@@ -121,7 +126,10 @@ class PageTree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Block("", None)
         self.block = self.root
+        self.blocks = [self.root]  # all, in page order
         self.open: list[tuple[str, Block | None, Mark | None]] = []  # open elements; inline ones have no block
+        self.places: dict[str, list[int]] = {}  # of the open elements of each name
+        self.outer: list[int] = []  # places of the open elements that are blocks
         self.pieces: list[tuple[Block, str, Mark | None, bool]] = []  # with the innermost mark, and whether in a link
         self.mark: Mark | None = None
         self.marks: list[Mark] = []
@@ -145,8 +153,30 @@ class PageTree(HTMLParser):
                 return True
         return False
 
+    def _last(self, *names: str) -> int:
+        """Place of the innermost open element with one of the names, or -1."""
+        return max((places[-1] for name in names if (places := self.places.get(name))), default=-1)
+
     def _inside(self) -> bool:
-        return any(t in ("article", "main") for t, *_ in self.open)
+        return self._last("article", "main") >= 0
+
+    def _push(self, tag: str, block: Block | None, mark: Mark | None) -> None:
+        self.places.setdefault(tag, []).append(len(self.open))
+        if block is not None:
+            self.outer.append(len(self.open))
+        self.open.append((tag, block, mark))
+
+    def parse_marked_section(self, i, report=1):
+        """As browsers do: a section of any name is a comment up to the next ">", character data up to its end."""
+        end = "]]>" if self.rawdata.startswith("<![CDATA[", i) else ">"
+        at = self.rawdata.find(end, i + 3)
+        return at + len(end) if at >= 0 else -1
+
+    def finish(self) -> None:
+        """The end of the page. A comment or tag that is still open there is no text."""
+        if re.match(r"<[!?/A-Za-z]", self.rawdata):
+            self.rawdata = ""
+        self.close()
 
     def _found(self, attrs: list[tuple[str, str | None]], header: bool) -> list[tuple[str, bool]]:
         return [m for key, value in attrs if key in ("class", "id") and value for m in _marks(value, header)]
@@ -154,6 +184,9 @@ class PageTree(HTMLParser):
     def _close_to(self, position: int) -> None:
         """Close the open elements from ``position`` on."""
         for tag, block, mark in reversed(self.open[position:]):
+            self.places[tag].pop()
+            if block is not None:
+                self.outer.pop()
             if mark is not None:
                 self.mark = mark.parent
             if block is not None:
@@ -169,18 +202,10 @@ class PageTree(HTMLParser):
             return
         if tag in CLOSES:
             ends, limits = CLOSES[tag]
-            for k in range(len(self.open) - 1, -1, -1):
-                if self.open[k][0] in limits:
-                    break
-                if self.open[k][0] in ends.split():
-                    self._close_to(k)
-        for k in range(len(self.open) - 1, -1, -1):
-            name = self.open[k][0]
-            if name == "p":
+            while (k := self._last(*ends)) > self._last(*limits):
                 self._close_to(k)
-                break
-            if name not in INLINE:
-                break
+        if self.outer and self.open[self.outer[-1]][0] == "p":
+            self._close_to(self.outer[-1])
 
     def handle_starttag(self, tag, attrs):
         if tag in VOID:
@@ -189,7 +214,7 @@ class PageTree(HTMLParser):
             return
         self._implied_ends(tag)
         if self.dropped:
-            self.open.append((tag, None if tag in INLINE else self._enter(tag), None))
+            self._push(tag, None if tag in INLINE else self._enter(tag), None)
             if tag == "a":
                 self.links += 1
             self.dropped += 1
@@ -198,11 +223,14 @@ class PageTree(HTMLParser):
         mark = None
         if not drop and tag not in ("html", "body", "article", "main"):
             inside = self._inside()
-            if found := self._found(attrs, not inside):
+            found = self._found(attrs, not inside)
+            if tag == "form":  # some wrap the whole page
+                found.append(("form", False))
+            if found:
                 mark = self.mark = Mark(self.mark, found, inside or tag in PARAGRAPHS)
                 self.marks.append(mark)
         block = None if tag in INLINE else self._enter(tag)
-        self.open.append((tag, block, mark))
+        self._push(tag, block, mark)
         if tag == "a":
             self.links += 1
         if block is not None:
@@ -214,6 +242,7 @@ class PageTree(HTMLParser):
 
     def _enter(self, tag: str) -> Block:
         self.block = Block(tag, self.block)
+        self.blocks.append(self.block)
         return self.block
 
     def handle_startendtag(self, tag, attrs):
@@ -223,13 +252,12 @@ class PageTree(HTMLParser):
             self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        for k in range(len(self.open) - 1, -1, -1):
-            name, block, _ = self.open[k]
-            if name == tag:
-                self._close_to(k)
-                return
-            if tag in INLINE and block is not None or name in ("td", "th", "table") and tag not in ("tr", "table", "tbody", "div", "article", "main", "body", "html"):
-                return
+        k = self._last(tag)
+        if k < 0 or tag in INLINE and self.outer and self.outer[-1] > k:
+            return
+        if tag not in ("tr", "table", "tbody", "div", "article", "main", "body", "html") and self._last("td", "th", "table") > k:
+            return
+        self._close_to(k)
 
     def handle_data(self, data):
         if not self.dropped:
@@ -253,8 +281,10 @@ class PageTree(HTMLParser):
         return out
 
     def _ignore_marks(self) -> None:
-        for mark in self.marks:
-            mark.gone, mark.weight = False, 1.0
+        """All but forms stay."""
+        for mark in self.marks:  # a part stands before the parts in it
+            mark.gone = mark.gone and mark.form or mark.parent is not None and mark.parent.gone
+            mark.weight = 1.0
 
     def _judge(self) -> None:
         """Which marked parts go: reader comments first, the others by their share of the remaining paragraph text."""
@@ -296,7 +326,7 @@ class PageTree(HTMLParser):
                     passage = mark.soft and mark.chars >= PASSAGE and mark.link_chars < 0.25 * mark.chars
                     main = mark.stays or mark.prose > mark.need * rest
                     mark.gone = not (main or passage)
-                    mark.weight = 1.0 if passage or mark.stays or mark.need == NEEDED["state"] else 0.5
+                    mark.weight = 1.0 if passage or mark.stays or mark.need in (NEEDED["state"], NEEDED["form"]) else 0.5
                     if mark.gone and readers:
                         total -= mark.prose
             rest = total
@@ -304,18 +334,13 @@ class PageTree(HTMLParser):
             if mark.parent is not None:
                 mark.weight *= mark.parent.weight
 
-    @staticmethod
-    def _below(blocks: list[Block], own: dict[Block, list[int]]) -> dict[Block, int]:
+    def _below(self, blocks: list[Block], own: dict[Block, list[int]]) -> dict[Block, int]:
         """Characters below each of ``blocks`` that has any."""
-        asked, out = set(blocks), {}
-        if asked:
-            for block, (n, _) in own.items():
-                up = block
-                while up is not None:
-                    if up in asked:
-                        out[up] = out.get(up, 0) + n
-                    up = up.parent
-        return out
+        sums = {b: n for b, (n, _) in own.items()} if blocks else {}
+        for block in reversed(self.blocks):  # children come before their parents
+            if block in sums and block.parent is not None:
+                sums[block.parent] = sums.get(block.parent, 0) + sums[block]
+        return {b: sums[b] for b in blocks if sums.get(b)}
 
 
 def _chars(data: str) -> int:
@@ -339,7 +364,7 @@ def lines(pieces: list[tuple[Block, str]]) -> list[tuple[Block, str]]:
 def main_text(html: str | None) -> str:
     tree = PageTree()
     tree.feed(html or "")
-    tree.close()
+    tree.finish()
     found = lines(tree.text(True)) or tree.marks and lines(tree.text(False))
     if not found:
         return ""
@@ -347,18 +372,18 @@ def main_text(html: str | None) -> str:
     for block in dict.fromkeys(b for b, _ in found):
         points = (1 + block.commas + min(block.chars / 100, 3)) * (block.mark.weight if block.mark else 1)
         share, up = 1.0, block.parent or block
-        level = 0
-        while up is not None:
+        for level in range(1, LEVELS + 1):
+            if up is None:
+                break
             up.points += points * share
-            level += 1
             share = 0.5 if level == 1 else 1 / (3 * level)
             up = up.parent
-        up = block
-        while up is not None:
-            sums = total.setdefault(up, [0, 0])
-            sums[0] += block.chars
-            sums[1] += block.link_chars
-            up = up.parent
+        total[block] = [block.chars, block.link_chars]
+    for block in reversed(tree.blocks):  # children come before their parents
+        if block in total and block.parent is not None:
+            sums = total.setdefault(block.parent, [0, 0])
+            sums[0] += total[block][0]
+            sums[1] += total[block][1]
 
     def score(b: Block) -> float:
         chars, linked = total.get(b, (0, 0))
@@ -373,25 +398,17 @@ def main_text(html: str | None) -> str:
             best = up
             break
     limit = 0.2 * score(best)
-    kept: dict[Block, bool] = {}
-
-    def keeps(b: Block) -> bool:
-        """A block is kept inside the best container or a good sibling of it."""
-        if b in kept:
-            return kept[b]
+    kept: set[Block] = set()  # the best container, its good siblings and what is in them
+    for b in tree.blocks:
         if b is best:
-            ok = True
-        elif b.parent is None:
-            ok = False
-        elif b.parent is best.parent and best.parent is not None:
+            kept.add(b)
+        elif b.parent is not None and b.parent is best.parent:
             chars, linked = total.get(b, (0, 0))
-            ok = not b.marked and (score(b) >= limit > 0 or b.tag == "p" and chars >= 80 and linked < 0.25 * chars)
-        else:
-            ok = keeps(b.parent)
-        kept[b] = ok
-        return ok
-
-    return " ".join(text for block, text in found if keeps(block))
+            if not b.marked and (score(b) >= limit > 0 or b.tag == "p" and chars >= 80 and linked < 0.25 * chars):
+                kept.add(b)
+        elif b.parent in kept:
+            kept.add(b)
+    return " ".join(text for block, text in found if block in kept)
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep_columns: tuple[str, ...] = ()) -> DataFrame:

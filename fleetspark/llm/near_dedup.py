@@ -79,16 +79,16 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndar
     return (np.concatenate(sets) if sets else grams), np.array([len(s) for s in sets], np.int64)
 
 
-def signatures(members: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """MinHash samples (rows x HASHES); rows with the empty set have zeros."""
-    out = np.zeros((len(counts), HASHES), np.uint32)
+def signatures(members: np.ndarray, counts: np.ndarray, hashes: int = HASHES) -> np.ndarray:
+    """MinHash samples (rows x hashes); rows with the empty set have zeros."""
+    out = np.zeros((len(counts), hashes), np.uint32)
     low = (members >> np.uint64(32)).astype(np.uint32)
     ends = np.cumsum(counts)
     for i, (a, b) in enumerate(zip((ends - counts).tolist(), ends.tolist(), strict=True)):
         if b > a:
             best = None
             for c in range(a, b, 4096):  # bounded scratch for very long texts
-                least = (_MUL * low[c : min(c + 4096, b)] + _ADD).min(axis=1)
+                least = (_MUL[:hashes] * low[c : min(c + 4096, b)] + _ADD[:hashes]).min(axis=1)
                 best = least if best is None else np.minimum(best, least)
             out[i] = best
     return out

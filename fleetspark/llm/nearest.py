@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import clean_columns, in_arrow, ship, stored
+from .common import clean_columns, in_arrow, ship, shuffle_width, stored
 
 #: Classes that the index is fitted on, about, and their bytes at most.
 SAMPLE = 16_384
@@ -211,15 +211,16 @@ def nearest(vectors: DataFrame, is_query: str = "true", id_col: str = "vec_id",
 
     listed = stored(in_arrow(classes, place, "h1 long, h2 long, rep long, ids array<long>, vec array<double>, list int"), "nearest-lists")
     counts = {r["list"]: r["count"] for r in listed.groupBy("list").count().collect()}  # at most MAX_LISTS rows
+    bin_rows = max(256, min(BIN_ROWS, size["n"] // shuffle_width(spark)))  # no fewer bins than tasks
     first_bin, parts, filled, number = {}, {}, 0, -1
     for one_list in sorted(counts):
-        parts[one_list] = -(-counts[one_list] // BIN_ROWS)
-        if number < 0 or filled + counts[one_list] > BIN_ROWS:
+        parts[one_list] = -(-counts[one_list] // bin_rows)
+        if number < 0 or filled + counts[one_list] > bin_rows:
             number, filled = number + 1, 0
         first_bin[one_list] = number
         filled += counts[one_list]
         if parts[one_list] > 1:
-            number, filled = number + parts[one_list] - 1, BIN_ROWS
+            number, filled = number + parts[one_list] - 1, bin_rows
     held = np.zeros(len(index.centroids), np.int64)
     held[list(counts)] = list(counts.values())
     table = spark.createDataFrame([(a, first_bin[a], parts[a]) for a in counts], "list int, first_bin int, parts int")

@@ -29,18 +29,23 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship, stored
+from .group_links import components
 from .near_dedup import near_duplicates
 
 CAPACITY = 2048
 GROUP_ROWS = 4000
 #: Equal rows that go to one packing group together.
 LOT = 64
+#: Rows repeated beyond that are told by a broadcast if there are at most so many different ones, else by a join.
+FEW = 10_000
 
 WORD = r"[^ \t-\r]+"
+PACKED = "id long, no_id boolean, piece long, first_word long, n_words long, packing_group long, bin long, bin_offset long"
 
 
 class Bins:
@@ -109,14 +114,18 @@ def near_clusters(docs: DataFrame, shingle: int, percent: int, id_col: str = "do
 
 def pack(
     docs: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS, cluster: str | None = None, id_col: str = "doc_id",
-    clusters: DataFrame | None = None, lot: int = LOT,
+    clusters: DataFrame | None = None, lot: int = LOT, near: tuple[int, int] | None = None,
 ) -> DataFrame:
     """(id, piece, first_word, n_words, packing_group, bin, bin_offset) for every piece of every document.
 
     ``cluster`` names a column with the duplicate cluster; without it,
     documents with equal texts are a cluster. ``clusters`` (node, cluster) has
-    the clusters of the documents with words by their ``node_of``.
+    the clusters of the documents with words by their ``node_of``. ``near`` =
+    (words of a shingle, percent) takes the near-duplicate components within
+    each packing group.
     """
+    if near:
+        return _pack_near(docs, capacity, group_rows, id_col, lot, near)
     text = F.coalesce(F.col("text"), F.lit(""))
     groups = max(1, -(-docs.count() // group_rows))
     crc = F.crc32(F.encode(text, "UTF-8"))
@@ -139,8 +148,46 @@ def pack(
         F.pmod(F.xxhash64("no_id", "id", "crc", "source", "nth"), F.lit(groups)).alias("packing_group"),
     )
     ship(docs.sparkSession)
-    schema = "id long, no_id boolean, piece long, first_word long, n_words long, packing_group long, bin long, bin_offset long"
-    packed = rows.groupBy("packing_group").applyInPandas(lambda g: pack_group(g, capacity), schema)
+    packed = rows.groupBy("packing_group").applyInPandas(lambda g: pack_group(g, capacity), PACKED)
     return packed.select(
         F.when(~F.col("no_id"), F.col("id")).alias(id_col), "piece", "first_word", "n_words", "packing_group", "bin", "bin_offset"
     )
+
+
+def _pack_near(docs: DataFrame, capacity: int, group_rows: int, id_col: str, lot: int, near: tuple[int, int]) -> DataFrame:
+    """``pack`` with near-duplicate components. Every text is shuffled once, to its packing group, and linked there."""
+    text = F.col("text").cast("string")
+    rows = docs.select(
+        F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(0)).alias("id"), F.col(f"`{id_col}`").isNull().alias("no_id"),
+        F.col("source").cast("string").alias("source"), text.alias("text"),
+    )
+    groups = max(1, -(-docs.count() // group_rows))
+    rows = rows.withColumns({f"k{i}": F.xxhash64(F.lit(i), "no_id", "id", F.col("source").isNull(), "source", F.col("text").isNull(), "text") for i in (1, 2)})
+    often = stored(rows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > lot), "repeated")
+    told = F.broadcast(often) if often.count() <= FEW else often
+    single = rows.join(told, ["k1", "k2"], "left_anti").withColumns({"copies": F.lit(1).cast("long"), "nth": F.lit(0).cast("long")})
+    # Of rows repeated without bound one stands for each lot.
+    light = ["k1", "k2", "id", "no_id", "source", "n"]
+    many = rows.join(told, ["k1", "k2"]).groupBy(*light).agg(F.any_value("text").alias("text"))
+    many = many.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {lot}"))))
+    many = many.withColumn("copies", F.least(F.col("n") - F.col("nth") * lot, F.lit(lot)).cast("long"))
+    dealt = single.unionByName(many.select(*single.columns))
+    dealt = dealt.withColumn("packing_group", F.pmod(F.xxhash64("k1", "k2", "nth"), F.lit(groups))).drop("nth", "k1", "k2")
+    dealt = dealt.select(
+        "packing_group", "id", "no_id", "source", "copies", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("n_words"),
+        F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("crc"), "text",
+    )
+
+    def of_group(t: pa.Table) -> pa.Table:
+        texts = t["text"].combine_chunks()
+        linked = components(texts, *near)
+        own = texts.to_pylist()
+        # Texts without words are clusters of equal ones, as without ``near``; names keep the ties' order.
+        names = [None if x is None else f"n{c:09}" if c >= 0 else f"t{x}" for c, x in zip(linked.tolist(), own, strict=True)]
+        frame = t.drop_columns("text").to_pandas()
+        frame["cluster"] = pd.Series(names, dtype=object)
+        return pa.Table.from_pandas(pack_group(frame, capacity), preserve_index=False)
+
+    ship(docs.sparkSession)
+    packed = dealt.groupBy("packing_group").applyInArrow(of_group, PACKED)
+    return packed.select(F.when(~F.col("no_id"), F.col("id")).alias(id_col), "piece", "first_word", "n_words", "packing_group", "bin", "bin_offset")

@@ -12,7 +12,7 @@ from .decontamination import contamination
 from .html_extract import extract_text
 from .near_dedup import near_duplicates
 from .nearest import nearest
-from .packing import near_clusters, pack
+from .packing import pack
 from .periodic_runs import periodic_runs
 from .prefix_trie import prefix_trie
 from .quality_classifier import score_quality
@@ -34,9 +34,8 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bins of 2048 words, no two documents of one source or of one component of op8 in a bin."""
-    docs = table(spark, sf_dir, "documents")
-    return pack(docs, clusters=near_clusters(docs, shingle=2, percent=80))
+    """Bins of 2048 words, no two documents of one source or, by op8's links, of one group of near copies in a bin."""
+    return pack(table(spark, sf_dir, "documents"), near=(2, 80))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
