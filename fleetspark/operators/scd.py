@@ -36,7 +36,7 @@ START_AT = "__START_AT"
 END_AT = "__END_AT"
 
 
-def _tracked(df: DataFrame, keys: Sequence[str], track, track_except) -> list[str]:
+def tracked_columns(df: DataFrame, keys: Sequence[str], track, track_except) -> list[str]:
     cols = list(track) if track is not None else [c for c in df.columns if c not in keys]
     if track_except:
         cols = [c for c in cols if c not in set(track_except)]
@@ -73,7 +73,7 @@ def scd2(
     """
     keys = list(keys)
     cols = df.columns
-    tracked = _tracked(df, keys, track, track_except)
+    tracked = tracked_columns(df, keys, track, track_except)
     chunk = default_chunk(df, sequence_by) if chunk is None else chunk
     parted = partition_by_key_and_chunk(df.where(F.col(sequence_by).isNotNull()), keys, chunk)
     # Same key and sequence: keep the greatest row (grouping keys include the

@@ -108,21 +108,20 @@ def q_nearest_reading_stream(spark, d):
 
 
 # --- K5: incremental SCD2 with a late half --------------------------------------------
-SCD_CUT = "2024-01-15"
+SCD_CUT, SCD_VERY_LATE = "2024-01-15", "2024-01-08"
 
 
 def q_scd2_stream(spark, d):
-    """Snapshots arrive in two drops, the *later* half first: the second run
-    must re-open versions around the late rows. Two available-now runs on one
-    checkpoint (a restart in between)."""
+    """Snapshots arrive in three drops, the *later* half first: the second run
+    must re-open versions around the late rows, the third brings a very late
+    week of some users. Available-now runs on one checkpoint (restarts in between)."""
     events = T.table(spark, d, "events")
     landing = fresh_dir(spark, "scd_landing")
     target, ckpt = fresh_dir(spark, "scd_target"), fresh_dir(spark, "scd_ckpt")
     late = F.coalesce(F.col("ts") < F.lit(SCD_CUT).cast("timestamp_ntz"), F.lit(True))
-    events.where(~late).write.mode("append").parquet(landing)
-    for drop in (0, 1):
-        if drop == 1:
-            events.where(late).write.mode("append").parquet(landing)
+    very_late = late & F.coalesce(F.col("ts") < F.lit(SCD_VERY_LATE).cast("timestamp_ntz"), F.lit(False)) & (F.col("user_id") % 10 == 3)
+    for drop in (~late, late & ~very_late, very_late):
+        events.where(F.coalesce(drop, F.lit(False))).write.mode("append").parquet(landing)
         stream = spark.readStream.schema(events.schema).parquet(landing)
         scd_stream.scd2_incremental(
             spark, stream, target, ckpt, ["user_id"], "ts", track=["event_type"], buckets=16

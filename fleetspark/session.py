@@ -93,6 +93,29 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path and the path, as Hadoop objects."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _hadoop(spark, path)
+    return fs.exists(at)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if there is no such folder."""
+    fs, at = _hadoop(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a table that this library wrote and no longer needs."""
+    fs, at = _hadoop(spark, path)
+    fs.delete(at, True)
+
+
 def size_for_data(spark: SparkSession, shuffle_bytes: int, total_cores: int, partition_bytes: int = 128 << 20) -> int:
     """Cluster sizing from the data volume, not a fixed number.
 

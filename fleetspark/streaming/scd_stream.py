@@ -1,34 +1,56 @@
 """Incremental SCD2 over a stream of snapshots (K5).
 
-A collapsed history cannot absorb a late snapshot (a late B between two
-collapsed A's re-opens A), so each micro-batch recomputes the history of the
-keys it touches from all their snapshots and replaces them in the target. The
-snapshots seen so far are kept beside the target, partitioned by key bucket.
-
-The target is partitioned by a key bucket ``pmod(hash(keys), buckets)``.
-Per micro-batch: find the buckets the batch touches (at most ``buckets``
-small integers), recompute K1 for the snapshot rows of those buckets (the
-others are pruned by a partition filter), and write with dynamic partition overwrite -- only the touched buckets are
-replaced. Re-running an epoch after a failure rewrites the same buckets with
-the same content (idempotent).
+A late snapshot changes little: whether it differs from the snapshot before it, whether the one after it differs from
+it, and where the version before it ends. So a micro-batch works on the *parts* of its keys that it touches (a part is a
+month of the sequence, or a block of numbers) and on the few others whose versions change with them, never on
+whole histories.
+
+Three tables (``keyed_store``), cut by key bucket and part, are committed together:
+
+* ``snapshots``  one row a key and sequence value (the greatest of conflicting ones), as history alone can't absorb
+  a late snapshot: a late B between two collapsed A's re-opens A;
+* ``edges``      a row a key and part: first and last tracked values, first change inside, whether its first row opens
+  a version (it differs from the last row of the part before) and where the next change after the part lies;
+* ``history``    the versions, in the part in which they start.
+
+Per micro-batch: the new rows join the snapshots of the touched cells; their edges are computed anew and compared, over
+the parts of each touched key, with the stored ones. Affected are the touched parts, a later part whose first row now
+opens, or no longer opens, a version, and an earlier part whose last version ends elsewhere. Only those parts'
+versions are computed, from their snapshots, and spliced into the cells they lie in; all other rows of those cells are
+carried over and all other cells stay as they are. A key with very many rows in one part is split further (``sequence``).
+
+A replayed epoch that was committed changes nothing; one that wasn't starts from the last committed state.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, StringType, StructType, TimestampNTZType, TimestampType
 
-from fleetspark.operators import scd
-from fleetspark.streaming.runner import run_update_batches
+from fleetspark.operators.scd import END_AT, START_AT, tracked_columns
+from fleetspark.operators.sequence import with_neighbor
+from fleetspark.session import remove_path
+from fleetspark.streaming.keyed_store import KeyedStore
+from fleetspark.streaming.runner import BUCKET, ID, identity, kept_aside, key_bucket, run_update_batches
 
-BUCKET = "_key_bucket"
+PART = "_part"
+CELL = [BUCKET, PART]
+TABLES = {"snapshots": CELL, "edges": CELL, "history": CELL}
 
 
-def key_bucket(keys: Sequence[str], buckets: int):
-    return F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(buckets))
+def sequence_part(df: DataFrame, sequence_by: str) -> Column:
+    """The part of the sequence a row lies in, as a text that can stand in a path: month of times and dates, the first
+    seven characters of strings (year and month of ISO dates), blocks of 2^20 numbers."""
+    kind, c = df.schema[sequence_by].dataType, F.col(sequence_by)
+    if isinstance(kind, (TimestampType, TimestampNTZType, DateType)):
+        return F.date_format(c, "yyyyMM")
+    if isinstance(kind, StringType):
+        return F.hex(F.encode(F.substring(c, 1, 7), "UTF-8"))
+    return F.floor(c / F.lit(1 << 20)).cast("string")
 
 
 def scd2_incremental(
@@ -43,35 +65,78 @@ def scd2_incremental(
     buckets: int = 64,
     wait: bool = True,
 ) -> StreamingQuery:
+    """Keeps the history of ``scd.scd2`` over all snapshots streamed so far, in ``target_path`` (see ``read_history``)."""
     keys = list(keys)
-
-    seen = f"{target_path.rstrip('/')}__snapshots"
+    columns = snapshots_stream.columns
+    tracked = tracked_columns(snapshots_stream, keys, track, track_except)
+    others = [c for c in columns if c not in (*keys, sequence_by)]
+    value = F.struct(F.struct(*[F.col(c) for c in tracked]).alias("v")) if tracked else F.struct(F.lit(True).alias("v"))
+    seq = F.col(sequence_by)
+
+    def with_changes(rows: DataFrame) -> DataFrame:
+        """``_v``, and whether it differs from that of the row before it in the part: NULL for the part's first row."""
+        near = with_neighbor(rows.withColumn("_v", value), [*keys, PART], [sequence_by], F.col("_v"), "_prev", "prev")
+        return near.withColumn("_inside", F.when(F.col("_prev").isNotNull(), ~F.col("_v").eqNullSafe(F.col("_prev")))).drop("_prev")
+
+    def merge(old: DataFrame, new: DataFrame) -> DataFrame:
+        both = old.unionByName(new)
+        if not others:
+            return both.dropDuplicates([*keys, sequence_by, *CELL])
+        best = both.groupBy(*keys, sequence_by, *CELL).agg(F.max(F.struct(*others)).alias("_row"))
+        return best.select(*keys, sequence_by, *[F.col(f"_row.`{c}`").alias(c) for c in others], *CELL).select(*columns, *CELL)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        # The batch joins a copy of all snapshots that is partitioned by key bucket; a replayed epoch rewrites
-        # its own folder.
-        own = f"{seen}/epoch={epoch_id}"
-        bucketed = batch.withColumn(BUCKET, key_bucket(keys, buckets))
-        bucketed.write.mode("overwrite").partitionBy(BUCKET).parquet(own)
-        # Bounded by ``buckets``: a short list of ints, not data.
-        ids = [r[BUCKET] for r in spark.read.schema(bucketed.schema).parquet(own).select(BUCKET).distinct().collect()]
-        if not ids:
+        own = batch.sparkSession
+        store = KeyedStore(own, target_path, TABLES)
+        if store.committed(epoch_id):
+            return
+        aside = f"{target_path.rstrip('/')}/incoming/{epoch_id}"
+        placed = batch.where(seq.isNotNull()).withColumn(BUCKET, key_bucket(keys, buckets).cast("string"))
+        new = kept_aside(placed.withColumn(PART, sequence_part(batch, sequence_by)), f"{aside}/rows")
+        touched = [tuple(r) for r in new.select(*CELL).distinct().collect()]  # cells, not keys
+        if not touched:
             return
-        # A partition filter: only the folders of touched buckets are listed and read.
-        snapshots = spark.read.schema(bucketed.schema).option("basePath", seen).parquet(seen)
-        subset = snapshots.where(F.col(BUCKET).isin(ids)).select(*batch.columns)
-        hist = scd.scd2(subset, keys, sequence_by, track, track_except).withColumn(BUCKET, key_bucket(keys, buckets))
-        # No repartition by bucket before the write: a hot key would put its
-        # whole history in one task; each task writes its own files instead.
-        (
-            hist.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BUCKET)
-            .parquet(target_path)
+        written = {"snapshots": store.write("snapshots", epoch_id, merge(store.read("snapshots", batch.schema, touched), new))}
+
+        def snapshots(cells, parts: DataFrame) -> DataFrame:
+            rows = store.read("snapshots", batch.schema, cells, written["snapshots"])
+            return rows.withColumn(ID, identity(keys)).join(parts.select(ID, *CELL), [ID, *CELL], "left_semi")
+
+        hit = new.select(identity(keys).alias(ID), *CELL).distinct()
+        fresh = with_changes(snapshots(touched, hit)).groupBy(ID, *CELL).agg(
+            F.min(seq).alias("first_at"), F.min_by("_v", seq).alias("first"), F.max_by("_v", seq).alias("last"),
+            F.min(F.when(F.col("_inside"), seq)).alias("inside_at"),
         )
+        fresh = fresh.withColumns({"opens": F.lit(None).cast("boolean"), "next_at": F.lit(None).cast(batch.schema[sequence_by].dataType)})
+        shape = StructType([f for f in fresh.schema.fields if f.name not in CELL])
+        stored = store.read("edges", shape, {(b,) for b, _ in touched})
+        known = stored.join(hit.select(ID).distinct(), ID, "left_semi").join(hit, [ID, *CELL], "left_anti")
+        in_order = Window.partitionBy(ID).orderBy("first_at")  # a row a part
+        later = Window.partitionBy(ID).orderBy(F.desc("first_at")).rowsBetween(Window.unboundedPreceding, -1)
+        edges = fresh.withColumn("_touched", F.lit(True)).unionByName(known.withColumn("_touched", F.lit(False)))
+        edges = edges.withColumn("_opens", F.coalesce(~F.col("first").eqNullSafe(F.lag("last").over(in_order)), F.lit(True)))
+        edges = edges.withColumn("_change_at", F.when(F.col("_opens"), F.col("first_at")).otherwise(F.col("inside_at")))
+        edges = edges.withColumn("_next_at", F.last("_change_at", ignorenulls=True).over(later))
+        ends_elsewhere = F.col("_change_at").isNotNull() & ~F.col("_next_at").eqNullSafe(F.col("next_at"))
+        affected = edges.where(F.col("_touched") | ~F.col("_opens").eqNullSafe(F.col("opens")) | ends_elsewhere)
+        affected = affected.withColumns({"opens": F.col("_opens"), "next_at": F.col("_next_at")}).select(*fresh.columns)
+        affected = kept_aside(affected, f"{aside}/edges")
+        cells = [tuple(r) for r in affected.select(*CELL).distinct().collect()]
+
+        rows = with_changes(snapshots(cells, affected)).join(affected.select(ID, *CELL, "opens", "next_at"), [ID, *CELL])
+        opening = rows.where(F.coalesce("_inside", "opens")).withColumn(START_AT, seq)
+        versions = with_neighbor(opening, [*keys, PART], [sequence_by], seq, END_AT, "next")
+        versions = versions.withColumn(END_AT, F.coalesce(END_AT, "next_at")).select(*columns, START_AT, END_AT, *CELL)
+        rest = store.read("history", versions.drop(*CELL).schema, cells).withColumn(ID, identity(keys))
+        rest = rest.join(affected.select(ID, *CELL), [ID, *CELL], "left_anti").drop(ID)
+        written["history"] = store.write("history", epoch_id, rest.unionByName(versions))
+        same = store.read("edges", shape, cells).join(affected.select(ID, *CELL), [ID, *CELL], "left_anti")
+        written["edges"] = store.write("edges", epoch_id, same.unionByName(affected))
+        store.commit(epoch_id, written, {"snapshots": touched, "history": cells, "edges": cells})
+        remove_path(own, aside)
 
     return run_update_batches(snapshots_stream, apply, checkpoint, wait=wait)
 
 
 def read_history(spark: SparkSession, target_path: str) -> DataFrame:
-    return spark.read.parquet(target_path).drop(BUCKET)
+    return KeyedStore(spark, target_path, TABLES).read("history").drop(*CELL)

@@ -50,7 +50,11 @@ def test_dedup_and_late_rows(spark, tmp_path):
     runner.run_append(out, path, ck)
     got = rows(spark.read.parquet(path).select("trip_id", F.col("event_timestamp").cast("timestamp_ntz").alias("t")))
     t = lambda h, m, s=0: dt.datetime(2026, 5, 1, h, m, s)
-    assert ("A", t(10, 0)) in got and (None, t(10, 0)) in got and ("A", None) in got
+    assert ("A", t(10, 0)) in got and (None, t(10, 0)) in got
+    # a row without a time never gets to the dedup: it is in the untimed quarantine instead
+    assert ("A", None) not in got
+    batch = spark.read.schema(schema("gps_events")).json(land)
+    assert rows(silver.EVENT_TIME_RULES.quarantine(silver.with_event_time(batch)), "trip_id", "_failed_rules") == [("A", ["valid_event_time"])]
     assert got.count(("A", t(10, 0))) == 1 and got.count((None, t(10, 0))) == 1
     assert ("A", t(10, 10)) in got and ("A", t(12, 30)) in got and ("A", t(13, 30)) in got
     assert ("B", t(11, 0)) not in got  # behind the watermark: dropped as late
@@ -139,5 +143,5 @@ def test_complete_mode_sink_overwrites(spark, tmp_path):
     run()
     assert rows(runner.read_complete(spark, out)) == [("T1", 17.5, 3)]
     # a rewrite that has written its epoch but not committed it isn't seen
-    spark.range(3).write.parquet(f"{out}/epochs/99")
+    spark.range(3).write.parquet(f"{out}/data/result/_epoch=99")
     assert rows(runner.read_complete(spark, out)) == [("T1", 17.5, 3)]
