@@ -28,6 +28,9 @@ QUARANTINE = "quarantine"
 ACTIONS = (DROP, WARN, QUARANTINE)
 
 FAILED_RULES_COL = "_failed_rules"
+OUTCOME_COL = "_outcome"
+#: Outcomes of a row; ASIDE: refused ahead of the rules that the outcome is about.
+KEPT, REFUSED, ASIDE = "kept", "refused", "aside"
 
 
 @dataclass(frozen=True)
@@ -97,6 +100,18 @@ class ExpectationSet:
             return df.limit(0).withColumn(FAILED_RULES_COL, F.array().cast("array<string>"))
         return df.filter(~self.keep_condition()).withColumn(FAILED_RULES_COL, self.failed_rules())
 
+    def flagged(self, df: DataFrame) -> DataFrame:
+        """Every row with the rules it fails and its outcome: both sides and the counts of a set from one pass."""
+        outcome = F.when(self.keep_condition(), F.lit(KEPT)).otherwise(F.lit(REFUSED))
+        return df.withColumns({FAILED_RULES_COL: self.failed_rules(), OUTCOME_COL: outcome})
+
+    def counts(self, flagged: DataFrame) -> DataFrame:
+        """One row per rule: rule, action, passed_rows, failed_rows, of flagged rows."""
+        failed = [F.count_if(F.array_contains(FAILED_RULES_COL, r.name)).alias(f"f{i}") for i, r in enumerate(self.rules)]
+        wide = flagged.agg(F.count(F.lit(1)).alias("n"), *failed)
+        parts = [F.struct(F.lit(r.name).alias("rule"), F.lit(r.action).alias("action"), (F.col("n") - F.col(f"f{i}")).alias("passed_rows"), F.col(f"f{i}").alias("failed_rows")) for i, r in enumerate(self.rules)]
+        return wide.select(F.inline(F.array(*parts)))
+
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         return self.apply(df), self.quarantine(df)
 

@@ -21,7 +21,8 @@ from fleetspark.plans import gold, silver
 
 @dataclass(frozen=True)
 class Dataset:
-    """``mode``: "append" (stateless or watermarked), "complete" (unbounded aggregate) or "scd2" (versions).
+    """``mode``: "append" (stateless or watermarked), "upsert" (unbounded aggregate by ``keys``, whose changed groups are replaced),
+    "complete" (replaced as a whole) or "scd2" (versions). ``joined_by``: the key by which a stream's second input is read.
     ``snapshots``: the inputs that a stream reads as they stand (the static side of its joins).
     ``rules`` and ``prepared``: the rule set and the rows it is applied to, where the builder applies one."""
 
@@ -34,6 +35,8 @@ class Dataset:
     snapshots: tuple[str, ...] = ()
     rules: ExpectationSet | None = None
     prepared: Callable[..., DataFrame] | None = None
+    keys: tuple[str, ...] = ()
+    joined_by: str | None = None
 
     @property
     def layer(self) -> str:
@@ -54,14 +57,14 @@ DATASETS: dict[str, Dataset] = {
                 rules=silver.DELIVERY_RULES, prepared=silver.delivery_events_prepared),
         Dataset("shipment_invoice_silver", silver.shipment_invoice_silver, ("shipment_manifests", "invoices"), "append",
                 "Every manifest with its invoices, if any.", "batch", ("invoices",),
-                silver.SHIPMENT_INVOICE_RULES, silver.shipment_invoice_prepared),
+                silver.SHIPMENT_INVOICE_RULES, silver.shipment_invoice_prepared, joined_by="manifest_id"),
         Dataset("maintenance_logs_silver", silver.maintenance_logs_silver, ("maintenance_logs",), "append",
                 "Service records with trimmed texts and positive figures.", "batch",
                 rules=silver.MAINTENANCE_RULES, prepared=silver.maintenance_logs_prepared),
         Dataset("driver_vehicle_master_silver", silver.driver_vehicle_master_silver, ("driver_vehicle_master",), "scd2",
                 "Versions of each vehicle's assignment from its snapshots.", "batch"),
-        Dataset("daily_revenue_gold", gold.daily_revenue_gold, ("shipment_invoice_silver",), "complete",
-                "Invoiced amounts summed by day, route and priority.", "batch"),
+        Dataset("daily_revenue_gold", gold.daily_revenue_gold, ("shipment_invoice_silver",), "upsert",
+                "Invoiced amounts summed by day, route and priority.", "batch", keys=tuple(gold.REVENUE_KEYS)),
         Dataset("vehicle_scorecard_gold", gold.vehicle_scorecard_gold,
                 ("maintenance_logs_silver", "driver_vehicle_master_silver"), "complete",
                 "Service cost and count of each vehicle beside who drives it now.", "batch", ("driver_vehicle_master_silver",)),
@@ -70,11 +73,11 @@ DATASETS: dict[str, Dataset] = {
         Dataset("delivery_performance_gold", gold.delivery_performance_gold, ("delivery_events_silver",), "append",
                 "Delivery updates per hour and status.", "stream"),
         Dataset("fuel_cost_efficiency_gold", gold.fuel_cost_efficiency_gold,
-                ("sensor_events_silver", "gps_events_silver"), "complete",
-                "Per-trip fuel and distance extremes from sensor + GPS data.", "stream", ("sensor_events_silver",)),
+                ("sensor_events_silver", "gps_events_silver"), "upsert",
+                "Most and least fuel and distance of each trip, of vehicles seen by both kinds of events.", "stream", ("sensor_events_silver",), keys=("trip_id",)),
         Dataset("live_fleet_status_gold", gold.live_fleet_status_gold,
                 ("gps_events_silver", "sensor_events_silver"), "append",
-                "Fleet position + health: pings joined to readings within the time bound.", "stream"),
+                "Every ping beside the sensor readings of its trip that lie near it in time.", "stream"),
     ]
 }
 

@@ -71,6 +71,10 @@ EVENT_KEY = ["trip_id", "event_timestamp"]
 EVENT_TIME_RULES = ExpectationSet([expect_or_drop("valid_event_time", "event_timestamp IS NOT NULL")])
 
 
+# Lines of a CSV file that don't fit its header: which of their cells belong to which column is unknown.
+LINE_RULES = ExpectationSet([expect_or_drop("fits_header", "_corrupt_record IS NULL")])
+
+
 def with_event_time(bronze: DataFrame) -> DataFrame:
     return bronze.withColumn("event_timestamp", S.parse_event_time("timestamp"))
 

@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fleetspark import schemas
-from fleetspark.plans import gold, jobs, oracle, silver
+from fleetspark.plans import gold, jobs, oracle, registry, silver
 from fleetspark.plans import standins as T
 from fleetspark.plans.catalog import LIVE_BOUND_SECONDS, ntz, rounded
 from fleetspark.session import fresh_dir
 from fleetspark.sources import ingest
-from fleetspark.streaming import runner, scd_stream
+from fleetspark.sources.tables import BATCH, read_static
+from fleetspark.streaming import bucketed, runner, scd_stream
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +41,12 @@ def _run_complete(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return runner.read_complete(spark, out)
 
 
+def _run_upsert(spark: SparkSession, df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    out, ckpt = fresh_dir(spark, f"{name}-out"), fresh_dir(spark, f"{name}-ckpt")
+    runner.run_upsert(df, keys, out, ckpt, buckets=8)
+    return runner.read_upserts(spark, out)
+
+
 # --- I1, I2 -------------------------------------------------------------------------
 def q_gps_dedup_stream(spark, d):
     """Every event is delivered twice (two sources over the same file); the
@@ -57,9 +64,14 @@ def q_delivery_performance_stream(spark, d):
 
 # --- C1 on a stream (stream-static left join) ------------------------------------------
 def q_shipment_invoice_stream(spark, d):
+    """Each micro-batch of manifests reads only the invoices of its key buckets."""
     manifests = T.manifests(table_stream(spark, d, "orders"))
-    invoices = T.invoices(T.table(spark, d, "lineitem"))
-    return _run_append(spark, silver.shipment_invoice_silver(manifests, invoices), "ship_stream")
+    invoices = T.invoices(table_stream(spark, d, "lineitem"))
+    copy, copied, out, ckpt = (fresh_dir(spark, f"ship_stream-{part}") for part in ("by-key", "by-key-ckpt", "out", "ckpt"))
+    bucketed.fill(invoices, "manifest_id", copy, copied, buckets=32)
+    join = bucketed.joining(spark, copy, invoices.schema, "manifest_id", silver.shipment_invoice_silver, buckets=32)
+    runner.run_update_batches(manifests, lambda batch, e: runner.write_once(join(runner.kept_aside(batch, f"{copy}-in/{e}")), f"{out}/{BATCH}={e}"), ckpt)
+    return read_static(spark, out)
 
 
 # --- I5: unbounded aggregate, complete mode via foreachBatch ---------------------------
@@ -67,7 +79,7 @@ def q_daily_revenue_stream(spark, d):
     manifests = T.manifests(table_stream(spark, d, "orders"))
     invoices = T.invoices(T.table(spark, d, "lineitem"))
     rev = gold.daily_revenue_gold(silver.shipment_invoice_silver(manifests, invoices))
-    return rounded(_run_complete(spark, rev, "daily_revenue"), "revenue")
+    return rounded(_run_upsert(spark, rev, gold.REVENUE_KEYS, "daily_revenue"), "revenue")
 
 
 # --- I6 ------------------------------------------------------------------------------
@@ -96,7 +108,7 @@ def q_fuel_cost_efficiency_stream(spark, d):
     from fleetspark.plans.catalog import _sensor_silver
 
     gps = silver.gps_events_silver(T.gps_events(table_stream(spark, d, "events")))
-    return _run_complete(spark, gold.fuel_cost_efficiency_gold(_sensor_silver(spark, d), gps), "fuel")
+    return _run_upsert(spark, gold.fuel_cost_efficiency_gold(_sensor_silver(spark, d), gps), ["trip_id"], "fuel")
 
 
 # --- C5 on a stream: nearest reading per ping, emitted once the ping is closed ----------
@@ -239,7 +251,7 @@ def _job(spark, d, run, names):
 
 def q_batch_job_revenue(spark, d):
     out = _job(spark, d, jobs.run_batch_job, schemas.BATCH_SOURCES)
-    return rounded(runner.read_complete(spark, out["gold.daily_revenue_gold"]), "revenue")
+    return rounded(runner.read_upserts(spark, out["gold.daily_revenue_gold"]), "revenue")
 
 
 def q_batch_job_rules(spark, d):
@@ -248,7 +260,8 @@ def q_batch_job_rules(spark, d):
     parts = []
     for name in ("shipment_invoice_silver", "maintenance_logs_silver"):
         kept = spark.read.parquet(out[f"quarantine.{name}"]).agg(F.count(F.lit(1)).alias("quarantined_rows"))
-        counts = spark.read.parquet(out[f"rules.{name}"])
+        own = [r.name for r in registry.DATASETS[name].rules.rules]
+        counts = jobs.rule_counts(spark, out[f"rules.{name}"]).where(F.col("rule").isin(own))
         parts.append(counts.select(F.lit(name).alias("dataset"), "*", kept.scalar().alias("quarantined_rows")))
     return parts[0].unionByName(parts[1])
 
@@ -258,6 +271,37 @@ def q_stream_job_delivery(spark, d):
     return ntz(spark.read.parquet(out["gold.delivery_performance_gold"]))
 
 
+def q_stream_job_ledger(spark, d):
+    """What became of every landed event, each class from the job's tables. Every tenth event lands twice, every
+    thirteenth without a time."""
+    root, lake, ckpt = (fresh_dir(spark, f"ledger-{part}") for part in ("landing", "lake", "ckpt"))
+    ev = T.table(spark, d, "events")
+    for name in schemas.EVENT_SOURCES:
+        rows = PRODUCERS[name][1](ev)
+        twice = PRODUCERS[name][1](ev.where("event_id % 10 = 0"))
+        lost = PRODUCERS[name][1](ev.where("event_id % 13 = 0")).withColumn("timestamp", F.lit("never"))
+        rows = rows.unionByName(twice).unionByName(lost)
+        rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.schema(name).fields])
+        rows.write.mode("append").json(f"{root}/{name}")
+    return jobs.event_ledger(spark, jobs.run_stream_job(spark, root, lake, ckpt))
+
+
+# --- O4 for CSV: columns added, missing and in another order -------------------------------
+def q_csv_schema_drift(spark, d):
+    """Invoices in three layouts: as declared; with a new second column; without the status and in another order."""
+    inv = T.invoices(T.table(spark, d, "lineitem"))
+    root, bronze, ckpt = (fresh_dir(spark, f"drift-{part}") for part in ("landing", "bronze", "ckpt"))
+    names = [f.name for f in schemas.schema("invoices").fields]
+    kind = F.pmod(F.col("manifest_id"), F.lit(3))
+    layouts = [names, [names[0], "region", *names[1:]], ["amount_inr", "manifest_id", "customer_name", "invoice_id", "invoice_date"]]
+    for i, layout in enumerate(layouts):
+        part = inv.where(kind == i).withColumn("region", F.concat(F.lit("NORTH, "), F.col("customer_name")))
+        part.select(*layout).write.mode("append").options(**CSV_WRITE).csv(f"{root}/invoices")
+    ingest.ingest_batch_sources(spark, root, bronze, ckpt, ["invoices"], rescue=True)
+    rows = read_static(spark, f"{bronze}/invoices")
+    return rows.select(*names, "_rescued_data", F.col("_corrupt_record").isNotNull().alias("is_corrupt"))
+
+
 STREAM_QUERIES = {
     "bronze_manifests": _bronze_of("shipment_manifests"),
     "bronze_invoices": _bronze_of("invoices"),
@@ -269,6 +313,8 @@ STREAM_QUERIES = {
     "batch_job_revenue": q_batch_job_revenue,
     "batch_job_rules": q_batch_job_rules,
     "stream_job_delivery": q_stream_job_delivery,
+    "stream_job_ledger": q_stream_job_ledger,
+    "csv_schema_drift": q_csv_schema_drift,
     "gps_dedup_stream": q_gps_dedup_stream,
     "delivery_performance_stream": q_delivery_performance_stream,
     "shipment_invoice_stream": q_shipment_invoice_stream,
@@ -343,4 +389,19 @@ WHERE event_timestamp <= least((SELECT max(ts) FROM events WHERE event_type = 'v
 UNION ALL SELECT 'sensor_events', count(*) FROM events WHERE event_type = 'click'
 UNION ALL SELECT 'delivery_events', count(*) FROM events""",
 }
+_LANDED = """landed AS (SELECT 'gps_events_silver' AS dataset, user_id, ts, event_id, lat BETWEEN 8.0 AND 37.0 AND lon BETWEEN 68.0 AND 97.0 AND value BETWEEN 0 AND 150 AS ok
+  FROM (SELECT *, 7.5 + value / 8 AS lat, 68.0 + value / 4 AS lon FROM events) WHERE event_type = 'view'
+  UNION ALL SELECT 'sensor_events_silver', user_id, ts, event_id, value - 20 BETWEEN -20 AND 150 AND value BETWEEN 0 AND 200 AND (user_id % 2 = 0 OR value / 2 - 30 BETWEEN -30 AND 50)
+  FROM events WHERE event_type = 'click'
+  UNION ALL SELECT 'delivery_events_silver', user_id, ts, event_id, event_type IN ('signup', 'click', 'view', 'purchase') FROM events)"""
+STREAM_SQL["stream_job_ledger"] = f"""WITH {_LANDED},
+once AS (SELECT dataset, user_id, ts, any_value(ok) AS ok, count(*) + count(*) FILTER (event_id % 10 = 0) AS n FROM landed WHERE ts IS NOT NULL GROUP BY ALL),
+lost AS (SELECT dataset, count(*) FILTER (event_id % 13 = 0) + count(*) FILTER (ts IS NULL) + count(*) FILTER (ts IS NULL AND event_id % 10 = 0) AS n FROM landed GROUP BY dataset)
+SELECT once.dataset, (sum(once.n) + any_value(lost.n))::BIGINT AS bronze_rows, count(*) FILTER (ok) AS kept_rows, count(*) FILTER (ok IS NOT TRUE) AS refused_rows,
+       any_value(lost.n)::BIGINT AS untimed_rows, (sum(once.n) - count(*))::BIGINT AS duplicate_rows, 0::BIGINT AS late_rows, 0::BIGINT AS foreign_rows, 0::BIGINT AS unexplained_rows
+FROM once JOIN lost ON lost.dataset = once.dataset GROUP BY once.dataset"""
+STREAM_SQL["csv_schema_drift"] = oracle.with_(oracle.INVOICES) + """SELECT invoice_id, manifest_id::VARCHAR AS manifest_id, invoice_date, customer_name, amount_inr,
+       CASE WHEN manifest_id % 3 <> 2 THEN payment_status END AS payment_status,
+       CASE WHEN manifest_id % 3 = 1 THEN '{"region":"NORTH, ' || customer_name || '"}' END AS _rescued_data, false AS is_corrupt
+FROM invoices"""
 STREAM_SQL["stream_job_delivery"] = STREAM_SQL["delivery_performance_stream"]

@@ -4,6 +4,12 @@ Landing JSON is read as text; the declared fields are typed columns, fields
 the schema does not know are not lost but kept, as raw JSON text, in
 ``_rescued_data``, and a record that is no JSON object is kept whole in
 ``_corrupt_record`` -- both can be parsed again once the schema grows.
+
+Landing CSV is read by the header of each file: a column is found by its name,
+wherever it stands; one the schema does not know goes to ``_rescued_data``, one
+the file lacks is NULL, and a line with more or fewer cells than its header, or
+with a cell that doesn't fit its column's type, is kept whole in
+``_corrupt_record``, too.
 """
 
 from __future__ import annotations
@@ -45,5 +51,72 @@ def parse_with_rescue(
     return held.select(*out)
 
 
+LINE, FILE, AT = "value", "_file", "_at"
+#: Files of one read whose headers are sent to every task; more are joined.
+MOST_HEADERS = 10_000
+
+
+def _cells(line: Column, width: int) -> Column:
+    """The first ``width`` cells of a CSV line as an array of strings, NULL where empty or missing."""
+    names = [f"c{i}" for i in range(width)]
+    parsed = F.from_csv(line, ", ".join(f"{n} string" for n in names), {"mode": "PERMISSIVE"})
+    return F.array(*[parsed.getField(n) for n in names])
+
+
+def _cell_count(line: Column) -> Column:
+    """Cells of a CSV line: commas outside quotes, and one."""
+    return F.size(F.split(F.regexp_replace(line, r'"(?:[^"\\\\]|\\\\.|"")*"', ""), ","))
+
+
+def csv_lines(text: DataFrame) -> DataFrame:
+    """Lines of a text read with their file and place; the first line of a file has the smallest place of its file."""
+    return text.select(
+        LINE, F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("_block"), "_metadata"
+    )
+
+
+def parse_csv_by_header(lines: DataFrame, schema: StructType, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The fields of ``schema``, the ``keep`` columns, ``_rescued_data`` (JSON text of the cells under other names, NULL if there are none)
+    and ``_corrupt_record``, for every line of ``csv_lines`` but headers and blank lines.
+
+    The headers are one aggregate over the lines that lie in the first block of a file; a name that a header repeats
+    counts where it stands first. Quoted cells may hold commas, but no line breaks."""
+    placed = lines.withColumn(AT, F.monotonically_increasing_id())
+    first = placed.where("_block = 0").groupBy(FILE).agg(F.min_by(LINE, AT).alias("_header"), F.min(AT).alias("_header_at"))
+    first = first.withColumn("_width", _cell_count(F.col("_header")))
+    stats = first.agg(F.max("_width").alias("width"), F.count(F.lit(1)).alias("files")).first()
+    width = stats["width"] or 1
+    named = F.transform(_cells(F.col("_header"), width), lambda x: F.trim(F.regexp_replace(x, "^\uFEFF", "")))
+    heads = first.select(FILE, "_header_at", "_width", named.alias("_names"))
+    rows = placed.join(F.broadcast(heads) if stats["files"] <= MOST_HEADERS else heads, FILE)
+    rows = rows.where((F.col(AT) != F.col("_header_at")) & (F.trim(LINE) != ""))
+    rows = rows.withColumn("_cell", _cells(F.col(LINE), width))
+
+    def cell(name: str) -> Column:
+        at = F.array_position("_names", name)
+        return F.when(at > 0, F.try_element_at("_cell", at.cast("int")))
+
+    known = F.array(*[F.lit(f.name) for f in schema.fields])
+    other = F.filter(
+        F.transform("_names", lambda n, i: F.struct(n.alias("n"), F.get("_cell", i).alias("v"), i.alias("i"))),
+        lambda x: x["n"].isNotNull() & (x["i"] < F.col("_width")) & ~F.array_contains(known, x["n"]) & (F.array_position("_names", x["n"]) == x["i"] + 1),
+    )
+    unknown = F.map_from_entries(F.transform(other, lambda x: F.struct(x["n"], x["v"])))
+    typed = {f.name: cell(f.name).try_cast(f.dataType) for f in schema.fields}
+    odd = F.lit(False)  # a cell that doesn't fit its column's type
+    for f in schema.fields:
+        if not isinstance(f.dataType, StringType):
+            odd = odd | (cell(f.name).isNotNull() & typed[f.name].isNull())
+    out = [c.alias(name) for name, c in typed.items()]
+    out += [F.col(c) for c in keep]
+    out.append(F.when(F.size(other) > 0, F.to_json(unknown, {"ignoreNullFields": "false"})).alias(RESCUE_COL))
+    out.append(F.when((_cell_count(F.col(LINE)) != F.col("_width")) | odd, F.col(LINE)).alias(CORRUPT_COL))
+    return rows.select(*out)
+
+
+def read_csv_evolving(spark, path: str, schema: StructType) -> DataFrame:
+    return parse_csv_by_header(csv_lines(spark.read.text(path).select(LINE, "_metadata")), schema)
+
+
 def read_json_evolving(spark, path: str, schema: StructType, options: dict[str, str] | None = None) -> DataFrame:
     return parse_with_rescue(spark.read.text(path), schema, options=options)

@@ -20,10 +20,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from fleetspark import schemas
-from fleetspark.sources.evolution import CORRUPT_COL, RESCUE_COL, parse_with_rescue
+from fleetspark.sources.evolution import CORRUPT_COL, LINE, RESCUE_COL, csv_lines, parse_csv_by_header, parse_with_rescue
+from fleetspark.sources.tables import BATCH
+from fleetspark.streaming.runner import run_update_batches, write_once
 
 METADATA_COLS = ["_ingested_at", "_source_file", "_source_name"]
 
@@ -40,8 +42,11 @@ def landing_stream(
     header; malformed values become NULL (PERMISSIVE).
 
     ``rescue`` (O4) adds ``_rescued_data``, the JSON text of the fields the schema does not know (NULL if there
-    are none; a CSV file has none), and ``_corrupt_record``, the text of a record that can't be parsed."""
-    if rescue and fmt == "json":
+    are none), and ``_corrupt_record``, the text of a record that can't be parsed. For JSON only: the columns of a CSV
+    file follow its header, which takes a micro-batch to find (``ingest_source``)."""
+    if rescue and fmt != "json":
+        raise ValueError("CSV with rescue is read by ingest_source")
+    if rescue:
         reader = spark.readStream
         for k, v in (options or {}).items():
             reader = reader.option(k, v)
@@ -49,16 +54,12 @@ def landing_stream(
         parsed = parse_with_rescue(text, schema, options=dict(options or {}), corrupt=True, keep=("_metadata",))
         unknown = F.when(F.size(RESCUE_COL) > 0, F.to_json(RESCUE_COL))
         return parsed.withColumn(RESCUE_COL, unknown)
-    if rescue:
-        schema = StructType([*schema.fields, StructField(CORRUPT_COL, StringType())])
-        options = {**(options or {}), "columnNameOfCorruptRecord": CORRUPT_COL, "enforceSchema": "true"}
     reader = spark.readStream.schema(schema).option("mode", "PERMISSIVE")
     if fmt == "csv":
         reader = reader.option("header", "true")
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    loaded = reader.format(fmt).load(path)
-    return loaded.withColumn(RESCUE_COL, F.lit(None).cast("string")) if rescue else loaded
+    return reader.format(fmt).load(path)
 
 
 def with_ingest_metadata(df: DataFrame, source_name: str) -> DataFrame:
@@ -108,6 +109,8 @@ def ingest_source(
     """A6 / A7 for one source: landing files -> bronze parquet table."""
     fmt = fmt or schemas.SOURCE_FORMAT[source_name]
     schema = schema or schemas.schema(source_name)
+    if rescue and fmt == "csv":
+        return _ingest_csv_by_header(spark, source_name, landing_path, table_path, checkpoint, schema, query_name, wait, options)
     df = with_ingest_metadata(landing_stream(spark, landing_path, fmt, schema, options, rescue), source_name)
     q = write_append(df, table_path, checkpoint, query_name)
     if wait:
@@ -117,6 +120,24 @@ def ingest_source(
     return q
 
 
+def _ingest_csv_by_header(
+    spark: SparkSession, source_name: str, landing_path: str, table_path: str, checkpoint: str, schema: StructType,
+    query_name: str | None, wait: bool, options: Mapping[str, str] | None,
+) -> StreamingQuery:
+    """CSV files whose columns may be added, missing or in another order (O4): each micro-batch finds the headers of its
+    files and writes its rows once, to a folder of its own."""
+    reader = spark.readStream.format("text")
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
+    lines = csv_lines(reader.load(landing_path).select(LINE, "_metadata"))
+
+    def publish(batch: DataFrame, epoch_id: int) -> None:
+        rows = parse_csv_by_header(batch, schema, keep=("_metadata",))
+        write_once(with_ingest_metadata(rows, source_name), f"{table_path}/{BATCH}={epoch_id}")
+
+    return run_update_batches(lines, publish, checkpoint, query_name, wait)
+
+
 def _bound(max_files: int | None) -> dict[str, str]:
     return {"maxFilesPerTrigger": str(max_files)} if max_files else {}
 

@@ -50,6 +50,8 @@ class TableNames:
 
 
 WATERMARK_META = "spark.watermarkDelayMs"
+#: Partition of a table that micro-batches write folder by folder; it is no column of the table's data.
+BATCH = "_batch"
 
 
 def _plain_schema(schema: StructType) -> StructType:
@@ -57,6 +59,8 @@ def _plain_schema(schema: StructType) -> StructType:
     query must not carry that query's watermark into the next one."""
     fields = []
     for f in schema.fields:
+        if f.name == BATCH:
+            continue
         meta = {k: v for k, v in f.metadata.items() if k != WATERMARK_META}
         fields.append(StructField(f.name, f.dataType, f.nullable, meta))
     return StructType(fields)
@@ -65,7 +69,7 @@ def _plain_schema(schema: StructType) -> StructType:
 def read_static(spark: SparkSession, path: str) -> DataFrame:
     """A10: snapshot read of a table (the static side of a stream-static join)."""
     df = spark.read.parquet(path)
-    return spark.read.schema(_plain_schema(df.schema)).parquet(path)
+    return spark.read.schema(_plain_schema(df.schema)).parquet(path).drop(BATCH)
 
 
 def read_stream(spark: SparkSession, path: str, schema: StructType | None = None, max_files: int | None = None) -> DataFrame:
@@ -75,7 +79,7 @@ def read_stream(spark: SparkSession, path: str, schema: StructType | None = None
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.parquet(path)
+    return reader.parquet(path).drop(BATCH)
 
 
 def temp_view(df: DataFrame, name: str) -> DataFrame:

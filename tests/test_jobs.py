@@ -1,6 +1,7 @@
 import json
 import os
 
+from fleetspark.operators.ledger import CLASSES
 from fleetspark.streaming import runner
 from fleetspark.plans import jobs
 from tests.conftest import rows
@@ -28,19 +29,22 @@ def test_batch_job_end_to_end(spark, tmp_path):
     _csv(f"{land}/invoices", "d1.csv", "invoice_id,manifest_id,invoice_date,customer_name,amount_inr,payment_status",
          ["I1,M1,2026-05-01,Acme,100.0,paid", "I3,M3,2026-05-01,Acme,50.5,pending"])
     _csv(f"{land}/maintenance_logs", "d1.csv", "log_id,service_date,vehicle_id,issue_type,cost_inr,odometer_km,service_center",
-         ["L1,2026-05-01,TRK001,brake,10.0,100,C", "L2,2026-05-02,TRK001,tyre,5.0,110,C", "L3,2026-05-02,TRK003,oil,1.0,10,C"])
+         ["L1,2026-05-01,TRK001,brake,10.0,100,C", "L2,2026-05-02,TRK001,tyre,5.0,110,C", "L3,2026-05-02,TRK003,oil,1.0,10,C", "L4,2026-05-02"])
     hdr = "snapshot_date,vehicle_id,license_plate,vehicle_type,driver_id,driver_name,driver_phone,driver_license_no,home_route,is_active,last_change_type"
     _csv(f"{land}/driver_vehicle_master", "d1.csv", hdr, [
         "2026-05-01,TRK001,MH01,medium_truck,D1,Asha,1,L1,ROUTE_MUM_PUNE,True,",
         "2026-05-02,TRK001,MH01,medium_truck,D2,Ravi,2,L2,ROUTE_MUM_PUNE,True,driver_change",
     ])
     out = jobs.run_batch_job(spark, land, str(tmp_path / "lake"), str(tmp_path / "ck"))
-    assert rows(runner.read_complete(spark, out["gold.daily_revenue_gold"])) == [("2026-05-01", "ROUTE_MUM_PUNE", "standard", 150.5)]
+    assert rows(runner.read_upserts(spark, out["gold.daily_revenue_gold"])) == [("2026-05-01", "ROUTE_MUM_PUNE", "standard", 150.5)]
     card = rows(runner.read_complete(spark, out["gold.vehicle_scorecard_gold"]), "vehicle_id", "driver_name", "total_maintenance_cost_inr", "maintenance_event_count")
     assert card == [("TRK001", "Ravi", 15.0, 2), ("TRK003", None, 1.0, 1)]
     # what the rules refuse is kept, and counted
     assert rows(spark.read.parquet(out["quarantine.shipment_invoice_silver"]), "manifest_id", "_failed_rules") == [("M2", ["valid_package_count", "valid_amount"])]
-    counts = {r["rule"]: (r["passed_rows"], r["failed_rows"]) for r in spark.read.parquet(out["rules.shipment_invoice_silver"]).collect()}
+    counts = {r["rule"]: (r["passed_rows"], r["failed_rows"]) for r in jobs.rule_counts(spark, out["rules.shipment_invoice_silver"]).collect()}
+    assert rows(spark.read.parquet(out["quarantine.maintenance_logs_silver_unread"]), "_corrupt_record", "_failed_rules") == [("L4,2026-05-02", ["fits_header"])]
+    logs = {r["rule"]: (r["passed_rows"], r["failed_rows"]) for r in jobs.rule_counts(spark, out["rules.maintenance_logs_silver"]).collect()}
+    assert logs == {"fits_header": (3, 1), "valid_cost": (3, 0), "valid_odometer_km": (3, 0)}
     assert counts == {"valid_weight": (3, 0), "valid_package_count": (2, 1), "valid_amount": (2, 1)}
     # re-running on the same checkpoints adds nothing
     jobs.run_batch_job(spark, land, str(tmp_path / "lake"), str(tmp_path / "ck"))
@@ -68,7 +72,7 @@ def test_stream_job_end_to_end(spark, tmp_path):
     assert rows(spark.read.parquet(out["gold.active_alerts_gold"]), "anomaly_flag") == [("fuel_drop",)]
     perf = rows(spark.read.parquet(out["gold.delivery_performance_gold"]), "status", "event_count")
     assert perf == [("picked_up", 1)]                                                  # 13:00 window still open
-    fuel = runner.read_complete(spark, out["gold.fuel_cost_efficiency_gold"]).collect()
+    fuel = runner.read_upserts(spark, out["gold.fuel_cost_efficiency_gold"]).collect()
     assert len(fuel) == 1 and fuel[0]["estimated_fuel_consumed_litres"] == 25.0 and fuel[0]["estimated_distance_km"] == 25.0
     live = spark.read.parquet(out["gold.live_fleet_status_gold"]).count()
     assert live == 6                                                                   # each ping meets the reading 10 s later
@@ -98,5 +102,7 @@ def test_backlog_in_many_micro_batches_with_late_and_untimed_rows(spark, tmp_pat
     # the invalid twin of 10:01 came first, so the dedup kept that one; 10:30 came when the watermark was past it
     assert times == ["10:00", "12:00", "12:01", "12:02"]
     assert spark.read.parquet(out["quarantine.gps_events_silver_untimed"]).count() == 2
-    counts = {r["rule"]: (r["passed_rows"], r["failed_rows"]) for r in spark.read.parquet(out["rules.gps_events_silver"]).collect()}
-    assert counts["valid_latitude"] == (4, 1) and counts["has_trip_id"] == (5, 0)
+    counts = {r["rule"]: (r["passed_rows"], r["failed_rows"]) for r in jobs.rule_counts(spark, out["rules.gps_events_silver"]).collect()}
+    assert counts["valid_latitude"] == (4, 1) and counts["has_trip_id"] == (5, 0) and counts["valid_event_time"] == (5, 2)
+    ledger = {r.dataset: r for r in jobs.event_ledger(spark, out).collect()}
+    assert [ledger["gps_events_silver"][c] for c in CLASSES] == [10, 4, 1, 2, 2, 1, 0, 0]
