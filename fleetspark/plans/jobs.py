@@ -11,7 +11,7 @@ its inputs from the tables written before it (the hand-over is a stored table,
 as between the source pipeline's tasks), so each step drains what is new and
 a re-run picks up exactly the new files. A micro-batch takes at most
 ``max_files`` files, so a backlog is worked off in committed pieces. Paths
-follow ``TableNames``.
+and names follow ``TableNames``; what a step reads, it reads by name.
 
 A dataset with rules is one query with one state: each row is flagged once,
 then every micro-batch writes, once, the rows it keeps, those it refuses and
@@ -34,7 +34,7 @@ from fleetspark.plans import registry, silver
 from fleetspark.session import path_exists, remove_path
 from fleetspark.sources import ingest
 from fleetspark.sources.evolution import CORRUPT_COL
-from fleetspark.sources.tables import BATCH, TableNames, read_static, read_stream
+from fleetspark.sources.tables import BATCH, TableNames, read_static, register, register_view, static_table, stream_table
 from fleetspark.streaming import bucketed, runner, scd_stream
 
 MAX_FILES = 1000
@@ -97,11 +97,22 @@ class _Lake:
         return path, f"{self.checkpoints}/{layer}/{name}"
 
     def read(self, name: str, snapshot: bool) -> DataFrame:
-        layer = registry.DATASETS[name].layer if name in registry.DATASETS else "bronze"
-        path = self.names.path(layer, name)
-        if name in registry.DATASETS and registry.DATASETS[name].mode == "scd2":
-            return scd_stream.read_history(self.spark, path)
-        return read_static(self.spark, path) if snapshot else read_stream(self.spark, path, max_files=self.max_files)
+        """An input, by its table's name."""
+        known = self.names.spark_name(self.spark, registry.DATASETS[name].layer if name in registry.DATASETS else "bronze", name)
+        return static_table(self.spark, known) if snapshot else stream_table(self.spark, known, self.max_files)
+
+    def publish(self, name: str) -> None:
+        """Register a table that a step has written, under its name."""
+        layer, _, table = name.partition(".")
+        path, known = self.out[name], self.names.spark_name(self.spark, layer, table)
+        mode = registry.DATASETS[table].mode if table in registry.DATASETS and layer != "quarantine" and layer != "rules" else "append"
+        if mode == "append":
+            register(self.spark, known, path)
+        else:
+            store, part = {
+                "scd2": (scd_stream.history_store, "history"), "upsert": (runner.upsert_store, "groups"), "complete": (runner.complete_store, "result"),
+            }[mode]
+            register_view(self.spark, known, store(self.spark, path).select(part))
 
     @staticmethod
     def fitting(rows: DataFrame) -> DataFrame:
@@ -150,8 +161,13 @@ class _Lake:
         wanted = [d for d in map(registry.DATASETS.get, registry.order()) if d.job == job]
         sources = [n for d in wanted for n in d.inputs if n not in registry.DATASETS]
         self.out.update({f"bronze.{n}": self.names.bronze_table(n) for n in sources})
+        for n in sources:
+            self.publish(f"bronze.{n}")
         for d in wanted:
+            before = set(self.out)
             self.run(d)
+            for n in self.out.keys() - before:
+                self.publish(n)
         return self.out
 
 

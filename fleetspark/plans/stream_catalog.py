@@ -19,7 +19,7 @@ from fleetspark.plans import standins as T
 from fleetspark.plans.catalog import LIVE_BOUND_SECONDS, ntz, rounded
 from fleetspark.session import fresh_dir
 from fleetspark.sources import ingest
-from fleetspark.sources.tables import BATCH, read_static
+from fleetspark.sources.tables import BATCH, TableNames, read_static
 from fleetspark.streaming import bucketed, runner, scd_stream
 
 
@@ -250,8 +250,10 @@ def _job(spark, d, run, names):
 
 
 def q_batch_job_revenue(spark, d):
-    out = _job(spark, d, jobs.run_batch_job, schemas.BATCH_SOURCES)
-    return rounded(runner.read_upserts(spark, out["gold.daily_revenue_gold"]), "revenue")
+    """The result is read by its name."""
+    _job(spark, d, jobs.run_batch_job, schemas.BATCH_SOURCES)
+    name = TableNames.from_session(spark, "").spark_name(spark, "gold", "daily_revenue_gold")
+    return rounded(spark.table(name), "revenue")
 
 
 def q_batch_job_rules(spark, d):

@@ -1,8 +1,11 @@
 """Table naming and reads.
 
-Tables are parquet directories laid out as ``<root>/<catalog>/<schema>/<table>``.
-The catalog comes from the session configuration (``CATALOG_NAME``), with a
-default, so the same code runs against any environment.
+Tables are parquet directories laid out as ``<root>/<catalog>/<schema>/<table>``
+and registered under their names, by which jobs and queries read them. The
+catalog comes from the session configuration (``CATALOG_NAME``), with a
+default, so the same code runs against any environment. Where the session has a
+catalog of that name, a table is ``<catalog>.<schema>.<table>`` there; else it is in
+the session's own catalog, as ``spark_catalog.<catalog>_<schema>.<table>``.
 """
 
 from __future__ import annotations
@@ -36,6 +39,12 @@ class TableNames:
     def name(self, schema: str, table: str) -> str:
         return f"{self.catalog}.{schema}.{table}"
 
+    def spark_name(self, spark: SparkSession, schema: str, table: str) -> str:
+        """The name under which Spark knows the table."""
+        if spark.conf.get(f"spark.sql.catalog.{self.catalog}", None):
+            return f"`{self.catalog}`.`{schema}`.`{table}`"
+        return f"spark_catalog.`{self.catalog}_{schema}`.`{table}`"
+
     def path(self, schema: str, table: str) -> str:
         return f"{self.root}/{self.catalog}/{schema}/{table}"
 
@@ -82,7 +91,35 @@ def read_stream(spark: SparkSession, path: str, schema: StructType | None = None
     return reader.parquet(path).drop(BATCH)
 
 
-def temp_view(df: DataFrame, name: str) -> DataFrame:
-    """Name an intermediate (stream or batch) for SQL."""
-    df.createOrReplaceTempView(name)
-    return df
+def _in_namespace(spark: SparkSession, name: str) -> None:
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name.rpartition('.')[0]}")
+
+
+def register(spark: SparkSession, name: str, path: str) -> str:
+    """Make the parquet folder ``path`` the table ``name`` (A14). An external table: its data are the folder's, whatever
+    becomes of the name."""
+    _in_namespace(spark, name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source="parquet", schema=_plain_schema(spark.read.parquet(path).schema))
+    return name
+
+
+def register_view(spark: SparkSession, name: str, select: str) -> str:
+    """Make a query the table ``name``, in place of the view that was it before."""
+    _in_namespace(spark, name)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {select}")
+    return name
+
+
+def static_table(spark: SparkSession, name: str) -> DataFrame:
+    """A10 by name: the table as it stands now."""
+    spark.catalog.refreshTable(name)
+    return spark.table(name).drop(BATCH)
+
+
+def stream_table(spark: SparkSession, name: str, max_files: int | None = None) -> DataFrame:
+    """A9 by name: rows appended to the table, as a stream."""
+    reader = spark.readStream
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    return reader.table(name).drop(BATCH)

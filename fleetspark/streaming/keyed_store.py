@@ -88,6 +88,14 @@ class KeyedStore:
         reader = self.spark.read.schema(StructType([*full.fields]).add(EPOCH, "long")).option("basePath", f"{self.root}/data/{table}")
         return reader.parquet(*paths).drop(EPOCH)
 
+    def select(self, table: str) -> str:
+        """SQL for the table's committed rows, without the columns of its cells: a view of this state (a later commit
+        needs a new one; the commit after it deletes the files)."""
+        paths = [self._path(table, e, c).removeprefix(f"{self.root}/") for c, e in sorted(self.live(table).items())]
+        names = ", ".join(f"`{n}`" for n in self.schema(table).names)
+        at = paths[0] if len(paths) == 1 else "{" + ",".join(paths) + "}"
+        return f"SELECT {names} FROM parquet.`{self.root}/{at}`"
+
     # --- writing ------------------------------------------------------------------------------------------------------
     def write(self, table: str, epoch: int, rows: DataFrame) -> dict[tuple[str, ...], int]:
         """New copies of the cells that ``rows`` has; returns them for ``commit`` (and for reads before it)."""

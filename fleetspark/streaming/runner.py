@@ -72,9 +72,17 @@ def run_append(df: DataFrame, path: str, checkpoint: str, query_name: str | None
     return _check(q) if wait else q
 
 
+def complete_store(spark: SparkSession, path: str) -> KeyedStore:
+    return KeyedStore(spark, path, {"result": []})
+
+
+def upsert_store(spark: SparkSession, path: str) -> KeyedStore:
+    return KeyedStore(spark, path, {"groups": [BUCKET]})
+
+
 def run_complete(df: DataFrame, path: str, checkpoint: str, query_name: str | None = None, wait: bool = True) -> StreamingQuery:
     def publish(batch: DataFrame, epoch_id: int) -> None:
-        store = KeyedStore(batch.sparkSession, path, {"result": []})
+        store = complete_store(batch.sparkSession, path)
         if not store.committed(epoch_id):
             store.commit(epoch_id, {"result": store.write("result", epoch_id, batch)})
 
@@ -83,7 +91,7 @@ def run_complete(df: DataFrame, path: str, checkpoint: str, query_name: str | No
 
 def read_complete(spark: SparkSession, path: str) -> DataFrame:
     """The last committed result of a complete-mode output."""
-    return KeyedStore(spark, path, {"result": []}).read("result")
+    return complete_store(spark, path).read("result")
 
 
 def run_upsert(
@@ -93,7 +101,7 @@ def run_upsert(
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        store = KeyedStore(spark, path, {"groups": [BUCKET]})
+        store = upsert_store(spark, path)
         if store.committed(epoch_id):
             return
         aside = f"{path}/incoming/{epoch_id}"
@@ -109,7 +117,7 @@ def run_upsert(
 
 def read_upserts(spark: SparkSession, path: str) -> DataFrame:
     """The committed groups of an upsert output."""
-    return KeyedStore(spark, path, {"groups": [BUCKET]}).read("groups").drop(BUCKET)
+    return upsert_store(spark, path).read("groups").drop(BUCKET)
 
 
 def run_update_batches(

@@ -138,5 +138,9 @@ def scd2_incremental(
     return run_update_batches(snapshots_stream, apply, checkpoint, wait=wait)
 
 
+def history_store(spark: SparkSession, target_path: str) -> KeyedStore:
+    return KeyedStore(spark, target_path, TABLES)
+
+
 def read_history(spark: SparkSession, target_path: str) -> DataFrame:
-    return KeyedStore(spark, target_path, TABLES).read("history").drop(*CELL)
+    return history_store(spark, target_path).read("history").drop(*CELL)

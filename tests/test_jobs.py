@@ -4,6 +4,7 @@ import os
 from fleetspark.operators.ledger import CLASSES
 from fleetspark.streaming import runner
 from fleetspark.plans import jobs
+from fleetspark.sources.tables import TableNames
 from tests.conftest import rows
 
 
@@ -46,6 +47,13 @@ def test_batch_job_end_to_end(spark, tmp_path):
     logs = {r["rule"]: (r["passed_rows"], r["failed_rows"]) for r in jobs.rule_counts(spark, out["rules.maintenance_logs_silver"]).collect()}
     assert logs == {"fits_header": (3, 1), "valid_cost": (3, 0), "valid_odometer_km": (3, 0)}
     assert counts == {"valid_weight": (3, 0), "valid_package_count": (2, 1), "valid_amount": (2, 1)}
+    # every table is known by its name
+    names = TableNames.from_session(spark, str(tmp_path / "lake"))
+    by_name = lambda layer, t: spark.table(names.spark_name(spark, layer, t))
+    assert names.spark_name(spark, "gold", "t") == "spark_catalog.`lake_gold`.`t`"
+    assert rows(by_name("gold", "daily_revenue_gold")) == [("2026-05-01", "ROUTE_MUM_PUNE", "standard", 150.5)]
+    assert by_name("silver", "driver_vehicle_master_silver").count() == 2 and by_name("bronze", "invoices").count() == 2
+    assert rows(by_name("quarantine", "shipment_invoice_silver"), "manifest_id") == [("M2",)]
     # re-running on the same checkpoints adds nothing
     jobs.run_batch_job(spark, land, str(tmp_path / "lake"), str(tmp_path / "ck"))
     assert spark.read.parquet(out["silver.shipment_invoice_silver"]).count() == 2
