@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetspark.operators.sequence import CHUNK, KEY, default_chunk, partition_by_key_and_chunk, with_neighbor
+from fleetspark.operators.sequence import CHUNK, KEY, SPLIT_ROWS, default_chunk, partition_by_key_and_chunk, with_neighbor
 
 START_AT = "__START_AT"
 END_AT = "__END_AT"
@@ -64,8 +64,10 @@ def scd2(
     track: Sequence[str] | None = None,
     track_except: Sequence[str] | None = None,
     chunk: Column | None = None,
+    split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
-    """K1: version history. Output = input columns + ``__START_AT``, ``__END_AT``.
+    """K1: version history. Output = input columns + ``__START_AT``, ``__END_AT``. A key with over ``split_rows`` snapshots
+    in one chunk is split further, as measured (None: not).
 
     One shuffle of the snapshot rows, by (key, chunk of the sequence): the
     duplicate rule, the windows and the join with the summary all run on that
@@ -75,7 +77,7 @@ def scd2(
     cols = df.columns
     tracked = tracked_columns(df, keys, track, track_except)
     chunk = default_chunk(df, sequence_by) if chunk is None else chunk
-    parted = partition_by_key_and_chunk(df.where(F.col(sequence_by).isNotNull()), keys, chunk)
+    parted = partition_by_key_and_chunk(df.where(F.col(sequence_by).isNotNull()), keys, chunk, [sequence_by], split_rows)
     # Same key and sequence: keep the greatest row (grouping keys include the
     # partitioning columns, so this aggregate needs no exchange).
     others = [c for c in cols if c not in (*keys, sequence_by)]
@@ -152,6 +154,7 @@ def asof_join(
     fact_time: str,
     dim_cols: Sequence[str],
     chunk: Column | None = None,
+    split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
     """Attach to every fact the dimension version valid at the fact's time: of the versions of the key
     with ``__START_AT`` <= time the latest one, if the time is before its ``__END_AT`` (NULL: open).
@@ -161,7 +164,7 @@ def asof_join(
 
     One plan at every size: facts and versions are stacked and the version is carried forward with the
     chunked previous-row helper -- one shuffle by (key, chunk of time), no range join, a hot key split by
-    chunk, nothing measured or broadcast up front.
+    chunk, and a chunk of over ``split_rows`` rows further, as measured (None: not).
     """
     fcols = facts.columns
     tdt = facts.schema[fact_time].dataType
@@ -183,7 +186,7 @@ def asof_join(
     )
     # Versions sort before facts at the same instant: the start is inclusive.
     filled = with_neighbor(
-        v.unionByName(f), ["_key"], ["_t", marker, "_ver"], F.col("_ver"), "_asof", "prev", chunk, ignore_nulls=True
+        v.unionByName(f), ["_key"], ["_t", marker, "_ver"], F.col("_ver"), "_asof", "prev", chunk, ignore_nulls=True, split_rows=split_rows
     )
     end = F.col("_asof").getField("_end")
     valid = F.col("_key").isNotNull() & F.col("_t").isNotNull() & (end.isNull() | (F.col("_t") < end))

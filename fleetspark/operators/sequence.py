@@ -18,7 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
 KEY = "_k"
 CHUNK = "_chunk"
@@ -43,52 +43,50 @@ def default_chunk(df: DataFrame, order_col: str) -> Column:
 MOST_SPLIT = 10_000
 
 
-def as_number(df: DataFrame, order_col: str) -> Column:
-    """A number that rises with ``order_col`` (microseconds of timestamps, days of dates)."""
-    dt = df.schema[order_col].dataType
-    c = F.col(order_col)
-    if isinstance(dt, TimestampType):
-        return F.unix_micros(c)
-    if isinstance(dt, TimestampNTZType):  # not through a time zone, whose clock may jump
-        seconds = F.datediff(c, F.lit("1970-01-01").cast("date")).cast("long") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
-        return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
-    if isinstance(dt, DateType):
-        return F.unix_date(c).cast("long")
-    if isinstance(dt, NumericType):
-        return c
-    raise ValueError(f"{order_col}: no numeric order for {dt.simpleString()}")
+#: Sampled rows behind each boundary; more make the parts more even.
+SAMPLED = 32
+#: Rows from which a (key, chunk) group is split where an operator splits by default.
+SPLIT_ROWS = 1_000_000
 
 
-def _with_measured_chunk(base: DataFrame, order_col: str, chunk: Column, split_rows: int) -> DataFrame:
-    """``_chunk`` = (chunk, part): a (key, chunk) group of over ``split_rows`` rows is cut into parts of equal
-    width between its least and greatest order value.
+def _with_measured_chunk(base: DataFrame, order: Sequence[str], chunk: Column, split_rows: int) -> DataFrame:
+    """``_chunk`` = (chunk, part): a (key, chunk) group of over ``split_rows`` rows is cut at quantiles of its first
+    order column, whatever its type: numbers, times, dates, strings.
 
-    The groups are measured by one aggregate over the key and order columns, as part of the same plan. At most
-    ``MOST_SPLIT`` of them, the largest, are broadcast: a group beyond holds less than 1 / MOST_SPLIT of all rows."""
-    at = as_number(base, order_col)
+    One aggregate over the key and order columns finds the hot groups. At most ``MOST_SPLIT`` of them, the largest, are split: a group beyond
+    holds less than 1 / MOST_SPLIT of all rows. A sample of their rows, picked by a hash of key and order (so a
+    recomputed task picks the same), gives about one boundary per ``split_rows`` rows; groups and boundaries are
+    broadcast, and bounded by MOST_SPLIT and by the rows over ``split_rows``. Rows that tie in the first order column stay together."""
+    at = F.col(order[0])
     grouped = base.withColumn("_base", F.struct(chunk.alias("c")))
-    sizes = grouped.groupBy(KEY, "_base").agg(F.count(F.lit(1)).alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi"))
-    hot = sizes.where((F.col("_n") > split_rows) & (F.col("_hi") > F.col("_lo")))
-    hot = hot.orderBy(F.desc("_n"), KEY, "_base").limit(MOST_SPLIT)
-    parts = F.ceil(F.col("_n") / F.lit(split_rows))
-    part = F.least(F.floor((at - F.col("_lo")).cast("double") / (F.col("_hi") - F.col("_lo")).cast("double") * parts), parts - 1)
-    split = grouped.join(F.broadcast(hot), [KEY, "_base"], "left")
-    return split.withColumn(CHUNK, F.struct(F.col("_base.c").alias("c"), F.coalesce(part, F.lit(0)).alias("p"))).drop("_base", "_n", "_lo", "_hi")
+    sizes = grouped.groupBy(KEY, "_base").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > split_rows)
+    hot = sizes.orderBy(F.desc("_n"), KEY, "_base").limit(MOST_SPLIT)
+    one_in = max(1, split_rows // SAMPLED)
+    picked = grouped.where(at.isNotNull() & (F.pmod(F.xxhash64(KEY, *order), F.lit(one_in)) == 0))
+    picked = picked.join(F.broadcast(hot), [KEY, "_base"]).groupBy(KEY, "_base").agg(F.sort_array(F.collect_list(at)).alias("_v"), F.max("_n").alias("_n"))
+    parts = F.ceil(F.col("_n") / F.lit(split_rows)).cast("int")
+    cuts = F.transform(F.sequence(F.lit(1), parts - 1), lambda i: F.get("_v", F.floor(i * F.size("_v") / parts).cast("int")))
+    bounds = picked.where(parts > 1).select(KEY, "_base", F.array_distinct(cuts).alias("_cuts"))
+    split = grouped.join(F.broadcast(bounds), [KEY, "_base"], "left")
+    part = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= at)), F.lit(0))
+    # NULL order values come first
+    return split.withColumn(CHUNK, F.struct(F.col("_base.c").alias("c"), F.when(at.isNull() | F.col("_cuts").isNull(), 0).otherwise(part).alias("p"))).drop("_base", "_cuts")
 
 
 def partition_by_key_and_chunk(
-    df: DataFrame, keys: Sequence[str], chunk: Column, order_col: str | None = None, split_rows: int | None = None
+    df: DataFrame, keys: Sequence[str], chunk: Column, order: Sequence[str] | str = (), split_rows: int | None = None
 ) -> DataFrame:
     """Adds ``_k`` (one non-null struct of the keys: struct equality and
     hashing treat NULL fields as equal, so NULL keys keep their own group) and
     ``_chunk`` (a non-null struct too, so that rows without an order value have a chunk that joins), and hash-partitions the rows on them -- the one full shuffle
     that every later step of ``with_neighbor`` reuses. With ``split_rows``, chunks
-    with more rows are cut further by ``order_col``."""
+    with more rows are cut further by the first column of ``order``."""
+    order = [order] if isinstance(order, str) else order
     keyed = df.withColumn(KEY, F.struct(*[F.col(k) for k in keys]))
     if split_rows is None:
         chunked = keyed.withColumn(CHUNK, F.struct(chunk.alias("c")))
     else:
-        chunked = _with_measured_chunk(keyed, order_col, chunk, split_rows)
+        chunked = _with_measured_chunk(keyed, order, chunk, split_rows)
     return chunked.repartition(KEY, CHUNK)
 
 
@@ -119,7 +117,7 @@ def with_neighbor(
     the rows happens here; ``keep_partitioning`` keeps them on the output.
 
     ``split_rows``: cut the chunks of a key that hold more rows, as measured
-    (reads the keys and the first order column once more).
+    (reads the keys and the order columns twice more).
     """
     if direction not in ("prev", "next"):
         raise ValueError(direction)
@@ -127,7 +125,7 @@ def with_neighbor(
         base = df
     else:
         chunk = default_chunk(df, order[0]) if chunk is None else chunk
-        base = partition_by_key_and_chunk(df, keys, chunk, order[0], split_rows)
+        base = partition_by_key_and_chunk(df, keys, chunk, order, split_rows)
     if ignore_nulls:
         base = base.withColumn("_nv", F.when(value.isNotNull(), F.struct(value.alias("v"))))
     else:

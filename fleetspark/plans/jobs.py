@@ -34,7 +34,7 @@ from fleetspark.plans import registry, silver
 from fleetspark.session import path_exists, remove_path
 from fleetspark.sources import ingest
 from fleetspark.sources.evolution import CORRUPT_COL
-from fleetspark.sources.tables import BATCH, TableNames, read_static, register, register_view, static_table, stream_table
+from fleetspark.sources.tables import BATCH, TableNames, read_static, register, register_view, static_table, stream_table, temp_view
 from fleetspark.streaming import bucketed, runner, scd_stream
 
 MAX_FILES = 1000
@@ -125,7 +125,8 @@ class _Lake:
     def run(self, d: registry.Dataset) -> None:
         path, checkpoint = self.table(d.layer, d.name)
         if d.mode == "scd2":
-            scd_stream.scd2_incremental(self.spark, *self.inputs(d), path, checkpoint, silver.MASTER_KEYS, silver.MASTER_SEQUENCE)
+            snapshots = temp_view(self.inputs(d)[0], f"{d.name}_snapshots")
+            scd_stream.scd2_incremental(self.spark, snapshots, path, checkpoint, silver.MASTER_KEYS, silver.MASTER_SEQUENCE)
         elif d.rules is not None:
             self.run_with_rules(d, d.rules, path, checkpoint)
         elif d.mode == "upsert":
@@ -184,18 +185,18 @@ def event_ledger(spark: SparkSession, out: dict[str, str]) -> DataFrame:
 
 
 def run_batch_job(
-    spark: SparkSession, landing_root: str, lake_root: str, checkpoint_root: str, max_files: int | None = MAX_FILES
+    spark: SparkSession, landing_root: str, lake_root: str, checkpoint_root: str, max_files: int | None = MAX_FILES, archive: str | None = None
 ) -> dict[str, str]:
     lake = _Lake(spark, lake_root, checkpoint_root, max_files)
     bronze = lake.names.path("bronze", "").rstrip("/")
-    ingest.ingest_batch_sources(spark, landing_root, bronze, f"{lake.checkpoints}/bronze", max_files=max_files, rescue=True)
+    ingest.ingest_batch_sources(spark, landing_root, bronze, f"{lake.checkpoints}/bronze", max_files=max_files, rescue=True, archive=archive)
     return lake.run_job("batch")
 
 
 def run_stream_job(
-    spark: SparkSession, landing_root: str, lake_root: str, checkpoint_root: str, max_files: int | None = MAX_FILES
+    spark: SparkSession, landing_root: str, lake_root: str, checkpoint_root: str, max_files: int | None = MAX_FILES, archive: str | None = None
 ) -> dict[str, str]:
     lake = _Lake(spark, lake_root, checkpoint_root, max_files)
     bronze = lake.names.path("bronze", "").rstrip("/")
-    ingest.await_all(ingest.start_stream_ingestion(spark, landing_root, bronze, f"{lake.checkpoints}/bronze", max_files=max_files, rescue=True))
+    ingest.await_all(ingest.start_stream_ingestion(spark, landing_root, bronze, f"{lake.checkpoints}/bronze", max_files=max_files, rescue=True, archive=archive))
     return lake.run_job("stream")

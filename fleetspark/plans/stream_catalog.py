@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fleetspark import schemas
+from fleetspark.operators import topk
 from fleetspark.plans import gold, jobs, oracle, registry, silver
 from fleetspark.plans import standins as T
 from fleetspark.plans.catalog import LIVE_BOUND_SECONDS, ntz, rounded
@@ -242,6 +243,17 @@ def _read_back(name):
     return q
 
 
+# --- F2: a few landed rows, whichever -----------------------------------------------------
+def q_landing_preview(spark, d):
+    """How many rows a preview of the landed manifests shows, and how many of those were landed."""
+    root = fresh_dir(spark, "preview")
+    _land(spark, d, root, ["shipment_manifests"])
+    shown = topk.preview(ingest.read_landing_batch(spark, f"{root}/shipment_manifests", "json"), 5)
+    keys = T.table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("manifest_id"))
+    known = shown.join(keys, "manifest_id", "left_semi").agg(F.count(F.lit(1)).alias("rows_known"))
+    return known.select(F.lit(shown.count()).cast("long").alias("rows_shown"), "rows_known")
+
+
 # --- A9, A10, A14, A15: whole jobs through named tables ----------------------------------
 def _job(spark, d, run, names):
     root, lake, ckpt = (fresh_dir(spark, f"job-{part}") for part in ("landing", "lake", "ckpt"))
@@ -315,6 +327,7 @@ STREAM_QUERIES = {
     "batch_job_revenue": q_batch_job_revenue,
     "batch_job_rules": q_batch_job_rules,
     "stream_job_delivery": q_stream_job_delivery,
+    "landing_preview": q_landing_preview,
     "stream_job_ledger": q_stream_job_ledger,
     "csv_schema_drift": q_csv_schema_drift,
     "gps_dedup_stream": q_gps_dedup_stream,
@@ -402,6 +415,7 @@ lost AS (SELECT dataset, count(*) FILTER (event_id % 13 = 0) + count(*) FILTER (
 SELECT once.dataset, (sum(once.n) + any_value(lost.n))::BIGINT AS bronze_rows, count(*) FILTER (ok) AS kept_rows, count(*) FILTER (ok IS NOT TRUE) AS refused_rows,
        any_value(lost.n)::BIGINT AS untimed_rows, (sum(once.n) - count(*))::BIGINT AS duplicate_rows, 0::BIGINT AS late_rows, 0::BIGINT AS foreign_rows, 0::BIGINT AS unexplained_rows
 FROM once JOIN lost ON lost.dataset = once.dataset GROUP BY once.dataset"""
+STREAM_SQL["landing_preview"] = "SELECT least(5, count(*)) AS rows_shown, least(5, count(*)) AS rows_known FROM orders"
 STREAM_SQL["csv_schema_drift"] = oracle.with_(oracle.INVOICES) + """SELECT invoice_id, manifest_id::VARCHAR AS manifest_id, invoice_date, customer_name, amount_inr,
        CASE WHEN manifest_id % 3 <> 2 THEN payment_status END AS payment_status,
        CASE WHEN manifest_id % 3 = 1 THEN '{"region":"NORTH, ' || customer_name || '"}' END AS _rescued_data, false AS is_corrupt

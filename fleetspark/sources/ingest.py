@@ -8,8 +8,8 @@ output exactly-once across restarts), rows get three metadata columns, and
 the query drains with the available-now trigger and stops.
 
 Scale notes: the file source lists the directory per micro-batch; on very
-large landing zones use ``maxFilesPerTrigger`` to bound a batch, and
-``latestFirst``/``maxFileAge`` to cap the listing (options pass through).
+large landing zones use ``maxFilesPerTrigger`` to bound a batch, and an
+archive folder, to which files move once they are taken, to bound the listing.
 """
 
 from __future__ import annotations
@@ -105,8 +105,15 @@ def ingest_source(
     wait: bool = True,
     options: Mapping[str, str] | None = None,
     rescue: bool = False,
+    archive: str | None = None,
 ) -> StreamingQuery:
-    """A6 / A7 for one source: landing files -> bronze parquet table."""
+    """A6 / A7 for one source: landing files -> bronze parquet table.
+
+    ``archive``: a folder outside the landing folder that files move to once the micro-batch that took them is done with, so that
+    later micro-batches list what is new and not all that ever landed. A file moves when the next micro-batch begins; the checkpoint
+    still knows it, so no row comes twice, moved or not."""
+    if archive:
+        options = {**(options or {}), "cleanSource": "archive", "sourceArchiveDir": archive}
     fmt = fmt or schemas.SOURCE_FORMAT[source_name]
     schema = schema or schemas.schema(source_name)
     if rescue and fmt == "csv":
@@ -150,12 +157,13 @@ def ingest_batch_sources(
     sources: Iterable[str] = schemas.BATCH_SOURCES,
     max_files: int | None = None,
     rescue: bool = False,
+    archive: str | None = None,
 ) -> dict[str, str]:
     """The batch sources one after another; returns source -> table path."""
     out = {}
     for name in sources:
         table = f"{bronze_root}/{name}"
-        ingest_source(spark, name, f"{landing_root}/{name}", table, f"{checkpoint_root}/{name}", options=_bound(max_files), rescue=rescue)
+        ingest_source(spark, name, f"{landing_root}/{name}", table, f"{checkpoint_root}/{name}", options=_bound(max_files), rescue=rescue, archive=archive)
         out[name] = table
     return out
 
@@ -168,6 +176,7 @@ def start_stream_ingestion(
     sources: Iterable[str] = schemas.EVENT_SOURCES,
     max_files: int | None = None,
     rescue: bool = False,
+    archive: str | None = None,
 ) -> dict[str, StreamingQuery]:
     """The event sources as concurrent queries named ``bronze_<source>``.
     Callers wait with ``await_all`` before reading the tables (unlike the
@@ -175,7 +184,7 @@ def start_stream_ingestion(
     return {
         name: ingest_source(
             spark, name, f"{landing_root}/{name}", f"{bronze_root}/{name}", f"{checkpoint_root}/{name}",
-            query_name=f"bronze_{name}", wait=False, options=_bound(max_files), rescue=rescue,
+            query_name=f"bronze_{name}", wait=False, options=_bound(max_files), rescue=rescue, archive=archive,
         )
         for name in sources
     }

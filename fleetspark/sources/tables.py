@@ -117,6 +117,12 @@ def static_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name).drop(BATCH)
 
 
+def temp_view(df: DataFrame, name: str) -> DataFrame:
+    """Name an intermediate (stream or batch) and read it by that name."""
+    df.createOrReplaceTempView(name)
+    return df.sparkSession.table(name)
+
+
 def stream_table(spark: SparkSession, name: str, max_files: int | None = None) -> DataFrame:
     """A9 by name: rows appended to the table, as a stream."""
     reader = spark.readStream

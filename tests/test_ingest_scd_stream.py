@@ -3,6 +3,7 @@ import os
 import time
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 import pytest
 
@@ -10,8 +11,9 @@ from fleetspark.operators import scd
 from fleetspark.plans import gold, silver
 from fleetspark.schemas import schema
 from fleetspark.sources import ingest
-from fleetspark.sources.tables import TableNames, read_stream
-from fleetspark.streaming import runner, scd_stream
+from fleetspark.sources.evolution import read_csv_evolving
+from fleetspark.sources.tables import TableNames, read_static, read_stream
+from fleetspark.streaming import bucketed, runner, scd_stream
 from tests.conftest import rows
 
 
@@ -114,3 +116,57 @@ def test_alert_detected_at_is_stamped(spark):
                                "vehicle_id string, trip_id string, event_timestamp timestamp, anomaly_flag string, engine_temp_c double, fuel_level_litres double, cargo_temp_c double, is_critical_anomaly boolean")
     got = gold.active_alerts_gold(df).collect()[0]
     assert got["alert_detected_at"] is not None
+
+
+@pytest.mark.parametrize("fmt", ["json", "csv"])
+def test_landed_files_move_to_the_archive(spark, tmp_path, fmt):
+    """Files leave the landing folder once taken; over restarts no row is lost or comes twice."""
+    land, table, ck, archive = (str(tmp_path / x) for x in ("land", "bronze", "ck", "archive"))
+    one = lambda i: json.dumps({"a": i}) + "\n" if fmt == "json" else f"a\n{i}\n"
+
+    def run():
+        ingest.ingest_source(spark, "x", land, table, ck, fmt, StructType().add("a", "integer"), options={"maxFilesPerTrigger": "2"}, rescue=True, archive=archive)
+        return sorted(r.a for r in read_static(spark, table).collect())
+
+    for i in range(5):
+        _write(land, f"f{i}.{fmt}", one(i), i)
+    assert run() == [0, 1, 2, 3, 4]
+    assert run() == [0, 1, 2, 3, 4]
+    _write(land, f"f5.{fmt}", one(5), 5)
+    assert run() == [0, 1, 2, 3, 4, 5]
+    _write(land, f"f6.{fmt}", one(6), 6)
+    assert run() == [0, 1, 2, 3, 4, 5, 6]
+    moved = [f for _, _, files in os.walk(archive) for f in files if f.endswith(fmt)]
+    left = [f for f in os.listdir(land) if f.endswith(fmt)]
+    assert len(moved) >= 4 and sorted(moved + left) == [f"f{i}.{fmt}" for i in range(7)]
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    """Added, missing, repeated and reordered columns, quoted cells, short and long lines, empty files."""
+    land = str(tmp_path / "land")
+    _write(land, "a.csv", 'id,amount,paid\nI1,5.5,True\n"I,2",x,False\n\nI3,1\nI4,1,True,9\n')
+    _write(land, "b.csv", "\ufeffid,region,amount,paid,id\nI5,NORTH,2.5,True,again\nI6,,\"1\",,\n")
+    _write(land, "c.csv", "paid,id\nTrue,I7\n")
+    _write(land, "d.csv", "")
+    _write(land, "e.csv", "id,paid\n")
+    got = read_csv_evolving(spark, land, StructType().add("id", "string").add("amount", "double").add("paid", "boolean"))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([
+        ("I1", 5.5, True, None, None), ("I,2", None, False, None, '"I,2",x,False'), ("I3", 1.0, None, None, "I3,1"), ("I4", 1.0, True, None, "I4,1,True,9"),
+        ("I5", 2.5, True, '{"region":"NORTH"}', None), ("I6", 1.0, None, '{"region":null}', None), ("I7", None, True, None, None)], key=repr)
+
+
+def test_bucketed_side_reads_only_matching_buckets(spark, tmp_path):
+    """The plan opens the folders of the batch's buckets; a replayed micro-batch adds nothing; late rows stay unmatched."""
+    land, copy, ck = (str(tmp_path / x) for x in ("land", "copy", "ck"))
+    ddl = "invoice_id string, manifest_id string, amount_inr double, payment_status string"
+    data = [(f"I{i}", f"M{i}" if i % 9 else None, float(i), "paid") for i in range(500)]
+    spark.createDataFrame(data, ddl).write.parquet(land)
+    stream = spark.readStream.schema(ddl).parquet(land)
+    bucketed.fill(stream, "manifest_id", copy, ck, buckets=64)
+    bucketed.fill(stream, "manifest_id", copy, ck, buckets=64)
+    some = spark.createDataFrame([("M1",), ("M2",), (None,), ("M9999",)], "manifest_id string")
+    match = bucketed.read_matching(spark, copy, stream.schema, some, "manifest_id", buckets=64)
+    assert 2 <= match.count() < 60 and match.where("manifest_id in ('M1', 'M2')").count() == 2
+    assert len({f.split("/_key_bucket=")[1].split("/")[0] for f in match.inputFiles()}) <= 3
+    assert bucketed.read_matching(spark, copy, stream.schema, some.where("manifest_id is null"), "manifest_id", buckets=64).count() == 0
+    assert spark.read.parquet(copy).count() == sum(m is not None for _, m, _, _ in data)

@@ -121,3 +121,36 @@ def test_scd2_with_null_values_over_many_chunks(spark):
     for width in (7, 50, 1000):
         got = scd.scd2(df, ["k"], "s", track=["v"], chunk=F.floor(F.col("s") / width))
         assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def _one_day(spark, n):
+    """A vehicle with most snapshots, all on one day or in one month, by string, date and time; some other vehicles."""
+    base = dt.datetime(2026, 1, 1)
+    rows = []
+    for i in range(n):
+        at = base + dt.timedelta(seconds=20 * (i // 2))
+        rows.append((0 if i % 10 else i, at, at.isoformat(), (base + dt.timedelta(days=i % 28)).date(), "abc"[(i // 7) % 3]))
+    rows.append((0, None, None, None, "a"))
+    return spark.createDataFrame(rows, "k long, t timestamp_ntz, s string, d date, v string")
+
+
+@pytest.mark.parametrize("column", ["t", "s", "d"])
+def test_hot_chunk_is_split_for_any_order(spark, no_coalesce, column):
+    df = _one_day(spark, 4000)
+    parted = partition_by_key_and_chunk(df, ["k"], default_chunk(df, column), [column, "v"], split_rows=200)
+    hot = parted.where("k = 0")
+    parts = hot.groupBy("_chunk").agg(F.count("*").alias("n"), F.min(column).alias("a"), F.max(column).alias("b")).where("a is not null").orderBy("a").collect()
+    assert len(parts) > 8 and max(r.n for r in parts) < 1000
+    assert all(x.b < y.a for x, y in zip(parts, parts[1:]))  # parts follow the order and ties stay together
+    assert [r["_chunk"].p for r in parts] == sorted(r["_chunk"].p for r in parts)
+
+
+@pytest.mark.parametrize("column", ["t", "s"])
+def test_split_history_and_lookup_equal_unsplit_ones(spark, column):
+    df = _one_day(spark, 1500)
+    whole = scd.scd2(df, ["k"], column, track=["v"], split_rows=None)
+    split = scd.scd2(df, ["k"], column, track=["v"], split_rows=50)
+    assert sorted(map(tuple, split.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+    facts = df.select("k", F.col(column).alias("at"), F.col("v").alias("w"))
+    look = lambda n: sorted(map(tuple, scd.asof_join(facts, whole, "k", "k", "at", ["v"], split_rows=n).collect()), key=repr)
+    assert look(50) == look(None)
