@@ -6,10 +6,13 @@ window of ``WINDOW`` item words (a shorter item whole) is one pattern; the
 automaton scans each normalised document once, and the end of every match is
 mapped back to words and to characters of the original text.
 
-The benchmark is read in blocks of a bounded number of windows, one automaton
-a block, so neither the driver nor a task holds an unbounded benchmark; a
-usual benchmark is one block. Documents are never shuffled: each block is one
-pass of the same task over its batch, and the hits of all blocks are united.
+The windows are made and counted by Spark and dealt, by a hash of window and
+item, to blocks of about ``BLOCK_WINDOWS``; so no item and no window that many
+items share makes a block larger. The driver holds one block at a time, and a
+task one automaton. A usual benchmark is one block: documents are scanned in
+one pass and never shuffled. Each block of a larger one is a pass of its own
+whose hits are stored, by text (a row for each text that is hit); in the end they are
+united and joined to the documents.
 
 Defined cases: NULL and empty texts have no words, no hits and aren't
 contaminated; an item without words has no windows; equal windows of several
@@ -35,7 +38,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from . import tokens as tk
-from .common import map_slices
+from .common import in_arrow, map_slices, stored
 
 WINDOW = 13
 #: Windows of a block, about 6 KB of automaton each.
@@ -52,12 +55,17 @@ def patterns(items: list[tuple[int | None, str | None]], window: int) -> dict[by
     """Normalised window -> ids of the items that have it."""
     out: dict[bytes, set] = defaultdict(set)
     for item, text in items:
-        words = normal_words((text or "").encode())
-        for k in range(max(1, len(words) - window + 1) if words else 0):
-            out[b" ".join(words[k : k + window])].add(item)
+        for pattern in windows(text, window):
+            out[pattern].add(item)
     return out
 
 
+def windows(text: str | None, window: int) -> Iterator[bytes]:
+    words = normal_words((text or "").encode())
+    for k in range(max(1, len(words) - window + 1) if words else 0):
+        yield b" ".join(words[k : k + window])
+
+
 def automaton(found: dict[bytes, set]) -> ahocorasick.Automaton:
     """Patterns carry a space at both ends, so that they match whole words only; Latin-1 keeps one character a byte."""
     machine = ahocorasick.Automaton()
@@ -99,18 +107,19 @@ def character_spans(text: str, hit: np.ndarray) -> list[tuple[int, int]]:
     return [(int(chars[start[a]]), int(chars[end[b - 1]])) for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)]
 
 
-def blocks(benchmark: DataFrame, window: int, block_windows: int, item_col: str, text_col: str) -> Iterator[dict[bytes, set]]:
-    """Patterns of the benchmark in blocks of about ``block_windows`` windows, in item order."""
-    rows = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item"), F.col(f"`{text_col}`").alias("text"))
-    batch, size = [], 0
-    for r in rows.orderBy("item", "text").toLocalIterator():
-        batch.append((r.item, r.text))
-        size += max(1, len((r.text or "").split()))
-        if size >= block_windows:
-            yield patterns(batch, window)
-            batch, size = [], 0
-    if batch:
-        yield patterns(batch, window)
+def benchmark_windows(benchmark: DataFrame, window: int, item_col: str, text_col: str) -> DataFrame:
+    """Distinct (pattern, item) of the whole benchmark, as a stored table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for item, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                found = list(dict.fromkeys(windows(text, window)))
+                for a in range(0, len(found), 10_000):
+                    part = found[a : a + 10_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array([item] * len(part), pa.int64())], ["pattern", "item"])
+
+    rows = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return stored(in_arrow(rows, run, "pattern binary, item long").distinct(), "benchmark-windows")
 
 
 def contamination(
@@ -122,12 +131,33 @@ def contamination(
     ``keep_columns`` of the documents are handed through.
     """
     own = dict(zip((id_col, *keep_columns), [f"own_{i}" for i in range(len(keep_columns) + 1)], strict=True))
-    rows = docs.select(F.col(f"`{text_col}`").alias("text"), *[F.col(f"`{c}`").alias(o) for c, o in own.items()])
+    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), *[F.col(f"`{c}`").alias(o) for c, o in own.items()])
     context = docs.sparkSession.sparkContext
-    sent = [context.broadcast(dict(b)) for b in blocks(benchmark, window, block_windows, item_col, "text")]
-    for block in sent[:-1]:
-        rows = _scan_pass(rows, block, list(own.values()), None)
-    found = _scan_pass(rows, sent[-1] if sent else None, list(own.values()), spans)
+    known = benchmark_windows(benchmark, window, item_col, "text")
+    n = known.count()
+    n_blocks = max(1, -(-n // block_windows))
+
+    def block(k: int) -> dict[bytes, set]:
+        """About ``block_windows`` windows."""
+        part = known.where(F.pmod(F.xxhash64("pattern", "item"), F.lit(n_blocks)) == k) if n_blocks > 1 else known
+        out: dict[bytes, set] = defaultdict(set)
+        for r in part.collect():
+            out[bytes(r.pattern)].add(r.item)
+        return dict(out)
+
+    if n_blocks == 1:
+        found = _scan_pass(rows, context.broadcast(block(0)), list(own.values()), spans)
+    else:
+        keyed = rows.withColumns({f"k{i}": F.xxhash64(F.lit(i), "text") for i in (1, 2)})
+        hits = None
+        for k in range(n_blocks):
+            sent = context.broadcast(block(k))
+            part = stored(_hits(keyed.select("text", "k1", "k2"), sent).dropDuplicates(["k1", "k2"]), "benchmark-hits")
+            sent.destroy()
+            hits = part if hits is None else hits.unionByName(part)
+        # At most a row for each block and text.
+        earlier = hits.groupBy("k1", "k2").agg(F.collect_list("hit").alias("hit"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+        found = _scan_pass(keyed.join(earlier, ["k1", "k2"], "left").drop("k1", "k2"), None, list(own.values()), spans)
     return found.select(*[F.col(o).alias(c) for c, o in own.items()], *found.columns[len(own) :])
 
 
@@ -141,40 +171,55 @@ def _machine(token: str, patterns_found: dict | None) -> ahocorasick.Automaton:
     return _BUILT["machine"]
 
 
-def _scan_pass(rows: DataFrame, block, own: list[str], spans: bool | None) -> DataFrame:
-    """One pass over the texts with a block's automaton. Hits and items so far come in the columns hit (packed flags)
-    and items; ``spans`` None hands them on to the next pass, else the results are returned."""
-    token, last = uuid.uuid4().hex, spans is not None
-    fields = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean" if last else "hit binary, items array<long>"
+def _hits(rows: DataFrame, block) -> DataFrame:
+    """(k1, k2, hit: packed flags of the words, items) of the texts that hold a window of the block."""
+    token = uuid.uuid4().hex
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        machine = _machine(token, block.value)
+        found = []
+        for text, k1, k2 in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            n, hit, items = scan(text or b"", machine)
+            if hit.any():
+                found.append((k1, k2, np.packbits(hit).tobytes(), sorted(items - {None})))
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+        columns = zip(*found, strict=True) if found else ((), (), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["k1", "k2", "hit", "items"])
+
+    return map_slices(rows, run, "k1 long, k2 long, hit binary, items array<long>", "text")
+
+
+def _scan_pass(rows: DataFrame, block, own: list[str], spans: bool) -> DataFrame:
+    """The results, by one pass over the texts with a block's automaton or, without a block, from the hits found before, in the columns
+    hit (packed flags of each block) and items."""
+    token = uuid.uuid4().hex
+    fields = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
     if spans:
         fields += ", hit_spans array<struct<lo: int, hi: int>>"
-    schema = rows.select(*own).schema if last else rows.select("text", *own).schema
+    schema = rows.select(*own).schema
     for field in StructType.fromDDL(fields):
         schema = schema.add(field)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         machine = _machine(token, block.value if block else None)
         names = batch.schema.names
-        earlier = zip(batch.column(names.index("hit")).to_pylist(), batch.column(names.index("items")).to_pylist(), strict=True) if "hit" in names else None
-        out: dict[str, list] = {f.name: [] for f in schema.fields[len(own) + (not last) :]}
+        earlier = None if block else zip(batch.column(names.index("hit")).to_pylist(), batch.column(names.index("items")).to_pylist(), strict=True)
+        out: dict[str, list] = {f.name: [] for f in schema.fields[len(own) :]}
         for text in batch.column(0).cast(pa.binary()).to_pylist():
             n, hit, items = scan(text or b"", machine)
             if earlier:
                 flags, known = next(earlier)
-                hit |= np.unpackbits(np.frombuffer(flags, np.uint8), count=n).astype(bool)
-                items.update(known)
-            items = sorted(items - {None})
-            if not last:
-                cells = (np.packbits(hit).tobytes(), items)
-            else:
-                n_hit, listed = int(hit.sum()), ",".join(sorted(map(str, items)))
-                cells = (n, n_hit, len(items), hashlib.sha256(listed.encode()).hexdigest(), n_hit > 0 and 20 * n_hit >= n)
-                if spans:
-                    cells += ([{"lo": a, "hi": b} for a, b in (character_spans((text or b"").decode(), hit) if n_hit else [])],)
+                for one in flags or ():
+                    hit |= np.unpackbits(np.frombuffer(one, np.uint8), count=n).astype(bool)
+                items.update(known or ())
+            items = items - {None}
+            n_hit, listed = int(hit.sum()), ",".join(sorted(map(str, items)))
+            cells = (n, n_hit, len(items), hashlib.sha256(listed.encode()).hexdigest(), n_hit > 0 and 20 * n_hit >= n)
+            if spans:
+                cells += ([{"lo": a, "hi": b} for a, b in (character_spans((text or b"").decode(), hit) if n_hit else [])],)
             for name, cell in zip(out, cells, strict=True):
                 out[name].append(cell)
-        through = own if last else ["text", *own]
-        columns = [batch.column(names.index(c)) for c in through]
+        columns = [batch.column(names.index(c)) for c in own]
         kinds = to_arrow_schema(schema)
         return pa.RecordBatch.from_arrays([*columns, *(pa.array(v, kinds.field(k).type) for k, v in out.items())], schema.names)
 
