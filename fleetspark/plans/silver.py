@@ -57,6 +57,7 @@ SHIPMENT_INVOICE_RULES = ExpectationSet([
     expect("valid_amount", "amount_inr IS NOT NULL"),
 ])
 
+# FIXED VALUES: columns of the joined table, as its readers know them.
 MANIFEST_COLS = [
     "manifest_id", "shipment_date", "vehicle_id", "route_name", "customer_name",
     "destination_city", "package_count", "total_weight_kg", "is_cold_chain", "priority",
@@ -94,6 +95,7 @@ def gps_events_prepared(bronze_gps: DataFrame, watermark: str | None = K.GPS_WAT
 
 
 def gps_events_silver(bronze_gps: DataFrame, watermark: str | None = K.GPS_WATERMARK) -> DataFrame:
+    """Rows without an event time are left out (``EVENT_TIME_RULES`` has them), as in the other event sources."""
     return GPS_RULES.apply(gps_events_prepared(bronze_gps, watermark))
 
 
