@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 from .common import fresh_dir, in_arrow
 
-ARCHIVE_BYTES = 8 << 20
+#: Bytes of an archive before compression, about; a reader holds one whole.
+ARCHIVE_BYTES = 64 << 20
 CRLF = "\r\n"
 #: Fixed date of the records, so that equal input gives equal archives.
 DATE = "2024-01-01T00:00:00Z"
