@@ -12,8 +12,11 @@
    so give preliminary components. Then the buckets that still hold several
    components yield the other pairs across components. No bucket emits its
    pairs within a component, which is what a large group of near copies is.
-   A bucket of over ``BUCKET`` rows is dealt out by a second shared band (two
-   sets at the threshold share another one but for a chance of 2e-7).
+   The rows outside a bucket's largest component ask, all its rows answer.
+   Both are dealt to blocks of about ``BLOCK`` rows, and a cell is a block of
+   askers with a block of answers: every pair across components meets in one
+   cell, a cell is bounded, and a large family with a few outliers costs its
+   rows about once.
 4. A candidate survives if the sketches allow the threshold within
    ``SIGMAS`` deviations. A second odd sketch, folded from the whole set,
    bounds the symmetric difference from below (a differing bit needs a
@@ -50,7 +53,10 @@ BANDS, ROWS = 40, 5
 HASHES = 400
 SKETCH_BITS = 2048
 SIGMAS = 5.0
-BUCKET = 2048
+#: Rows of a block of a mixed bucket; a task holds one block that asks and one that answers.
+BLOCK = 2048
+#: Pairs of a cell compared in one step.
+PAIRS = 1 << 15
 #: Further members of a bucket with several components that all others are compared with.
 PIVOTS = 6
 
@@ -197,29 +203,58 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tab
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+def block_cells(labelled: DataFrame, rows: int) -> DataFrame:
+    """Rows of mixed buckets dealt to cells of bounded size: (cell, hub, node, root, rest, asks, answers).
+
+    rest: outside the bucket's largest component. Those rows are dealt to ``r`` blocks that ask, all rows to ``l``
+    blocks that answer, and cell (i, j) holds asking block i and answering block j.
+    """
+    parts = labelled.groupBy("bucket", "root").agg(F.count("*").alias("rows"))
+    shape = parts.groupBy("bucket").agg(F.max(F.struct("rows", "root")).alias("top"), F.sum("rows").alias("every"))
+    blocks = lambda n: F.ceil(n / F.lit(rows)).cast("int")
+    shape = shape.select(
+        "bucket", F.col("top.root").alias("main"), blocks(F.col("every") - F.col("top.rows")).alias("r"), blocks(F.col("every")).alias("l")
+    )
+    block = lambda salt, n: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n)).cast("int")
+    dealt = labelled.join(shape, "bucket").select(
+        "bucket", "hub", "node", "root", (F.col("root") != F.col("main")).alias("rest"), "r", "l", block(1, "r").alias("i"), block(2, "l").alias("j")
+    )
+    answers = F.transform(F.sequence(F.lit(0), F.col("r") - 1), lambda k: F.struct(k.alias("i"), F.col("j").alias("j")))
+    asks = F.transform(F.sequence(F.lit(0), F.col("l") - 1), lambda k: F.struct(F.col("i").alias("i"), k.alias("j")))
+    cells = dealt.withColumn("at", F.explode(F.when(F.col("rest"), F.array_union(answers, asks)).otherwise(answers)))
+    return cells.select(
+        F.xxhash64("bucket", "at.i", "at.j").alias("cell"), "hub", "node", "root", "rest",
+        (F.col("rest") & (F.col("at.i") == F.col("i"))).alias("asks"), (F.col("at.j") == F.col("j")).alias("answers"),
+    )
+
+
 def cross_pairs(table: pa.Table, limit: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a bucket that lie in different components, pass the size and the sketch test and don't hold the
-    bucket's hub (those were compared before). Works on all buckets of the table at once, by distance in the bucket;
-    rows of a bucket rise by node."""
-    column = lambda c: table.column(c).combine_chunks() if isinstance(table.column(c), pa.ChunkedArray) else table.column(c)
-    key, hub, node, root, n = (column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "hub", "node", "root", "n"))
-    sketch = _binary_rows(column("sketch"), SKETCH_BITS // 4).view(np.uint64)
-    start = runs(key)
-    rank = np.arange(len(key)) - np.repeat(start[:-1], np.diff(start))
-    size = np.repeat(np.diff(start), np.diff(start))
-    us, vs = [], []
-    for step in range(1, int(size.max(initial=0))):
-        i = np.flatnonzero(rank + step < size)
-        j = i + step
-        ok = (root[i] != root[j]) & (node[i] != hub[i])  # the hub is its bucket's smallest node
+    """Pairs of a row that asks and one that answers in its cell, in different components, that pass the size and the
+    sketch test and don't hold the bucket's hub (those were compared before). The table holds whole cells, in order."""
+    column = lambda c: table.column(c).to_numpy()
+    hub, node, root, n, rest = (column(c) for c in ("hub", "node", "root", "n", "rest"))
+    sketch = _binary_rows(table.column("sketch").combine_chunks(), SKETCH_BITS // 4).view(np.uint64)
+    start = runs(column("cell"))
+    cell = np.repeat(np.arange(len(start) - 1), np.diff(start))
+    ask, answer = (np.flatnonzero(column(c) & (node != hub)) for c in ("asks", "answers"))
+    first = np.searchsorted(cell[answer], cell[ask], "left")
+    count = np.searchsorted(cell[answer], cell[ask], "right") - first
+    ends = np.cumsum(count)
+    us, vs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    a = 0
+    while a < len(ask):
+        before = int(ends[a] - count[a])
+        b = max(a + 1, int(np.searchsorted(ends, before + PAIRS, "right")))
+        i = np.repeat(ask[a:b], count[a:b])
+        j = answer[np.repeat(first[a:b] - (ends[a:b] - count[a:b]), count[a:b]) + np.arange(before, ends[b - 1])]
+        ok = (root[i] != root[j]) & (~rest[j] | (node[i] < node[j]))  # two that ask meet twice
         ok &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
         i, j = i[ok], j[ok]
         if len(i):
             near = possible(sketch[i], sketch[j], n[i], n[j], limit, percent)
-            us.append(node[i[near]])
-            vs.append(node[j[near]])
-    if not us:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+            us.append(np.minimum(node[i[near]], node[j[near]]))
+            vs.append(np.maximum(node[i[near]], node[j[near]]))
+        a = b
     return np.concatenate(us), np.concatenate(vs)
 
 
@@ -280,9 +315,9 @@ def _mixed(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET
+    docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", bucket: int = BLOCK
 ) -> DataFrame:
-    """(id, n_shingles, component_id, kept) for every row of ``docs``."""
+    """(id, n_shingles, component_id, kept) for every row of ``docs``; bucket: rows of a block of a mixed bucket."""
     spark = docs.sparkSession
     limit = sketch_limit(percent / 100)
     rows = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
@@ -316,23 +351,15 @@ def near_duplicates(
         links = links.union(more)
         roots = smallest_reachable(links)
         labelled = _mixed(buckets.where("size > 2"), roots)
-    body = classes.select("node", "n", "sketch", "bands")
-    small = labelled.where(F.col("size") <= bucket).join(body.drop("bands"), "node")
-    hot = (
-        labelled.where(F.col("size") > bucket).join(body, "node")
-        .select("*", F.explode("bands").alias("second")).where("second <> bucket")
-        .withColumn("bucket", F.xxhash64("bucket", "second"))
-        .drop("second", "bands")
-    )
-    columns = ["bucket", "hub", "node", "root", "n", "sketch"]
+    cells = block_cells(labelled, bucket).join(classes.select("node", "n", "sketch"), "node")
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_groups(batches, "bucket"):
+        for t in whole_groups(batches, "cell"):
             u, v = cross_pairs(t, limit, percent)
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
-    dealt = small.select(columns).union(hot.select(columns)).repartition(shuffle_width(spark), "bucket")
-    across = in_arrow(dealt.sortWithinPartitions("bucket", "node"), pairs, "u long, v long").distinct()
+    dealt = cells.repartition(shuffle_width(spark), "cell").sortWithinPartitions("cell", "node")
+    across = in_arrow(dealt, pairs, "u long, v long").distinct()
     across = stored(across.join(probed, ["u", "v"], "left_anti"), "across")
     more = stored(confirmed(across, found, percent), "links")
     if not more.isEmpty():
