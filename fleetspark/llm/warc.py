@@ -4,12 +4,17 @@ Writing. Only headers (id, digest, length) are shuffled by payload digest; the
 largest id of a digest is the response, the others revisit it. The decision is
 joined back to the pages, revisits lose their payload, and every record gets
 fresh headers. Payloads are shuffled once, by id and digest, into archives of
-about ``ARCHIVE_BYTES``. Spark's text writer writes them, gzipped: a record is
-one row, and the row separator is the two line ends that close a WARC record.
-
-Reading. Archives are read as binary files and cut by Content-Length, so
-payloads may hold anything. Revisit records are resolved against the response
-records by WARC-Refers-To, which brings back payload and length.
+at most about ``ARCHIVE_BYTES``; a smaller table is dealt to as many archives
+as a shuffle has partitions, but none below ``LEAST_BYTES``. Spark's text
+writer writes them, gzipped: a record is one row, and the row separator is the
+two line ends that close a WARC record. The block of a record is an HTTP
+response, its head alone for a revisit.
+
+Reading. Spark's text reader streams an archive line by line; lines are put
+together again and cut by Content-Length, so payloads may hold anything and a
+task holds a batch of lines and one record, whatever the archive's size.
+Revisit records are resolved against the response records by WARC-Refers-To,
+which brings back payload and length.
 
 Defined cases: a NULL payload is empty; an empty payload is a payload like any
 other, unless it is shorter than ``min_revisit_bytes``, which are always
@@ -22,7 +27,6 @@ only id, URL and payload are read.
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -31,10 +35,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_dir, in_arrow
+from .common import fresh_dir, in_arrow, shuffle_width
 
-#: Bytes of an archive before compression, about; a reader holds one whole.
-ARCHIVE_BYTES = 64 << 20
+#: Most bytes of an archive before compression, about, and the least where that leaves tasks without work.
+ARCHIVE_BYTES = 1 << 30
+LEAST_BYTES = 8 << 20
 CRLF = "\r\n"
 #: Fixed date of the records, so that equal input gives equal archives.
 DATE = "2024-01-01T00:00:00Z"
@@ -77,11 +82,14 @@ def write_archives(
         .select("page", "digest", "response")
     )
     total = headers.agg(F.sum(F.col("bytes") + 500)).first()[0] or 0
-    archives = max(1, -(-total // archive_bytes))
+    archives = max(1, -(-total // archive_bytes), min(shuffle_width(pages.sparkSession), -(-total // LEAST_BYTES)))
     keys = ["page", "digest"]
     records = rows.repartition(archives, *keys).join(decided.repartition(archives, *keys), keys, "left")
     revisit = F.col("response").isNotNull()
-    payload = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
+    http = ["HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8", "Content-Length: "]
+    block = F.concat(
+        F.lit(CRLF.join(http)), F.col("bytes").cast("string"), F.lit(CRLF + CRLF), F.when(revisit, F.lit("")).otherwise(F.col("payload"))
+    )
     lines = [
         F.lit("WARC/1.1"),
         F.concat(F.lit("WARC-Type: "), F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
@@ -92,27 +100,33 @@ def write_archives(
         F.when(revisit, F.concat(F.lit("WARC-Refers-To: <"), record_id(F.col("response"), F.col("digest")), F.lit(">"))),
         F.when(revisit, F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
         F.when(F.col("page").isNotNull(), F.concat(F.lit("X-Page-ID: "), F.col("page").cast("string"))),
-        F.lit("Content-Type: text/html; charset=utf-8"),
-        F.concat(F.lit("Content-Length: "), F.octet_length(payload).cast("string")),
+        F.lit("Content-Type: application/http; msgtype=response"),
+        F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string")),
     ]
-    record = F.concat(F.concat_ws(CRLF, *lines), F.lit(CRLF + CRLF), payload)
+    record = F.concat(F.concat_ws(CRLF, *lines), F.lit(CRLF + CRLF), block)
     records.sortWithinPartitions(*keys).select(record.alias("value")).write.option("lineSep", CRLF + CRLF).option("compression", "gzip").text(path)
 
 
-def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, payload) of the records of an archive, cut by Content-Length."""
-    at = 0
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        head = data[at:end].decode("utf-8").split(CRLF)
-        if not head[0].startswith("WARC/"):
-            raise ValueError(f"no record starts at byte {at}")
-        fields = dict(line.split(": ", 1) for line in head[1:])
-        size = int(fields["Content-Length"])
-        yield fields, data[end + 4 : end + 4 + size]
-        at = end + 4 + size + 4
+def parse_records(chunks: Iterator[bytes]) -> Iterator[list[tuple[dict[str, str], bytes]]]:
+    """For each chunk of a stream of archives, (headers, payload) of the records that it completes."""
+    held = bytearray()
+    for chunk in chunks:
+        held += chunk
+        done, at = [], 0
+        while (end := held.find(b"\r\n\r\n", at)) >= 0:
+            head = held[at:end].decode("utf-8").split(CRLF)
+            if not head[0].startswith("WARC/"):
+                raise ValueError(f"no record starts at {head[0][:40]!r}")
+            fields = dict(line.split(": ", 1) for line in head[1:])
+            close = end + 4 + int(fields["Content-Length"])
+            if close + 4 > len(held):
+                break
+            done.append((fields, bytes(held[held.index(b"\r\n\r\n", end + 4, close) + 4 : close])))
+            at = close + 4
+        del held[:at]
+        yield done
+    if held:
+        raise ValueError("an archive ends within a record")
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
@@ -120,25 +134,26 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
     schema = "page long, url string, type string, record string, refers string, digest string, bytes long" + ", payload string" * payloads
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column(0):
-                rows = []
-                for head, payload in parse_records(content.as_buffer().to_pybytes()):
-                    if head["WARC-Type"] == "response" and head["WARC-Payload-Digest"] != "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode():
-                        raise ValueError(f"payload of {head['WARC-Record-ID']} doesn't match its digest")
-                    page = head.get("X-Page-ID")
-                    row = (
-                        page and int(page), head["WARC-Target-URI"], head["WARC-Type"], head["WARC-Record-ID"].strip("<>"),
-                        head.get("WARC-Refers-To", "").strip("<>") or None, head["WARC-Payload-Digest"].removeprefix("sha1:"), len(payload),
-                    )
-                    rows.append((*row, payload.decode("utf-8")) if payloads else row)
-                if rows:
-                    kinds = [pa.int64(), *[pa.string()] * 5, pa.int64(), *[pa.string()] * payloads]
-                    columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays(columns, re.findall(r"(\w+) (?:long|string)", schema))
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).where("length > 0").select("content")
-    return in_arrow(files, run, schema)
+        chunks = (b"".join(line + b"\n" for line in batch.column(0).cast(pa.binary()).to_pylist()) for batch in batches)
+        for records in parse_records(chunks):
+            rows = []
+            for head, payload in records:
+                if head["WARC-Type"] == "response" and head["WARC-Payload-Digest"] != "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode():
+                    raise ValueError(f"payload of {head['WARC-Record-ID']} doesn't match its digest")
+                page = head.get("X-Page-ID")
+                row = (
+                    page and int(page), head["WARC-Target-URI"], head["WARC-Type"], head["WARC-Record-ID"].strip("<>"),
+                    head.get("WARC-Refers-To", "").strip("<>") or None, head["WARC-Payload-Digest"].removeprefix("sha1:"), len(payload),
+                )
+                rows.append((*row, payload.decode("utf-8")) if payloads else row)
+            if rows:
+                kinds = [pa.int64(), *[pa.string()] * 5, pa.int64(), *[pa.string()] * payloads]
+                columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, re.findall(r"(\w+) (?:long|string)", schema))
+
+    # gzip files aren't split, so a task reads whole archives, one after the other and in order
+    lines = spark.read.schema("value string").option("lineSep", "\n").option("pathGlobFilter", "part-*.gz").text(path)
+    return in_arrow(lines, run, schema)
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
