@@ -10,7 +10,8 @@ shares most n-gram vectors with the known one.
 Repeats of a word in a document count logarithmically, and the average counts
 ``NEUTRAL`` further subwords with a zero vector, so that a few words alone
 don't decide. Buckets in under ``MIN_TEXTS`` training documents stay zero; the cut does not grow
-with the sample, so rare words keep vectors of their own. Since the softmax
+with the sample, so rare words keep vectors of their own. Buckets in over
+``MOST_SHARE`` of the training documents of label 0 stay zero, too. Since the softmax
 is linear, scoring needs one number a bucket (the projection of its vector):
 the broadcast model has a fixed size of 2**BITS floats.
 
@@ -34,11 +35,11 @@ from . import tokens as tk
 from .common import map_slices, utf8_buffers
 from .labelled import held_out, training_rows
 
-BITS = 17
+BITS = 20
 DIM = 4
 NGRAMS = (3, 4, 5)
 NEUTRAL = 300
-EPOCHS = 4
+EPOCHS = 8
 RATE = 1.0
 BATCH = 32
 #: Bounds of the training sample: rows of each label, bytes of text in all.
@@ -47,6 +48,8 @@ SAMPLE_BYTES = 24 << 20
 THRESHOLD = 0.7
 #: Training texts that a bucket must be in to have a vector, whatever the size of the sample.
 MIN_TEXTS = 3
+#: Largest share of the training texts of label 0 that such a bucket may be in; commoner ones only dilute long texts.
+MOST_SHARE = 0.2
 
 
 @dataclass
@@ -120,10 +123,10 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, rate: floa
     x: list[tuple[np.ndarray, np.ndarray]] = []
     for k in range(0, len(texts), 200):
         x += features(texts[k : k + 200])
-    seen = np.zeros(size, np.int32)
-    for bucket, _ in x:
-        seen[np.unique(bucket)] += 1
-    keep = seen >= min_texts
+    seen = np.zeros((2, size), np.int32)
+    for (bucket, _), label in zip(x, labels.tolist(), strict=True):
+        seen[label, np.unique(bucket)] += 1
+    keep = (seen.sum(axis=0) >= min_texts) & (seen[0] <= MOST_SHARE * (labels == 0).sum())
     for k, (bucket, weight) in enumerate(x):
         ok = keep[bucket]
         x[k] = bucket[ok], weight[ok]
