@@ -1,9 +1,17 @@
-"""FM-index over integer symbols: backward search on a wavelet matrix, for many texts in step (numpy)."""
+"""Run-length FM-index over integer symbols: backward search on a wavelet matrix, for many texts in step (numpy).
+
+The Burrows-Wheeler transform of texts that hold the same passages falls into
+long runs of one symbol. Only the first symbol of each run goes into the
+wavelet matrix; run starts and running run lengths by symbol give the ranks of
+the whole transform. In place of a suffix array, each group of rows that share
+``threshold`` symbols keeps one value, the smallest of its texts.
+"""
 
 from __future__ import annotations
 
 import numpy as np
 
+from .common import runs
 from .suffixes import neighbour_lcp, suffix_array
 
 _FULL = np.uint64(63)
@@ -25,6 +33,10 @@ class BitRank:
         mask = (np.uint64(1) << (at.astype(np.uint64) & _FULL)) - np.uint64(1)
         return self.before[word] + np.bitwise_count(self.words[word] & mask)
 
+    def bit(self, at: np.ndarray) -> np.ndarray:
+        """The bit at each position (0 at the end)."""
+        return (self.words[at >> 6] >> (at.astype(np.uint64) & _FULL)) & np.uint64(1)
+
 
 class WaveletMatrix:
     """Rank of any symbol before any position, in one bit-vector rank for each bit of a symbol."""
@@ -37,54 +49,74 @@ class WaveletMatrix:
             self.levels.append((BitRank(bit), int(len(text) - bit.sum())))
             text = np.concatenate((text[~bit], text[bit]))
 
-    def descend(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Position in the last level; the difference to that of position 0 is the symbol's rank."""
+    def descend(self, symbol: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Position in the last level, and if the symbol stands at the position that the descent started from.
+
+        The difference to the last-level position of 0 is the symbol's rank.
+        """
+        here = np.ones(len(at), bool)
         for level, (bits, zeros) in enumerate(self.levels):
             ones = bits.ones(at)
             one = (symbol >> (self.bits - 1 - level)) & 1
+            here &= bits.bit(at) == one.astype(np.uint64)
             at = np.where(one, zeros + ones, at - ones)
-        return at
+        return at, here
+
+
+class RunLengthTransform:
+    """Steps of the backward search over a transform that is kept as runs of equal symbols."""
+
+    def __init__(self, transform: np.ndarray, kinds: int):
+        self.start = runs(transform)[:-1].astype(np.int32)
+        symbol = transform[self.start]
+        length = np.diff(np.append(self.start, len(transform)))
+        self.wavelet = WaveletMatrix(symbol, kinds)
+        before = np.zeros(kinds, np.int64)  # runs of smaller symbols
+        np.cumsum(np.bincount(symbol, minlength=kinds)[:-1], out=before[1:])
+        self.shift = (before - self.wavelet.descend(np.arange(kinds), np.zeros(kinds, np.int64))[0]).astype(np.int32)
+        self.total = np.zeros(len(symbol) + 1, np.int32)  # symbols in the runs before, runs in order of their symbol
+        np.cumsum(length[np.argsort(symbol, kind="stable")], out=self.total[1:])
+
+    def step(self, symbol: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Symbols smaller than ``symbol`` in the whole transform, and equal ones before ``row``."""
+        run = np.searchsorted(self.start, row, "right") - 1
+        last, inside = self.wavelet.descend(symbol, run)
+        return self.total[last + self.shift[symbol]] + np.where(inside, row - self.start[run], 0)
 
 
 class FMIndex:
     """Index of several texts for matches of ``threshold`` symbols.
 
-    texts: dense symbols from 0, one text after the other; start: first symbol
-    of each text. Every text is closed by a symbol of its own, so no match
-    crosses texts. Suffixes are sorted to the threshold's depth only.
+    symbols: dense symbols from 0, one text after the other; start: first
+    symbol of each text; values: a number for each text. Every text is closed
+    by a symbol of its own, so no match crosses texts. Suffixes are sorted to
+    the threshold's depth only. ``least`` holds, for each group of rows that
+    share ``threshold`` symbols, the smallest value of its texts.
     """
 
-    def __init__(self, symbols: np.ndarray, start: np.ndarray, kinds: int, threshold: int):
+    def __init__(self, symbols: np.ndarray, start: np.ndarray, kinds: int, threshold: int, values: np.ndarray):
         n, m = len(symbols), len(start)
-        self.threshold, self.kinds = threshold, kinds
+        self.threshold = threshold
         text_of = np.searchsorted(start, np.arange(n), "right") - 1
         closed = np.empty(n + m, np.int64)
         closed[np.arange(n) + text_of] = symbols
         closed[np.append(start[1:], n) + np.arange(m)] = kinds + np.arange(m)
-        owner = np.empty(n + m, np.int64)
+        owner = np.empty(n + m, np.int32)
         owner[np.arange(n) + text_of] = text_of
         owner[np.append(start[1:], n) + np.arange(m)] = np.arange(m)
         sa, levels = suffix_array(closed, depth=threshold)
         lcp = neighbour_lcp(sa, levels)
         del levels
-        self.owner = owner[sa]
-        before = np.minimum(closed[sa - 1], kinds)  # all closing symbols are one for the search
-        self.wavelet = WaveletMatrix(before, kinds + 1)
-        first = np.zeros(kinds + 1, np.int64)
-        np.cumsum(np.bincount(symbols, minlength=kinds), out=first[1:])
-        every = np.arange(kinds)
-        self.shift = first[:kinds] - self.wavelet.descend(every, np.zeros(kinds, np.int64))
         self.rows = len(sa)
         self.parent = self._groups(lcp >= threshold - 1)
         self.same = self._groups(lcp >= threshold)
+        self.least = np.minimum.reduceat(values[owner[sa]], self.same[:-1])
+        # all closing symbols are one for the search
+        self.transform = RunLengthTransform(np.minimum(closed[sa - 1], kinds), kinds + 1)
 
     def _groups(self, joined: np.ndarray) -> np.ndarray:
         """Limits of the groups of rows joined to the row before."""
-        return np.append(np.flatnonzero(~joined), self.rows)
-
-    def smallest(self, values: np.ndarray) -> np.ndarray:
-        """For each group of rows that share ``threshold`` symbols, the least value of the texts in it."""
-        return np.minimum.reduceat(values[self.owner], self.same[:-1])
+        return np.append(np.flatnonzero(~joined), self.rows).astype(np.int32)
 
     def windows(self, symbols: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """For each position of the streamed texts symbols[start:end], the group of rows whose first ``threshold``
@@ -109,7 +141,7 @@ class FMIndex:
             c = symbols[at]
             known = c >= 0
             safe = np.where(known, c, 0)
-            both = self.wavelet.descend(np.concatenate((safe, safe)), np.concatenate((sp, ep))) + np.tile(self.shift[safe], 2)
+            both = self.transform.step(np.concatenate((safe, safe)), np.concatenate((sp, ep)))
             sp, ep = both[: len(at)], both[len(at) :]
             ok = known & (sp < ep)
             hit = np.flatnonzero(ok & (right - at == t - 1))

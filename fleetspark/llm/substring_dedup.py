@@ -9,19 +9,27 @@ stand; neighbouring windows with one anchor form a segment (about 20 windows).
    two documents or more; only their segments go on.
 2. Equal segments are one class with its smallest document (pre-aggregated,
    so a passage that a third of all documents share costs a row per task).
-   The class's words are taken from that document's text.
-3. Classes are dealt to shards by a hash of their anchor; the number of shards
-   follows from the words to be indexed. Each shard builds one FM-index over
-   its segments and streams them through it: backward search gives for every
-   window the group of suffixes that share it, and the group's smallest
-   document.
+   Every later document loses such a segment whole. What is left to settle is
+   if the smallest document's own segment has windows of other, earlier ones.
+3. For that the classes of an anchor are ordered by their smallest document:
+   all but the last may be copied from and are indexed, all but the first may
+   be copies and are streamed. Their words are taken from the texts of the
+   smallest documents and dealt to shards by a hash of the anchor; the number
+   of shards follows from the words. Each shard builds one run-length FM-index
+   and streams the later documents' segments through it: backward search gives
+   for every window the group of indexed suffixes that share it, and by that
+   the smallest document that has it.
 4. An anchor with over ``HOT`` classes (the edges of a passage that very many
-   documents share, each followed by words of its own) isn't put into one
-   shard: its windows are dealt out one by one by a 128-bit fingerprint, and
-   their smallest documents found by aggregation.
-5. Every occurrence of a class, and every hot window, whose smallest document
-   is before its own gives an interval of words to remove; intervals meet
-   their document's text in one join.
+   documents share, each followed by words of its own) would make a shard of
+   its own without a bound. It is divided further by all words of its windows:
+   each is dealt out by a 128-bit fingerprint, which leaves nothing to search,
+   and its smallest document found by aggregation.
+5. The intervals found meet all places of their segment in its smallest
+   document, and all intervals of a document meet its text in one join.
+
+Joins that put rows to their anchor or class broadcast the groups that hold
+over a ``WIDE``-th of all rows, of which there are fewer than ``WIDE``; the
+others are shuffled, so no task gets more than that of one group.
 
 Defined cases: NULL, empty and short texts (under WINDOW words) lose nothing;
 windows are judged on the input, so chains of copies all go but the first;
@@ -51,6 +59,8 @@ GRAM = 8
 SEGMENT = 128
 SHARD_WORDS = 250_000
 HOT = 1000
+#: Groups with more than this part of all rows are joined by broadcast; there can't be as many as this.
+WIDE = 2000
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -112,104 +122,127 @@ def document_segments(rows: DataFrame, window: int) -> DataFrame:
     return lists.select("doc", "rid", F.inline(F.arrays_zip("first", "windows", "anchor", "segment")))
 
 
+def attach(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """``rows`` that have a group in ``groups``, with its columns; ``size`` counts a group's rows, ``total`` all rows."""
+    cut = total // WIDE
+    own = [c for c in groups.columns if c not in keys]
+    wide = groups.where(F.col(size) > cut).withColumn("wide", F.lit(True))
+    marked = rows.join(F.broadcast(wide), keys, "left")
+    rest = marked.where("wide is null").drop("wide", *own).join(groups.where(F.col(size) <= cut), keys)
+    return marked.where("wide").drop("wide").unionByName(rest)
+
+
 def segment_words(rows: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """Words of the wanted segments (hot = false) and single windows of the hot ones, from the texts.
+    """Words of the wanted segments (hot = false), and two fingerprints of each window of the hot ones, from the texts.
 
-    wanted: rid, asked: array of (first, windows, anchor, segment, hot).
+    wanted: rid, asked: array of (first, windows, anchor, segment, indexed, streamed, hot).
     """
-    schema = "hot boolean, doc long, rid long, place int, anchor long, segment long, words binary"
+    schema = "hot boolean, indexed boolean, streamed boolean, doc long, anchor long, segment long, at int, one long, two long, words binary"
+    asked_columns = ("first", "windows", "anchor", "segment", "indexed", "streamed", "hot")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         w = tk.words(*utf8_buffers(batch.column(2)))
         asked = batch.column(3)
         flat = asked.flatten()
         row = np.repeat(np.arange(batch.num_rows), np.diff(asked.offsets.to_numpy()))
-        first, size, anchor, mark, hot = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("first", "windows", "anchor", "segment", "hot"))
+        first, size, anchor, mark, indexed, streamed, hot = (flat.field(c).to_numpy(zero_copy_only=False) for c in asked_columns)
         start = w.offsets[row] + first
-        cold = np.flatnonzero(~hot)
+        cold, many = np.flatnonzero(~hot), np.flatnonzero(hot)
         cells = [w.hash[a:b].tobytes() for a, b in zip(start[cold].tolist(), (start + size + window - 1)[cold].tolist(), strict=True)]
-        many = np.flatnonzero(hot)
-        at = np.repeat(start[many], size[many]) + np.arange(size[many].sum()) - np.repeat(np.cumsum(size[many]) - size[many], size[many])
-        of = np.repeat(row[many], size[many])
-        one = tk.span_hashes(w.hash, at, at + window).view(np.int64)
-        two = tk.span_hashes(tk.mix(w.hash + np.uint64(5)), at, at + window).view(np.int64)
-        rows = np.concatenate((row[cold], of))
+        nth = np.arange(size[many].sum()) - np.repeat(np.cumsum(size[many]) - size[many], size[many])
+        place = np.repeat(start[many], size[many]) + nth
+        one = tk.span_hashes(w.hash, place, place + window).view(np.int64)
+        two = tk.span_hashes(tk.mix(w.hash + np.uint64(5)), place, place + window).view(np.int64)
+        of = np.concatenate((cold, np.repeat(many, size[many])))
+        none = np.zeros(len(cold), np.int64)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.concatenate((np.zeros(len(cold), bool), np.ones(len(at), bool)))),
-                batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows)),
-                pa.array(np.concatenate((first[cold], at - w.offsets[of])), pa.int32()),
-                pa.array(np.concatenate((anchor[cold], one)), pa.int64()),
-                pa.array(np.concatenate((mark[cold], two)), pa.int64()),
-                pa.array(cells + [None] * len(at), pa.binary()),
+                pa.array(hot[of], pa.bool_()), pa.array(indexed[of], pa.bool_()), pa.array(streamed[of], pa.bool_()),
+                batch.column(0).take(pa.array(row[of])), pa.array(anchor[of], pa.int64()), pa.array(mark[of], pa.int64()),
+                pa.array(np.concatenate((none, nth)), pa.int32()),
+                pa.array(np.concatenate((none, one)), pa.int64()), pa.array(np.concatenate((none, two)), pa.int64()),
+                pa.array(cells + [None] * len(place), pa.binary()),
             ],
-            ["hot", "doc", "rid", "place", "anchor", "segment", "words"],
+            ["hot", "indexed", "streamed", "doc", "anchor", "segment", "at", "one", "two", "words"],
         )
 
     once = rows.where("doc is not null").join(wanted, "rid").dropDuplicates(["rid"])
     return map_slices(once.select("doc", "rid", "text", "asked"), run, schema, "text")
 
 
+def _joined_words(shard: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word hashes of all segments, start and end of each)."""
+    cells = [x.as_buffer() for x in shard.column("words")]
+    end = np.cumsum([x.size // 8 for x in cells], dtype=np.int64)
+    return np.frombuffer(b"".join(cells), np.uint64), np.append(0, end[:-1]), end
+
+
 def search_shard(shard: pa.Table, window: int) -> pa.Table:
-    """Index a shard's segments, stream them through the index, and give for each the runs of windows with one
-    smallest document: (anchor, segment, from, to, smallest)."""
-    cells = [x.as_buffer() for x in shard.column("words").combine_chunks()]
-    words = np.frombuffer(b"".join(cells), np.uint64)
-    size = np.array([x.size // 8 for x in cells], np.int64)
-    end = np.cumsum(size)
-    start = end - size
-    kinds, symbols = np.unique(words, return_inverse=True)
-    index = FMIndex(symbols, start, len(kinds), window)
-    group = index.windows(symbols, start, end)
-    least = index.smallest(shard.column("doc").to_numpy())
-    at = np.flatnonzero(group >= 0)
-    owner = np.searchsorted(start, at, "right") - 1
-    smallest = least[group[at]]
-    new = np.ones(len(at), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (smallest[1:] != smallest[:-1])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(at)) - 1
-    of = owner[first]
-    pick = lambda c: shard.column(c).take(pa.array(of))
-    return pa.table(
-        {"anchor": pick("anchor"), "segment": pick("segment"), "from": pa.array(at[first] - start[of], pa.int32()), "to": pa.array(at[last] - start[of] + 1, pa.int32()), "smallest": pa.array(smallest[first], pa.int64())}
-    )
+    """Index a shard's segments marked so, stream the others marked so through the index, and give for each the runs
+    of windows that a smaller document has: (anchor, segment, doc, from, to)."""
+    indexed, streamed = shard.filter(shard.column("indexed")), shard.filter(shard.column("streamed"))
+    if not (indexed.num_rows and streamed.num_rows):
+        at, of, first, last = (np.empty(0, np.int64),) * 4
+    else:
+        words, start, end = _joined_words(indexed)
+        kinds, symbols = np.unique(words, return_inverse=True)
+        index = FMIndex(symbols, start, len(kinds), window, indexed.column("doc").to_numpy())
+        words, start, end = _joined_words(streamed)
+        near = np.minimum(np.searchsorted(kinds, words), len(kinds) - 1)
+        group = index.windows(np.where(kinds[near] == words, near, -1), start, end)
+        owner = np.repeat(np.arange(len(start)), end - start)
+        at = np.flatnonzero((group >= 0) & (index.least[group] < streamed.column("doc").to_numpy()[owner]))
+        new = np.ones(len(at), bool)
+        new[1:] = (at[1:] != at[:-1] + 1) | (owner[at[1:]] != owner[at[:-1]])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(at))[: len(first)] - 1
+        of = owner[at[first]]
+        first, last = at[first] - start[of], at[last] - start[of] + 1
+    found = streamed.select(["anchor", "segment", "doc"]).take(pa.array(of))
+    return found.append_column("from", pa.array(first, pa.int32())).append_column("to", pa.array(last, pa.int32()))
 
 
 def repeated_spans(rows: DataFrame, window: int = WINDOW, hot: int = HOT, shard_words: int = SHARD_WORDS) -> DataFrame:
     """(rid, spans): word intervals [lo, hi) of each document that an earlier document has."""
     spark = rows.sparkSession
     every = document_segments(rows, window)
-    shared = every.groupBy("anchor").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("anchor")
-    places = stored(every.join(shared, "anchor"), "shared-segments")
-
-    classes = places.groupBy("anchor", "segment").agg(F.min("doc").alias("least"))
-    crowded = classes.groupBy("anchor").count().where(F.col("count") > hot).select("anchor", F.lit(True).alias("hot"))
-    classes = classes.join(crowded, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    classes = stored(classes, "segment-classes")
-
-    asked = places.join(classes, ["anchor", "segment"]).where("hot or doc = least")
-    once = asked.groupBy("rid", "anchor", "segment", "hot").agg(F.collect_list("first").alias("at"), F.max("windows").alias("windows"))
-    asked = once.select("rid", F.explode(F.when(F.col("hot"), F.col("at")).otherwise(F.slice("at", 1, 1))).alias("first"), "windows", "anchor", "segment", "hot")
-    wanted = asked.groupBy("rid").agg(F.collect_list(F.struct("first", "windows", "anchor", "segment", "hot")).alias("asked"))
+    anchors = every.groupBy("anchor").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count("*").alias("n")).where("a < b")
+    shared = stored(anchors.select("anchor", "n"), "shared-anchors")
+    places = stored(attach(every, shared, ["anchor"], "n", every.count()).drop("n"), "shared-segments")
+
+    head = F.min(F.struct("doc", "rid", "first", "windows")).alias("head")
+    classes = places.groupBy("anchor", "segment").agg(head, F.max("doc").alias("last"), F.count("*").alias("n"))
+    classes = stored(classes.select("anchor", "segment", "last", "n", "head.*"), "segment-classes")
+    order = classes.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("kinds")).where("lo < hi")
+    order = stored(order, "anchor-orders")
+    dealt = attach(classes.drop("last", "n"), order, ["anchor"], "kinds", classes.count())
+    role = F.struct("first", "windows", "anchor", "segment", F.expr("doc < hi").alias("indexed"), F.expr("doc > lo").alias("streamed"), (F.col("kinds") > hot).alias("hot"))
+    wanted = dealt.groupBy("rid").agg(F.collect_list(role).alias("asked"))
     pieces = stored(segment_words(rows, wanted, window), "segment-words")
 
     ship(spark)
-    cold = pieces.where("not hot").select("doc", "anchor", "segment", "words")
+    cold = pieces.where("not hot").select("doc", "anchor", "segment", "indexed", "streamed", "words")
     total = cold.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     shards = max(1, -(-total // (8 * shard_words)))
-    found = (
+    searched = (
         cold.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard")
-        .applyInArrow(lambda t: search_shard(t, window), "anchor long, segment long, from int, to int, smallest long")
+        .applyInArrow(lambda t: search_shard(t, window), "anchor long, segment long, doc long, from int, to int")
     )
-    found = stored(found.dropDuplicates(["anchor", "segment", "from"]), "segment-runs")
-    spans = places.join(found, ["anchor", "segment"]).where("smallest < doc").select(
+    windows = pieces.where("hot").select("doc", "anchor", "segment", "at", "one", "two")
+    least = windows.groupBy("one", "two").agg(F.min("doc").alias("least"), F.max("doc").alias("b"), F.count("*").alias("n")).where("least < b")
+    least = stored(least.drop("b"), "window-classes")
+    single = attach(windows, least, ["one", "two"], "n", windows.count()).where("least < doc")
+    single = single.select("anchor", "segment", "doc", F.col("at").alias("from"), (F.col("at") + 1).alias("to"))
+    found = stored(searched.unionByName(single), "segment-runs")
+
+    own = places.join(found, ["anchor", "segment", "doc"]).select(
         "rid", (F.col("first") + F.col("from")).alias("lo"), (F.col("first") + F.col("to") + (window - 1)).alias("hi")
     )
-    windows = pieces.where("hot").select("doc", "rid", "place", "anchor", "segment")
-    least = windows.groupBy("anchor", "segment").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").drop("b")
-    single = windows.join(least, ["anchor", "segment"]).where("a < doc").select("rid", F.col("place").alias("lo"), (F.col("place") + window).alias("hi"))
-    return spans.union(single).groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    copied = classes.where("doc < last").select("anchor", "segment", F.col("doc").alias("least"), "n")
+    whole = attach(places, copied, ["anchor", "segment"], "n", places.count()).where("least < doc").select(
+        "rid", F.col("first").alias("lo"), (F.col("first") + F.col("windows") + (window - 1)).alias("hi")
+    )
+    return own.union(whole).groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
 def remove_repeats(

@@ -244,8 +244,8 @@ def test_fm_index_finds_windows_of_other_texts():
     texts = [rng.integers(0, 3, rng.integers(4, 60)) for _ in range(8)]
     flat, size = np.concatenate(texts), np.array([len(t) for t in texts])
     end = np.cumsum(size)
-    index = FMIndex(flat, end - size, 3, 5)
-    least = index.smallest(np.arange(8)[::-1].copy())
+    index = FMIndex(flat, end - size, 3, 5, np.arange(8)[::-1].copy())
+    least = index.least
     known = {}
     for k, t in enumerate(texts):
         for i in range(len(t) - 4):
@@ -440,3 +440,17 @@ def test_rare_toxic_words_keep_a_vector():
     assert np.count_nonzero(scores[buckets]) == len(buckets)
     clean = texts[1001]
     assert toxicity.logits([f"{clean} zorblagt zorblagt"], scores, bias)[0] > toxicity.logits([clean], scores, bias)[0]
+
+
+def test_a_shard_searches_later_segments_among_earlier_ones():
+    rng = np.random.default_rng(9)
+    a, b, c = (rng.integers(0, 1 << 60, n).astype(np.uint64) for n in (90, 120, 80))
+    b[20:75] = a[30:85]  # 55 words of document 1, so six windows
+    rows = [(1, True, False, a), (5, True, True, b), (5, True, True, b[:60]), (7, False, True, c), (9, False, True, b), (9, False, True, c)]
+    shard = pa.table({
+        "doc": pa.array([d for d, *_ in rows], pa.int64()), "anchor": pa.array([3] * len(rows), pa.int64()), "segment": pa.array(range(len(rows)), pa.int64()),
+        "indexed": [i for _, i, _, _ in rows], "streamed": [s for *_, s, _ in rows], "words": pa.array([w.tobytes() for *_, w in rows], pa.binary()),
+    })
+    got = sorted(tuple(r.values()) for r in substring_dedup.search_shard(shard, 50).to_pylist())
+    assert got == [(3, 1, 5, 20, 26), (3, 4, 9, 0, 71)]
+    assert substring_dedup.search_shard(shard.slice(3, 2), 50).num_rows == 0
