@@ -108,23 +108,42 @@ class FMIndex:
         lcp = neighbour_lcp(sa, levels)
         del levels
         self.rows = len(sa)
-        self.parent = self._groups(lcp >= threshold - 1)
         self.same = self._groups(lcp >= threshold)
+        self.shorter = self._groups(lcp >= threshold - 1)
+        self._enclose(np.minimum(lcp, threshold))
         self.least = np.minimum.reduceat(values[owner[sa]], self.same[:-1])
         # all closing symbols are one for the search
         self.transform = RunLengthTransform(np.minimum(closed[sa - 1], kinds), kinds + 1)
 
     def _groups(self, joined: np.ndarray) -> np.ndarray:
         """Limits of the groups of rows joined to the row before."""
-        return np.append(np.flatnonzero(~joined), self.rows).astype(np.int32)
+        return np.concatenate(([0], np.flatnonzero(~joined[1:]) + 1, [self.rows])).astype(np.int32)
+
+    def _enclose(self, lcp: np.ndarray) -> None:
+        """For the border before each row, the rows on both sides that agree in as many symbols as those at it.
+
+        The next larger interval of one is that of its deeper border.
+        """
+        self.depth = np.append(lcp, 0).astype(np.int16)
+        self.first = np.zeros(self.rows + 1, np.int32)
+        self.after = np.full(self.rows + 1, self.rows, np.int32)
+        by_depth = np.argsort(self.depth, kind="stable")
+        limits = np.searchsorted(self.depth[by_depth], np.arange(self.threshold + 2))
+        for d in range(1, self.threshold + 1):
+            border = by_depth[limits[d] : limits[d + 1]]
+            if len(border):
+                group = self._groups(lcp >= d)
+                at = np.searchsorted(group, border, "right")
+                self.first[border], self.after[border] = group[at - 1], group[at]
 
     def windows(self, symbols: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """For each position of the streamed texts symbols[start:end], the group of rows whose first ``threshold``
         symbols are the window that starts there; -1 without a match. Symbols that the index lacks are -1.
 
         Matching statistics up to the threshold, from the right end of every text: a match is extended to the left by
-        backward search; one of full length first gives up its last symbol, by going to the parent interval. Where
-        the search fails, the match gives up its last symbol and is sought anew. All texts go on in step.
+        backward search; one of full length first gives up its last symbol. Where the search fails, the match gives
+        up symbols at its right end until it has more occurrences, by going to the next larger interval, and is tried
+        again; so the steps are at most twice the symbols. All texts go on in step.
         """
         found = np.full(len(symbols), -1, np.int64)
         t = self.threshold
@@ -135,23 +154,24 @@ class FMIndex:
         while len(at):
             full = np.flatnonzero(right - at == t)  # length of the match so far
             if len(full):
-                group = np.searchsorted(self.parent, sp[full], "right") - 1
-                sp[full], ep[full] = self.parent[group], self.parent[group + 1]
+                group = np.searchsorted(self.shorter, sp[full], "right") - 1
+                sp[full], ep[full] = self.shorter[group], self.shorter[group + 1]
                 right[full] -= 1
             c = symbols[at]
             known = c >= 0
             safe = np.where(known, c, 0)
             both = self.transform.step(np.concatenate((safe, safe)), np.concatenate((sp, ep)))
-            sp, ep = both[: len(at)], both[len(at) :]
-            ok = known & (sp < ep)
+            ok = known & (both[: len(at)] < both[len(at) :])
             hit = np.flatnonzero(ok & (right - at == t - 1))
-            found[at[hit]] = np.searchsorted(self.same, sp[hit], "right") - 1
-            bad = np.flatnonzero(~ok)
-            if len(bad):
-                right[bad] = np.where(known[bad], right[bad] - 1, at[bad] - 1)
-                at[bad] = right[bad] + 1
-                sp[bad], ep[bad] = 0, self.rows
-            at = at - 1
+            found[at[hit]] = np.searchsorted(self.same, both[hit], "right") - 1
+            again = ~ok & known & (right > at)
+            back = np.flatnonzero(again)
+            border = np.where(self.depth[sp[back]] >= self.depth[ep[back]], sp[back], ep[back])
+            lost = np.flatnonzero(~ok & ~again)  # no match ends here
+            sp, ep = both[: len(at)].copy(), both[len(at) :].copy()
+            sp[back], ep[back], right[back] = self.first[border], self.after[border], at[back] + self.depth[border]
+            sp[lost], ep[lost], right[lost] = 0, self.rows, at[lost] - 1
+            at = at - ~again
             going = (at >= low) & (right - low >= t - 1)
             if not going.all():
                 at, right, low, sp, ep = at[going], right[going], low[going], sp[going], ep[going]

@@ -239,23 +239,25 @@ def test_kept_text_is_unchanged_or_joined(spark):
     assert got[1].kept_text == f"{a}\nz" and got[2].kept_text == "p q" and got[3].kept_text is None
 
 
-def test_fm_index_finds_windows_of_other_texts():
-    rng = np.random.default_rng(5)
-    texts = [rng.integers(0, 3, rng.integers(4, 60)) for _ in range(8)]
-    flat, size = np.concatenate(texts), np.array([len(t) for t in texts])
-    end = np.cumsum(size)
-    index = FMIndex(flat, end - size, 3, 5, np.arange(8)[::-1].copy())
-    least = index.least
+@pytest.mark.parametrize("seed", range(40))
+def test_fm_index_finds_windows_of_other_texts(seed):
+    rng = np.random.default_rng(seed)
+    kinds, width = int(rng.integers(1, 6)), int(rng.integers(1, 9))
+    texts = [rng.integers(0, kinds, rng.integers(1, 60)) for _ in range(8)]
+    texts.append(np.arange(kinds))  # every symbol occurs
+    flat, end = np.concatenate(texts), np.cumsum([len(t) for t in texts])
+    values = rng.permutation(len(texts))
+    index = FMIndex(flat, np.append(0, end[:-1]), kinds, width, values)
     known = {}
-    for k, t in enumerate(texts):
-        for i in range(len(t) - 4):
-            known[tuple(t[i : i + 5])] = min(7 - k, known.get(tuple(t[i : i + 5]), 99))
-    query = rng.integers(-1, 3, 400)
+    for value, t in zip(values.tolist(), texts, strict=True):
+        for i in range(len(t) - width + 1):
+            known[tuple(t[i : i + width])] = min(value, known.get(tuple(t[i : i + width]), 99))
+    query = rng.integers(-1, kinds, 400)
     found = index.windows(query, np.array([0, 150]), np.array([150, 400]))
     for i in range(400):
-        w = tuple(query[i : i + 5]) if i + 5 <= 400 and not i < 150 < i + 5 else None
+        w = tuple(query[i : i + width]) if i + width <= 400 and not i < 150 < i + width else None
         want = known.get(w)
-        assert (found[i] < 0) if want is None else least[found[i]] == want
+        assert (found[i] < 0) if want is None else (found[i] >= 0 and index.least[found[i]] == want)
 
 
 def test_suffix_array_and_lcp():
