@@ -14,7 +14,7 @@ with a cell that doesn't fit its column's type, is kept whole in
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
@@ -56,16 +56,27 @@ LINE, FILE, AT = "value", "_file", "_at"
 MOST_HEADERS = 10_000
 
 
-def _cells(line: Column, width: int) -> Column:
-    """The first ``width`` cells of a CSV line as an array of strings, NULL where empty or missing."""
+def _with_cells(lines: DataFrame, line: str, width: int, out: str) -> DataFrame:
+    """Adds the cells of a CSV line as an array of strings, empty or NULL where there is nothing: between quotes as a CSV
+    parser reads them (the first ``width``, each line parsed once), without quotes what stands between commas."""
     names = [f"c{i}" for i in range(width)]
-    parsed = F.from_csv(line, ", ".join(f"{n} string" for n in names), {"mode": "PERMISSIVE"})
-    return F.array(*[parsed.getField(n) for n in names])
+    quoted = F.when(F.contains(F.col(line), F.lit('"')), F.col(line))
+    parsed = lines.withColumn("_parsed", F.from_csv(quoted, ", ".join(f"{n} string" for n in names), {"mode": "PERMISSIVE"}))
+    cells = F.array(*[F.col("_parsed").getField(n) for n in names])
+    return parsed.withColumn(out, F.when(F.col("_parsed").isNull(), F.split(line, ",")).otherwise(cells)).drop("_parsed")
 
 
 def _cell_count(line: Column) -> Column:
     """Cells of a CSV line: commas outside quotes, and one."""
-    return F.size(F.split(F.regexp_replace(line, r'"(?:[^"\\\\]|\\\\.|"")*"', ""), ","))
+    bare = F.regexp_replace(line, r'"(?:[^"\\\\]|\\\\.|"")*"', "")
+    commas = lambda text: F.length(text) - F.length(F.replace(text, F.lit(","))) + 1
+    return F.when(F.contains(line, F.lit('"')), commas(bare)).otherwise(commas(line))
+
+
+def _few(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """A small result, computed once and sent to every task; one of over ``MOST_HEADERS`` rows stays a plan."""
+    found = df.limit(MOST_HEADERS + 1).collect()
+    return F.broadcast(spark.createDataFrame(found, df.schema)) if len(found) <= MOST_HEADERS else df
 
 
 def csv_lines(text: DataFrame) -> DataFrame:
@@ -79,37 +90,43 @@ def parse_csv_by_header(lines: DataFrame, schema: StructType, keep: tuple[str, .
     """The fields of ``schema``, the ``keep`` columns, ``_rescued_data`` (JSON text of the cells under other names, NULL if there are none)
     and ``_corrupt_record``, for every line of ``csv_lines`` but headers and blank lines.
 
-    The headers are one aggregate over the lines that lie in the first block of a file; a name that a header repeats
-    counts where it stands first. Quoted cells may hold commas, but no line breaks."""
+    A header is the line with the smallest place in the first block of its file: one number a file is aggregated, then the lines
+    in those places are picked. What a header says about its columns is worked out once a file, not once a line. A name that a header
+    repeats counts where it stands first. Quoted cells may hold commas, but no line breaks."""
+    spark = lines.sparkSession
     placed = lines.withColumn(AT, F.monotonically_increasing_id())
-    first = placed.where("_block = 0").groupBy(FILE).agg(F.min_by(LINE, AT).alias("_header"), F.min(AT).alias("_header_at"))
-    first = first.withColumn("_width", _cell_count(F.col("_header")))
-    stats = first.agg(F.max("_width").alias("width"), F.count(F.lit(1)).alias("files")).first()
-    width = stats["width"] or 1
-    named = F.transform(_cells(F.col("_header"), width), lambda x: F.trim(F.regexp_replace(x, "^\uFEFF", "")))
-    heads = first.select(FILE, "_header_at", "_width", named.alias("_names"))
-    rows = placed.join(F.broadcast(heads) if stats["files"] <= MOST_HEADERS else heads, FILE)
-    rows = rows.where((F.col(AT) != F.col("_header_at")) & (F.trim(LINE) != ""))
-    rows = rows.withColumn("_cell", _cells(F.col(LINE), width))
-
-    def cell(name: str) -> Column:
-        at = F.array_position("_names", name)
-        return F.when(at > 0, F.try_element_at("_cell", at.cast("int")))
-
+    starts = _few(spark, placed.where("_block = 0").groupBy(FILE).agg(F.min(AT).alias("_header_at")))
+    first = placed.join(starts, FILE).where(F.col(AT) == F.col("_header_at"))
+    first = _few(spark, first.select(FILE, "_header_at", F.col(LINE).alias("_header"), _cell_count(F.col(LINE)).alias("_width")))
+    width = first.agg(F.max("_width")).first()[0] or 1
+    first = _with_cells(first, "_header", width, "_cell")
+    named = F.transform(F.slice("_cell", 1, width), lambda x: F.trim(F.regexp_replace(F.nullif(x, F.lit("")), "^\uFEFF", "")))
     known = F.array(*[F.lit(f.name) for f in schema.fields])
     other = F.filter(
-        F.transform("_names", lambda n, i: F.struct(n.alias("n"), F.get("_cell", i).alias("v"), i.alias("i"))),
+        F.transform("_names", lambda n, i: F.struct(n.alias("n"), i.alias("i"))),
         lambda x: x["n"].isNotNull() & (x["i"] < F.col("_width")) & ~F.array_contains(known, x["n"]) & (F.array_position("_names", x["n"]) == x["i"] + 1),
     )
-    unknown = F.map_from_entries(F.transform(other, lambda x: F.struct(x["n"], x["v"])))
-    typed = {f.name: cell(f.name).try_cast(f.dataType) for f in schema.fields}
+    at = [F.array_position("_names", f.name).cast("int").alias(f"_at{k}") for k, f in enumerate(schema.fields)]
+    heads = first.select(FILE, "_header_at", "_width", named.alias("_names")).select(FILE, "_header_at", "_width", other.alias("_other"), *at)
+    rows = placed.join(_few(spark, heads), FILE)
+    rows = rows.where((F.col(AT) != F.col("_header_at")) & (F.trim(LINE) != ""))
+    rows = _with_cells(rows, LINE, width, "_cell")
+
+    def value(i: Column) -> Column:
+        return F.nullif(F.get("_cell", i), F.lit(""))
+
+    cells = [F.when(F.col(f"_at{k}") > 0, value(F.col(f"_at{k}") - 1)).alias(f"_c{k}") for k in range(len(schema.fields))]
+    unknown = F.map_from_entries(F.transform("_other", lambda x: F.struct(x["n"], value(x["i"]))))
+    rescued = F.when(F.size("_other") > 0, F.to_json(unknown, {"ignoreNullFields": "false"}))
+    rows = rows.select(*keep, LINE, "_width", *cells, rescued.alias(RESCUE_COL))
+    typed = [F.col(f"_c{k}").try_cast(f.dataType) for k, f in enumerate(schema.fields)]
     odd = F.lit(False)  # a cell that doesn't fit its column's type
-    for f in schema.fields:
+    for k, f in enumerate(schema.fields):
         if not isinstance(f.dataType, StringType):
-            odd = odd | (cell(f.name).isNotNull() & typed[f.name].isNull())
-    out = [c.alias(name) for name, c in typed.items()]
+            odd = odd | (F.col(f"_c{k}").isNotNull() & typed[k].isNull())
+    out = [c.alias(f.name) for c, f in zip(typed, schema.fields, strict=True)]
     out += [F.col(c) for c in keep]
-    out.append(F.when(F.size(other) > 0, F.to_json(unknown, {"ignoreNullFields": "false"})).alias(RESCUE_COL))
+    out.append(F.col(RESCUE_COL))
     out.append(F.when((_cell_count(F.col(LINE)) != F.col("_width")) | odd, F.col(LINE)).alias(CORRUPT_COL))
     return rows.select(*out)
 
