@@ -100,6 +100,8 @@ class KeyedStore:
     def write(self, table: str, epoch: int, rows: DataFrame) -> dict[tuple[str, ...], int]:
         """New copies of the cells that ``rows`` has; returns them for ``commit`` (and for reads before it)."""
         folder, names = self._folder(table, epoch), self.cells[table]
+        if names:  # the rows of a cell meet before they are written: files follow the cells, not tasks times cells
+            rows = rows.hint("rebalance", *names)
         rows.write.mode("overwrite").partitionBy(*names).parquet(folder)
         cells = [()]
         for name in names:  # a folder level each

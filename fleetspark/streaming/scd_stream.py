@@ -33,7 +33,7 @@ from pyspark.sql.types import DateType, StringType, StructType, TimestampNTZType
 
 from fleetspark.operators.scd import END_AT, START_AT, tracked_columns
 from fleetspark.operators.sequence import with_neighbor
-from fleetspark.session import remove_path
+from fleetspark.session import adaptive, remove_path
 from fleetspark.streaming.keyed_store import KeyedStore
 from fleetspark.streaming.runner import BUCKET, ID, identity, kept_aside, key_bucket, run_update_batches
 
@@ -93,21 +93,27 @@ def scd2_incremental(
         aside = f"{target_path.rstrip('/')}/incoming/{epoch_id}"
         placed = batch.where(seq.isNotNull()).withColumn(BUCKET, key_bucket(keys, buckets).cast("string"))
         new = kept_aside(placed.withColumn(PART, sequence_part(batch, sequence_by)), f"{aside}/rows")
+        with adaptive(own):
+            splice(store, new, batch.schema, epoch_id, aside)
+        remove_path(own, aside)
+
+    def splice(store: KeyedStore, new: DataFrame, schema: StructType, epoch_id: int, aside: str) -> None:
         touched = [tuple(r) for r in new.select(*CELL).distinct().collect()]  # cells, not keys
         if not touched:
             return
-        written = {"snapshots": store.write("snapshots", epoch_id, merge(store.read("snapshots", batch.schema, touched), new))}
+        written = {"snapshots": store.write("snapshots", epoch_id, merge(store.read("snapshots", schema, touched), new))}
 
         def snapshots(cells, parts: DataFrame) -> DataFrame:
-            rows = store.read("snapshots", batch.schema, cells, written["snapshots"])
+            rows = store.read("snapshots", schema, cells, written["snapshots"])
             return rows.withColumn(ID, identity(keys)).join(parts.select(ID, *CELL), [ID, *CELL], "left_semi")
 
         hit = new.select(identity(keys).alias(ID), *CELL).distinct()
-        fresh = with_changes(snapshots(touched, hit)).groupBy(ID, *CELL).agg(
+        changed = kept_aside(with_changes(snapshots(touched, hit)), f"{aside}/changes")
+        fresh = changed.groupBy(ID, *CELL).agg(
             F.min(seq).alias("first_at"), F.min_by("_v", seq).alias("first"), F.max_by("_v", seq).alias("last"),
             F.min(F.when(F.col("_inside"), seq)).alias("inside_at"),
         )
-        fresh = fresh.withColumns({"opens": F.lit(None).cast("boolean"), "next_at": F.lit(None).cast(batch.schema[sequence_by].dataType)})
+        fresh = fresh.withColumns({"opens": F.lit(None).cast("boolean"), "next_at": F.lit(None).cast(schema[sequence_by].dataType)})
         shape = StructType([f for f in fresh.schema.fields if f.name not in CELL])
         stored = store.read("edges", shape, {(b,) for b, _ in touched})
         known = stored.join(hit.select(ID).distinct(), ID, "left_semi").join(hit, [ID, *CELL], "left_anti")
@@ -123,7 +129,10 @@ def scd2_incremental(
         affected = kept_aside(affected, f"{aside}/edges")
         cells = [tuple(r) for r in affected.select(*CELL).distinct().collect()]
 
-        rows = with_changes(snapshots(cells, affected)).join(affected.select(ID, *CELL, "opens", "next_at"), [ID, *CELL])
+        beyond = affected.join(hit, [ID, *CELL], "left_anti")
+        further = [tuple(r) for r in beyond.select(*CELL).distinct().collect()]
+        rows = changed.unionByName(with_changes(snapshots(further, beyond))) if further else changed
+        rows = rows.join(affected.select(ID, *CELL, "opens", "next_at"), [ID, *CELL])
         opening = rows.where(F.coalesce("_inside", "opens")).withColumn(START_AT, seq)
         versions = with_neighbor(opening, [*keys, PART], [sequence_by], seq, END_AT, "next")
         versions = versions.withColumn(END_AT, F.coalesce(END_AT, "next_at")).select(*columns, START_AT, END_AT, *CELL)
@@ -133,7 +142,6 @@ def scd2_incremental(
         same = store.read("edges", shape, cells).join(affected.select(ID, *CELL), [ID, *CELL], "left_anti")
         written["edges"] = store.write("edges", epoch_id, same.unionByName(affected))
         store.commit(epoch_id, written, {"snapshots": touched, "history": cells, "edges": cells})
-        remove_path(own, aside)
 
     return run_update_batches(snapshots_stream, apply, checkpoint, wait=wait)
 
