@@ -31,7 +31,7 @@ from fleetspark import schemas
 from fleetspark.operators import ledger
 from fleetspark.operators.expectations import ASIDE, FAILED_RULES_COL, KEPT, OUTCOME_COL, REFUSED, ExpectationSet
 from fleetspark.plans import registry, silver
-from fleetspark.session import path_exists, remove_path
+from fleetspark.session import adaptive, path_exists, remove_path
 from fleetspark.sources import ingest
 from fleetspark.sources.evolution import CORRUPT_COL
 from fleetspark.sources.tables import BATCH, TableNames, read_static, register, register_view, static_table, stream_table, temp_view
@@ -62,7 +62,8 @@ def split_writer(
         asides = [f"{counts}__incoming/{epoch_id}", f"{counts}__incoming/{epoch_id}-flagged"]
         rows = runner.kept_aside(batch, asides[0])
         if of_batch is not None:
-            rows = runner.kept_aside(of_batch(rows), asides[1])
+            with adaptive(spark):
+                rows = runner.kept_aside(of_batch(rows), asides[1])
         of = lambda outcome, *drop: rows.where(F.col(OUTCOME_COL) == outcome).drop(OUTCOME_COL, *drop)
         runner.write_once(of(KEPT, FAILED_RULES_COL), at(kept))
         runner.write_once(of(REFUSED), at(refused))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetspark.session import path_exists, remove_path
+from fleetspark.session import adaptive, path_exists, remove_path
 from fleetspark.streaming.keyed_store import KeyedStore
 
 BUCKET = "_key_bucket"
@@ -106,10 +106,11 @@ def run_upsert(
             return
         aside = f"{path}/incoming/{epoch_id}"
         changed = kept_aside(batch.withColumn(BUCKET, key_bucket(keys, buckets).cast("string")), aside)
-        cells = [(r[0],) for r in changed.select(BUCKET).distinct().collect()]
-        old = store.read("groups", batch.schema, cells)
-        same = old.withColumn(ID, identity(keys)).join(changed.select(identity(keys).alias(ID)), ID, "left_anti").drop(ID)
-        store.commit(epoch_id, {"groups": store.write("groups", epoch_id, same.unionByName(changed))}, {"groups": cells})
+        with adaptive(spark):
+            cells = [(r[0],) for r in changed.select(BUCKET).distinct().collect()]
+            old = store.read("groups", batch.schema, cells)
+            same = old.withColumn(ID, identity(keys)).join(changed.select(identity(keys).alias(ID)), ID, "left_anti").drop(ID)
+            store.commit(epoch_id, {"groups": store.write("groups", epoch_id, same.unionByName(changed))}, {"groups": cells})
         remove_path(spark, aside)
 
     return run_update_batches(df, publish, checkpoint, query_name, wait, "update")
