@@ -9,8 +9,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -65,21 +63,6 @@ def apply_base_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
-ADAPTIVE_CONF = "spark.sql.adaptive.enabled"
-
-
-@contextmanager
-def adaptive(spark: SparkSession) -> Iterator[None]:
-    """Adaptive plans for a micro-batch's own reads and writes. A streaming query turns them off in its session, as they would
-    change the partitions of its state; what works on rows kept aside has no state, and gets its widths and joins from measured sizes."""
-    before = spark.conf.get(ADAPTIVE_CONF)
-    spark.conf.set(ADAPTIVE_CONF, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(ADAPTIVE_CONF, before)
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised intermediate tables.
 

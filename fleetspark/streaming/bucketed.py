@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from fleetspark.session import adaptive, names_in
+from fleetspark.session import names_in
 from fleetspark.sources.tables import BATCH
 from fleetspark.streaming.runner import BUCKET, key_bucket, run_update_batches
 
@@ -26,8 +26,8 @@ def fill(stream: DataFrame, key: str, path: str, checkpoint: str, buckets: int =
 
     def append(batch: DataFrame, epoch_id: int) -> None:
         rows = batch.where(F.col(key).isNotNull()).withColumns({BUCKET: key_bucket([key], buckets), BATCH: F.lit(epoch_id)})
-        with adaptive(batch.sparkSession):  # a bucket's rows meet before they are written: files follow the buckets, not tasks times buckets
-            rows.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, BATCH).parquet(path)
+        rows = rows.hint("rebalance", BUCKET)  # a bucket's rows meet before they are written: files follow the buckets, not tasks times buckets
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, BATCH).parquet(path)
 
     return run_update_batches(stream, append, checkpoint, wait=wait)
 
