@@ -63,6 +63,7 @@ def split_writer(
         rows = runner.kept_aside(batch, asides[0])
         if of_batch is not None:
             rows = runner.kept_aside(of_batch(rows), asides[1])
+            remove_path(spark, asides[0])
         of = lambda outcome, *drop: rows.where(F.col(OUTCOME_COL) == outcome).drop(OUTCOME_COL, *drop)
         runner.write_once(of(KEPT, FAILED_RULES_COL), at(kept))
         runner.write_once(of(REFUSED), at(refused))
@@ -185,11 +186,12 @@ def event_ledger(spark: SparkSession, out: dict[str, str]) -> DataFrame:
 
 
 def run_batch_job(
-    spark: SparkSession, landing_root: str, lake_root: str, checkpoint_root: str, max_files: int | None = MAX_FILES, archive: str | None = None
+    spark: SparkSession, landing_root: str, lake_root: str, checkpoint_root: str, max_files: int | None = MAX_FILES, archive: str | None = None,
+    purge: bool = False,
 ) -> dict[str, str]:
     lake = _Lake(spark, lake_root, checkpoint_root, max_files)
     bronze = lake.names.path("bronze", "").rstrip("/")
-    ingest.ingest_batch_sources(spark, landing_root, bronze, f"{lake.checkpoints}/bronze", max_files=max_files, rescue=True, archive=archive)
+    ingest.ingest_batch_sources(spark, landing_root, bronze, f"{lake.checkpoints}/bronze", max_files=max_files, rescue=True, archive=archive, purge=purge)
     return lake.run_job("batch")
 
 

@@ -8,6 +8,8 @@ streams (or files Spark derives from them: JSON/CSV landing drops).
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -186,6 +188,8 @@ def q_bronze_stream_counts(spark, d):
 
 
 # --- M1-M4, A6: the batch sources under their declared schemas --------------------------
+#: Rows of a landed file at most.
+LANDED_ROWS = 250_000
 #: Blanks at the ends of values are data.
 CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
@@ -198,12 +202,13 @@ PRODUCERS = {
 
 
 def _land(spark, d, root, names):
-    """Files of the named sources, with their declared columns and types, as their producers drop them."""
+    """Files of the named sources, with their declared columns and types, as their producers drop them: compressed, and bounded in
+    length, as a compressed file is read by one task."""
     for name in names:
         table_name, adapt = PRODUCERS[name]
         rows = adapt(T.table(spark, d, table_name))
         rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.schema(name).fields])
-        w = rows.write.mode("append").format(schemas.SOURCE_FORMAT[name])
+        w = rows.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", LANDED_ROWS).format(schemas.SOURCE_FORMAT[name])
         (w.options(**CSV_WRITE) if schemas.SOURCE_FORMAT[name] == "csv" else w).save(f"{root}/{name}")
 
 
@@ -270,7 +275,7 @@ def q_batch_job_revenue(spark, d):
 
 def q_batch_job_rules(spark, d):
     """Counts of the rules and number of rows kept aside, of both silver tables with rules."""
-    out = _job(spark, d, jobs.run_batch_job, schemas.BATCH_SOURCES)
+    out = _job(spark, d, partial(jobs.run_batch_job, purge=True), schemas.BATCH_SOURCES)
     parts = []
     for name in ("shipment_invoice_silver", "maintenance_logs_silver"):
         kept = spark.read.parquet(out[f"quarantine.{name}"]).agg(F.count(F.lit(1)).alias("quarantined_rows"))

@@ -36,6 +36,15 @@ BASE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+CODEC_CONF = "spark.sql.parquet.compression.codec"
+
+# Settings of the session that a micro-batch has to itself (a copy of its query's).
+BATCH_CONF = {
+    # A statement's shuffle files go when it ends, not when the driver next happens to collect its heap.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    CODEC_CONF: "zstd",
+}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "fleetspark") -> SparkSession:
     builder = (
@@ -57,12 +66,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def apply_base_conf(spark: SparkSession) -> None:
     """Our settings where the session has none of its own; what the cluster or the caller set stays."""
+    _set_missing(spark, BASE_CONF)
+
+
+def apply_batch_conf(spark: SparkSession) -> None:
+    """The same for the session of a micro-batch."""
+    _set_missing(spark, BATCH_CONF)
+
+
+def _set_missing(spark: SparkSession, conf: dict[str, str]) -> None:
     given = spark.conf.getAll
-    for k, v in BASE_CONF.items():
+    for k, v in conf.items():
         if k not in given:
             spark.conf.set(k, v)
 
 
+def table_codec(spark: SparkSession) -> str:
+    """How stored tables are compressed, where no micro-batch of ours writes them."""
+    return spark.conf.getAll.get(CODEC_CONF, BATCH_CONF[CODEC_CONF])
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised intermediate tables.
 
@@ -110,8 +133,16 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
 
 
+def files_in(spark: SparkSession, path: str) -> dict[str, tuple[str, int]]:
+    """Path and time of change (in milliseconds) of what a folder holds, by its URI: what ``_metadata.file_path`` shows, where
+    an empty host may be left out, as it is here."""
+    fs, at = _hadoop(spark, path)
+    found = fs.listStatus(at) if fs.exists(at) else []
+    return {s.getPath().toUri().toString().replace(":///", ":/"): (s.getPath().toString(), s.getModificationTime()) for s in found}
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder of a table that this library wrote and no longer needs."""
+    """Delete what this library wrote or took over and no longer needs."""
     fs, at = _hadoop(spark, path)
     fs.delete(at, True)
 

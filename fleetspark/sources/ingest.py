@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from fleetspark import schemas
+from fleetspark.session import files_in, names_in, remove_path, table_codec
 from fleetspark.sources.evolution import CORRUPT_COL, LINE, RESCUE_COL, csv_lines, parse_csv_by_header, parse_with_rescue
 from fleetspark.sources.tables import BATCH
 from fleetspark.streaming.runner import run_update_batches, write_once
@@ -83,7 +84,7 @@ def write_append(
     """A4 / A5: append to a parquet table with a checkpoint; available-now
     trigger drains what has landed and stops."""
     w = df.writeStream.format("parquet").outputMode("append").option("path", table_path)
-    w = w.option("checkpointLocation", checkpoint)
+    w = w.option("checkpointLocation", checkpoint).option("compression", table_codec(df.sparkSession))
     if query_name:
         w = w.queryName(query_name)
     if available_now:
@@ -158,16 +159,34 @@ def ingest_batch_sources(
     max_files: int | None = None,
     rescue: bool = False,
     archive: str | None = None,
+    purge: bool = False,
 ) -> dict[str, str]:
-    """The batch sources one after another; returns source -> table path."""
+    """The batch sources one after another; returns source -> table path. ``purge``: a source's files go as soon as its table
+    holds their rows (``remove_taken``), so that a record isn't stored twice for longer than its source's ingest takes."""
     out = {}
     for name in sources:
         table = f"{bronze_root}/{name}"
         ingest_source(spark, name, f"{landing_root}/{name}", table, f"{checkpoint_root}/{name}", options=_bound(max_files), rescue=rescue, archive=archive)
+        if purge:
+            remove_taken(spark, f"{landing_root}/{name}", table)
         out[name] = table
     return out
 
 
+def remove_taken(spark: SparkSession, landing_path: str, table_path: str) -> None:
+    """Delete the files of a landing folder whose rows a table holds; no ingest into the table may be running. Others stay: those
+    that have landed since, be it under a name that was taken before, and those without a row."""
+    there = files_in(spark, landing_path)
+    if there and names_in(spark, table_path):
+        of = F.replace("_source_file", F.lit(":///"), F.lit(":/")).alias("file")
+        held = spark.read.parquet(table_path).where(of.isin([*there])).groupBy(of)
+        held = held.agg(F.unix_millis(F.max("_ingested_at")).alias("taken_at"))
+        for r in held.collect():  # at most what the folder holds
+            path, changed_at = there[r.file]
+            if changed_at <= r.taken_at:
+                remove_path(spark, path)
+
+
 def start_stream_ingestion(
     spark: SparkSession,
     landing_root: str,

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetspark.session import path_exists, remove_path
+from fleetspark.session import apply_batch_conf, path_exists, remove_path
 from fleetspark.streaming.keyed_store import KeyedStore
 
 BUCKET = "_key_bucket"
@@ -124,7 +124,12 @@ def run_update_batches(
     df: DataFrame, fn, checkpoint: str, query_name: str | None = None, wait: bool = True, mode: str = "append"
 ) -> StreamingQuery:
     """Arbitrary per-micro-batch logic (K5 and friends)."""
-    w = df.writeStream.outputMode(mode).foreachBatch(fn).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        apply_batch_conf(batch.sparkSession)
+        fn(batch, epoch_id)
+
+    w = df.writeStream.outputMode(mode).foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if query_name:
         w = w.queryName(query_name)
     q = w.start()
