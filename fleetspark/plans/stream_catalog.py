@@ -268,7 +268,7 @@ def _job(spark, d, run, names):
 
 def q_batch_job_revenue(spark, d):
     """The result is read by its name."""
-    _job(spark, d, jobs.run_batch_job, schemas.BATCH_SOURCES)
+    _job(spark, d, partial(jobs.run_batch_job, purge=True), schemas.BATCH_SOURCES)
     name = TableNames.from_session(spark, "").spark_name(spark, "gold", "daily_revenue_gold")
     return rounded(spark.table(name), "revenue")
 

@@ -115,7 +115,7 @@ def test_files_go_once_their_rows_are_stored(spark, tmp_path):
     assert left() == ["day2.csv", "empty.csv"] and read_static(spark, table).count() == 3
 
 
-@pytest.mark.parametrize("query", ["batch_job_rules"])
+@pytest.mark.parametrize("query", ["batch_job_rules", "batch_job_revenue"])
 def test_the_batch_jobs_purge_what_they_landed(spark, tmp_path, monkeypatch, query):
     """What they landed themselves they need not keep."""
     asked = []
